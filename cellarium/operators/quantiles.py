@@ -80,7 +80,7 @@ def top_failed(df: DataFrame, predicate: Column | str, k: int, order: list[str])
     """The first k failing rows, and how many fail in all."""
     bad = df.filter(predicate)
     n = bad.agg(F.count(F.lit(1)).alias("failures")).first()["failures"]
-    return bad.orderBy(*order).limit(k).withColumn("failures", F.lit(n))
+    return bad.orderBy(*order).limit(k).withColumn("failures", F.lit(n).cast("long"))
 
 
 def set_union_by_name(dfs: list[DataFrame]) -> DataFrame:

@@ -113,7 +113,8 @@ def table_product(df: DataFrame, tables: dict[str, list[str]], names: list[str],
 def table_full_workload(df: DataFrame, names: list[str], schema: Schema, keys: list[str], counts: tuple[str, ...] = ("orig", "priv")) -> DataFrame:
     """df with a zero row for every (query, level) that a key lacks, marked ``was_missing``."""
     levels = {n: [" BY ".join(x) if x else "total" for x in _cross([list(g) for _, g in schema.parse(n)])] for n in names}
-    want = F.flatten(F.array(*[F.transform(F.lit(ls), lambda level, n=n: F.struct(F.lit(n).alias("query"), level.alias("level"))) for n, ls in levels.items()]))
+    pairs = lambda n, ls: F.transform(F.lit(ls), lambda level: F.struct(F.lit(n).alias("query"), level.alias("level")))
+    want = F.flatten(F.array(*[pairs(n, ls) for n, ls in levels.items()]))
     every = df.select(*keys).distinct().withColumn("_w", F.explode(want)).select(*keys, F.col("_w.query").alias("query"), F.col("_w.level").alias("level"))
     out = every.join(df, [*keys, "query", "level"], "left")
     return out.withColumn("was_missing", F.col(counts[0]).isNull()).withColumns({c: F.coalesce(c, F.lit(0)) for c in counts})

@@ -274,7 +274,7 @@ def variation_vs_true(spark, d):
     return M.variation_vs_true(B.answers(spark, d).filter("query = 'status'"), ["geocode", "geolevel", "level"], 3)
 
 
-@query("select geocode, geolevel, run_id, area, orig / area as density_orig, priv / area as density_priv, priv / area - orig / area as diff_density, abs(priv / area - orig / area) as l1_density from answers join (select geocode, sum(abs(c_acctbal)) as area from customers group by all) using (geocode) where query = 'total' and geolevel = 'Block'", "area density_orig density_priv diff_density l1_density")
+@query("select geocode, geolevel, run_id, orig, priv, area, orig / area as density_orig, priv / area as density_priv, priv / area - orig / area as diff_density, abs(priv / area - orig / area) as l1_density from answers join (select geocode, sum(abs(c_acctbal)) as area from customers group by all) using (geocode) where query = 'total' and geolevel = 'Block'", "area density_orig density_priv diff_density l1_density")
 def population_density(spark, d):
     area = B.customers(spark, d).groupBy("geocode").agg(F.sum(F.abs("c_acctbal")).alias("area")).withColumn("geolevel", F.lit("Block"))
     pop = B.answers(spark, d).filter("query = 'total'").select("geocode", "geolevel", "run_id", "orig", "priv")
@@ -302,7 +302,7 @@ def quantile_approx(spark, d):
     return X.quantile_approx(B.answers(spark, d), "priv", [0.25, 0.5, 0.95])
 
 
-_AGED = "(select geocode, sex, age, count(*) as orig, count(*) + (age % 3) as priv from persons group by all)"
+_AGED = "(select *, orig + age % 3 as priv from (select geocode, sex, age, count(*) as orig from persons group by all))"
 
 
 def _aged(spark, d):
@@ -312,7 +312,7 @@ def _aged(spark, d):
     return h.withColumn("priv", F.col("orig") + F.col("age") % 3)
 
 
-@query(f"select substr(geocode, 1, 3) as nation, q as quantile, case q when 0.25 then o1 else o2 end as orig, case q when 0.25 then p1 else p2 end as priv from (select substr(geocode, 1, 3) as geocode, max(o1) as o1, max(o2) as o2, max(p1) as p1, max(p2) as p2 from (select geocode, quantile_cont(age, 0.25) as o1, quantile_cont(age, 0.5) as o2, null as p1, null as p2 from (select substr(geocode, 1, 3) as geocode, age, unnest(range(orig)) from {_AGED}) group by all union all select geocode, null, null, quantile_cont(age, 0.25), quantile_cont(age, 0.5) from (select substr(geocode, 1, 3) as geocode, age, unnest(range(priv)) from {_AGED}) group by all) group by all), (select unnest([0.25, 0.5])::double as q)", "quantile orig priv")
+@query(f"select geocode as nation, q as quantile, case q when 0.25 then o1 else o2 end as orig, case q when 0.25 then p1 else p2 end as priv from (select geocode, max(o1) as o1, max(o2) as o2, max(p1) as p1, max(p2) as p2 from (select geocode, quantile_cont(age, 0.25) as o1, quantile_cont(age, 0.5) as o2, null as p1, null as p2 from (select substr(geocode, 1, 3) as geocode, age, unnest(range(orig)) from {_AGED}) group by all union all select geocode, null, null, quantile_cont(age, 0.25), quantile_cont(age, 0.5) from (select substr(geocode, 1, 3) as geocode, age, unnest(range(priv)) from {_AGED}) group by all) group by all), (select unnest([0.25, 0.5])::double as q)", "quantile orig priv")
 def quantile_weighted_age(spark, d):
     return X.quantile_weighted_age(_aged(spark, d).withColumn("nation", F.substring("geocode", 1, 3)), ["nation"], "age", [0.25, 0.5])
 

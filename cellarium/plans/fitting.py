@@ -64,7 +64,7 @@ def measure_query_answers(spark, d):
 
 
 _KEY = "(geocode::bigint * 15 + status * 5 + priority)"
-_UNI = lambda k: f"((({k} * 1103515245 + 12345) % 2147483648 + 0.5::double) / 2147483648.0::double)"
+_UNI = lambda k: f"(((({k}) * 1103515245 + 12345) % 2147483648 + 0.5::double) / 2147483648.0::double)"
 
 
 def _keyed(spark, d):
@@ -175,7 +175,7 @@ def _cons(spark, d):
     return T.constraint_total(_inv(spark, d)).unionByName(low)
 
 
-@query(f"select name, substr(geocode, 1, 3) as geocode, query, level, sign, case when name = 'gq_lower' and level = '0' then greatest(sum(rhs), 20) else sum(rhs) end::bigint as rhs from {_C} group by all")
+@query(f"select name, geocode, query, level, sign, case when name = 'gq_lower' and level = '0' then greatest(rhs, 20) else rhs end::bigint as rhs from (select name, substr(geocode, 1, 3) as geocode, query, level, sign, sum(rhs) as rhs from {_C} group by all)")
 def constraint_rollup(spark, d):
     c = _cons(spark, d)
     own = c.filter("name = 'gq_lower' and level = '0'").select("name", F.substring("geocode", 1, 3).alias("geocode"), "query", "level", "sign").distinct().withColumn("rhs", F.lit(20).cast("long"))

@@ -146,9 +146,11 @@ def val_household_types(spark, d):
     return V.val_household_types(B.units(spark, d), ["status = 2 and priority = 0", "price < 1000"])
 
 
-@query("""select geocode, unnest(list_filter([case when not a1 and b1 then 'new_vacancy' end, case when a1 and not b1 then 'lost_vacancy' end, case when a2 and not b2 then 'new_occupied' end, case when not a2 and b2 then 'lost_occupied' end], lambda x: x is not null)) as move from (select geocode, bool_or(priority = 4) as a1, bool_and(priority = 4) as a2 from units group by all) join (select geocode, bool_or(priority = 4) as b1, bool_and(priority = 4) as b2 from moved group by all) using (geocode)""")
+@query("""select geocode, unnest(list_filter([case when not a1 and b1 then 'new_vacancy' end, case when a1 and not b1 then 'lost_vacancy' end, case when a2 and not b2 then 'new_occupied' end, case when not a2 and b2 then 'lost_occupied' end], lambda x: x is not null)) as move from (select geocode, bool_or(priority = 4 and status = 2) as a1, bool_and(priority = 4 and status = 2) as a2 from units group by all) join (select geocode, bool_or(p = 4 and status = 2) as b1, bool_and(p = 4 and status = 2) as b2 from (select *, case when unit_id % 7 = 0 then (priority + 1) % 5 else priority end as p from units) group by all) using (geocode)""")
 def val_vacancy_moves(spark, d):
-    return V.val_vacancy_moves(B.units(spark, d), B.moved(spark, d), "priority = 4")
+    u = B.units(spark, d)
+    out = u.withColumn("priority", F.when(F.col("unit_id") % 7 == 0, (F.col("priority") + 1) % 5).otherwise(F.col("priority")))
+    return V.val_vacancy_moves(u, out, "priority = 4 and status = 2")
 
 
 _PU = "(select u.geocode, u.priority, u.units, coalesce(p.persons, 0) as persons from (select geocode, priority, count(*) as units from units group by all) u left join (select geocode, priority, count(*) as persons from persons where age > 40 group by all) p using (geocode, priority))"

@@ -583,7 +583,7 @@ def table_missing_counts(spark, d):
     return Q.table_missing_counts(B.answers(spark, d).filter("query = 'status * priority'"), ["status * priority"], SCHEMA, KEYS)
 
 
-@query("select region, max(n)::bigint as most from (select substr(geocode, 1, 1) as region, geocode, sum(cnt) + substr(geocode, 4, 2)::int % 3 as n from hist group by all) group by all")
+@query("select region, max(n)::bigint as most from (select substr(geocode, 1, 1) as region, s + substr(geocode, 4, 2)::int % 3 as n from (select geocode, sum(cnt) as s from hist group by all)) group by all")
 def sql_table_pipeline(spark, d):
     out = Q.sql_table_pipeline(
         spark, {"cells": B.hist(spark, d)}, {"blocks": "select geocode, sum(cnt) as n from cells group by geocode"}, {"blocks": ("n", "cast(substr(geocode, 4, 2) as int) % 3")},
