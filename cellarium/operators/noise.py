@@ -101,18 +101,11 @@ def noise_discrete_gaussian(df: DataFrame, col: str, sigma_sq: float, u: Column
     """Integer Gaussian noise by its cumulative table, and its variance (sigma^2 above 100)."""
     table = gaussian_table(sigma_sq)
     var = sigma_sq if sigma_sq > 100 else sum(x * x * (c - b) for (x, c), (_, b) in zip(table, [(0, 0.0), *table], strict=False))
-    x = F.rand(seed) if u is None else u
-    if len(table) <= 600:
-        below = F.aggregate(F.lit([c for _, c in table]), F.lit(0), lambda a, c: a + F.when(c < x, 1).otherwise(0))
-        return df.withColumns({"noisy": (F.col(col) + table[0][0] + F.least(below, F.lit(len(table) - 1))).cast("long"), "variance": F.lit(float(var))})
-    # wide: halving over the table held as one literal
-    lo = F.lit(0)
+    df = df.withColumn("_u", F.rand(seed) if u is None else u)  # one draw a row, however often it is compared
     cum = F.lit([c for _, c in table])
-    step = 1 << (len(table).bit_length() - 1)
-    while step:
-        lo = F.when(F.coalesce(F.get(cum, lo + step - 1) < x, F.lit(False)), lo + step).otherwise(lo)
-        step >>= 1
-    return df.withColumns({"noisy": (F.col(col) + table[0][0] + F.least(lo, F.lit(len(table) - 1))).cast("long"), "variance": F.lit(float(var))})
+    steps = F.lit([1 << k for k in reversed(range(len(table).bit_length()))])
+    at = F.aggregate(steps, F.lit(0), lambda lo, step: F.when(F.coalesce(F.get(cum, lo + step - 1) < F.col("_u"), F.lit(False)), lo + step).otherwise(lo))
+    return df.withColumns({"noisy": (F.col(col) + table[0][0] + F.least(at, F.lit(len(table) - 1))).cast("long"), "variance": F.lit(float(var))}).drop("_u")
 
 
 def noise_rounded_gaussian(df: DataFrame, col: str, sigma_sq: float, z: Column | None = None, seed: int = 0) -> DataFrame:
