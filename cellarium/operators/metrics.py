@@ -53,23 +53,18 @@ def err_l1_relative(df: DataFrame, denom_query: str = "total", denom_level: str
 
 
 def _panel() -> dict[str, Column]:
-    n = F.count(F.lit(1))
-    d = F.col("priv") - F.col("orig")
-    rms = F.sqrt(F.sum((d * d).cast("double")) / n)
+    n, d = F.count(F.lit(1)), F.col("priv") - F.col("orig")
+    rms = F.sqrt(ratio(F.sum((d * d).cast("double")), n))
     return {
-        "MAE": F.sum(F.abs(d)) / n, "RMS": rms, "CoV": ratio(100 * rms, F.avg("orig")), "MAPE": 100 * F.coalesce(F.sum(ratio(F.abs(d), "orig")), F.lit(0.0)) / n,
-        "MALPE": 100 * F.coalesce(F.sum(ratio(d, "orig")), F.lit(0.0)) / n, "CountMAPE10": F.count_if(ratio(F.abs(d), "orig") > 0.1).cast("double"), "Counts": n.cast("double"),
+        "MAE": ratio(F.sum(F.abs(d)), n), "RMS": rms, "CoV": ratio(100 * rms, F.avg("orig")), "MAPE": 100 * ratio(F.coalesce(F.sum(ratio(F.abs(d), "orig")), F.lit(0.0)), n),
+        "MALPE": 100 * ratio(F.coalesce(F.sum(ratio(d, "orig")), F.lit(0.0)), n), "CountMAPE10": F.count_if(ratio(F.abs(d), "orig") > 0.1).cast("double"), "Counts": n.cast("double"),
     }
 
 
 def _one(df: DataFrame, name: str, by: list[str]) -> DataFrame:
-    """Without keys and rows the metric is 0."""
-    out = df.groupBy(*by).agg(_panel()[name].alias("v"), F.count(F.lit(1)).alias("n")) if by or name in ("CountMAPE10",) else df.agg(F.when(F.count(F.lit(1)) > 0, F.lit(1)).alias("k"), F.count(F.lit(1)).alias("n"), F.sum(l1()).alias("a"), F.sum(((F.col("priv") - F.col("orig")) * (F.col("priv") - F.col("orig"))).cast("double")).alias("s"), F.avg("orig").alias("o"), F.sum(ratio(l1(), "orig")).alias("p"), F.sum(ratio(F.col("priv") - F.col("orig"), F.col("orig"))).alias("m"))
-    if "v" in out.columns:
-        return out.select(*by, F.coalesce("v", F.lit(0.0)).cast("double").alias(name))
-    rms = F.sqrt(ratio("s", "n"))
-    value = {"MAE": ratio("a", "n"), "RMS": rms, "CoV": ratio(100 * rms, F.col("o")), "MAPE": 100 * ratio("p", "n"), "MALPE": 100 * ratio("m", "n")}[name]
-    return out.select(F.coalesce(value, F.lit(0.0)).alias(name))
+    """One metric of the panel; 0 where there are no rows."""
+    sums = df.groupBy(*by).agg(*[c.alias(k) for k, c in _panel().items() if k == name])
+    return sums.select(*by, F.coalesce(name, F.lit(0.0)).cast("double").alias(name))
 
 
 def metric_mae(df: DataFrame, by: list[str] = []) -> DataFrame:  # noqa: B006
