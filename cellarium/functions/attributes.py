@@ -17,6 +17,37 @@ TENURE = ("Owned with a mortgage", "Owned free and clear", "Rented", "Occupied w
 HOUSEHOLD_SIZE = ("Vacant", "1 person", "2 persons", "3 persons", "4 persons", "5 persons", "6 persons", "7 or more persons")
 
 
+RELATIONSHIPS = (
+    "Householder living alone", "Householder not living alone", "Opposite-sex spouse", "Opposite-sex unmarried partner", "Same-sex spouse (Use allocation flag to determine)", "Same-sex unmarried partner", "Biological son or daughter",
+    "Adopted son or daughter", "Stepson or stepdaughter", "Brother or sister", "Father or mother", "Grandchild", "Parent-in-law", "Son-in-law or daughter-in-law", "Other relative", "Roommate or housemate",
+    "Foster child (If roomer/boarder and age<21)", "Other nonrelative (also include if roomer/boarder and age>=21)",
+)
+GROUP_QUARTERS = (
+    "GQ 101 Federal detention centers", "GQ 102 Federal prisons", "GQ 103 State prisons", "GQ 104 Local jails and other municipal confinements", "GQ 105 Correctional residential facilities", "GQ 106 Military disciplinary barracks",
+    "GQ 201 Group homes for juveniles", "GQ 202 Residential treatment centers for juveniles", "GQ 203 Correctional facilities intended for juveniles", "GQ 301 Nursing facilities", "GQ 401 Mental hospitals",
+    "GQ 402 Hospitals with patients who have no usual home elsewhere", "GQ 403 In-patient hospice facilities", "GQ 404 Military treatment facilities", "GQ 405 Residential schools for people with disabilities",
+    "GQ 501 College/university student housing", "GQ 601 Military quarters", "GQ 602 Military ships", "GQ 701 Emergency and transitional shelters", "GQ 801 Group homes intended for adults", "GQ 802 Residential treatment centers for adults",
+    "GQ 900 Maritime/merchant vessels", "GQ 901 Workers' group living quarters and job corps centers", "GQ 997 Other noninstitutional (GQ types 702, 704, 706, 903, 904)",
+)
+HOUSEHOLD_TYPES = (
+    "Married opposite-sex with own children under 18, under 6 yrs only", "Married opposite-sex with own children under 18, between 6 and 17 only", "Married opposite-sex with own children under 18, both ranges", "Married opposite-sex no own children under 18",
+    "Married same-sex with own children only under 6 yrs", "Married same-sex with own children between 6 and 17", "Married same-sex with own children in both ranges", "Married same-sex no own children under 18",
+    "Cohabiting opposite-sex with own children only under 6 yrs", "Cohabiting opposite-sex with own children between 6 and 17", "Cohabiting opposite-sex with own children in both ranges", "Cohabiting opposite-sex with relatives, no own children under 18",
+    "Cohabiting opposite-sex without relatives, no own children under 18", "Cohabiting same-sex with own children only under 6 yrs", "Cohabiting same-sex with own children between 6 and 17", "Cohabiting same-sex with own children in both ranges",
+    "Cohabiting same-sex with relatives, no own children under 18", "Cohabiting same-sex without relatives, no own children under 18", "No spouse or partner, alone", "No spouse or partner with own children under 6", "No spouse or partner with own children between 6 and 17.",
+    "No spouse or partner with own children in both ranges", "No spouse or partner living with relatives but no own children", "No spouse or partner and no relatives, not alone.",
+)
+CITIZEN_RACES = (
+    "Hispanic or Latino", "White alone", "Black or African American alone", "American Indian and Alaska Native alone", "Asian alone", "Native Hawaiian and Other Pacific Islander alone", "Some Other Race alone", "Black or African American and White",
+    "American Indian and Alaska Native and White", "Asian and White", "American Indian and Alaska Native and Black or African American", "Remainder of Two or More Race Responses",
+)
+FACILITIES_1940 = ("Household", "Correctional Institutions", "Mental Institutions", "Institutions for the Elderly, Handicapped, and Poor", "Military", "College Dormitory", "Rooming House", "Other Non-Institutional GQ and Unknown")
+AGE_CATEGORIES = (
+    "Under 5 years", "5 to 9 years", "10 to 14 years", "15 to 17 years", "18 to 19 years", "20 to 21 years", "22 to 24 years", "25 to 29 years", "30 to 34 years", "35 to 39 years", "40 to 44 years", "45 to 49 years", "50 to 54 years", "55 to 59 years",
+    "60 to 61 years", "62 to 64 years", "65 years", "66 years", "67 to 69 years", "70 to 74 years", "75 to 79 years", "80 to 84 years", "85 years and over",
+)
+
+
 def ranges(bounds: list[tuple[int, int]], size: int, one: str = "Aged {}", many: str = "Aged {} to {}") -> dict[str, tuple[int, ...]]:
     """Groups of consecutive ages."""
     return {one.format(a) if a == b else many.format(a, b): tuple(range(a, min(b, size - 1) + 1)) for a, b in bounds}
@@ -125,6 +156,48 @@ def h1() -> Dim:
     return Dim("h1", ("Vacant", "Occupied"), {"vacantCount": {"Vacant": (0,)}})
 
 
+def relationship_gq() -> Dim:
+    """Relationship in a household, or the kind of group quarters."""
+    labels = (*RELATIONSHIPS, *GROUP_QUARTERS)
+    n = len(RELATIONSHIPS)
+    classes = {c: tuple(n + i for i, g in enumerate(GROUP_QUARTERS) if g[3] == c) for c in sorted({g[3] for g in GROUP_QUARTERS})}
+    return Dim("relgq", labels, {
+        "gqhh": {"Household": tuple(range(n)), "Group Quarters": tuple(range(n, len(labels)))}, "householders": {"Householder": (0, 1)}, "spousesUnmarriedPartners": {"Spouse or unmarried partner": (2, 3, 4, 5)},
+        "children": {"Child of householder": (6, 7, 8)}, "peopleInHouseholds": {"In households": tuple(range(n))}, "gqClasses": {f"GQ {c}00s": ix for c, ix in classes.items()}, **{f"relgq{i}": {x: (i,)} for i, x in enumerate(labels)},
+    })
+
+
+def household_type() -> Dim:
+    """24 types by couple, relatives and own children; recodes follow from the labels' own words."""
+    where = lambda test: tuple(i for i, x in enumerate(HOUSEHOLD_TYPES) if test(x))
+    own = lambda x: "with own children" in x
+    married, cohabiting, single = where(lambda x: x.startswith("Married")), where(lambda x: x.startswith("Cohabiting")), where(lambda x: x.startswith("No spouse"))
+    family = where(lambda x: x.startswith("Married") or own(x) or "with relatives" in x)
+    kids = where(own)
+    return Dim("hhtype", HOUSEHOLD_TYPES, {
+        "family": {"Family": family}, "nonfamily": {"Nonfamily": tuple(i for i in range(len(HOUSEHOLD_TYPES)) if i not in family)}, "marriedFamily": {"Married": married}, "otherFamily": {"Other family": tuple(i for i in family if i not in married)},
+        "ownChildren": {"With own children under 18": kids}, "ownChildrenUnderSix": {"Own children under 6 only": where(lambda x: own(x) and "under 6" in x and "both" not in x)}, "alone": {"Alone": where(lambda x: x.endswith("partner, alone"))},
+        "notAlone": {"Not alone": where(lambda x: not x.endswith("partner, alone"))}, "cohabiting": {"Cohabiting": cohabiting}, "noSpouseOrPartner": {"No spouse or partner": single}, "coupleLevels": {"Married": married, "Cohabiting": cohabiting, "No spouse or partner": single},
+        "oppositeSexLevels": {"Married": where(lambda x: x.startswith("Married opposite")), "Cohabiting": where(lambda x: x.startswith("Cohabiting opposite"))}, "sameSexLevels": {"Married": where(lambda x: x.startswith("Married same")), "Cohabiting": where(lambda x: x.startswith("Cohabiting same"))},
+        "marriedWithChildren": {"With own children": tuple(i for i in married if i in kids), "Without own children": tuple(i for i in married if i not in kids)}, "cohabitingWithChildren": {"With own children": tuple(i for i in cohabiting if i in kids), "Without own children": tuple(i for i in cohabiting if i not in kids)},
+    })
+
+
+def citizen_race() -> Dim:
+    return Dim("cvaprace", CITIZEN_RACES)
+
+
+def facility_1940() -> Dim:
+    return Dim("hhgq1940", FACILITIES_1940, {
+        "householdTotal": {"Household": (0,)}, "hhgq2level": {"Household": (0,), "Group Quarters": tuple(range(1, 8))}, "gqTotal": {"Group Quarters": tuple(range(1, 8))}, "gqlevels": {f: (i,) for i, f in enumerate(FACILITIES_1940) if i},
+        "instTotal": {"Institutional": (1, 2, 3)}, "instLevels": {f: (i,) for i, f in enumerate(FACILITIES_1940) if i in (1, 2, 3)}, "noninstTotal": {"Noninstitutional": (4, 5, 6, 7)},
+    })
+
+
+def age_category() -> Dim:
+    return Dim("agecat", AGE_CATEGORIES, {"votingage": {"Under 18": (0, 1, 2, 3), "18 and over": tuple(range(4, 23))}, "voting": {"18 and over": tuple(range(4, 23))}, "nonvoting": {"Under 18": (0, 1, 2, 3)}})
+
+
 def pl94() -> Schema:
     """Facility x voting age x ethnicity x race: 8 x 2 x 2 x 63 cells."""
     return Schema((facility(), voting_age(), hispanic(), cenrace()))
