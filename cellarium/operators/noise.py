@@ -65,9 +65,11 @@ def budget_cell_impact(meas: DataFrame, recode_map: DataFrame, sens: float = 2.0
 
 def budget_impact_gaps(recode_map: DataFrame, cells: DataFrame) -> DataFrame:
     """(query, cell, times) of cells that a query covers other than once. recode_map: (query, cell, coef); cells: (cell)."""
-    every = recode_map.select("query").distinct().withColumn("all_cells", F.lit(1)).join(cells.withColumn("all_cells", F.lit(1)), "all_cells").drop("all_cells")
+    names = sorted(r["query"] for r in recode_map.select("query").distinct().collect())  # a workload's queries
     got = recode_map.groupBy("query", "cell").agg(F.sum(F.abs("coef")).alias("times"))
-    return every.join(got, ["query", "cell"], "left").select("query", "cell", F.coalesce("times", F.lit(0)).alias("times")).filter("times <> 1")
+    by_cell = got.groupBy("cell").agg(F.map_from_entries(F.collect_list(F.struct("query", "times"))).alias("m"))
+    rows = cells.join(by_cell, "cell", "left").select("cell", F.explode(F.lit(names)).alias("query"), "m")
+    return rows.select("query", "cell", F.coalesce(F.try_element_at("m", F.col("query")), F.lit(0)).alias("times")).filter("times <> 1")
 
 
 def measure_query_answers(hist: DataFrame, hier: Hier, names: list[str], schema: Schema, count: str = "cnt") -> DataFrame:
