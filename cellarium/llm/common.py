@@ -42,5 +42,11 @@ def bind(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def in_small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """df, whose session hands Python code so many rows at a time: whole texts make the usual 10,000 too large."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    return df
+
+
 def text_of(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
