@@ -17,6 +17,9 @@ own; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import json
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -27,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import stored, table
+from .common import in_small_batches, stored, table
 
 CAPACITY = 4096
 END = 1
@@ -35,42 +38,131 @@ END = 1
 GRAIN, SMALL = 16, 128
 ROUNDS, EPSILON = 4000, 0.15
 SALTS = 256
-_REMEMBERED = 300_000
+_REMEMBERED = 400_000
 _loaded: dict = {}
 
 
+#: Chunks of letters with ASCII marks after them; apostrophes are left to the tokenizer's own rules.
+_PLAIN = re.compile(r"([^\W\d_]*)([!-&(-/:-@\[-`{-~]*)")
+
+
 class WordIds:
     """ids of white-space separated chunks, as little-endian bytes.
 
-    The tokenizer drops white space and never joins across it, so a text's ids are its chunks' ids.
+    The tokenizer drops white space and never joins across it, so a text's ids are its chunks' ids. Chunks met
+    for the first time are merged many at once in numpy where they are letters and marks, and by the tokenizer
+    itself otherwise; both give the same ids (tests/llm).
     """
 
-    separator, mark = " <|startoftext|> ", b"<|startoftext|>"
-
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.split_id = self.model.token_to_id(self.mark.decode())
+        with open(path, encoding="utf-8") as f:
+            bpe = json.load(f)["model"]
+        vocab, suffix = bpe["vocab"], bpe["end_of_word_suffix"]
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        letters = {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in printable)}
+        self.inner = np.array([vocab[letters[b]] for b in range(256)], np.int64)
+        self.last = np.array([vocab[letters[b] + suffix] for b in range(256)], np.int64)
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in bpe["merges"]]
+        self.wide = max(vocab.values()) + 1
+        key = np.array([vocab[x] * self.wide + vocab[y] for x, y in pairs], np.int64)
+        order = np.argsort(key, kind="stable")
+        self.pair, self.rank = key[order], order
+        self.made = np.array([vocab[x + y] for x, y in pairs], np.int64)[order]
+        self.bits = 19
+        self.slot = np.zeros(1 << self.bits, np.int32)  # 1 + place of the pair
+        for k, h in enumerate(self._hash(self.pair).tolist()):
+            while self.slot[h]:
+                h = (h + 1) & ((1 << self.bits) - 1)
+            self.slot[h] = k + 1
         self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
+
+    def _hash(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _place(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Places of pairs among the merges, -1 for none."""
+        key = left * self.wide + right
+        h = self._hash(key)
+        at = self.slot[h].astype(np.int64) - 1
+        while len(miss := np.flatnonzero((at >= 0) & (self.pair[at] != key))):
+            h[miss] = (h[miss] + 1) & ((1 << self.bits) - 1)
+            at[miss] = self.slot[h[miss]].astype(np.int64) - 1
+        return at
+
+    def merged(self, parts: list[bytes]) -> list[bytes]:
+        """ids of parts that the tokenizer would not split further: the lowest-ranked pair first, then from the left."""
+        out: list[bytes] = [b""] * len(parts)
+        by_length: dict[int, list[int]] = {}
+        for k, w in enumerate(parts):
+            by_length.setdefault(len(w), []).append(k)
+        never = np.iinfo(np.int64).max
+        for n, ks in by_length.items():
+            if not n:
+                continue
+            raw = np.frombuffer(b"".join([parts[k] for k in ks]), np.uint8).reshape(len(ks), n)
+            ids = self.inner[raw]
+            ids[:, -1] = self.last[raw[:, -1]]
+            who, size = np.arange(len(ks)), np.full(len(ks), n)
+            place = self._place(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(len(ks), n - 1)
+            rank = np.where(place >= 0, self.rank[place], never)
+            final = np.zeros((len(ks), n), "<u4")
+            length = np.zeros(len(ks), np.int64)
+            while len(who):
+                at = rank.argmin(axis=1) if rank.shape[1] else np.zeros(len(who), np.int64)
+                rows = np.arange(len(who))
+                go = rank[rows, at] != never if rank.shape[1] else np.zeros(len(who), bool)
+                done = np.flatnonzero(~go)
+                final[who[done], : ids.shape[1]], length[who[done]] = ids[done], size[done]
+                who, size, ids, rank, at = who[go], size[go], ids[go], rank[go], at[go]
+                if not len(who):
+                    break
+                rows, m = np.arange(len(who)), ids.shape[1]
+                ids[rows, at] = self.made[self._place(ids[rows, at], ids[rows, at + 1])]
+                keep = np.arange(m - 1)[None, :] + (np.arange(m - 1)[None, :] > at[:, None])  # the pair's right side goes
+                ids = np.take_along_axis(ids, keep, axis=1)
+                size -= 1
+                less = np.arange(m - 2)[None, :] + (np.arange(m - 2)[None, :] >= at[:, None])
+                rank = np.take_along_axis(rank, np.minimum(less, m - 2), axis=1)
+                for side in (at - 1, at):  # pairs on both sides of the merged one are new
+                    ok = np.flatnonzero((side >= 0) & (side + 1 < size))
+                    p = self._place(ids[ok, side[ok]], ids[ok, side[ok] + 1])
+                    rank[ok, side[ok]] = np.where(p >= 0, self.rank[p], never)
+            for k, row, m in zip(ks, final, length.tolist(), strict=True):
+                out[k] = row[:m].tobytes()
+        return out
 
     def learn(self, chunks: set[bytes]) -> None:
-        new = [c for c in chunks if c not in self.known]
-        if len(self.known) + len(new) > _REMEMBERED:
-            self.known.clear()
-            new = list(chunks)
-        plain = [c for c in new if self.mark not in c]
+        known, before, new = self.known, self.before, []
+        if len(known) > _REMEMBERED:
+            self.before = before = known
+            self.known = known = {}
+        for c in chunks:
+            if c not in known:
+                if c in before:
+                    known[c] = before[c]
+                else:
+                    new.append(c)
+        parts: list[bytes] = []
+        plain: list[tuple[bytes, bool, bool]] = []
         for c in new:
-            if self.mark in c:
-                self.known[c] = np.array(self.model.encode(c.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
-        for at in range(0, len(plain), 2000):
-            part = plain[at : at + 2000]
-            ids = np.array(self.model.encode(self.separator.join(c.decode("utf-8", "replace") for c in part), add_special_tokens=False).ids, "<u4")
-            cut = np.flatnonzero(ids == self.split_id)
-            start, end = np.concatenate([[0], cut + 1]), np.concatenate([cut, [len(ids)]])
-            raw = ids.tobytes()
-            for c, a, b in zip(part, (4 * start).tolist(), (4 * end).tolist(), strict=True):
-                self.known[c] = raw[a:b]
+            s = c.decode("utf-8", "replace")
+            m = _PLAIN.fullmatch(s)
+            word = m[1] if m else ""
+            if m and len(s) <= 64 and (not word or word.lower().isalpha() and word.isalpha() and (word.isascii() or "\u03a3" not in word and unicodedata.is_normalized("NFC", word))) and "<|" not in m[2]:
+                if word:
+                    parts.append(word.lower().encode())
+                if m[2]:
+                    parts.append(m[2].encode())
+                plain.append((c, bool(word), bool(m[2])))
+            else:
+                known[c] = np.array(self.model.encode(s, add_special_tokens=False).ids, "<u4").tobytes()
+        got = iter(self.merged(parts))
+        for c, one, two in plain:
+            known[c] = (next(got) if one else b"") + (next(got) if two else b"")
 
     def encode(self, chunks: list[bytes]) -> bytes:
         return b"".join(map(self.known.__getitem__, chunks))
@@ -82,6 +174,12 @@ def word_ids(path: str) -> WordIds:
     return _loaded[path]
 
 
+def _chunks(text: str | None) -> list[bytes]:
+    """White-space separated chunks; the tokenizer lower-cases, but knows its special strings by their case."""
+    raw = (text or "").encode("utf-8", "surrogatepass")
+    return raw.split() if b"<|" in raw else raw.lower().split()
+
+
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): every document's ids and end id, cut at the capacity."""
     out = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
@@ -90,9 +188,9 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, doc_id: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = word_ids(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                split = [t.encode("utf-8", "surrogatepass").split() if t else [] for t in part.column(1).to_pylist()]
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                split = [_chunks(t) for t in part.column(1).to_pylist()]
                 need: set[bytes] = set()
                 need.update(*split)
                 w.learn(need)
@@ -226,7 +324,7 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
 
 def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, **columns) -> DataFrame:
     """One row per piece with its sequence and its offset there."""
-    rows = stored(pieces(docs, path, capacity, **columns)).withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS)))
+    rows = stored(pieces(in_small_batches(docs), path, capacity, **columns)).withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS)))
     cells = stored(rows.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n")))
     histogram = {r["length"]: r["n"] for r in cells.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # capacity rows at most
     slots: dict[int, list[tuple[int, int, int, int]]] = {}  # length -> (first rank, first sequence, copies, offset)
