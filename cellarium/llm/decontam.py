@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import in_small_batches, table
 from .shingles import SIZE, grams, mixed, shingles
 
 THRESHOLD = 0.8
@@ -114,6 +114,28 @@ class Items:
         return np.array(spans, np.int64).reshape(-1, 2), np.array(owners, np.int64)
 
 
+    def found(self, texts: list[str | None], threshold: float) -> list[tuple[int, int, int]]:
+        """(text, item, common shingles) of every item that meets the threshold, by exact containment."""
+        hs, gs = shingles(texts)
+        edge = np.concatenate([[0], np.cumsum([len(g) for g in gs])])
+        spans, owners = self.candidates(np.concatenate(gs) if gs else np.zeros(0, np.uint64))
+        first, last = np.searchsorted(edge, spans[:, 0], "right") - 1, np.searchsorted(edge, spans[:, 1], "left")
+        wanted: dict[int, set[int]] = {}
+        for a, b, k in zip(first.tolist(), last.tolist(), owners.tolist(), strict=True):
+            for d in range(a, min(b, len(gs))):
+                wanted.setdefault(d, set()).add(k)
+        rows = []
+        for d, ks in wanted.items():
+            own = np.unique(gs[d])
+            rows += [(d, k, n) for k in ks if (n := int(np.isin(self.sets[k], own, assume_unique=True).sum())) >= threshold * len(self.sets[k]) - 1e-9]
+        for n, ks in self.short.items():
+            want = np.concatenate([self.sets[k] for k in ks])
+            for d, h in enumerate(hs):
+                if len(h) >= n:
+                    rows += [(d, k, 1) for k, hit in zip(ks, np.isin(want, grams(h, n)).tolist(), strict=True) if hit]
+        return sorted(rows)
+
+
 def _search(docs: DataFrame, items: list[tuple], threshold: float, doc_id: str, text: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(Items(items))  # at most BLOCK items or one item
     out = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("n_shingles", pa.int64()), ("n_common", pa.int64()), ("containment", pa.float64())])
@@ -122,30 +144,8 @@ def _search(docs: DataFrame, items: list[tuple], threshold: float, doc_id: str,
         q = shared.value
         for batch in batches:
             for start in range(0, batch.num_rows, 128):
-                part = batch.slice(start, 128)
-                hs, gs = shingles(part.column(1).to_pylist())
-                edge = np.concatenate([[0], np.cumsum([len(g) for g in gs])])
-                pairs: set[tuple[int, int]] = set()
-                spans, owners = q.candidates(np.concatenate(gs) if gs else np.zeros(0, np.uint64))
-                first, last = np.searchsorted(edge, spans[:, 0], "right") - 1, np.searchsorted(edge, spans[:, 1], "left")
-                for a, b, k in zip(first.tolist(), last.tolist(), owners.tolist(), strict=True):
-                    pairs.update((d, k) for d in range(a, min(b, len(gs))))
-                rows = []
-                ids = part.column(0).to_pylist()
-                by_doc: dict[int, list[int]] = {}
-                for d, k in pairs:
-                    by_doc.setdefault(d, []).append(k)
-                for d, ks in by_doc.items():
-                    own = np.unique(gs[d])
-                    for k in ks:
-                        rows.append((d, k, int(np.isin(q.sets[k], own, assume_unique=True).sum())))
-                for n, ks in q.short.items():
-                    want = np.concatenate([q.sets[k] for k in ks])
-                    for d, h in enumerate(hs):
-                        if len(h) >= n:
-                            found = np.isin(want, grams(h, n))
-                            rows += [(d, k, 1) for k, f in zip(ks, found.tolist(), strict=True) if f]
-                rows = [(ids[d], q.ids[k], len(q.sets[k]), c, c / len(q.sets[k])) for d, k, c in sorted(rows) if c >= threshold * len(q.sets[k]) - 1e-9]
+                ids, texts = (c.to_pylist() for c in batch.slice(start, 128).columns)
+                rows = [(ids[d], q.ids[k], len(q.sets[k]), n, n / len(q.sets[k])) for d, k, n in q.found(texts, threshold)]
                 if rows:
                     yield pa.record_batch([pa.array(v, f.type) for v, f in zip(zip(*rows, strict=True), out, strict=True)], schema=out)
 
@@ -165,12 +165,12 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[list[tupl
 
 def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, item_id, n_shingles, n_common, containment) of every item that a document holds."""
-    return reduce(DataFrame.unionByName, [_search(docs, b, threshold, doc_id, text) for b in _blocks(benchmark, item_id, item_text)])
+    return reduce(DataFrame.unionByName, [_search(docs, b, threshold, doc_id, text) for b in _blocks(in_small_batches(benchmark), item_id, item_text)])
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a test item, judged row by row, so that no text is shuffled."""
-    items = table(spark, sf_dir, "benchmark")
+    items = in_small_batches(table(spark, sf_dir, "benchmark"))
     key = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"))
     kept = reduce(lambda d, b: _without(d, b, THRESHOLD), _blocks(items, "item_id", "text"), key)
     return kept.select("d.*")
@@ -182,22 +182,10 @@ def _without(rows: DataFrame, items: list[tuple], threshold: float) -> DataFrame
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q = shared.value
         for batch in batches:
-            texts = batch.column(0).field("text")
-            keep = np.ones(batch.num_rows, dtype=bool)
+            texts, keep = batch.column(0).field("text"), np.ones(batch.num_rows, dtype=bool)
             for start in range(0, batch.num_rows, 128):
-                hs, gs = shingles(texts.slice(start, 128).to_pylist())
-                edge = np.concatenate([[0], np.cumsum([len(g) for g in gs])])
-                spans, owners = q.candidates(np.concatenate(gs) if gs else np.zeros(0, np.uint64))
-                first, last = np.searchsorted(edge, spans[:, 0], "right") - 1, np.searchsorted(edge, spans[:, 1], "left")
-                pairs = {(d, k) for a, b, k in zip(first.tolist(), last.tolist(), owners.tolist(), strict=True) for d in range(a, min(b, len(gs)))}
-                for d, k in sorted(pairs):
-                    if keep[start + d] and np.isin(q.sets[k], gs[d]).sum() >= threshold * len(q.sets[k]) - 1e-9:
-                        keep[start + d] = False
-                for n, ks in q.short.items():
-                    want = np.concatenate([q.sets[k] for k in ks])
-                    for d, h in enumerate(hs):
-                        if keep[start + d] and len(h) >= n and np.isin(want, grams(h, n)).any():
-                            keep[start + d] = False
+                for d, _, _ in q.found(texts.slice(start, 128).to_pylist(), threshold):
+                    keep[start + d] = False
             yield batch.filter(pa.array(keep))
 
     return rows.mapInArrow(clean, rows.schema)

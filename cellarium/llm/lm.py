@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from .common import in_small_batches, stored, table
 
 ROUNDS = 2
 HEAD = 500_000
@@ -66,7 +66,7 @@ class Pieces:
         self.char[[ord(c) for c in chars]] = np.arange(1, len(chars) + 1)
         self.wide = len(chars) + 1
         self.longest = max(len(p) for p, _ in found)
-        nodes, ends = {(): 0}, {0: -1}
+        ends = [-1]
         edges: dict[int, int] = {}
         for p, i in found:
             at = 0
@@ -74,11 +74,10 @@ class Pieces:
                 key = at * self.wide + int(self.char[ord(c)]) + 1
                 if key not in edges:
                     edges[key] = len(ends)
-                    ends[len(ends)] = -1
+                    ends.append(-1)
                 at = edges[key]
             ends[at] = i
-        del nodes
-        self.end = np.array([ends[k] for k in range(len(ends))], np.int64)
+        self.end = np.array(ends, np.int64)
         self.bits = max(16, (4 * len(edges)).bit_length())
         self.key, self.to = np.zeros(1 << self.bits, np.int64), np.zeros(1 << self.bits, np.int32)
         for key, to in edges.items():
@@ -259,7 +258,7 @@ def fit(table_: DataFrame, path: str, rounds: int = ROUNDS) -> np.ndarray:
 def score(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS, head: int = HEAD) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every document."""
     spark = docs.sparkSession
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    docs = in_small_batches(docs).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     seen = stored(word_counts(docs))
     t = seen.agg(F.sum("c").alias("c"), F.sum((F.col("c") > 0).cast("long")).alias("v"), F.sum((F.col("c") == 1).cast("long")).alias("n1"), F.sum((F.col("c") == 2).cast("long")).alias("n2")).first()
     ends = docs.filter(F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2, F.lit(True))).count()

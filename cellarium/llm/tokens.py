@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import in_small_batches, table
 
 LIMIT = 4096
 _CHUNK = re.compile("\n[^ ▁\n]*|[ ▁]*[^ ▁\n]+|[ ▁]+")
@@ -128,7 +128,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = LIMIT, doc_id: str = "
                 yield pa.record_batch([pa.array(v, f.type) for v, f in zip(cols, out, strict=True)], schema=out)
 
     kinds = "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean, fit_chars bigint" + (", ends array<int>, counts array<int>" if tables else "")
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, kinds)
+    return in_small_batches(docs).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, kinds)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
