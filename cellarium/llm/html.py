@@ -7,7 +7,8 @@ and near-good. Second pass: undecided blocks take the label of the nearest neigh
 (what the markup calls boilerplate stands outside the text's flow and is passed over); where those
 differ, a near-good block is good and a short one follows the nearer; in a page without good blocks the
 near-good ones are good. Inside an <article> or <main> the
-container's edges count as good neighbours, so that its short blocks stay with it.
+same signals and the same passes decide; the container is a prior only: its edges count as good neighbours, a
+tie goes to good, and what would be bad for few stop words is near-good, for a link in a short block short.
 
 Edge cases: a null or empty page has no text; unclosed and stray tags are tolerated (a block-level tag ends
 what was open inside it); repeated rows are extracted each on their own; null ids and urls stay; an empty
@@ -152,35 +153,32 @@ def blocks(page: str) -> list[tuple[str, str, float, bool, int]]:
 def labels(found: list[tuple[str, str, float, bool, int]]) -> list[bool]:
     """Is each block main text?"""
     first = []
-    for tag, text, links, bad, inside in found:
+    for _, text, links, bad, inside in found:
         if bad or "©" in text[:3] and not inside:
             first.append("bad")
             continue
-        if inside:
-            first.append("bad" if links > 0.8 and tag == "li" else "good" if len(text) > LENGTH_HIGH else "short")
-            continue
         ws = text.lower().split()
         stop = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in ws) / len(ws)
         if links > MAX_LINKS:
             first.append("bad")
         elif len(text) < LENGTH_LOW:
-            first.append("bad" if links > 0 else "short")
+            first.append("bad" if links > 0 and not inside else "short")
         elif stop >= STOP_HIGH:
             first.append("good" if len(text) > LENGTH_HIGH else "near")
         else:
-            first.append("near" if stop >= STOP_LOW else "bad")
+            first.append("near" if inside or stop >= STOP_LOW else "bad")
     if "good" not in first:  # a page of middling blocks only
         first = ["good" if x == "near" else x for x in first]
     n = len(found)
     before, after = [None] * n, [None] * n
-    for order, near in ((range(n), before), (range(n - 1, -1, -1), after)):
+    for order, near, step in ((range(n), before, 1), (range(n - 1, -1, -1), after, -1)):
         last, home = None, 0
         for i in order:
             inside = found[i][4]
             if inside != home:  # an article's edges count as good; outside it, what lies in it does not count
-                last, home = (("good", i) if inside else None), inside
+                last, home = (("good", i - step) if inside else None), inside
             near[i] = last
-            if first[i] in ("good", "bad") and not found[i][3] and not (inside and first[i] == "bad"):
+            if first[i] in ("good", "bad") and not found[i][3]:
                 last = (first[i], i)
     out = []
     for i, kind in enumerate(first):
@@ -193,6 +191,8 @@ def labels(found: list[tuple[str, str, float, bool, int]]) -> list[bool]:
             out.append("good" in sides or kind == "near" and not sides)
         elif kind == "near":
             out.append(True)
+        elif found[i][4] and i - a[1] == b[1] - i:
+            out.append(True)
         else:
             nearer = a if i - a[1] <= b[1] - i else b
             out.append(nearer[0] == "good")

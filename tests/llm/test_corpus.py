@@ -185,6 +185,16 @@ def test_html(spark):
     assert html.extract(df.filter("false")).count() == 0
 
 
+def test_html_rules_hold_inside_articles():
+    story = "<p>The house on the hill was the one that he had in his mind when he came to the town, and it was not for sale at the time that he was there with her.</p>"
+    linked = "<p><a href=x>The town and the hill: all that you have to see when you are there in the spring, and what it is that they do not show to you at all</a></p>"
+    advert = "<p>Buy AcmeTurbo 3000 blender today! Free express shipping, 50% discount, order online right now, limited stock, visit AcmeStore, download AcmeStore app</p>"
+    got = html.main_text(f"<body><article><h1>Heading</h1>{story}<p>Yes.</p>{story}{linked}<p>More</p>{advert}{linked}{story}<p>No.</p></article></body>").split("\n\n")
+    assert [x[:7] for x in got] == ["Heading", "The hou", "Yes.", "The hou", "The hou", "No."] and not any("Acme" in x or "spring" in x for x in got)
+    names = "<p>Anna Berg, Carl Dahl, Emil Falk, Greta Holm, Ivar Jansson, Karin Lund, Maria Nilsson, Olof Palm</p>"
+    assert html.main_text(f"<main>{names}</main>").startswith("Anna") and html.main_text(f"<main>{story}{names}{story}</main>").count("Anna") == 1
+
+
 def test_lattice_against_all_segmentations():
     v = lm.pieces(PIECES)
     lp = v.first_scores()
