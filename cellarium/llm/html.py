@@ -43,14 +43,15 @@ _BLOCK = frozenset("address article aside blockquote body caption center dd deta
 _BAD_TAG = frozenset("nav footer aside form head button menu dialog fieldset search label input".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _NO_NEST = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
-_ATTRIBUTE = re.compile(r"\b(?:class|id|role|itemprop|aria-label|data-role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'=/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_NAMES = frozenset(("class", "id", "role", "itemprop", "data-role"))
 _BAD_NAME = re.compile(
     r"(?:^|[\s_-])(?:ads?|adv|advert\w*|adslot|adbox|adsense|sponsor\w*|promo\w*|banner\w*|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|nav\w*|menu\w*|breadcrumbs?|"
     r"site-?header|page-?header|top-?bar|masthead|header|footer|foot|side-?bar\w*|aside|rail|widgets?|share|sharing|social\w*|follow|related|recommend\w*|teaser|newsletter|subscri\w*|sign-?up|login|register|"
     r"search\w*|form|comments?|comment-?\w*|replies|reply|respond|disqus|discussion|reactions?|tags|pagination|pager|skip-?link\w*|toolbar|copyright|legal|disclaimer|complementary|contentinfo|navigation|hidden|print-?only)(?:$|[\s_-])",
     re.I,
 )
-_HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
 
 
 class _Block:
@@ -61,7 +62,18 @@ class _Block:
 
 
 def _named_bad(attributes: str) -> bool:
-    return bool(attributes) and (any(_BAD_NAME.search(m[0] or m[1] or m[2]) for m in _ATTRIBUTE.findall(attributes)) or bool(_HIDDEN.search(attributes)))
+    """Does a name in class, id or role mean boilerplate, or is the element hidden? Other values are free text."""
+    for m in _ATTRIBUTE.finditer(attributes):
+        name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if name in _NAMES:
+            if any(_BAD_NAME.search(t) and "overflow" not in t.lower() for t in value.split()):
+                return True
+        elif name == "style":
+            if _UNSEEN.search(entities.unescape(value)):
+                return True
+        elif name == "hidden" and value.lower() != "false" or name == "aria-hidden" and value.lower() == "true":
+            return True
+    return False
 
 
 def blocks(page: str) -> list[tuple[str, str, float, bool, int]]:

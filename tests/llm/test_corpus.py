@@ -195,6 +195,15 @@ def test_html_rules_hold_inside_articles():
     assert html.main_text(f"<main>{names}</main>").startswith("Anna") and html.main_text(f"<main>{story}{names}{story}</main>").count("Anna") == 1
 
 
+def test_html_hidden_is_an_attribute():
+    text = "The house on the hill was the one that he had in his mind."
+    for seen in ('style="overflow:hidden"', 'title="The hidden valley"', 'data-topic="hidden costs"', 'aria-label="Legal news"', 'class="overflow-hidden"', 'hidden="false"', "title='class=\"menu\"'"):
+        assert html.main_text(f"<body><div {seen}><article><p>{text}</p></article></div></body>") == text, seen
+        assert html.main_text(f"<body><article><div {seen}><p>{text}</p></div></article></body>") == text, seen
+    for gone in ("hidden", 'hidden=""', 'style="color:red; display : none"', "style='visibility:hidden'", 'aria-hidden="true"', 'class="x hidden"', 'id="comments"', "role=navigation", 'itemprop="comment"'):
+        assert html.main_text(f"<body><article><p>{text}</p><div {gone}><p>{text}</p></div></article></body>") == text, gone
+
+
 def test_lattice_against_all_segmentations():
     v = lm.pieces(PIECES)
     lp = v.first_scores()
