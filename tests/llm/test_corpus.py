@@ -120,6 +120,29 @@ def test_large_groups_of_near_copies(spark):
     assert got == {rows[k][0]: rows[top(k)][0] for k in range(len(rows))}
 
 
+def test_stage_drops_copies_from_four_fifths(spark):
+    """Pairs of similarity 0.80 to 0.85 go in the stage and stay in the query."""
+    rows, want = [], {}
+    for g in range(40):
+        base = [f"g{g}w{i}" for i in range(104)]
+        w = [*base[:70], "x", *base[71:]] + [f"y{g}z{i}" for i in range(g % 18)]
+        rows += [(2 * g, " ".join(base)), (2 * g + 1, " ".join(w))]
+        a, b = map(grams, (rows[-1][1], rows[-2][1]))
+        want[g] = 100 * len(a & b) / len(a | b)
+    assert sum(80 <= x < 85 for x in want.values()) > 10 and min(want.values()) < 80
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    left = {r.doc_id for r in dedup.stage(spark, docs, "").collect()}
+    assert left == {2 * g + k for g, x in want.items() for k in (0, 1) if not k or x < 80}
+    assert {r.doc_id for r in dedup.near_duplicates(docs).filter("kept").collect()} == {2 * g + k for g, x in want.items() for k in (0, 1) if not k or x < 85}
+
+
+def test_bands_follow_the_threshold():
+    assert dedup.layout(85) == (32, 6) and dedup.layout(80) == (38, 5)
+    for percent in (50, 60, 70, 80, 85, 90, 95):
+        n, size = dedup.layout(percent)
+        assert n * size <= dedup.HASHES and (1 - (percent / 100) ** size) ** n <= dedup.MISS
+
+
 def test_bayes_pruning_bounds():
     least = dedup.least_matches(0.85)
     assert least == sorted(least) and all(m < 0.85 * dedup.BATCH * k for k, m in enumerate(least) if k)
