@@ -1,14 +1,15 @@
 """Benchmark decontamination by size-partitioned MinHash containment search.
 
-Test items are partitioned by their number of five-word shingles: (0, 16], (16, 32], (32, 64], ... For a
+Test items are partitioned by their number of five-word shingles: (8, 16], (16, 32], (32, 64], ... For a
 partition of items up to u shingles, documents of any length are seen as windows of two neighbouring runs
 of u shingles, so a window is never much larger than the items sought in it and the containment threshold
 becomes a Jaccard threshold that does not fall with the document's length: an item of more than u / 2
 shingles of which 80 % stand in a window has a Jaccard similarity of at least 0.19 with it. With HASHES
 minima a window and such an item share none with a chance under (1 - 0.19) ** 96 = 2e-9. Minima of larger
 windows are minima of smaller ones' minima, so one pass serves all partitions. A shared minimum makes a
-candidate; candidates are verified by exact containment in the whole document's shingle set. Items of
-fewer than five words are one shingle of their own length and are looked up exactly.
+candidate; candidates are verified by exact containment in the whole document's shingle set. Items of up to
+EXACT shingles are too small for their windows: an index of all their shingles makes their candidates, without
+a miss. Items of fewer than five words are one shingle of their own length and are looked up exactly.
 
 Items are broadcast in blocks of at most BLOCK items and BLOCK_BYTES bytes; more items mean more passes
 over the documents. An item longer than that is a block of its own.
@@ -33,6 +34,7 @@ from .shingles import SIZE, grams, mixed, shingles
 THRESHOLD = 0.8
 HASHES = 96
 SMALLEST = 16
+EXACT = SMALLEST // 2
 BLOCK, BLOCK_BYTES = 20_000, 32_000_000
 #: Shingles that are hashed at once.
 STRIP = 1 << 16
@@ -63,6 +65,7 @@ class Items:
     def __init__(self, items: list[tuple[int | None, str | None]]):
         self.ids, self.sets, self.short = [], [], {}
         self.classes: dict[int, list[int]] = {}
+        small = []
         for (item, _), ws, g in zip(items, *shingles([t for _, t in items]), strict=True):
             if not len(ws):
                 continue
@@ -73,29 +76,43 @@ class Items:
             if len(ws) < SIZE:
                 self.short.setdefault(len(ws), []).append(k)
                 continue
+            if len(g) <= EXACT:
+                small.append(k)
+                continue
             c = 0
             while SMALLEST << c < len(g):
                 c += 1
             self.classes.setdefault(c, []).append(k)
+        self.exact = self._sorted(np.concatenate([self.sets[k] for k in small]), np.repeat(small, [len(self.sets[k]) for k in small])) if small else None
         self.index = {}
         mark = np.arange(HASHES, dtype=np.uint64) << np.uint64(32)
         for c, ks in self.classes.items():
-            keys = np.concatenate([_block_minima(self.sets[k], len(self.sets[k]))[:, 0].astype(np.uint64) | mark for k in ks])
-            owner = np.repeat(np.array(ks), HASHES)
-            order = np.argsort(keys, kind="stable")
-            bloom = np.zeros(1 << _BITS, dtype=bool)
-            bloom[self.slot(keys)] = True
-            self.index[c] = (keys[order], owner[order], bloom)
+            keys = np.concatenate([_block_minima(g, min(len(g), STRIP)).min(axis=1).astype(np.uint64) | mark for g in (self.sets[k] for k in ks)])
+            self.index[c] = self._sorted(keys, np.repeat(np.array(ks), HASHES))
+
+    @classmethod
+    def _sorted(cls, keys: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        order = np.argsort(keys, kind="stable")
+        bloom = np.zeros(1 << _BITS, dtype=bool)
+        bloom[cls.slot(keys)] = True
+        return keys[order], owner[order], bloom
 
     @staticmethod
     def slot(keys: np.ndarray) -> np.ndarray:
         return ((keys ^ (keys >> np.uint64(32)) * np.uint64(0x9E3779B1)) & np.uint64((1 << _BITS) - 1)).astype(np.int64)
 
     def candidates(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(first shingle of a window, its end, item) of the windows of h that share a minimum with an item."""
+        """(first shingle of a window, its end, item) of the windows of h that share a minimum with an item, and of the shingles of small items."""
         spans, owners = [], []
+        if self.exact and len(h):
+            keys, owner, bloom = self.exact
+            at = np.flatnonzero(bloom[self.slot(h)])
+            lo, hi = np.searchsorted(keys, h[at], "left"), np.searchsorted(keys, h[at], "right")
+            for a, b, w in zip(lo[hi > lo].tolist(), hi[hi > lo].tolist(), at[hi > lo].tolist(), strict=True):
+                spans += [(w, w + 1)] * (b - a)
+                owners += owner[a:b].tolist()
         if not self.index or not len(h):
-            return np.zeros((0, 2), np.int64), np.zeros(0, np.int64)
+            return np.array(spans, np.int64).reshape(-1, 2), np.array(owners, np.int64)
         m, run = _block_minima(h, SMALLEST), SMALLEST
         mark = np.arange(HASHES, dtype=np.uint64)[:, None] << np.uint64(32)
         for c in range(max(self.index) + 1):

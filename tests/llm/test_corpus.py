@@ -285,6 +285,24 @@ def test_leaks(spark, docs, none):
     assert decontam.leaks(none, bench).count() == 0 and decontam.leaks(docs, bench.filter("false")).count() == 0
 
 
+def test_small_items_are_found_without_a_miss():
+    """Items of 5 to 12 words inside one long document, and the nearly whole ones among them."""
+    rng = np.random.default_rng(11)
+    ws = [f"v{x}" for x in rng.integers(0, 10**6, 30000)]
+    items = [(k, " ".join(ws[13 * k : 13 * k + 5 + k % 8])) for k in range(2300)]
+    got = decontam.Items(items).found(["other words", " ".join(ws)], 0.8)
+    assert [(d, k) for d, k, _ in got] == [(1, k) for k in range(2300)]
+    near = [(0, " ".join([*ws[:11], "x"])), (1, " ".join([*ws[:10], "x", "y"])), (2, " ".join([*ws[:5], "x"]))]  # 7 of 8, 6 of 8, 1 of 2
+    assert decontam.Items(near).found([" ".join(ws)], 0.8) == [(0, 0, 7)]
+
+
+def test_minima_of_long_items_are_of_the_whole_item():
+    q = decontam.Items([(1, " ".join(f"w{k}" for k in range(decontam.STRIP + 9000)))])
+    low = (q.sets[0] >> np.uint64(32)).astype(np.uint32)
+    want = {(j << 32) | int((odd * low).min()) for j, odd in enumerate(decontam._odd)}
+    assert set(q.index[max(q.index)][0].tolist()) == want
+
+
 def test_licenses(docs, none):
     got = {r.doc_id: r for r in license.scan(docs).collect()}
     assert (got[10].n_base, got[10].first_word, got[10].base_labels, got[10].labels, got[10].score) == (1, 2, "reserved", "mit,reserved", 1.0)
