@@ -1,12 +1,17 @@
 """License scan: base phrases, and an exact set-similarity join of text blocks with notice templates.
 
-A block is a line of a text, a template a notice's set of words. The join finds every (block, template)
+A block is a line of a text or a window of its words over any line breaks, a template a notice's set of words. The join finds every (block, template)
 with |T & B| >= THRESHOLD * |T|. Only words of templates can count, so blocks are reduced to these; the
 words are ordered by their frequency over all blocks, rarest first. With alpha = ceil(THRESHOLD * |T|):
 a pair can only qualify if the first |T| - alpha + 1 words of the template and the first |B| - alpha + 1
 of the block share a word (prefix filter), if |B| >= alpha (length filter), and if the positions of the
 shared word leave room for alpha common words (positional filter). What remains is verified on the sets.
 
+Notices wrapped over lines are found in windows of span() words: the template's length and a tenth more. A window
+that qualifies holds one of any |T| - alpha + 1 words of the template, so only the windows around each template's
+longest words are looked at (prefix filter), if as many words as needed stand near (length filter); then every
+window that holds the word is counted exactly.
+
 Edge cases: a null text is empty; repeated rows are scanned each on their own; null ids stay; texts
 without words give zero counts; an empty table gives an empty result.
 """
@@ -50,6 +55,33 @@ def templates(items: list[tuple[str, str]] = TEMPLATES, threshold: float = THRES
     return [(i, label, words, ceil(threshold * len(words) - 1e-9)) for i, (label, words) in enumerate(sets)]
 
 
+def span(text: str) -> int:
+    """Words of a window for a template."""
+    return ceil(len(text.split()) / THRESHOLD)
+
+
+def _sought() -> list[tuple[str, str, list[str], int, int]]:
+    """(word, label, words, words needed, words of a window) of the words around which windows are looked at."""
+    return [(w, label, words, alpha, span(TEMPLATES[i][1])) for i, label, words, alpha in templates() for w in sorted(words, key=lambda w: (-len(w), w))[: len(words) - alpha + 1]]
+
+
+def _near(w: Column, words: list[str], reach: int) -> Column:
+    """(word, left, right) around every place of the words: up to reach words before it, and it with as many after it."""
+    at = F.filter(F.transform(w, lambda x, i: F.when(x.isin(words), i)), lambda i: i.isNotNull())
+    return F.transform(at, lambda i: F.struct(F.get(w, i).alias("word"), F.slice(w, F.greatest(i - reach, F.lit(0)) + 1, F.least(i, F.lit(reach))).alias("left"), F.slice(w, i + 1, reach + 1).alias("right")))
+
+
+def _windows(rows: DataFrame) -> DataFrame:
+    """(rid, label, containment): the best window of every place and template that meets the threshold."""
+    small = F.broadcast(rows.sparkSession.createDataFrame(_sought(), "word string, label string, words array<string>, alpha int, span int"))  # a fixed table
+    places = rows.select("rid", F.explode("near").alias("x")).select("rid", "x.*").join(small, "word")
+    before = F.least(F.size("left"), F.col("span") - 1)
+    part = F.concat(F.slice("left", F.size("left") - before + 1, before), F.slice("right", 1, F.col("span")))
+    places = places.select("rid", "label", "words", "alpha", "span", before.alias("before"), part.alias("part")).filter(F.size(F.array_intersect("part", "words")) >= F.col("alpha"))
+    best = F.array_max(F.transform(F.sequence(F.lit(0), "before"), lambda k: F.size(F.array_intersect(F.slice("part", k + 1, F.col("span")), "words"))))
+    return places.withColumn("best", best).filter("best >= alpha").select("rid", "label", (F.col("best") / F.size("words")).alias("containment"))
+
+
 def _starts(w: Column) -> Column:
     """(place, label) of every base phrase in the words w."""
     hit = None
@@ -76,15 +108,19 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     low = F.lower(text_of(text))
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(doc_id).alias("doc_id"), low.alias("t"))
     rows = rows.withColumn("w", F.filter(F.split("t", GAP, -1), lambda x: x != ""))
+    sought = sorted({x[0] for x in _sought()})
+    reach = max(x[-1] for x in _sought()) - 1
     lines = F.transform(F.split("t", "\n", -1), lambda l: F.array_distinct(F.filter(F.split(l, GAP, -1), lambda x: x.isin(vocabulary))))
     rows = stored(rows.select(
         "rid", "doc_id", F.size("w").cast("long").alias("n_words"),
         F.when(F.col("t").rlike(maybe), _starts(F.col("w"))).otherwise(F.array().cast("array<struct<i:bigint,label:string>>")).alias("hits"),
         F.filter(lines, lambda b: F.size(b) > 0).alias("blocks"),
+        F.when(F.col("t").rlike("|".join(sought)) & F.contains("t", F.lit("\n")), _near(F.col("w"), sought, reach)).alias("near"),
     ))
     blocks = rows.select("rid", F.posexplode("blocks").alias("block", "b"))
-    labels = _join(blocks, known, vocabulary, least).groupBy("rid").agg(F.collect_set("label").alias("found"), F.max("containment").alias("score"))
-    found = rows.drop("blocks").join(labels, "rid", "left")
+    met = _join(blocks, known, vocabulary, least).select("rid", "label", "containment").unionByName(_windows(rows.filter("size(near) > 0")))
+    labels = met.groupBy("rid").agg(F.collect_set("label").alias("found"), F.max("containment").alias("score"))
+    found = rows.drop("blocks", "near").join(labels, "rid", "left")
     base = F.array_sort(F.array_distinct("hits.label"))
     return found.select(
         "doc_id", "n_words", F.size("hits").cast("long").alias("n_base"), F.array_min("hits.i").alias("first_word"), F.array_max("hits.i").alias("last_word"),

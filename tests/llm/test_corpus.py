@@ -310,6 +310,17 @@ def test_licenses(docs, none):
     assert license.scan(docs).count() == len(ROWS) and license.scan(none).count() == 0
 
 
+def test_wrapped_notices(spark):
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files"
+    bsd = " * Redistribution and use in source and binary\r\n * forms, with or without\n *\n * modification, are permitted provided that\n * the following conditions are met:"
+    filler = " ".join(f"word{k}" for k in range(300))
+    far = mit.replace("\n", f"\n{filler}\n")
+    rows = [(1, mit), (2, f"{filler}\n{bsd}\n{filler}"), (3, far), (4, mit.replace("granted, free", "given, free")), (5, "all\nrights\nreserved"), (6, "all rights\n" + filler + "\nreserved"), (7, mit.replace("\n", " ")), (8, f"{mit}\n{filler}\n{bsd}")]
+    got = {r.doc_id: r for r in license.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert {k: r.labels for k, r in got.items()} == {1: "mit", 2: "bsd", 3: "", 4: "mit", 5: "reserved", 6: "", 7: "mit", 8: "bsd,mit"}
+    assert [got[k].score for k in (1, 2, 3, 5, 7)] == [1.0, 1.0, 0.0, 1.0, 1.0] and 0.9 <= got[4].score < 1
+
+
 def test_set_join_is_exact(spark):
     rng = np.random.default_rng(5)
     vocab = sorted({w for _, _, ws, _ in license.templates() for w in ws})
