@@ -92,8 +92,10 @@ def test_near_duplicates(docs, none):
     assert dedup.stage(docs.sparkSession, docs, "").columns == docs.columns
 
 
-def test_large_groups_of_near_copies(spark):
-    """Chains and groups above SMALL, so that buckets are split and finished."""
+@pytest.mark.parametrize("small", [dedup.SMALL, 3])
+def test_large_groups_of_near_copies(spark, monkeypatch, small):
+    """Chains and groups of many components; with a small SMALL, elimination goes through several rounds."""
+    monkeypatch.setattr(dedup, "SMALL", small)
     rng = np.random.default_rng(3)
     rows, sets = [], []
     for g in range(3):
@@ -120,6 +122,17 @@ def test_large_groups_of_near_copies(spark):
     assert got == {rows[k][0]: rows[top(k)][0] for k in range(len(rows))}
 
 
+def test_one_id_with_several_texts_and_repeated_rows(spark):
+    other = " ".join(f"b{i}" for i in range(120))
+    rows = [(5, BASE, "x"), (5, other, "x"), (9, other + " end", "x"), (2**60 + 1, BASE, None), (None, other, "y"), (7, "of its own", "z"), (7, "of its own", "z"), (None, None, "z"), (None, "", "z")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, rid string").repartition(3)
+    got = sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in dedup.near_duplicates(docs).collect())
+    assert got == [(0, 0, True)] * 3 + [(5, 5, True), (5, 5, True), (7, 7, True), (7, 7, True), (9, 5, False), (2**60 + 1, 5, False)]
+    left = dedup.stage(spark, docs, "")
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id or 0, (r.text or "")[:4]) for r in left.collect()) == [(0, ""), (0, ""), (5, "b0 b"), (5, "tok0"), (7, "of i")]
+
+
 def test_stage_drops_copies_from_four_fifths(spark):
     """Pairs of similarity 0.80 to 0.85 go in the stage and stay in the query."""
     rows, want = [], {}
