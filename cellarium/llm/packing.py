@@ -2,21 +2,28 @@
 
 1. Documents are tokenised once; those over the capacity are cut. Only the histogram of piece lengths (at
    most ``capacity`` numbers, whatever the corpus) reaches the driver.
-2. The covering program "fewest sequences whose configurations supply every length class" is solved by
-   multiplicative weights: each round a knapsack dynamic program prices the configuration worth most under
-   the classes' weights, takes a step of it and lowers the weights of the classes it supplies.
-3. Configurations are rounded to whole counts and filled with the exact lengths of their classes, room left
-   is filled best-fit from the lengths not yet placed, and what remains opens sequences of its own, longest
-   first. All this counts runs of equal sequences, so its size depends on the histogram alone.
-4. Every piece gets its rank among those of its length (salted, so a common length is many tasks) and looks
-   up its sequence and offset.
-
-Edge cases: a null or empty text is its end token alone; repeated rows and null ids are pieces of their
-own; an empty table gives an empty result.
+2. The covering program "fewest sequences whose configurations supply every length" is solved by
+   multiplicative weights: each round a knapsack dynamic program over the exact lengths prices the
+   configurations that are worth most under the lengths' weights, one for each of the heaviest lengths, takes a step of
+   them and lowers the weights of what they supply. Where there are more than CLASSES lengths, neighbours
+   share a class, the classes holding equal shares of the tokens; a class is priced at its longest.
+3. Configurations are rounded to whole counts (down, to the nearest and up, as far as there are pieces) and
+   filled with the longest lengths of their classes; what remains goes best-fit, longest first, into the room
+   left and into new sequences. Rounds end at the lower bound, or when they bring nothing more. Best-fit
+   alone is the safeguard: should it need fewer sequences, its plan is taken. All this counts runs of equal
+   sequences, so its size depends on the histogram alone.
+4. Every piece gets its rank among those of its length (salted by row, so a common length is many tasks) and
+   looks up its sequence and offset.
+
+Edge cases: a null or empty text is its end token alone; repeated rows and null ids are pieces of their own;
+other columns are ignored, whatever their names; texts and words of any length are tokenised whole; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
 
+import bisect
+import collections
 import json
 import re
 import unicodedata
@@ -24,19 +31,19 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import in_small_batches, stored, table
+from .common import stored, table
 
 CAPACITY = 4096
 END = 1
-#: Lengths of a class differ by less than this; lengths up to SMALL only fill room.
-GRAIN, SMALL = 16, 128
-ROUNDS, EPSILON = 4000, 0.15
+#: Classes of lengths in the program; lengths up to SMALL only fill room.
+CLASSES, SMALL = 256, 128
+#: Rounds at most, rounds between two roundings, configurations of a round, and the step.
+ROUNDS, BATCH, SEEDS, EPSILON = 80, 20, 48, 0.25
 SALTS = 256
 _REMEMBERED = 400_000
 _loaded: dict = {}
@@ -206,117 +213,135 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, doc_id: str = "
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
 
 
-def _price(value: np.ndarray, sizes: np.ndarray, room: int) -> list[int]:
-    """Classes of the configuration worth most: unbounded knapsack over class sizes."""
+def knapsack(value: np.ndarray, sizes: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray]:
+    """For every room the greatest worth of sizes that fit, and the last of them (-1: as with one less). sizes ascend."""
     best, pick = np.zeros(room + 1), np.full(room + 1, -1)
-    order = np.argsort(sizes)
-    s, v, o = sizes[order], value[order], order
-    upto = np.searchsorted(s, np.arange(room + 1), "right")
-    for c in range(1, room + 1):
-        k = upto[c]
+    upto = np.searchsorted(sizes, np.arange(room + 1), "right")
+    for c in range(int(sizes[0]), room + 1):
+        got = best[c - sizes[: upto[c]]] + value[: upto[c]]
+        j = int(got.argmax())
         best[c] = best[c - 1]
-        if k:
-            got = best[c - s[:k]] + v[:k]
-            j = int(got.argmax())
-            if got[j] > best[c]:
-                best[c], pick[c] = got[j], o[j]
-    out, c = [], room
-    while c > 0:
-        if pick[c] < 0:
-            c -= 1
-        else:
-            out.append(int(pick[c]))
-            c -= int(sizes[pick[c]])
-    return out
-
-
-def configurations(demand: np.ndarray, sizes: np.ndarray, room: int, rounds: int = ROUNDS, eps: float = EPSILON) -> dict[tuple[int, ...], float]:
-    """Configuration -> how many sequences of it, by multiplicative weights on the covering program."""
+        if got[j] > best[c]:
+            best[c], pick[c] = got[j], j
+    return best, pick
+
+
+def price(sizes: np.ndarray, demand: np.ndarray, room: int, took: dict[tuple[int, ...], float], weight: np.ndarray) -> None:
+    """BATCH rounds of multiplicative weights; took (configuration of classes -> share) and weight are brought forward."""
     n = len(sizes)
-    weight, covered, took = np.ones(n), np.zeros(n), {}
-    goal = np.log(max(n, 2)) / eps
-    for _ in range(rounds):
-        p = _price(weight / demand, sizes, room)
-        use = np.bincount(p, minlength=n)
-        step = eps * float((demand[use > 0] / use[use > 0]).min()) * 4
-        key = tuple(sorted(p, reverse=True))
-        took[key] = took.get(key, 0.0) + step
-        gain = step * use / demand
-        covered += gain
-        weight *= np.exp(-eps * gain)
-        weight[covered > goal] = 0
-        if covered.min() >= goal:
-            break
+    for _ in range(BATCH):
+        value = weight / demand
+        best, pick = knapsack(value, sizes, room)
+        worth = value + best[room - sizes]  # of the best configuration that has the class
+        seeds = np.flatnonzero(worth >= (1 - EPSILON / 4) * best[room])
+        seeds = seeds[np.argsort(-weight[seeds], kind="stable")][:SEEDS]
+        gain, steps = np.zeros(n), {}
+        for s in seeds.tolist():
+            held, c = [s], room - int(sizes[s])
+            while c > 0:
+                if pick[c] < 0:
+                    c -= 1
+                else:
+                    held.append(int(pick[c]))
+                    c -= int(sizes[pick[c]])
+            key = tuple(sorted(held, reverse=True))
+            if key not in steps:
+                use = np.bincount(held, minlength=n)
+                steps[key] = float((demand[use > 0] / use[use > 0]).min())
+                gain += steps[key] * use / demand
+        scale = EPSILON / gain.max()
+        for key, step in steps.items():
+            took[key] = took.get(key, 0.0) + scale * step
+        weight *= np.exp(-2 * scale * gain)
         weight /= weight.max()
-    return {k: x / goal for k, x in took.items()}
 
 
-class _Stock:
-    """Counts of lengths not yet placed, with the largest present length up to a bound."""
+Runs = list[tuple[int, list[int]]]
 
-    def __init__(self, counts: dict[int, int], capacity: int):
-        self.n = np.zeros(capacity + 1, dtype=np.int64)
-        for k, v in counts.items():
-            self.n[k] = v
 
-    def fitting(self, room: int) -> int:
-        got = np.flatnonzero(self.n[: room + 1])
-        return int(got[-1]) if len(got) else 0
+def rounded(took: dict[tuple[int, ...], float], lengths: list[list[int]], whole: np.ndarray, up: float) -> tuple[Runs, np.ndarray]:
+    """Whole counts of the configurations, fullest first, as far as there are pieces; and the pieces left."""
+    stock, runs = whole.copy(), []
+    size = {config: sum(lengths[c][0] for c in config) for config in took}
+    scale = sum(k * int(whole[k]) for ks in lengths for k in ks) / sum(x * size[config] for config, x in took.items())
+    for config, x in sorted(took.items(), key=lambda kx: (-size[kx[0]], -kx[1], kx[0])):
+        left = int(x * scale + up)
+        while left > 0:
+            need: collections.Counter[int] = collections.Counter()
+            for c in config:  # the longest length of the class still there, for each place
+                need[next((k for k in lengths[c] if stock[k] > need[k]), 0)] += 1
+            if need[0]:
+                break
+            need += collections.Counter()
+            times = min(left, *(int(stock[k]) // m for k, m in need.items()))
+            for k, m in need.items():
+                stock[k] -= times * m
+            runs.append((times, sorted(need.elements(), reverse=True)))
+            left -= times
+    return runs, stock
+
+
+def best_fit(runs: Runs, stock: np.ndarray, capacity: int) -> Runs:
+    """Runs with the stock: longest first, each length into the sequences with the least room for it, or into new ones."""
+    by_room: dict[int, Runs] = collections.defaultdict(list)
+    for n, held in runs:
+        by_room[capacity - sum(held)].append((n, held))
+    rooms = sorted(by_room)
+    for k in np.flatnonzero(stock)[::-1].tolist():
+        left = int(stock[k])
+        while left:
+            at = bisect.bisect_left(rooms, k)
+            n, held, room = left, [], capacity
+            if at < len(rooms):
+                room = rooms[at]
+                n, held = by_room[room].pop()
+                if not by_room[room]:
+                    del by_room[room], rooms[at]
+            m = min(room // k, left)
+            times = min(n, left // m)
+            left -= times * m
+            for c, h in ((times, [*held, *[k] * m]), (n - times if held else 0, held)):
+                if c:
+                    r = capacity - sum(h)
+                    if r not in by_room:
+                        bisect.insort(rooms, r)
+                    by_room[r].append((c, h))
+    return [x for v in by_room.values() for x in v]
+
+
+def sequences(runs: Runs) -> int:
+    return sum(n for n, _ in runs)
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, list[tuple[int, int]]]]:
     """Runs (sequences, [(length, copies)]) that place every length as often as the histogram has it."""
-    stock = _Stock(histogram, capacity)
-    runs: list[tuple[int, list[int]]] = []
-    # Fractional configurations over classes, then whole counts of them.
-    by_class: dict[int, list[int]] = {}
-    for k in sorted(histogram, reverse=True):
-        if k > min(SMALL, capacity // 8):
-            by_class.setdefault(-(-k // GRAIN), []).append(k)
-    if by_class:
-        keys = sorted(by_class)
-        sizes, demand = np.array(keys), np.array([sum(histogram[k] for k in by_class[c]) for c in keys], dtype=float)
-        chosen = configurations(demand, sizes, capacity // GRAIN)
-        for config, x in sorted(chosen.items(), key=lambda kx: (-sum(sizes[list(kx[0])]), kx[0])):
-            left = int(x)
-            while left > 0:
-                need: dict[int, int] = {}
-                for c in config:  # the longest lengths still there, one for each place
-                    k = next((k for k in by_class[keys[c]] if stock.n[k] > need.get(k, 0)), 0)
-                    if k:
-                        need[k] = need.get(k, 0) + 1
-                if not need:
-                    break
-                times = min([left, *(int(stock.n[k]) // m for k, m in need.items())])
-                for k, m in need.items():
-                    stock.n[k] -= times * m
-                runs.append((times, [k for k, m in need.items() for _ in range(m)]))
-                left -= times
-    # Fill the room left, best fit; then open sequences for what remains, longest first.
-    done: list[tuple[int, list[int]]] = []
-    todo = runs[::-1]
-    while True:
-        if not todo:
-            k = stock.fitting(capacity)
-            if not k:
+    whole = np.zeros(capacity + 1, np.int64)
+    for k, v in histogram.items():
+        whole[k] = v
+    least = max(-(-sum(k * v for k, v in histogram.items()) // capacity), int(whole[capacity // 2 + 1 :].sum()))
+    chosen: Runs | None = None
+    large = [k for k in sorted(histogram) if k > min(SMALL, capacity // 8)]
+    if large:
+        share = np.cumsum([float(k * histogram[k]) for k in large])
+        of = np.arange(len(large)) if len(large) <= CLASSES else np.minimum(CLASSES - 1, (share / share[-1] * CLASSES).astype(int))
+        lengths = [[k for k, c in zip(large, of, strict=True) if c == x][::-1] for x in np.unique(of)]
+        sizes, demand = np.array([ks[0] for ks in lengths]), np.array([float(sum(histogram[k] for k in ks)) for ks in lengths])
+        took: dict[tuple[int, ...], float] = {}
+        weight = np.ones(len(sizes))
+        for _ in range(ROUNDS // BATCH):
+            price(sizes, demand, capacity, took, weight)
+            plans = [best_fit(*rounded(took, lengths, whole, up), capacity) for up in (0.0, 0.5, 0.999)]
+            now = min(plans, key=sequences)
+            if chosen is not None and sequences(now) >= sequences(chosen):
+                break
+            chosen = now
+            if sequences(chosen) == least:
                 break
-            m = capacity // k
-            times = max(1, int(stock.n[k]) // m)
-            m = min(m, int(stock.n[k]))
-            stock.n[k] -= times * m
-            todo.append((times, [k] * m))
-        times, held = todo.pop()
-        k = stock.fitting(capacity - sum(held))
-        if not k:
-            done.append((times, held))
-            continue
-        some = min(times, int(stock.n[k]))
-        stock.n[k] -= some
-        if some < times:
-            todo.append((times - some, held))
-        todo.append((some, [*held, k]))
+    plain = best_fit([], whole, capacity)
+    if chosen is None or sequences(plain) < sequences(chosen):
+        chosen = plain
     merged: dict[tuple[int, ...], int] = {}
-    for times, held in done:
+    for times, held in chosen:
         key = tuple(sorted(held, reverse=True))
         merged[key] = merged.get(key, 0) + times
     return [(n, [(k, key.count(k)) for k in sorted(set(key), reverse=True)]) for key, n in merged.items()]
@@ -324,7 +349,7 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
 
 def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, **columns) -> DataFrame:
     """One row per piece with its sequence and its offset there."""
-    rows = stored(pieces(in_small_batches(docs), path, capacity, **columns)).withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS)))
+    rows = stored(pieces(docs, path, capacity, **columns).withColumn("rid", F.monotonically_increasing_id())).withColumn("salt", F.pmod(F.xxhash64("rid"), F.lit(SALTS)))
     cells = stored(rows.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n")))
     histogram = {r["length"]: r["n"] for r in cells.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # capacity rows at most
     slots: dict[int, list[tuple[int, int, int, int]]] = {}  # length -> (first rank, first sequence, copies, offset)
@@ -339,23 +364,23 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, **columns) -> Dat
         base += n
     shared = docs.sparkSession.sparkContext.broadcast({k: np.array(v, dtype=np.int64) for k, v in slots.items()})  # bounded by the histogram
     cells = cells.withColumn("before", F.sum("n").over(Window.partitionBy("length").orderBy("salt")) - F.col("n")).drop("n")
-    k = F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece")) - 1
+    k = F.row_number().over(Window.partitionBy("length", "salt").orderBy("rid")) - 1
     ranked = rows.join(cells, ["length", "salt"]).withColumn("rank", F.col("before") + k)
 
-    def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            seq, off = np.zeros(len(f), np.int64), np.zeros(len(f), np.int64)
-            length, rank = f["length"].to_numpy(), f["rank"].to_numpy()
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seq, off = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
+            length, rank = (batch.column(c).to_numpy() for c in ("length", "rank"))  # never null
             for n in np.unique(length):
                 here = np.flatnonzero(length == n)
                 t = shared.value[int(n)]
                 at = np.searchsorted(t[:, 0], rank[here], "right") - 1
                 k = rank[here] - t[at, 0]
                 seq[here], off[here] = t[at, 1] + k // t[at, 2], t[at, 3] + k % t[at, 2] * n
-            yield f.drop(columns=["rank"]).assign(sequence_id=seq, offset=off)
+            yield pa.record_batch([*batch.columns[:-1], pa.array(seq), pa.array(off)], names=[*batch.schema.names[:-1], "sequence_id", "offset"])
 
     cols = ["doc_id", "piece", "start", "length", "ids_crc32"]
-    return ranked.select(*cols, "rank").mapInPandas(place, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint")
+    return ranked.select(*cols, "rank").mapInArrow(place, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

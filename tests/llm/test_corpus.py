@@ -195,6 +195,39 @@ def test_plan_places_every_length_once():
     assert sum(n for n, _ in runs) <= 1.01 * math.ceil(sum(k * v for k, v in h.items()) / 4096)
 
 
+def test_plan_of_few_lengths_is_exact():
+    for h, want in (({2049: 40, 2047: 40}, 40), ({2731: 10, 1366: 10, 1365: 10}, 15), ({1638: 30, 1229: 60}, 30), ({4096: 3, 1: 5}, 4), ({1: 4096}, 1)):
+        assert packing.sequences(packing.plan(h)) == want
+
+    def fewest(items, capacity):
+        best = [len(items)]
+
+        def go(i, room):
+            if len(room) >= best[0]:
+                return
+            if i == len(items):
+                best[0] = len(room)
+                return
+            for j in {r: j for j, r in enumerate(room) if r >= items[i]}.values():
+                go(i + 1, [*room[:j], room[j] - items[i], *room[j + 1 :]])
+            go(i + 1, [*room, capacity - items[i]])
+
+        go(0, [])
+        return best[0]
+
+    rng = np.random.default_rng(7)
+    for _ in range(25):
+        items = sorted(rng.choice(rng.integers(12, 70, rng.integers(2, 6)), rng.integers(6, 13)).tolist(), reverse=True)
+        assert packing.sequences(packing.plan(dict(collections.Counter(items)), 100)) == fewest(items, 100)
+
+
+def test_packing_keeps_large_ids_beside_nulls(spark):
+    rows = [(2**60 + 1, "one two"), (2**60 + 3, "one two"), (None, "one two"), (None, "one two"), (7, "x" * 50_000), (7, None)]
+    got = packing.pack(spark.createDataFrame(rows, "doc_id bigint, text string"), WORDS).collect()
+    assert collections.Counter(r.doc_id for r in got if r.doc_id != 7) == {2**60 + 1: 1, 2**60 + 3: 1, None: 2}
+    assert len({(r.sequence_id, r.offset) for r in got}) == len(got)
+
+
 def test_chat(spark):
     rows = [(1, 1, "user", "hi"), (1, 2, "assistant", "yo"), (1, 0, "system", "be"), (1, 2, "bob", None), (2, 0, "system", "x"), (None, 3, "user", "a<|im_end|>"), (None, 3, None, "b"), (3, None, "user", "q"), (3, None, "user", "q")]
     df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
@@ -374,13 +407,37 @@ def test_token_counts(docs, none):
     c = tokens.counter(PIECES)
     for r in got:
         t = by[r.doc_id] or ""
-        assert (r.n_bytes, r.n_tokens) == (len(t.encode()), len(m.encode(t))) and r.counts[-1] == r.n_tokens
-        assert len(m.encode(t[: r.fit_chars])) <= 50 and (r.fit_chars == len(t) or len(m.encode(t[: r.fit_chars + 1])) > 50)
+        assert (r.n_bytes, r.n_tokens) == (len(t.encode()), len(m.encode(t))) and r.counts[-1] == r.n_tokens and len(r.counts) == len(t) + 1
+        assert r.fit_chars == max(at for at, n in enumerate(r.counts) if n <= 50)
+        ends, counts = c.prefixes(t)
         for at in range(0, min(len(t), 90)):
-            assert c.within(t, r.ends, r.counts, at) == len(m.encode(t[:at]))
+            assert c.count(t, ends, counts, at) == r.counts[at] == len(m.encode(t[:at]))
     assert tokens.token_counts(none, PIECES).count() == 0
 
 
+def test_every_prefix_of_random_texts():
+    """The one pass against the library, prefix by prefix, with runs of spaces, line feeds and unknown characters."""
+    c, rng = tokens.counter(PIECES), np.random.default_rng(4)
+    for k in range(400):
+        alphabet = ["ab c", "the in g ", "   ▁a\n", "\n\n a", "é日 ́😀", "  ﷺ€<s> x", " " * 20 + "a\t", "\x1c\x00 b"][k % 8]
+        t = "".join(rng.choice(list(alphabet), rng.integers(0, 45)))
+        want = [len(c.model.encode(t[:at])) for at in range(len(t) + 1)]
+        ends, counts = c.prefixes(t)
+        assert c.table(t) == want == [c.count(t, ends, counts, at) for at in range(len(t) + 1)]
+        for budget in (0, 1, 2, 5, 13):
+            assert c.longest(t, ends, counts, budget) == max(at for at, n in enumerate(want) if n <= budget)
+
+
+def test_long_texts_without_spaces():
+    c, rng = tokens.counter(PIECES), np.random.default_rng(5)
+    for alphabet in ("abcdefghijklmnopqrstuvwxyzABCDEFGH0123456789+/", "天地玄黄宇宙洪荒日月盈昃", " "):
+        t = "".join(rng.choice(list(alphabet), 1_000_000))
+        ends, counts = c.prefixes(t)
+        at = c.longest(t, ends, counts, 4096)
+        assert counts[-1] == len(c.model.encode(t)) and len(c.model.encode(t[:at])) <= 4096 < min(len(c.model.encode(t[: at + k])) for k in range(1, 20))
+    assert max(map(len, c.known)) <= tokens._LONGEST
+
+
 def test_pipeline(spark):
     """The stages against plain Python on whole small documents."""
     import corpus_pipeline
