@@ -10,14 +10,22 @@ near-good ones are good. Inside an <article> or <main> the
 same signals and the same passes decide; the container is a prior only: its edges count as good neighbours, a
 tie goes to good, and what would be bad for few stop words is near-good, for a link in a short block short.
 
+Names in class, id and role are judged token by token; one that only tells of a state or a layout (``has-sidebar``,
+``nav-open``) names nothing. A form or another weakly marked part that holds most of the page's running text, with
+no <article> or <main> outside it, wraps the page and is no boilerplate. Scripts without spaces are judged by function characters
+instead of words, each character counting for more length; on a page that shows hardly any known stop word the language
+is unknown, and length and links decide alone. Time is linear in the page, whatever its markup.
+
 Edge cases: a null or empty page has no text; unclosed and stray tags are tolerated (a block-level tag ends
-what was open inside it); repeated rows are extracted each on their own; null ids and urls stay; an empty
-table gives an empty result.
+what was open inside it); repeated rows are extracted each on their own; null ids and urls stay; other columns
+are ignored, whatever their names; pages of any length are read whole; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import collections
 import html as entities
+import operator
 import re
 from collections.abc import Iterator
 
@@ -34,11 +42,21 @@ STOP_WORDS = frozenset(
     "au aux avec ce ces cette dans de des du elle en est et il ils je la le les leur mais ne nous on ou par pas plus pour qu que qui sa se ses son sont sur un une vous "
     "al como con de del el ella en era es esta este fue ha la las lo los más mi no para pero por que se ser si sin sobre su sus un una y ya".split()
 )
+#: Common function characters of Japanese and Chinese.
+STOP_CHARACTERS = frozenset("のはをにがとでたしもてい的一是了在不和有这為为之")
 LENGTH_LOW, LENGTH_HIGH, STOP_LOW, STOP_HIGH, MAX_LINKS = 70, 140, 0.20, 0.30, 0.4
+#: Scripts without spaces: one function character stands for so many stop words, one character for so much more length.
+CHARACTER_STOPS, CHARACTER_LENGTH = 4, 1.5
+#: Below this share of stop words on the whole page its language is unknown.
+KNOWN_LANGUAGE = 0.05
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|[^<]+|<", re.S)
-_RAW = ("script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "object", "select", "title", "canvas", "audio", "video")
-_RAW_END = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in _RAW}
+_TEXT = r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|"
+_REST = r"|<[!?][^>]*>|[^<]+|<"
+_TOKEN = re.compile(_TEXT + r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>" + _REST, re.S)
+#: The same without regard to quotes, for the rest of a page with a quote that never ends.
+_LOOSE = re.compile(_TEXT + r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>" + _REST, re.S)
+_RAW = ("script", "style", "noscript", "template", "textarea", "iframe", "svg", "object", "select", "title", "canvas", "audio", "video")
+_RAW_END = {t: re.compile(rf"</{t}\b[^>]*(?:>|\Z)", re.I) for t in _RAW}
 _BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split())
 _BAD_TAG = frozenset("nav footer aside form head button menu dialog fieldset search label input".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -52,45 +70,69 @@ _BAD_NAME = re.compile(
     re.I,
 )
 _UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
+#: Parts of a name that make it tell of a state or a layout instead of naming the element.
+_MODIFIERS = frozenset("has with without no not is are show hide open opened closed active enabled disabled visible collapsed expanded layout fixed sticky".split())
+#: What stays boilerplate however much text it holds.
+_FIRM_TAG = frozenset("nav footer aside head button menu dialog search label input".split())
+_FIRM_NAME = re.compile(r"(?:^|[\s_-])(?:comments?|replies|reply|respond|disqus|discussion|nav\w*|menu\w*|footer|side-?bar\w*|cookies?|consent|gdpr|hidden)(?:$|[\s_-])", re.I)
+_WIDE = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff]")
 
 
 class _Block:
-    __slots__ = ("bad", "inside", "linked", "parts", "tag")
+    __slots__ = ("inside", "linked", "parts", "root", "tag")
 
-    def __init__(self, tag: str, bad: bool, inside: int):
-        self.tag, self.bad, self.inside, self.parts, self.linked = tag, bad, inside, [], 0
+    def __init__(self, tag: str, root: int, inside: int):
+        self.tag, self.root, self.inside, self.parts, self.linked = tag, root, inside, [], 0
 
 
-def _named_bad(attributes: str) -> bool:
-    """Does a name in class, id or role mean boilerplate, or is the element hidden? Other values are free text."""
+def _named_bad(attributes: str) -> str:
+    """Does a name in class, id or role mean boilerplate ("firm" or "weak"), or is the element hidden? Other values are free text."""
+    out = ""
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name in _NAMES:
-            if any(_BAD_NAME.search(t) and "overflow" not in t.lower() for t in value.split()):
-                return True
+            for t in value.split():
+                parts = set(re.split("[-_]+", t.lower()))
+                if _BAD_NAME.search(t) and "overflow" not in parts and ("hidden" in parts or not parts & _MODIFIERS):
+                    out = "firm" if out == "firm" or _FIRM_NAME.search(t) else "weak"
         elif name == "style":
             if _UNSEEN.search(entities.unescape(value)):
-                return True
+                return "firm"
         elif name == "hidden" and value.lower() != "false" or name == "aria-hidden" and value.lower() == "true":
-            return True
-    return False
+            return "firm"
+    return out
 
 
 def blocks(page: str) -> list[tuple[str, str, float, bool, int]]:
     """(tag, text, link density, in boilerplate, number of the article it is in or 0) of every block with text."""
     out: list[_Block] = []
-    stack: list[tuple[str, bool, int]] = []  # tag, boilerplate, article
-    now = _Block("", False, 0)
+    stack: list[tuple[str, int, int]] = []  # tag, innermost boilerplate part (a number, 0 for none), article
+    opened: collections.Counter[str] = collections.Counter()  # how often each tag is on the stack
+    parts: list[tuple[int, bool]] = [(0, False)]  # of every boilerplate part: the one around it, and is it firm?
+    homes: list[int] = []  # the boilerplate parts that articles begin in
+    now = _Block("", 0, 0)
     links = articles = at = 0
+    last, token = page.rfind(">"), _TOKEN
 
     def cut() -> None:
         nonlocal now
         if now.parts:
             out.append(now)
-        tag, bad, inside = stack[-1] if stack else ("", False, 0)
-        now = _Block(tag, bad, inside)
+        now = _Block(*(stack[-1] if stack else ("", 0, 0)))
 
-    while m := _TOKEN.match(page, at):
+    def close(depth: int) -> None:
+        for t, _, _ in stack[depth:]:
+            opened[t] -= 1
+        del stack[depth:]
+
+    while at < len(page):
+        if at > last:  # no tag ends from here on
+            now.parts.append(page[at:])
+            break
+        m = token.match(page, at)
+        if m[0] == "<" and token is _TOKEN and page[at + 1 : at + 2].isalpha():
+            token = _LOOSE
+            continue
         at = m.end()
         tag = m[2]
         if tag is None:
@@ -100,19 +142,17 @@ def blocks(page: str) -> list[tuple[str, str, float, bool, int]]:
                 if links and not s.isspace():
                     now.linked += len(s.strip())
             elif s.startswith("<![CDATA["):
-                now.parts.append(s[9:-3])
+                now.parts.append(s[9:].removesuffix("]]>"))
             continue
         tag, attributes = tag.lower(), m[3]
         if m[1]:
             if tag == "a":
                 links = max(0, links - 1)
-            elif tag in _BLOCK or any(t == tag for t, _, _ in stack):
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == tag:
-                        del stack[k:]
-                        if tag in _BLOCK:
-                            links = 0
-                        break
+            elif tag in _BLOCK or opened[tag]:
+                if opened[tag]:
+                    close(next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag))
+                    if tag in _BLOCK:
+                        links = 0
                 if tag in _BLOCK:
                     cut()
             continue
@@ -130,53 +170,77 @@ def blocks(page: str) -> list[tuple[str, str, float, bool, int]]:
             continue
         if tag in _VOID and tag != "hr":
             continue
-        own = tag in _BAD_TAG or _named_bad(attributes)
+        own = _named_bad(attributes)
+        if tag in _BAD_TAG:
+            own = "firm" if tag in _FIRM_TAG else own or "weak"
         if tag not in _BLOCK and not own:
             continue
         if tag in _BLOCK:
-            for k in range(len(stack) - 1, -1, -1):  # an open <p> ends where a block begins
-                t = stack[k][0]
-                if t in _NO_NEST.get(tag, ()) or t == "p" or t not in _BLOCK and not stack[k][1]:
-                    del stack[k:]
-                    continue
-                break
+            depth = len(stack)  # an open <p> ends where a block begins
+            while depth and ((t := stack[depth - 1][0]) in _NO_NEST.get(tag, ()) or t == "p" or t not in _BLOCK and not stack[depth - 1][1]):
+                depth -= 1
+            close(depth)
             links = 0
-        _, bad, inside = stack[-1] if stack else ("", False, 0)
+        _, root, inside = stack[-1] if stack else ("", 0, 0)
         if tag == "header" and not inside:
-            own = True
-        if tag in ("article", "main") and not bad or 'role="main"' in attributes:
-            own = tag not in ("article", "main") and own
+            own = own or "weak"
+        if tag in ("article", "main") or 'role="main"' in attributes:
+            own = "" if tag in ("article", "main") else own
             if not inside:
                 articles += 1
                 inside = articles
+                homes.append(root)
         elif tag in ("html", "body"):
-            own = False
-        stack.append((tag, bad or own, inside))
+            own = ""
+        if own:
+            parts.append((root, own == "firm"))
+            root = len(parts) - 1
+        stack.append((tag, root, inside))
+        opened[tag] += 1
         cut()
     cut()
-    found = []
+    found, running = [], [0] * len(parts)
     for b in out:
         text = " ".join(entities.unescape("".join(b.parts)).split())
         if text:
-            found.append((b.tag, text, min(1.0, b.linked / len(text)), b.bad, b.inside))
-    return found
+            found.append((b.tag, text, min(1.0, b.linked / len(text)), b.root, b.inside))
+            running[b.root] += max(0, len(text) - b.linked)
+    total, within = sum(running), [0] * len(parts)  # within: articles that begin in the part
+    for root in homes:
+        within[root] += 1
+    for k in range(len(parts) - 1, 0, -1):
+        running[parts[k][0]] += running[k]
+        within[parts[k][0]] += within[k]
+    bad = [False]
+    for k in range(1, len(parts)):
+        around, firm = parts[k]
+        bad.append(bad[around] or firm or 2 * running[k] <= total or within[k] < len(homes))
+    return [(tag, text, links, bad[root], inside) for tag, text, links, root, inside in found]
+
+
+def _stop_share(text: str) -> float:
+    """Share of stop words, or of function characters where words are not separated."""
+    if 2 * len(_WIDE.findall(text)) > len(text):
+        return min(1.0, CHARACTER_STOPS * sum(c in STOP_CHARACTERS for c in text) / len(text))
+    ws = text.lower().split()
+    return sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in ws) / len(ws)
 
 
 def labels(found: list[tuple[str, str, float, bool, int]]) -> list[bool]:
     """Is each block main text?"""
+    stops = [0.0 if bad or links > MAX_LINKS else _stop_share(text) for _, text, links, bad, _ in found]
+    weights = [0 if bad or links > MAX_LINKS else len(text) for _, text, links, bad, _ in found]
+    if sum(map(operator.mul, stops, weights)) < KNOWN_LANGUAGE * sum(weights):
+        stops = [STOP_HIGH] * len(found)
     first = []
-    for _, text, links, bad, inside in found:
-        if bad or "©" in text[:3] and not inside:
-            first.append("bad")
-            continue
-        ws = text.lower().split()
-        stop = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in ws) / len(ws)
-        if links > MAX_LINKS:
+    for (_, text, links, bad, inside), stop in zip(found, stops, strict=True):
+        size = len(text) + CHARACTER_LENGTH * len(_WIDE.findall(text))
+        if bad or links > MAX_LINKS or "©" in text[:3] and not inside:
             first.append("bad")
-        elif len(text) < LENGTH_LOW:
+        elif size < LENGTH_LOW:
             first.append("bad" if links > 0 and not inside else "short")
         elif stop >= STOP_HIGH:
-            first.append("good" if len(text) > LENGTH_HIGH else "near")
+            first.append("good" if size > LENGTH_HIGH else "near")
         else:
             first.append("near" if inside or stop >= STOP_LOW else "bad")
     if "good" not in first:  # a page of middling blocks only
