@@ -1,51 +1,57 @@
 """License scan: base phrases, and an exact set-similarity join of text blocks with notice templates.
 
-A block is a line of a text or a window of its words over any line breaks, a template a notice's set of words. The join finds every (block, template)
-with |T & B| >= THRESHOLD * |T|. Only words of templates can count, so blocks are reduced to these; the
-words are ordered by their frequency over all blocks, rarest first. With alpha = ceil(THRESHOLD * |T|):
-a pair can only qualify if the first |T| - alpha + 1 words of the template and the first |B| - alpha + 1
-of the block share a word (prefix filter), if |B| >= alpha (length filter), and if the positions of the
-shared word leave room for alpha common words (positional filter). What remains is verified on the sets.
-
-Notices wrapped over lines are found in windows of span() words: the template's length and a tenth more. A window
-that qualifies holds one of any |T| - alpha + 1 words of the template, so only the windows around each template's
-longest words are looked at (prefix filter), if as many words as needed stand near (length filter); then every
-window that holds the word is counted exactly.
-
-Edge cases: a null text is empty; repeated rows are scanned each on their own; null ids stay; texts
-without words give zero counts; an empty table gives an empty result.
+A template is a notice's set of words T; a block is any run of ``span`` words of a text, over line breaks, where span is the
+notice's own length and a tenth more. So words scattered over a long line make no notice, and a notice wrapped
+at any column makes one. The join finds every (block, template) with |T & B| >= THRESHOLD * |T|. The templates'
+words are ordered by the number of documents that have them, rarest first. With alpha = ceil(THRESHOLD * |T|):
+a block can only qualify if it holds one of the first |T| - alpha + 1 words of the template (prefix filter), so
+only blocks around these are looked at, and only if alpha of the template's words stand near (length filter).
+A block belongs to the first of its prefix words; with pos template words before that one in the order, no more than
+|T| - pos can match (positional filter). What remains is counted exactly, block by block.
+
+Edge cases: a null text is empty; repeated rows are scanned each on their own; null ids stay; other columns are ignored,
+whatever their names; texts of any length are scanned whole; texts without words give zero counts; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
 
 from math import ceil
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bind, stored, table, text_of
+from .common import stored, table, text_of
 
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Base phrases and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 THRESHOLD = 0.9
-#: Notices in common use, as (label, words).
+#: Notices in common use, as (label, words).
 TEMPLATES = [
     ("apache-2.0", "licensed under the apache license version 2 0"),
     ("apache-2.0", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
+    ("apache-2.0", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
+    ("bsd", "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"),
     ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
     ("cc-by-nc", "licensed under cc by nc 4 0"),
     ("cc-by-sa", "this work is licensed under a creative commons attribution sharealike 4 0 international license"),
     ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work"),
     ("gpl", "this work is licensed under the gnu general public license version 3"),
     ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"),
+    ("gpl", "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general public license for more details"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
     ("lgpl", "licensed under the gnu lesser general public license"),
     ("mit", "released under the mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
+    ("mit", "to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
     ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0"),
     ("reserved", "all rights reserved"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software"),
 ]
 
 
@@ -60,9 +66,13 @@ def span(text: str) -> int:
     return ceil(len(text.split()) / THRESHOLD)
 
 
-def _sought() -> list[tuple[str, str, list[str], int, int]]:
-    """(word, label, words, words needed, words of a window) of the words around which windows are looked at."""
-    return [(w, label, words, alpha, span(TEMPLATES[i][1])) for i, label, words, alpha in templates() for w in sorted(words, key=lambda w: (-len(w), w))[: len(words) - alpha + 1]]
+def prefixes(counts: dict[str, int]) -> list[tuple[str, str, list[str], int, int, list[str]]]:
+    """(word, label, words, words needed, words of a block, rarer prefix words) of every template's prefix, given in how many documents words stand."""
+    out = []
+    for i, label, words, alpha in templates():
+        first = sorted(words, key=lambda w: (counts.get(w, 0), w))[: len(words) - alpha + 1]
+        out += [(w, label, words, alpha, span(TEMPLATES[i][1]), first[:pos]) for pos, w in enumerate(first)]
+    return out
 
 
 def _near(w: Column, words: list[str], reach: int) -> Column:
@@ -71,14 +81,20 @@ def _near(w: Column, words: list[str], reach: int) -> Column:
     return F.transform(at, lambda i: F.struct(F.get(w, i).alias("word"), F.slice(w, F.greatest(i - reach, F.lit(0)) + 1, F.least(i, F.lit(reach))).alias("left"), F.slice(w, i + 1, reach + 1).alias("right")))
 
 
-def _windows(rows: DataFrame) -> DataFrame:
-    """(rid, label, containment): the best window of every place and template that meets the threshold."""
-    small = F.broadcast(rows.sparkSession.createDataFrame(_sought(), "word string, label string, words array<string>, alpha int, span int"))  # a fixed table
+def _blocks(rows: DataFrame, sought: list) -> DataFrame:
+    """(rid, label, containment): the best block of every place of a prefix word and template that meets the threshold."""
+    kind = "word string, label string, words array<string>, alpha int, span int, rarer array<string>"
+    small = F.broadcast(rows.sparkSession.createDataFrame(sought, kind))  # a fixed table
     places = rows.select("rid", F.explode("near").alias("x")).select("rid", "x.*").join(small, "word")
     before = F.least(F.size("left"), F.col("span") - 1)
     part = F.concat(F.slice("left", F.size("left") - before + 1, before), F.slice("right", 1, F.col("span")))
-    places = places.select("rid", "label", "words", "alpha", "span", before.alias("before"), part.alias("part")).filter(F.size(F.array_intersect("part", "words")) >= F.col("alpha"))
-    best = F.array_max(F.transform(F.sequence(F.lit(0), "before"), lambda k: F.size(F.array_intersect(F.slice("part", k + 1, F.col("span")), "words"))))
+    places = places.select("rid", "label", "words", "alpha", "span", "rarer", before.alias("before"), part.alias("part")).filter(F.size(F.array_intersect("part", "words")) >= F.col("alpha"))
+
+    def matched(k: Column) -> Column:
+        block = F.slice("part", k + 1, F.col("span"))
+        return F.when(~F.arrays_overlap(block, F.col("rarer")), F.size(F.array_intersect(block, F.col("words")))).otherwise(0)  # else it is the rarer word's
+
+    best = F.array_max(F.transform(F.sequence(F.lit(0), "before"), matched))
     return places.withColumn("best", best).filter("best >= alpha").select("rid", "label", (F.col("best") / F.size("words")).alias("containment"))
 
 
@@ -101,26 +117,21 @@ def _starts(w: Column) -> Column:
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: counts and places of base phrases, labels of phrases and templates, best containment."""
-    known = templates()
-    vocabulary = sorted({w for _, _, words, _ in known for w in words})
-    least = min(a for *_, a in known)
-    maybe = "(?:" + "|".join(GAP.join(p.split()) for p in PHRASES) + ")"
-    low = F.lower(text_of(text))
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(doc_id).alias("doc_id"), low.alias("t"))
-    rows = rows.withColumn("w", F.filter(F.split("t", GAP, -1), lambda x: x != ""))
-    sought = sorted({x[0] for x in _sought()})
-    reach = max(x[-1] for x in _sought()) - 1
-    lines = F.transform(F.split("t", "\n", -1), lambda l: F.array_distinct(F.filter(F.split(l, GAP, -1), lambda x: x.isin(vocabulary))))
-    rows = stored(rows.select(
+    vocabulary = sorted({w for _, _, words, _ in templates() for w in words})
+    low = F.translate(text_of(text), ascii_uppercase, ascii_lowercase)
+    w = F.filter(F.split("t", GAP, -1), lambda x: x != "")
+    texts = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(doc_id).alias("doc_id"), low.alias("t")).withColumn("w", w)
+    counted = texts.select(F.explode(F.array_distinct(F.filter("w", lambda x: x.isin(vocabulary)))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    sought = prefixes({r["word"]: r["n"] for r in counted.collect()})  # at most the templates' words
+    probes, reach = sorted({x[0] for x in sought}), max(x[4] for x in sought) - 1
+    phrase = "(?:" + "|".join(GAP.join(p.split()) for p in PHRASES) + ")"
+    rows = stored(texts.select(
         "rid", "doc_id", F.size("w").cast("long").alias("n_words"),
-        F.when(F.col("t").rlike(maybe), _starts(F.col("w"))).otherwise(F.array().cast("array<struct<i:bigint,label:string>>")).alias("hits"),
-        F.filter(lines, lambda b: F.size(b) > 0).alias("blocks"),
-        F.when(F.col("t").rlike("|".join(sought)) & F.contains("t", F.lit("\n")), _near(F.col("w"), sought, reach)).alias("near"),
+        F.when(F.col("t").rlike(phrase), _starts(F.col("w"))).otherwise(F.array().cast("array<struct<i:bigint,label:string>>")).alias("hits"),
+        F.when(F.arrays_overlap("w", F.lit(probes)), _near(F.col("w"), probes, reach)).alias("near"),
     ))
-    blocks = rows.select("rid", F.posexplode("blocks").alias("block", "b"))
-    met = _join(blocks, known, vocabulary, least).select("rid", "label", "containment").unionByName(_windows(rows.filter("size(near) > 0")))
-    labels = met.groupBy("rid").agg(F.collect_set("label").alias("found"), F.max("containment").alias("score"))
-    found = rows.drop("blocks", "near").join(labels, "rid", "left")
+    labels = _blocks(rows.filter("size(near) > 0"), sought).groupBy("rid").agg(F.collect_set("label").alias("found"), F.max("containment").alias("score"))
+    found = rows.drop("near").join(labels, "rid", "left")
     base = F.array_sort(F.array_distinct("hits.label"))
     return found.select(
         "doc_id", "n_words", F.size("hits").cast("long").alias("n_base"), F.array_min("hits.i").alias("first_word"), F.array_max("hits.i").alias("last_word"),
@@ -129,42 +140,24 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     )
 
 
-def _join(blocks: DataFrame, known: list, vocabulary: list[str], least: int) -> DataFrame:
-    """(rid, block, label, containment) of every block and template that meet the threshold."""
-    spark = blocks.sparkSession
-    counted = {r["word"]: r["n"] for r in blocks.select(F.explode("b").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most the templates' words
-    order = sorted(vocabulary, key=lambda w: (counted.get(w, 0), w))
-    rank = {w: i for i, w in enumerate(order)}
-    prefix = [(w, i, label, words, len(words), alpha, pos) for i, label, words, alpha in known for pos, w in enumerate(sorted(words, key=rank.get)[: len(words) - alpha + 1])]
-    small = F.broadcast(spark.createDataFrame(prefix, "word string, template int, label string, words array<string>, m int, alpha int, pos_t int"))  # a fixed table
-    probe = sorted({p[0] for p in prefix})
-    rare = blocks.filter((F.size("b") >= least) & F.arrays_overlap("b", F.lit(probe)))
-    rare = rare.withColumn("b", F.array_intersect(F.lit(order), "b")).withColumn("nb", F.size("b"))
-    pairs = rare.select("rid", "block", "b", "nb", F.posexplode("b").alias("pos_b", "word")).join(small, "word")
-    room = F.least("pos_b", "pos_t") + 1 + F.least(F.col("m") - 1 - F.col("pos_t"), F.col("nb") - 1 - F.col("pos_b"))
-    pairs = pairs.filter((F.col("nb") >= F.col("alpha")) & (F.col("pos_b") <= F.col("nb") - F.col("alpha")) & (room >= F.col("alpha")))
-    common = F.size(F.array_intersect("b", "words"))
-    return pairs.filter(common >= F.col("alpha")).select("rid", "block", "label", (common / F.col("m")).alias("containment"))
-
-
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
 
 
-_T = ", ".join(f"({i}, '{label}', {words!r}, {alpha})" for i, label, words, alpha in templates())
+_T = ", ".join(f"({i}, '{label}', {words!r}, {alpha}, {span(TEMPLATES[i][1])})" for i, label, words, alpha in templates())
 _GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 SQL = rf"""
-with d as (select row_number() over () rid, doc_id, lower(coalesce(text, '')) t from documents),
+with d as (select row_number() over () rid, doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') t from documents),
 w as (select rid, doc_id, t, list_filter(regexp_split_to_array(t, '{_GAP}'), lambda x: x <> '') w from d),
 p as (select rid, unnest(range(1, len(w) + 1)) i, w from w where contains(t, 'cc') or contains(t, 'general') or contains(t, 'reserved')),
 h as (select rid, i - 1 i, case when w[i] = 'cc' and w[i + 1] = 'by' then 'cc-by'
         when w[i] = 'general' and w[i + 1] = 'public' and w[i + 2] = 'license' then 'gpl'
         when w[i] = 'all' and w[i + 1] = 'rights' and w[i + 2] = 'reserved' then 'reserved' end label from p),
 hb as (select rid, count(*) n_base, min(i) first_word, max(i) last_word, list(distinct label) bl from h where label is not null group by rid),
-tpl(id, label, words, alpha) as (values {_T}),
-bl as (select rid, unnest(string_split(t, chr(10))) line from w where regexp_matches(t, 'licen|reserved|permission|redistribution|waived|mozilla|software')),
-bw as (select rid, list_distinct(regexp_split_to_array(line, '{_GAP}')) b from bl),
-m as (select rid, label, len(list_intersect(b, words)) / len(words) c from bw, tpl where len(list_intersect(b, words)) >= alpha),
+tpl(id, label, words, alpha, span) as (values {_T}),
+cand as (select rid, w, label, words, alpha, span from (select rid, w, list_distinct(w) b from w), tpl where len(list_intersect(b, words)) >= alpha),
+win as (select rid, label, words, alpha, list_slice(w, k, k + span - 1) part from (select *, unnest(range(1, len(w) + 1)) k from cand)),
+m as (select rid, label, len(list_intersect(list_distinct(part), words)) / len(words) c from win where len(list_intersect(list_distinct(part), words)) >= alpha),
 ml as (select rid, list(distinct label) found, max(c) score from m group by rid)
 select doc_id, len(w)::BIGINT n_words, coalesce(n_base, 0)::BIGINT n_base, first_word::BIGINT first_word, last_word::BIGINT last_word,
        array_to_string(list_sort(coalesce(bl, [])), ',') base_labels,
