@@ -6,7 +6,8 @@ stay. ``mask`` holds the spans (start:end, code points of ``text``) of the speak
 end marks, which alone count in training.
 
 Edge cases: turns are ordered by turn, role, text (nulls last), so ties have one order; repeated rows stay;
-a null role is the speaker ``unknown``, a null text is empty; a row with null conv_id belongs to no
+a null role is the speaker ``unknown``, control characters and line ends in a role are spaces (roles that then
+are equal are one speaker), other columns are ignored, whatever their names, a null text is empty; a row with null conv_id belongs to no
 dialogue and is rendered alone; dialogues of system turns only have no perspective; the marks are
 neutralised where a turn's own text holds them. A dialogue's text must fit in one row.
 """
@@ -19,6 +20,8 @@ from pyspark.sql.window import Window
 
 from .common import table
 
+#: What a name must not hold: it would end the turn's head.
+CONTROL = r"[\x00-\x1F\x7F\x{85}\x{2028}\x{2029}]"
 BEGIN, END = "<|im_start|>", "<|im_end|>\n"
 
 
@@ -33,7 +36,7 @@ def _head(role: Column, speaker: Column) -> Column:
 def rotate(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """(conv_id, speaker, n_turns, n_own, text, mask) for every participant of every dialogue."""
     clean = F.replace(F.coalesce(F.col(text).cast("string"), F.lit("")), F.lit("<|im_"), F.lit("<| im_"))
-    base = turns.select(F.col(conv).alias("conv_id"), F.col(turn).alias("turn"), F.replace(F.coalesce(F.col(role), F.lit("unknown")), F.lit("<|im_"), F.lit("<| im_")).alias("role"), clean.alias("body"))
+    base = turns.select(F.col(conv).alias("conv_id"), F.col(turn).alias("turn"), F.replace(F.regexp_replace(F.coalesce(F.col(role), F.lit("unknown")), CONTROL, " "), F.lit("<|im_"), F.lit("<| im_")).alias("role"), clean.alias("body"))
     dialogue = Window.partitionBy("conv_id")
     named = base.filter(F.col("conv_id").isNotNull()).withColumn("who", F.collect_set(F.when(F.col("role") != "system", F.col("role"))).over(dialogue))
     alone = base.filter(F.col("conv_id").isNull()).withColumn("who", F.array_compact(F.array(F.when(F.col("role") != "system", F.col("role")))))
@@ -61,8 +64,8 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rotate(table(spark, sf_dir, "conversations"))
 
 
-SQL = """
-with b as (select conv_id, turn, replace(coalesce(role, 'unknown'), '<|im_', '<| im_') role, replace(coalesce(text, ''), '<|im_', '<| im_') body from conversations),
+SQL = rf"""
+with b as (select conv_id, turn, replace(regexp_replace(coalesce(role, 'unknown'), '{CONTROL}', ' ', 'g'), '<|im_', '<| im_') role, replace(coalesce(text, ''), '<|im_', '<| im_') body from conversations),
 p as (select distinct conv_id, role speaker from b where role <> 'system'),
 s as (select b.conv_id, speaker, turn, role, role = speaker own, body,
              case when role = 'system' then '<|im_start|>system' || chr(10) when role = speaker then '<|im_start|>assistant' || chr(10)
