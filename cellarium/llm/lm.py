@@ -11,12 +11,13 @@ whole is one more arc of its lattice, weighted by its training count under absol
 
 with C the training words, V their types and d = n1 / (n1 + 2 n2). A document's score is the sum of log10 p
 over its words and its end: the log of the product of the words' lattice sums, that is of the sum over all
-segmentations of the document.
+segmentations of the document. ``lattice_score`` is the same without anything learnt from words: the lattice under
+the vocabulary's first scores alone, p(w) = (1 - e) * q0(w).
 
 Words with at least 1 / HEAD of all tokens (HEAD of them at most) are broadcast; all others meet their scores
 in a join, so no table that grows with the corpus is held by a task or the driver.
 
-Edge cases: a null or empty text is its end alone; a null id trains; repeated rows count and are scored each
+Edge cases: words of any length are summed whole; other columns are ignored, whatever their names; a null or empty text is its end alone; a null id trains; repeated rows count and are scored each
 on their own; without training documents q alone scores; an empty table gives an empty result.
 """
 
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_small_batches, stored, table
+from .common import stored, table
 
 ROUNDS = 2
 HEAD = 500_000
@@ -256,9 +257,9 @@ def fit(table_: DataFrame, path: str, rounds: int = ROUNDS) -> np.ndarray:
 
 
 def score(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS, head: int = HEAD) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every document."""
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, lattice_score) for every document."""
     spark = docs.sparkSession
-    docs = in_small_batches(docs).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     seen = stored(word_counts(docs))
     t = seen.agg(F.sum("c").alias("c"), F.sum((F.col("c") > 0).cast("long")).alias("v"), F.sum((F.col("c") == 1).cast("long")).alias("n1"), F.sum((F.col("c") == 2).cast("long")).alias("n2")).first()
     ends = docs.filter(F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2, F.lit(True))).count()
@@ -268,18 +269,20 @@ def score(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text"
     log_all = math.log10(tokens + types + (1 if ends else 0) + 1)
     p_end = (ends + 1) / (tokens + 2)
     logp = spark.sparkContext.broadcast(fit(seen, path, rounds) if words else pieces(path).first_scores())
-    scored = pa.schema([("w", pa.binary()), ("c", pa.int64()), ("lp", pa.float64())])
+    scored = pa.schema([("w", pa.binary()), ("c", pa.int64()), ("lp", pa.float64()), ("lq", pa.float64())])
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, ws, cs = pieces(path), [], []
 
         def done() -> pa.RecordBatch:
-            q, _ = lattice(v, [w.decode("utf-8", "replace") for w in ws], logp.value)
+            spelled = [w.decode("utf-8", "replace") for w in ws]
+            q, _ = lattice(v, spelled, logp.value)
+            pure, _ = lattice(v, spelled, v.first_scores())
             c = np.array(cs, dtype=float)
             low = math.log(cut * types / words) + q if words else q
             with np.errstate(divide="ignore"):
                 p = np.logaddexp(low, np.log(np.maximum(c - cut, 0) / words)) if words else low
-            out = pa.record_batch([pa.array(ws, pa.binary()), pa.array(cs, pa.int64()), pa.array((p + math.log1p(-p_end)) / math.log(10))], schema=scored)
+            out = pa.record_batch([pa.array(ws, pa.binary()), pa.array(cs, pa.int64()), *(pa.array((x + math.log1p(-p_end)) / math.log(10)) for x in (p, pure))], schema=scored)
             ws.clear(), cs.clear()
             return out
 
@@ -291,11 +294,11 @@ def score(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text"
         if ws:
             yield done()
 
-    known = stored(seen.mapInArrow(spell, "w binary, c bigint, lp double"))
+    known = stored(seen.mapInArrow(spell, "w binary, c bigint, lp double, lq double"))
     common = known.filter(F.col("c") >= max(2, math.ceil(tokens / head))).collect() if tokens else []  # at most ``head`` rows
-    top = spark.sparkContext.broadcast({bytes(r["w"]): (math.log10(r["c"] + 1), r["lp"]) for r in common})
-    rows = pa.schema([("rid", pa.int64()), ("w", pa.binary()), ("n", pa.int32()), ("p", pa.struct([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())]))])
-    at_end = (math.log10(ends + 1), math.log10(p_end))
+    top = spark.sparkContext.broadcast({bytes(r["w"]): (math.log10(r["c"] + 1), r["lp"], r["lq"]) for r in common})
+    rows = pa.schema([("rid", pa.int64()), ("w", pa.binary()), ("n", pa.int32()), ("p", pa.struct([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("pure", pa.float64())]))])
+    at_end = (math.log10(ends + 1), math.log10(p_end), math.log10(p_end))
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row for each rarer word of a document, and one with the sums of its common ones."""
@@ -306,7 +309,7 @@ def score(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text"
                 rid, w, n, p = [], [], [], []
                 for r, i, t in zip(*(part.column(k).to_pylist() for k in range(3)), strict=True):
                     ws = t.encode("utf-8", "surrogatepass").lower().split() if t else []
-                    known_here, base, full = int(ends > 0), at_end[0], at_end[1]
+                    known_here, base, full, pure = int(ends > 0), *at_end
                     for x, k in Counter(ws).items():
                         found = get(x)
                         if found is None:
@@ -315,22 +318,23 @@ def score(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text"
                             known_here += k
                             base += k * found[0]
                             full += k * found[1]
+                            pure += k * found[2]
                     # no word has a space, so this key joins with nothing and spreads evenly
                     rid.append(r), w.append(b" %d" % r), n.append(0)
-                    p.append({"doc_id": i, "n_tokens": len(ws) + 1, "n_known": known_here, "base": base, "score": full})
+                    p.append({"doc_id": i, "n_tokens": len(ws) + 1, "n_known": known_here, "base": base, "score": full, "pure": pure})
                 yield pa.record_batch([pa.array(c, f.type) for c, f in zip((rid, w, n, p), rows, strict=True)], schema=rows)
 
-    kind = "rid bigint, w binary, n int, p struct<doc_id:bigint,n_tokens:bigint,n_known:bigint,base:double,score:double>"
+    kind = "rid bigint, w binary, n int, p struct<doc_id:bigint,n_tokens:bigint,n_known:bigint,base:double,score:double,pure:double>"
     all_parts = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text").mapInArrow(parts, kind)
     met = all_parts.join(known, "w", "left")
     k = F.col("n")
     out = met.groupBy("rid").agg(
         F.max("p.doc_id").alias("doc_id"), F.max("p.n_tokens").alias("n_tokens"),
         F.sum(F.coalesce("p.n_known", F.when(F.col("c") > 0, k), F.lit(0))).alias("n_known"),
-        F.sum(F.coalesce("p.base", k * F.log10(F.col("c") + 1))).alias("base"), F.sum(F.coalesce("p.score", k * F.col("lp"))).alias("score"),
+        F.sum(F.coalesce("p.base", k * F.log10(F.col("c") + 1))).alias("base"), F.sum(F.coalesce("p.score", k * F.col("lp"))).alias("score"), F.sum(F.coalesce("p.pure", k * F.col("lq"))).alias("lattice_score"),
     )
     out_held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
-    return out.select("doc_id", out_held.alias("held_out"), "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), (F.col("base") - F.col("n_tokens") * log_all).alias("base_score"), "score")
+    return out.select("doc_id", out_held.alias("held_out"), "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), (F.col("base") - F.col("n_tokens") * log_all).alias("base_score"), "score", "lattice_score")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
