@@ -8,13 +8,12 @@ search and the greedy checks run on these bounded sums and give the same capacit
 
 Law: ``bytes``. Within the smallest capacity each cut goes as near to its even place as it can.
 
-Edge cases: a null text has no bytes and counts as the empty text; repeated rows each get a slot; null
+Edge cases: texts of any length count whole; other columns are ignored, whatever their names; a null text has no bytes and counts as the empty text; repeated rows each get a slot; null
 ids stay; an empty table gives an empty result; with fewer groups than shards some shards stay empty.
 """
 
 from __future__ import annotations
 
-
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +24,7 @@ from .common import stored, table, text_of
 SHARDS = 40
 SALTS = 256
 #: Most ranges that the driver refines at once.
-DRIVER_ROWS = 300_000
+DRIVER_ROWS = 100_000
 
 
 def _greedy(prefix: np.ndarray, capacity: int, shards: int) -> list[int] | None:
@@ -110,9 +109,9 @@ def boundaries(groups: DataFrame, shards: int = SHARDS) -> list[str]:
 def shard(docs: DataFrame, shards: int = SHARDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) for every document."""
     t = F.encode(text_of(text), "UTF-8")
-    rows = stored(docs.select(F.col(doc_id).alias("doc_id"), (F.octet_length(t) + 16).cast("long").alias("size"), F.crc32(t).alias("text_crc32"), F.sha2(t, 256).alias("g")))
-    rows = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
-    starts = boundaries(rows.groupBy("g").agg(F.sum("size").alias("bytes")), shards)
+    rows = stored(docs.select(F.col(doc_id).alias("doc_id"), (F.octet_length(t) + 16).cast("long").alias("size"), F.crc32(t).alias("text_crc32"), F.sha2(t, 256).alias("g"), F.monotonically_increasing_id().alias("rid")))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("rid"), F.lit(SALTS)))
+    starts = boundaries(stored(rows.groupBy("g").agg(F.sum("size").alias("bytes"))), shards)
     place = F.size(F.filter(F.lit(starts), lambda s: s <= F.col("g"))) - 1
     cells = rows.groupBy("g", "salt").agg(F.count(F.lit(1)).alias("n")).withColumn("range", F.substring("g", 1, 4)).withColumn("shard", place)
     cells = stored(cells)
@@ -120,7 +119,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, doc_id: str = "doc_id", text: s
     heads = heads.withColumn("off", F.sum("m").over(Window.partitionBy("shard").orderBy("range")) - F.col("m")).drop("m")
     run = F.sum("n").over(Window.partitionBy("shard", "range").orderBy("g", "salt")) - F.col("n")
     cells = cells.withColumn("run", run).join(F.broadcast(heads), ["shard", "range"]).select("g", "salt", "shard", (F.col("off") + F.col("run")).alias("off"))
-    k = F.row_number().over(Window.partitionBy("g", "salt").orderBy("doc_id")) - 1
+    k = F.row_number().over(Window.partitionBy("g", "salt").orderBy("doc_id", "rid")) - 1
     return rows.join(cells, ["g", "salt"]).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("off") + k).alias("slot"), F.lit(None).cast("int").alias("grown_shard")
     )
