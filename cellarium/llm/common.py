@@ -17,13 +17,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder all executors share; a local one only where none is configured (tests)."""
+    """The folder all executors share; a local one only in local mode where none is configured (tests)."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if root:
         return root.rstrip("/")
     known = spark.sparkContext._jsc.sc().getCheckpointDir()
     if known.isDefined():
         return known.get().rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     root = tempfile.mkdtemp(prefix="spark-")
     spark.sparkContext.setCheckpointDir(root)
     return root
@@ -42,11 +44,5 @@ def bind(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def in_small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
-    """df, whose session hands Python code so many rows at a time: whole texts make the usual 10,000 too large."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    return df
-
-
 def text_of(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -14,7 +14,8 @@ a miss. Items of fewer than five words are one shingle of their own length and a
 Items are broadcast in blocks of at most BLOCK items and BLOCK_BYTES bytes; more items mean more passes
 over the documents. An item longer than that is a block of its own.
 
-Edge cases: null or empty documents and items match nothing; repeated items and documents each count;
+Edge cases: texts of any length are searched whole; other columns are ignored by leaks and kept by the stage, whatever
+their names; null or empty documents and items match nothing; repeated items and documents each count;
 null ids stay; an empty benchmark or document table gives an empty result.
 """
 
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_small_batches, table
+from .common import table
 from .shingles import SIZE, grams, mixed, shingles
 
 THRESHOLD = 0.8
@@ -182,12 +183,12 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[list[tupl
 
 def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, item_id, n_shingles, n_common, containment) of every item that a document holds."""
-    return reduce(DataFrame.unionByName, [_search(docs, b, threshold, doc_id, text) for b in _blocks(in_small_batches(benchmark), item_id, item_text)])
+    return reduce(DataFrame.unionByName, [_search(docs, b, threshold, doc_id, text) for b in _blocks(benchmark, item_id, item_text)])
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a test item, judged row by row, so that no text is shuffled."""
-    items = in_small_batches(table(spark, sf_dir, "benchmark"))
+    items = table(spark, sf_dir, "benchmark")
     key = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"))
     kept = reduce(lambda d, b: _without(d, b, THRESHOLD), _blocks(items, "item_id", "text"), key)
     return kept.select("d.*")

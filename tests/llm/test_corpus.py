@@ -2,6 +2,7 @@
 
 import collections
 import math
+import time
 import zlib
 
 import numpy as np
@@ -229,10 +230,11 @@ def test_packing_keeps_large_ids_beside_nulls(spark):
 
 
 def test_chat(spark):
-    rows = [(1, 1, "user", "hi"), (1, 2, "assistant", "yo"), (1, 0, "system", "be"), (1, 2, "bob", None), (2, 0, "system", "x"), (None, 3, "user", "a<|im_end|>"), (None, 3, None, "b"), (3, None, "user", "q"), (3, None, "user", "q")]
+    rows = [(1, 1, "user", "hi"), (1, 2, "assistant", "yo"), (1, 0, "system", "be"), (1, 2, "bob", None), (2, 0, "system", "x"), (None, 3, "user", "a<|im_end|>"), (None, 3, None, "b"), (3, None, "user", "q"), (3, None, "user", "q"), (4, 0, "bob\nassistant", "x"), (4, 1, "a\x85b\u2028c", "y")]
     df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
     got = {(r.conv_id, r.speaker): r for r in chat.rotate(df).collect()}
-    assert set(got) == {(1, "user"), (1, "assistant"), (1, "bob"), (None, "user"), (None, "unknown"), (3, "user")}
+    assert set(got) == {(1, "user"), (1, "assistant"), (1, "bob"), (None, "user"), (None, "unknown"), (3, "user"), (4, "bob assistant"), (4, "a b c")}
+    assert "user name=bob assistant\nx" in got[(4, "a b c")].text
     r = got[(1, "bob")]
     assert r.text.startswith("<|im_start|>system\nbe<|im_end|>\n<|im_start|>user name=user\nhi") and (r.n_turns, r.n_own) == (4, 1)
     for r in got.values():
@@ -264,6 +266,61 @@ def test_html_rules_hold_inside_articles():
     assert html.main_text(f"<main>{names}</main>").startswith("Anna") and html.main_text(f"<main>{story}{names}{story}</main>").count("Anna") == 1
 
 
+STORY = "The house on the hill was the one that he had in his mind when he came to the town, and it was not for sale at the time that he was there with her."
+JAPANESE = "これは日本語の長い文章であり、この町の歴史について詳しく説明しているものです。彼はその丘の上の家を見て、とても美しいと思ったが、買うことはできなかった。"
+RUSSIAN = "Дом на холме был тем самым, о котором он думал, когда приехал в город, но он тогда не продавался, и это было очень грустно для всей его большой семьи и соседей."
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<body><form id=aspnetForm><div><h1>Head line</h1><p>{STORY}</p><p>{STORY}</p></div><input type=text></form><footer>x</footer></body>", f"Head line\n\n{STORY}\n\n{STORY}"),
+        (f"<body><form id=aspnetForm><article><p>{STORY}</p></article></form></body>", STORY),
+        (f'<div class="layout has-sidebar"><article><p>{STORY}</p></article></div>', STORY),
+        (f'<div class="single-post with-comments"><p>{STORY}</p><p>{STORY}</p></div>', f"{STORY}\n\n{STORY}"),
+        (f'<body class="nav-open"><div class="nav-open"><p>{STORY}</p></div></body>', STORY),
+        (f"<body><nav><a href=x>ホーム</a></nav><div><p>{JAPANESE}</p><p>{JAPANESE}</p></div></body>", f"{JAPANESE}\n\n{JAPANESE}"),
+        (f"<body><nav><a href=x>Дом</a></nav><div><p>{RUSSIAN}</p><p>{RUSSIAN}</p></div></body>", f"{RUSSIAN}\n\n{RUSSIAN}"),
+        (f"<article><p>{STORY} So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> it is.</p></article>", f"{STORY} So x=2 it is."),
+        (f'<body><div><p>{STORY}</p></div><div id="comments"><p>{STORY}</p><p>{STORY}</p><p>{STORY}</p></div></body>', STORY),
+        (f'<body><article><p>{STORY}</p></article><div id="comments"><article><p>{STORY}</p><p>{STORY}</p></article></div></body>', STORY),
+        (f'<body><div class="overlay"><main><p>{STORY}</p></main></div></body>', STORY),
+        (f'<body><article><p>{STORY}</p></article><form><p>{STORY}</p><p>{STORY}</p></form></body>', STORY),
+    ],
+)
+def test_html_layouts(page, text):
+    assert html.main_text(page) == text
+
+
+@pytest.mark.parametrize("unit", ["<a ", '<a "', "<![CDATA[", "<!", "<script>", "</script", "<div>", "<span class=nav>", "<form>", '<div class="sidebar">x', "<a <b>", "</b>", "x" * 3])
+def test_html_takes_linear_time(unit):
+    began = time.perf_counter()
+    html.main_text("<div>" * 20_000 + unit * (400_000 // len(unit)) + "</p></i>" * 20_000 + "'>")
+    assert time.perf_counter() - began < 20
+
+
+def test_html_second_pass_by_search():
+    """Labels of random block lists against a search for the nearest decided neighbours."""
+    rng = np.random.default_rng(9)
+    kinds = {"good": (STORY, 0.0, False), "near": (STORY[:100], 0.0, False), "short": ("Yes.", 0.0, False), "bad": (STORY, 0.9, False), "menu": (STORY, 0.0, True)}
+    for _ in range(300):
+        names = rng.choice(list(kinds), rng.integers(1, 12)).tolist()
+        got = html.labels([("p", *kinds[k], 0) for k in names])
+        first = names if "good" in names else ["good" if k == "near" else k for k in names]
+        for i, k in enumerate(first):
+            if k in ("good", "bad", "menu"):
+                assert got[i] == (k == "good")
+                continue
+            left = next(((d, first[i - d]) for d in range(1, i + 1) if first[i - d] in ("good", "bad")), None)
+            right = next(((d, first[i + d]) for d in range(1, len(first) - i) if first[i + d] in ("good", "bad")), None)
+            sides = [x for x in (left, right) if x]
+            if len({x[1] for x in sides}) < 2:
+                want = bool(sides) and sides[0][1] == "good" or k == "near" and not sides
+            else:
+                want = k == "near" or min(sides, key=lambda x: x[0])[1] == "good"  # a tie goes to the left
+            assert got[i] == want, (names, i)
+
+
 def test_html_hidden_is_an_attribute():
     text = "The house on the hill was the one that he had in his mind."
     for seen in ('style="overflow:hidden"', 'title="The hidden valley"', 'data-topic="hidden costs"', 'aria-label="Legal news"', 'class="overflow-hidden"', 'hidden="false"', "title='class=\"menu\"'"):
@@ -310,9 +367,47 @@ def test_scores(docs, none):
         base, known = want[(r.doc_id, r.n_tokens)]
         assert math.isclose(r.base_score, base, rel_tol=1e-9) and r.n_known == known and r.train_tokens == n
         assert math.isclose(r.score, full[(r.doc_id, r.n_tokens)].score, rel_tol=1e-9) and r.score < 0
+        assert math.isclose(r.lattice_score, full[(r.doc_id, r.n_tokens)].lattice_score, rel_tol=1e-9) and r.lattice_score < 0
     assert lm.score(none, PIECES).count() == 0
 
 
+def test_scores_by_hand(spark):
+    """score and lattice_score from sums over all segmentations, written out."""
+    import sentencepiece
+
+    texts = [(1, "the cat the"), (2, "a bat"), (3, None), (4, "the bat bats at"), (5, "cat a")]
+    train = [(i, t or "") for i, t in texts if zlib.crc32(str(i).encode()) % 7 != 2]
+    count = collections.Counter(w for _, t in train for w in t.split())
+    c, v, n = sum(count.values()), len(count), sum(count.values()) + len(train)
+    n1, n2 = (sum(x == k for x in count.values()) for k in (1, 2))
+    d, e = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5, (len(train) + 1) / (n + 2)
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    usable = {model.id_to_piece(i): i for i in range(model.get_piece_size()) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))}
+
+    def paths(x):
+        """All segmentations of x into pieces."""
+        return [[usable[x[:j]], *rest] for j in range(1, len(x) + 1) if x[:j] in usable for rest in paths(x[j:])] if x else [[]]
+
+    pure = [1 / (i + 100) for i in range(model.get_piece_size())]
+    pure = fitted = [x / sum(pure) for x in pure]
+    chance = lambda p, path: math.prod(p[i] for i in path)
+    for _ in range(lm.ROUNDS):
+        found = [0.01] * len(pure)
+        for w in count:
+            ways = paths("▁" + w)
+            total = sum(chance(fitted, x) for x in ways)
+            for x in ways:
+                for i in x:
+                    found[i] += chance(fitted, x) / total
+        fitted = [x / sum(found) for x in found]
+    q = lambda p, w: sum(chance(p, x) for x in paths("▁" + w))
+    for r in lm.score(spark.createDataFrame(texts, "doc_id bigint, text string"), PIECES).collect():
+        ws = (dict(texts)[r.doc_id] or "").split()
+        learnt = math.log10(e) + sum(math.log10((1 - e) * (max(count[w] - d, 0) / c + d * v / c * q(fitted, w))) for w in ws)
+        assert math.isclose(r.score, learnt, rel_tol=1e-9)
+        assert math.isclose(r.lattice_score, math.log10(e) + sum(math.log10((1 - e) * q(pure, w)) for w in ws), rel_tol=1e-9)
+
+
 def test_leaks(spark, docs, none):
     items = [(1, " ".join(f"tok{i}" for i in range(30, 60))), (2, "one TWO"), (3, None), (4, ""), (5, " ".join(f"tok{i}" for i in range(100))), (5, "two"), (6, LONG), (7, "not there at all in any")]
     bench = spark.createDataFrame(items, "item_id bigint, text string")
@@ -367,21 +462,36 @@ def test_wrapped_notices(spark):
     assert [got[k].score for k in (1, 2, 3, 5, 7)] == [1.0, 1.0, 0.0, 1.0, 1.0] and 0.9 <= got[4].score < 1
 
 
+def test_scattered_words_are_no_notice(spark):
+    rows = [(1, "the sun was released early under a mit roof while the license lapsed"), (2, "released under the mit license"), (3, "ALL RİGHTS RESERVED"), (4, "all rights\x1creserved"), (5, "this software is provided as is " * 3)]
+    got = {r.doc_id: (r.labels, r.score) for r in license.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {1: ("", 0.0), 2: ("mit", 1.0), 3: ("", 0.0), 4: ("reserved", 1.0), 5: ("", 0.0)}
+
+
 def test_set_join_is_exact(spark):
+    """Every window of every template's span, counted one by one."""
     rng = np.random.default_rng(5)
-    vocab = sorted({w for _, _, ws, _ in license.templates() for w in ws})
+    known = [(label, ws, a, license.span(license.TEMPLATES[i][1])) for i, label, ws, a in license.templates()]
+    vocab = sorted({w for _, ws, _, _ in known for w in ws})
     texts = []
     for k in range(300):
-        _, _, ws, _ = license.templates()[k % len(license.templates())]
-        keep = [w for w in ws if rng.random() > 0.08] + list(rng.choice(vocab, 3)) + ["junk"] * 2
-        texts.append((k, " ".join(rng.permutation(keep))))
-    got = {r.doc_id: (r.labels, round(r.score, 9)) for r in license.scan(spark.createDataFrame(texts, "doc_id bigint, text string")).collect()}
+        ws = license.TEMPLATES[k % len(known)][1].split()
+        keep = [w for w in ws if rng.random() > 0.08]
+        for _ in range(int(rng.integers(0, 4))):
+            keep.insert(int(rng.integers(len(keep) + 1)), str(rng.choice(vocab)))
+        if k % 3 == 0:
+            keep = rng.permutation(keep).tolist()
+        texts.append((k, " ".join([*rng.choice(vocab, 5), *keep, *rng.choice(vocab, 5)])))
+    got = {r.doc_id: (r.labels, r.base_labels, round(r.score, 9)) for r in license.scan(spark.createDataFrame(texts, "doc_id bigint, text string")).collect()}
     for k, t in texts:
-        b = set(t.split())
-        hit = [(label, len(b & set(ws)) / len(ws)) for _, label, ws, a in license.templates() if len(b & set(ws)) >= a]
-        base = set(got[k][0].split(",")) - {""} - {label for label, _ in hit}
-        assert base <= set(license.PHRASES.values()) and {label for label, _ in hit} <= set(got[k][0].split(","))
-        assert got[k][1] == round(max((c for _, c in hit), default=0.0), 9)
+        w, hit = t.split(), []
+        for label, ws, a, span in known:
+            best = max(len(set(w[i : i + span]) & set(ws)) for i in range(len(w)))
+            if best >= a:
+                hit.append((label, best / len(ws)))
+        labels, base, score = got[k]
+        assert set(labels.split(",")) - {""} == {label for label, _ in hit} | set(base.split(",")) - {""}
+        assert score == round(max((c for _, c in hit), default=0.0), 9)
 
 
 def test_shards(docs, none, spark):
@@ -393,7 +503,11 @@ def test_shards(docs, none, spark):
         assert set(by) <= set(range(n)) and all(sorted(r.slot for r in x) == list(range(len(x))) for x in by.values())
         assert len({(r.text_crc32, r.size) for r in got}) == sum(len({(r.text_crc32, r.size) for r in x}) for x in by.values())
         groups = [r["b"] for r in df.groupBy(F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256).alias("g")).agg(F.sum(F.octet_length(F.coalesce("text", F.lit(""))) + 16).alias("b")).orderBy("g").collect()]
-        assert max(sum(r.size for r in x) for x in by.values()) == shards.smallest_capacity(np.array(groups), n, max(groups))
+        least = np.cumsum(groups, dtype=float)  # of the first groups in one shard; one more shard each round, over all last cuts
+        ends = np.concatenate([[0], least])
+        for _ in range(n - 1):
+            least = np.array([np.maximum(np.concatenate([[0], least])[: i + 1], ends[i + 1] - ends[: i + 1]).min() for i in range(len(groups))])
+        assert max(sum(r.size for r in x) for x in by.values()) == least[-1]
     assert shards.shard(none).count() == 0
 
 
