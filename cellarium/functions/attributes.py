@@ -17,11 +17,13 @@ TENURE = ("Owned with a mortgage", "Owned free and clear", "Rented", "Occupied w
 HOUSEHOLD_SIZE = ("Vacant", "1 person", "2 persons", "3 persons", "4 persons", "5 persons", "6 persons", "7 or more persons")
 
 
+#: Relationships.
 RELATIONSHIPS = (
     "Householder living alone", "Householder not living alone", "Opposite-sex spouse", "Opposite-sex unmarried partner", "Same-sex spouse (Use allocation flag to determine)", "Same-sex unmarried partner", "Biological son or daughter",
     "Adopted son or daughter", "Stepson or stepdaughter", "Brother or sister", "Father or mother", "Grandchild", "Parent-in-law", "Son-in-law or daughter-in-law", "Other relative", "Roommate or housemate",
     "Foster child (If roomer/boarder and age<21)", "Other nonrelative (also include if roomer/boarder and age>=21)",
 )
+#: Kinds of group quarters.
 GROUP_QUARTERS = (
     "GQ 101 Federal detention centers", "GQ 102 Federal prisons", "GQ 103 State prisons", "GQ 104 Local jails and other municipal confinements", "GQ 105 Correctional residential facilities", "GQ 106 Military disciplinary barracks",
     "GQ 201 Group homes for juveniles", "GQ 202 Residential treatment centers for juveniles", "GQ 203 Correctional facilities intended for juveniles", "GQ 301 Nursing facilities", "GQ 401 Mental hospitals",
@@ -37,11 +39,38 @@ HOUSEHOLD_TYPES = (
     "Cohabiting same-sex with relatives, no own children under 18", "Cohabiting same-sex without relatives, no own children under 18", "No spouse or partner, alone", "No spouse or partner with own children under 6", "No spouse or partner with own children between 6 and 17.",
     "No spouse or partner with own children in both ranges", "No spouse or partner living with relatives but no own children", "No spouse or partner and no relatives, not alone.",
 )
+#: Facility codes of the last kind of group quarters, beside its own.
+OTHER_FACILITIES = ("702", "704", "706", "903", "904")
+#: Races of citizens.
 CITIZEN_RACES = (
     "Hispanic or Latino", "White alone", "Black or African American alone", "American Indian and Alaska Native alone", "Asian alone", "Native Hawaiian and Other Pacific Islander alone", "Some Other Race alone", "Black or African American and White",
     "American Indian and Alaska Native and White", "Asian and White", "American Indian and Alaska Native and Black or African American", "Remainder of Two or More Race Responses",
 )
+#: The levels of 1940's races, of the demonstration product's units and of the older relationships.
+RACES_1940 = ("White", "Black/African American", "American Indian or Alaska Native", "Chinese", "Japanese", "Other Asian or Pacific Islander")
+UNIT_FACILITIES = (
+    "Occupied", "Vacant", "Federal detention centers", "Federal prisons", "State prisons", "Local jails and other municipal confinement facilities", "Correctional residential facilities", "Military disciplinary barracks and jails",
+    "Group homes for juveniles (non-correctional)", "Residential treatment centers for juveniles (non-correctional)", "Correctional facilities intended for juveniles", "Nursing facilities/skilled-nursing facilities",
+    "Mental (psychiatric) hospitals and psychiatric units in other hospitals", "Hospitals with patients who have no usual home elsewhere", "In-patient hospice facilities", "Military treatment facilities with assigned patients",
+    "Residential schools for people with disabilities", "College/university student housing", "Military quarters", "Military ships", "Emergency and transitional shelters (with sleeping facilities) for people experiencing homelessness", "Soup kitchens",
+    "Regularly scheduled mobile food vans", "Targeted non-sheltered outdoor locations", "Group homes intended for adults", "Residential treatment centers for adults", "Maritime/merchant vessels", "Workers’ group living quarters and job corps centers",
+    "Living quarters for victims of natural disasters", "Religious group quarters and domestic violence shelters",
+)
+RELATIVES = (
+    "Householder", "Husband/Wife", "Biological Son/Daughter", "Adopted Son/Daughter", "Stepson/Stepdaughter", "Brother/Sister", "Father/Mother", "Grandchild", "Parent-in-law", "Son/Daughter-in-law", "Other relative", "Roomer, Boarder", "Housemate, Roommate",
+    "Unmarried Partner", "Other Non-relative",
+)
+RELATIVE_FACILITIES = (
+    "Federal Detention Centers (101)", "Federal Prisons (102)", "State Prisons (103)", "Local Jails and Other Municipal Confinement Facilities (104)", "Correctional Residential Facilities (105)", "Military Disciplinary Barracks and Jails (106)",
+    "Group Homes for Juveniles (Non-Correctional) (201)", "Residential Treatment Centers (Non-Correctional) (202)", "Correctional Facilities Intended for Juveniles (203)", "Nursing Facilities/Skilled-Nursing Facilities (301)",
+    "Mental (Psychiatric) Hospitals and Psychiatric Units in Other Hospitals (401)", "Hospitals with Patients Who Have No Usual Home Elsewhere (402)", "In-Patient Hospice Facilities (403)", "Military Treatment Facilities with Assigned Patients (404)",
+    "Residential Schools for People with Disabilities (405)", "College/University Student Housing (501)", "Military Quarters (601)", "Military Ships (602)", "Emergency and Transitional Shelters (with Sleeping Facilities) for People Experiencing Homelessness (701)",
+    "Soup Kitchens (702)", "Regularly Scheduled Mobile Food Vans (704)", "Targeted Non-Sheltered Outdoor Locations (706)", "Group Homes Intended for Adults (801)", "Residential Treatment Centers for Adults (802)", "Maritime/Merchant Vessels (900)",
+    "Workers' Group Living Quarters and Job Corps Centers (901)", "Living Quarters for Victims of Natural Disasters (903)", "Religious Group Quarters and Domestic Violence Shelters (904)",
+)
+#: Facilities of 1940.
 FACILITIES_1940 = ("Household", "Correctional Institutions", "Mental Institutions", "Institutions for the Elderly, Handicapped, and Poor", "Military", "College Dormitory", "Rooming House", "Other Non-Institutional GQ and Unknown")
+#: Age categories.
 AGE_CATEGORIES = (
     "Under 5 years", "5 to 9 years", "10 to 14 years", "15 to 17 years", "18 to 19 years", "20 to 21 years", "22 to 24 years", "25 to 29 years", "30 to 34 years", "35 to 39 years", "40 to 44 years", "45 to 49 years", "50 to 54 years", "55 to 59 years",
     "60 to 61 years", "62 to 64 years", "65 years", "66 years", "67 to 69 years", "70 to 74 years", "75 to 79 years", "80 to 84 years", "85 years and over",
@@ -198,6 +227,44 @@ def age_category() -> Dim:
     return Dim("agecat", AGE_CATEGORIES, {"votingage": {"Under 18": (0, 1, 2, 3), "18 and over": tuple(range(4, 23))}, "voting": {"18 and over": tuple(range(4, 23))}, "nonvoting": {"Under 18": (0, 1, 2, 3)}})
 
 
+def age_1940() -> Dim:
+    step = lambda w: {f"Under {w} years" if a == 0 else f"{a} to {min(a + w - 1, 115)} years": tuple(range(a, min(a + w, 116))) for a in range(0, 116, w)}
+    return Dim("age1940", age().labels, age().recodes | {f"ageGroups{w}": step(w) for w in (4, 16, 64)})
+
+
+def sex_1940() -> Dim:
+    return Dim("sex1940", sex().labels, sex().recodes)
+
+
+def hispanic_1940() -> Dim:
+    return Dim("hispanic1940", hispanic().labels, {"hispTotal": {"Hispanic": (1,)}, "notHispTotal": {"Not Hispanic": (0,)}})
+
+
+def citizen_1940() -> Dim:
+    return Dim("citizen1940", ("Not a Citizen", "Citizen"))
+
+
+def race_1940() -> Dim:
+    return Dim("cenrace1940", RACES_1940)
+
+
+def unit_facility_demo() -> Dim:
+    """Occupied, vacant, or a kind of group quarters."""
+    n = len(UNIT_FACILITIES)
+    each = {x: (i,) for i, x in enumerate(UNIT_FACILITIES) if i > 1}
+    return Dim("hhgq_unit", UNIT_FACILITIES, {"housing_units": {"Housing Units": (0, 1)}, "hhgq_vector": {"Housing Units": (0, 1), **each}, "total_gq": {"Group Quarters": tuple(range(2, n))}, "gqlevels": each, "vacant": {"Vacant": (1,)}})
+
+
+def relationship() -> Dim:
+    """Relationship to the householder, or the kind of group quarters, in the older list."""
+    labels = (*RELATIVES, *RELATIVE_FACILITIES)
+    n = len(RELATIVES)
+    return Dim("rel", labels, {
+        "gqlevels": {"Household": tuple(range(n)), **{x: (n + i,) for i, x in enumerate(RELATIVE_FACILITIES)}}, "rel_cantbekids": {"Cannot be younger than 15": (0, 1, 6, 8, 9, 12, 13)},
+        "rel_parents": {"Parent": (6, 8)}, "rel_children": {"Child": (2, 3, 4, 9)},
+    })
+
+
 def pl94() -> Schema:
     """Facility x voting age x ethnicity x race: 8 x 2 x 2 x 63 cells."""
     return Schema((facility(), voting_age(), hispanic(), cenrace()))

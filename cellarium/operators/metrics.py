@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .joins import join_ratio_denominator
+from .quantiles import beside_quantiles, exact_quantiles
 from .recode import bin_counts, bin_digitize, bin_power10
 
 
@@ -231,8 +232,8 @@ def total_pop_bins(df: DataFrame, cutoffs: list[tuple[int, int | None]], keys: l
     """By population bin (lo, hi]: rows, mean error, mean per cent error, quantiles. A bin with hi None is open."""
     at = F.array_compact(F.array(*[F.when((F.col("orig") > lo) & (F.lit(True) if hi is None else F.col("orig") <= hi), F.lit(f"({lo}, {'inf' if hi is None else hi}]")) for lo, hi in cutoffs]))
     e = df.withColumn("bin", F.explode(at)).withColumn("e", 100 * ratio(l1(), "orig") if relative else l1().cast("double"))
-    q = F.percentile("e", F.lit(list(QUANTILES)))
-    s = e.groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("n"), F.avg(l1()).alias("mean_l1"), F.avg(100 * ratio(l1(), "orig")).alias("mean_pct"), q.alias("q"))
+    s = e.groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("n"), F.avg(l1()).alias("mean_l1"), F.avg(100 * ratio(l1(), "orig")).alias("mean_pct"))
+    s = beside_quantiles(s, exact_quantiles(e, [*keys, "bin"], F.col("e"), list(QUANTILES)), [*keys, "bin"])
     return s.select(*keys, "bin", "n", "mean_l1", "mean_pct", *[F.col("q")[i].alias(f"q{round(100 * p)}") for i, p in enumerate(QUANTILES)])
 
 
@@ -244,14 +245,18 @@ def l1_by_pop_bin(df: DataFrame, starts: list[int]) -> DataFrame:
 def relative_total_error(df: DataFrame, starts: list[int], threshold: float = 0.05) -> DataFrame:
     """L1 / max(1, orig) by level and bin, and over a level's bins (bin null): mean, share within the threshold, median."""
     e = bin_digitize(df, "orig", starts).withColumn("e", l1() / F.greatest(F.lit(1), F.col("orig")))
-    sets = e.groupingSets([["geolevel", "bin"], ["geolevel"]], "geolevel", "bin")
-    return sets.agg(F.avg("e").alias("mean"), F.avg(F.when(F.col("e") <= threshold, 1.0).otherwise(0.0)).alias("share_within"), F.percentile("e", F.lit(0.5)).alias("median"))
+    keys = ["geolevel", "bin"]
+    both = e.select("geolevel", F.explode(F.array(F.col("bin"), F.lit(None).cast(e.schema["bin"].dataType))).alias("bin"), "e")
+    s = both.groupBy(*keys).agg(F.avg("e").alias("mean"), F.avg(F.when(F.col("e") <= threshold, 1.0).otherwise(0.0)).alias("share_within"))
+    return beside_quantiles(s, exact_quantiles(both, keys, F.col("e"), [0.5]), keys).withColumn("median", F.col("q")[0]).drop("q")
 
 
 def relative_query_error(df: DataFrame, keys: list[str], threshold: float = 0.05, cutoff: int = 0) -> DataFrame:
     """On err_l1_relative: share within the threshold, mean and median of the defined ratios, and how many there are."""
     ok = F.when(F.col("L1Relative") != 2.0, F.col("L1Relative"))
-    return df.filter(F.col("orig") >= cutoff).groupBy(*keys).agg(F.avg(F.when(ok.isNotNull(), F.when(ok <= threshold, 1.0).otherwise(0.0))).alias("share_within"), F.avg(ok).alias("mean"), F.percentile(ok, F.lit(0.5)).alias("median"), F.count(F.lit(1)).alias("n_all"), F.count(ok).alias("n_defined"))
+    rows = df.filter(F.col("orig") >= cutoff)
+    s = rows.groupBy(*keys).agg(F.avg(F.when(ok.isNotNull(), F.when(ok <= threshold, 1.0).otherwise(0.0))).alias("share_within"), F.avg(ok).alias("mean"), F.count(F.lit(1)).alias("n_all"), F.count(ok).alias("n_defined"))
+    return beside_quantiles(s, exact_quantiles(rows, keys, ok, [0.5]), keys).withColumn("median", F.col("q")[0]).drop("q")
 
 
 def county_goal(df: DataFrame, threshold: int) -> DataFrame:
@@ -275,7 +280,8 @@ def blau_quintile_errors(df: DataFrame, keys: list[str], group: list[str]) -> Da
     """Mean signed and absolute error of totals by quintile of the index; quintile edges are exact percentiles."""
     totals = df.groupBy(*keys).agg(F.sum("orig").alias("orig"), F.sum("priv").alias("priv"))
     rows = blau_index(df, keys, group).join(totals, keys).filter("blau is not null")
-    edge = rows.agg(F.percentile("blau", F.lit([0.2, 0.4, 0.6, 0.8])).alias("e")).first()["e"] or [0.0] * 4  # four numbers
+    edge = exact_quantiles(rows, [], F.col("blau"), [0.2, 0.4, 0.6, 0.8]).first()  # four numbers
+    edge = edge["q"] if edge else [0.0] * 4
     q = reduce(lambda a, b: a + b, [(F.col("blau") > x).cast("int") for x in edge]) + 1
     d = F.col("priv") - F.col("orig")
     return rows.groupBy(q.alias("quintile")).agg(F.count(F.lit(1)).alias("n"), F.avg(d).alias("mean_signed"), F.avg(F.abs(d)).alias("mean_abs"))
@@ -353,7 +359,9 @@ def metric_groups(df: DataFrame, groups: dict[str, tuple[list[str], list[str], s
     forms |= {"tvd": ratio(F.col("L1"), 2 * F.col("o")), "one_minus_tvd": 1 - ratio(F.col("L1"), 2 * F.col("o")), "abs_total": F.abs("signed"), "total_rel": ratio(F.abs("signed"), F.col("o"))}
     want = F.array_compact(F.array(*[F.when(F.col("geolevel").isin(levels), F.struct(F.lit(g).alias("metric_group"), F.lit(m).alias("metric"), F.lit(how).alias("how"), forms[m].alias("value"))) for g, (levels, ms, how) in groups.items() for m in ms]))
     rows = u.select("geolevel", F.explode(want).alias("x")).select("geolevel", "x.*")
-    s = rows.groupBy("metric_group", "geolevel", "metric", "how").agg(F.sum("value").alias("sum"), F.avg("value").alias("avg"), F.percentile("value", F.lit([0.0, 0.25, 0.5, 0.75, 1.0])).alias("q"))
+    keys = ["metric_group", "geolevel", "metric", "how"]
+    s = rows.groupBy(*keys).agg(F.sum("value").alias("sum"), F.avg("value").alias("avg"))
+    s = beside_quantiles(s, exact_quantiles(rows.filter("how = 'quantiles'"), keys, F.col("value"), [0.0, 0.25, 0.5, 0.75, 1.0]), keys)
     out = F.when(F.col("how") == "sum", F.array(F.struct(F.lit("sum").alias("statistic"), F.col("sum").alias("value")))).when(F.col("how") == "avg", F.array(F.struct(F.lit("avg").alias("statistic"), F.col("avg").alias("value"))))
     out = out.otherwise(F.array(*[F.struct(F.lit(f"q{p}").alias("statistic"), F.col("q")[i].alias("value")) for i, p in enumerate((0, 25, 50, 75, 100))]))
     return s.select("metric_group", "geolevel", "metric", F.explode(out).alias("x")).select("metric_group", "geolevel", "metric", "x.*")

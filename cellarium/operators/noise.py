@@ -30,8 +30,9 @@ def budget_attach(meas: DataFrame, alloc: DataFrame, scale: tuple[int, int], fra
     proportions do not sum to 1 or one is not positive; the sum is taken over a common denominator.
     """
     w = Window.partitionBy("geolevel")
-    share = (F.col("q_num") * F.lit(1.0)) / F.col("q_den")
-    bad = (F.abs(F.sum(share).over(w) - 1) > 1e-12) | (F.min(F.col("q_num")).over(w) <= 0)
+    whole = F.aggregate(F.collect_set("q_den").over(w), F.lit(1).cast("decimal(38,0)"), lambda a, x: (a * x).cast("decimal(38,0)"))  # product of a level's distinct denominators
+    parts = F.sum((F.col("q_num") * (whole / F.col("q_den"))).cast("decimal(38,0)")).over(w)
+    bad = F.coalesce(parts != whole, F.lit(True)) | (F.min(F.col("q_num")).over(w) <= 0)
     num, den = scale
     power = 2 if framework == "zcdp" else 1
     a = alloc.withColumn("budget_error", bad).withColumns({"inv_scale_num": F.col("q_num") * F.col("geo_num") * den**power, "inv_scale_den": F.col("q_den") * F.col("geo_den") * num**power})

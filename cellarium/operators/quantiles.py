@@ -4,16 +4,43 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..sources.files import scratch
+
+
+def exact_quantiles(df: DataFrame, keys: list[str], value: Column, probs: list[float], name: str = "q") -> DataFrame:
+    """(keys, name): array of linear-interpolated quantiles of the values that are not null.
+
+    Equal values are counted first, and ranks are running sums of counts over sorted rows, which spill: no group's values are
+    held in one aggregation state.
+    """
+    n = df.select(*keys, value.cast("double").alias("_v")).filter("_v is not null").groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    ranked = n.withColumns({"_to": F.sum("_c").over(group.orderBy("_v")), "_n": F.sum("_c").over(group)})
+    places = [(F.col("_n") - 1) * F.lit(float(p)) for p in probs]
+    first = lambda rank: F.min(F.when(F.col("_to") > rank, F.col("_v")))
+    ends = ranked.groupBy(*keys, "_n").agg(*[f for i, at in enumerate(places) for f in (first(F.floor(at)).alias(f"_l{i}"), first(F.ceil(at)).alias(f"_h{i}"))])
+    between = [F.col(f"_l{i}") + (F.col(f"_h{i}") - F.col(f"_l{i}")) * (at - F.floor(at)) for i, at in enumerate(places)]
+    return ends.select(*keys, F.array(*between).alias(name))
+
+
+def beside_quantiles(stats: DataFrame, quantiles: DataFrame, keys: list[str]) -> DataFrame:
+    """stats with the quantiles' array; keys may be null."""
+    right = quantiles.toDF(*[f"_{k}" for k in keys], quantiles.columns[-1])
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return stats.join(right, on, "left").drop(*[f"_{k}" for k in keys])
+
 
 def quantile_group(df: DataFrame, cols: list[str], keys: list[str], probs: list[float]) -> DataFrame:
     """(keys, quantile, cols): linear-interpolated quantiles, long by quantile."""
-    q = df.groupBy(*keys).agg(*[F.percentile(c, F.lit(probs)).alias(c) for c in cols])
+    long = df.select(*keys, F.explode(F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_value")) for c in cols])).alias("_x")).select(*keys, "_x.*")
+    q = exact_quantiles(long, [*keys, "_col"], F.col("_value"), probs, "_q")
+    wide = q.groupBy(*keys).agg(*[F.first(F.when(F.col("_col") == c, F.col("_q")), ignorenulls=True).alias(c) for c in cols])
     rows = F.arrays_zip(F.lit(probs).alias("quantile"), *[F.col(c) for c in cols])
-    return q.select(*keys, F.explode(rows).alias("x")).select(*keys, F.col("x.quantile").alias("quantile"), *[F.col(f"x.{c}").alias(c) for c in cols])
+    return wide.select(*keys, F.explode(rows).alias("x")).select(*keys, F.col("x.quantile").alias("quantile"), *[F.col(f"x.{c}").alias(c) for c in cols])
 
 
 def quantile_approx(df: DataFrame, col: str, probs: list[float], err: float = 1e-6) -> DataFrame:
@@ -43,37 +70,36 @@ def category_age_quantiles(df: DataFrame, category: str, probs: list[float], age
     return mean.join(obs, [category, "geolevel", "plb"])
 
 
-def check_sorted(df: DataFrame, order: list[str]) -> DataFrame:
-    """Number of places at which a stored table breaks the order.
+def check_sorted(spark: SparkSession, path: str, order: list[str], form: str = "parquet", **options) -> DataFrame:
+    """Number of places at which a stored table breaks the order, its files taken by name.
 
-    Inside a partition neighbours are compared; across partitions one row each (first and last key) is.
+    Inside a block of a file neighbours are compared; across blocks one row each (first and last key) is.
     """
-    key = F.struct(*order)
-    rows = df.select(F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at"), key.alias("k"))
-    inner = rows.withColumn("before", F.lag("k").over(Window.partitionBy("part").orderBy("at")))
+    df = spark.read.format(form).options(**options).load(path)
+    place = ["_metadata.file_path", "_metadata.file_block_start"]
+    rows = df.select(*place, F.monotonically_increasing_id().alias("at"), F.struct(*order).alias("k"))
+    block = ["file_path", "file_block_start"]
+    inner = rows.withColumn("before", F.lag("k").over(Window.partitionBy(*block).orderBy("at")))
     broken = inner.agg(F.coalesce(F.sum((F.col("before") > F.col("k")).cast("long")), F.lit(0)).alias("n"))
-    edges = rows.groupBy("part").agg(F.min_by("k", "at").alias("first"), F.max_by("k", "at").alias("last"))  # a row per partition
-    across = edges.withColumn("before", F.lag("last").over(Window.orderBy("part"))).agg(F.coalesce(F.sum((F.col("before") > F.col("first")).cast("long")), F.lit(0)).alias("n"))
+    edges = rows.groupBy(*block).agg(F.min_by("k", "at").alias("first"), F.max_by("k", "at").alias("last"))  # a row per block
+    across = edges.withColumn("before", F.lag("last").over(Window.orderBy(*block))).agg(F.coalesce(F.sum((F.col("before") > F.col("first")).cast("long")), F.lit(0)).alias("n"))
     return broken.unionByName(across).agg(F.sum("n").alias("violations"))
 
 
-def record_number(df: DataFrame, order: list[str], buckets: int = 64, out: str = "record_number") -> DataFrame:
+def record_number(df: DataFrame, order: list[str], out: str = "record_number") -> DataFrame:
     """Consecutive numbers from 1 in order, without a single task that sees all rows.
 
-    Rows get a bucket by the quantiles of the first order column; ranks inside buckets are added to the
-    numbers of rows before them.
+    Spark cuts the rows into ranges by sampled bounds of all order columns and a tie-break, so neither a common
+    prefix nor a value that many rows share makes a range large. The ranges are written once, counted, and
+    numbered each from the count of those before it.
     """
-    first = order[0]
-    kind = dict(df.dtypes)[first]
-    if kind in ("int", "bigint", "double", "smallint"):
-        cuts = df.agg(F.percentile_approx(first, [i / buckets for i in range(1, buckets)], 10_000)).first()[0] or []
-        place = reduce(lambda a, b: a + b, [(F.col(first) > c).cast("int") for c in sorted(set(cuts))], F.lit(0))
-    else:
-        place = F.conv(F.hex(F.substring(F.encode(F.col(first).cast("string"), "UTF-8"), 1, 2)), 16, 10).cast("int")
-    rows = df.withColumn("_b", F.coalesce(place, F.lit(-1)))
-    count = rows.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))  # a row per bucket
-    count = count.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    return rows.join(F.broadcast(count), "_b").withColumn(out, F.row_number().over(Window.partitionBy("_b").orderBy(*order)) + F.col("_before")).drop("_b", "_before")
+    ranged = df.withColumn("_at", F.monotonically_increasing_id()).repartitionByRange(*order, "_at").withColumn("_part", F.spark_partition_id())
+    path = scratch(df.sparkSession)
+    ranged.write.parquet(path)
+    rows = df.sparkSession.read.schema(ranged.schema).parquet(path)
+    count = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))  # a row per range
+    count = count.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
+    return rows.join(F.broadcast(count), "_part").withColumn(out, F.row_number().over(Window.partitionBy("_part").orderBy(*order, "_at")) + F.col("_before")).drop("_part", "_before", "_at")
 
 
 def top_failed(df: DataFrame, predicate: Column | str, k: int, order: list[str]) -> DataFrame:

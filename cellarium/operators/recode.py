@@ -26,18 +26,34 @@ def facility_class(code: Column) -> Column:
     return F.when(code.isNull() | (F.trim(code) == ""), 0).otherwise(F.least(F.floor(code.try_cast("int") / 100).cast("int"), F.lit(7)))
 
 
+def facility_codes() -> dict[str, int]:
+    """Three-digit facility code -> level of the relationship dimension."""
+    first = len(A.RELATIONSHIPS)
+    codes = {label.split(" ")[1]: first + i for i, label in enumerate(A.GROUP_QUARTERS)}
+    return codes | {c: codes["997"] for c in A.OTHER_FACILITIES}
+
+
+def relationship(rel: Column, facility: Column, size: Column) -> Column:
+    """Level of the relationship dimension: householders by the size of their unit, other relationships by code, residents of facilities by facility."""
+    code = F.create_map(*[F.lit(x) for kv in facility_codes().items() for x in kv])
+    return F.when((rel == 20) & (size == 1), 0).when((rel == 20) & (size > 1), 1).when(rel.between(21, 36), rel - 19).when(rel.isin(37, 38), F.try_element_at(code, facility))
+
+
 def _persons(df: DataFrame) -> dict[str, Column]:
     age, race = F.col("QAGE").try_cast("int"), F.col("CENRACE").try_cast("int")
     return {
         "sex": F.col("QSEX").try_cast("int") - 1, "age": F.when(age.between(0, 115), age), "votingage": F.when(age.between(0, 115), (age >= 18).cast("int")),
         "hispanic": F.col("CENHISP").try_cast("int") - 1, "hhgq": facility_class(F.col("QGQTYP")), "cenrace": F.when(race.between(1, 63), race - 1),
-        "relgq": F.when(facility_class(F.col("QGQTYP")) == 0, F.col("RELSHIP").try_cast("int") - 20).otherwise(17 + facility_class(F.col("QGQTYP"))),
-    }
+    }
+
 
+def recode_input_person(df: DataFrame, units: DataFrame | None = None, key: str = "MAFID") -> DataFrame:
+    """Schema indices of a person record; ``error`` names the fields whose code is illegal.
 
-def recode_input_person(df: DataFrame) -> DataFrame:
-    """Schema indices of a person record; ``error`` names the fields whose code is illegal."""
-    cols = _persons(df)
+    units: (key, FINAL_POP), joined where the persons do not have FINAL_POP themselves.
+    """
+    df = df if units is None else df.join(units.select(key, "FINAL_POP"), key, "left")
+    cols = _persons(df) | {"relgq": relationship(F.col("RELSHIP").try_cast("int"), F.col("QGQTYP"), F.col("FINAL_POP").try_cast("int"))}
     bad = F.concat_ws(",", *[F.when(c.isNull(), F.lit(n)) for n, c in cols.items()])
     return df.withColumns(cols | {"error": F.nullif(bad, F.lit(""))})
 
@@ -61,7 +77,8 @@ FROM_OUTPUT = {
     "hispanic": "cast(CENHISP as int) - 1",
     "cenrace": "cast(CENRACE as int) - 1",
     "citizen": "case when CITIZEN = '1' then 1 else 0 end",
-    "relgq": "case when cast(GQTYPE as int) = 0 then cast(RELSHIP as int) - 20 else 17 + cast(GQTYPE as int) div 100 end",
+    "relgq": "case when cast(GQTYPE as int) <> 0 then try_element_at(map(" + ", ".join(f"'{c}', {i}" for c, i in facility_codes().items()) + "), GQTYPE)"
+    " when RELSHIP = '20' then case when LIVE_ALONE = '1' then 0 else 1 end else cast(RELSHIP as int) - 19 end",
 }
 
 
@@ -106,11 +123,33 @@ PERSON_LAYOUT = [
     ("GQTYPE", "case when hhgq = 0 then '000' else concat(cast(hhgq as string), '01') end"), ("RELSHIP", "case when hhgq = 0 then cast(coalesce(rel, 0) + 20 as string) else '99' end"),
     ("QSEX", "cast(sex + 1 as string)"), ("QAGE", "age"), ("CENHISP", "cast(hispanic + 1 as string)"), ("CENRACE", "lpad(cast(cenrace + 1 as string), 2, '0')"), ("LIVE_ALONE", "'9'"),
 ]
+#: The same for a schema with the relationship dimension: its first 18 levels are relationships, then facilities, institutional to level 32.
+RELATIONSHIP_LAYOUT = [
+    ("SCHEMA_TYPE_CODE", "'MPD'"), ("SCHEMA_BUILD_ID", "'1.0'"), ("geocode", "geocode"), ("RTYPE", "case when relgq < 18 then '3' when relgq < 42 then '5' end"),
+    ("GQTYPE", "case when relgq < 18 then '000' else try_element_at(array(" + ", ".join(f"'{g.split(' ')[1]}'" for g in A.GROUP_QUARTERS) + "), relgq - 17) end"),
+    ("RELSHIP", "case when relgq < 2 then '20' when relgq < 18 then cast(relgq + 19 as string) when relgq < 33 then '37' when relgq < 42 then '38' end"),
+    ("QSEX", "cast(sex + 1 as string)"), ("QAGE", "age"), ("CENHISP", "cast(hispanic + 1 as string)"), ("CENRACE", "lpad(cast(cenrace + 1 as string), 2, '0')"), ("LIVE_ALONE", "'9'"),
+]
 UNIT_LAYOUT = [
     ("SCHEMA_TYPE_CODE", "'MUD'"), ("SCHEMA_BUILD_ID", "'1.0'"), ("geocode", "geocode"), ("RTYPE", "case when hhgq = 0 then '2' else '4' end"), ("GQTYPE", "case when hhgq = 0 then '000' else concat(cast(hhgq as string), '01') end"),
     ("TEN", "case when vacs > 0 then '0' else cast(ten + 1 as string) end"), ("VACS", "cast(vacs as string)"), ("HHSIZE", "case when vacs > 0 then 0 else hhsize end"), ("HHSEX", "cast(sex + 1 as string)"), ("P60", "case when elderly > 0 then 1 else 0 end"), ("P65", "case when elderly > 1 then 1 else 0 end"), ("P75", "case when elderly > 2 then 1 else 0 end"), ("MULTG", "cast(multi + 1 as string)"),
 ]
 
+#: Occupied units of the schema with 24 household types. Which types are couples of which kind, have own children of which
+#: ages, or are no families; codes of types without a couple differ by the householder's sex. What the schema cannot tell is 9.
+_OWN = "hhtype in (0, 1, 2, 4, 5, 6, 8, 9, 10, 13, 14, 15, 19, 20, 21)"
+_ALONE_BY_SEX = "lpad(cast(case when hhtype = 18 then 5 when hhtype < 22 then 6 when hhtype = 22 then 7 else 8 end + if(sex = 0, 4, 0) as string), 2, '0')"
+HOUSEHOLD_LAYOUT = [
+    ("SCHEMA_TYPE_CODE", "'MUD'"), ("SCHEMA_BUILD_ID", "'1.0'"), ("geocode", "geocode"), ("RTYPE", "'2'"), ("GQTYPE", "'000'"), ("TEN", "'9'"), ("VACS", "'0'"), ("HHSIZE", "hhsize"),
+    ("HHT", "case when hhtype < 8 then '1' when hhtype in (12, 17, 18, 23) then cast(4 + 2 * sex + if(hhsize = 1, 0, 1) as string) when hhtype < 24 then cast(2 + sex as string) else '0' end"),
+    ("HHT2", f"case when hhtype < 8 then if({_OWN}, '01', '02') when hhtype < 18 then if({_OWN}, '03', '04') when hhtype < 24 then {_ALONE_BY_SEX} else '00' end"),
+    ("CPLT", "case when hhtype < 4 then '1' when hhtype < 8 then '2' when hhtype < 13 then '3' when hhtype < 18 then '4' else '0' end"),
+    ("UPART", "case when hhtype between 13 and 17 then if(sex = 0, '1', '3') when hhtype between 8 and 12 then if(sex = 0, '2', '4') else '5' end"),
+    ("MULTG", "case when hhsize < 3 then '0' else cast(multi + 1 as string) end"), ("HHLDRAGE", "hhage + 1"), ("HHSPAN", "cast(hispanic + 1 as string)"), ("HHRACE", "concat('0', cast(hhrace + 1 as string))"),
+    ("PAOC", "case when hhtype in (0, 4, 8, 13, 19) then '1' when hhtype in (1, 5, 9, 14, 20) then '2' when hhtype in (2, 6, 10, 15, 21) then '3' else '4' end"),
+    ("P18", "9"), ("P60", "if(elderly > 0, 1, 0)"), ("P65", "if(elderly > 1, 1, 0)"), ("P75", "if(elderly > 2, 1, 0)"), ("PAC", "'9'"), ("HHSEX", "cast(sex + 1 as string)"),
+]
+
 
 def recode_output_person(df: DataFrame, layout: list[tuple[str, str]] = PERSON_LAYOUT) -> DataFrame:
     return _select(df, layout)
@@ -121,9 +160,11 @@ def recode_output_unit(df: DataFrame, layout: list[tuple[str, str]] = UNIT_LAYOU
 
 
 def recode_output_citizen_race(df: DataFrame) -> DataFrame:
-    """Race and ethnicity of citizens of voting age: Hispanic, else the race alone, else two or more."""
-    alone = F.when(F.col("cenrace") < len(A.RACES), F.col("cenrace") + 1).otherwise(len(A.RACES) + 1)
-    return df.withColumn("CVAPRACE", F.when((F.col("citizen") == 1) & (F.col("votingage") == 1), F.when(F.col("hispanic") == 1, 0).otherwise(alone)))
+    """Race and ethnicity of citizens of voting age, 1 to 12: Hispanic, a race alone, one of four pairs, or the rest."""
+    pairs = {(0, 1): 8, (0, 2): 9, (0, 3): 10, (1, 2): 11}  # by places of the races
+    code = [n + 2 if len(c) == 1 else pairs.get(tuple(sorted(c)), 12) for c in A.race_combinations(A.RACES) for n in c[:1]]
+    race = F.when(F.col("hispanic") == 1, 1).otherwise(F.get(F.lit(code), F.col("cenrace")))
+    return df.withColumn("CVAPRACE", F.when((F.col("citizen") == 1) & (F.col("votingage") == 1), race))
 
 
 def geo_split_padded(df: DataFrame, geocode: str, widths: list[tuple[str, int]]) -> DataFrame:

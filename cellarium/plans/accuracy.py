@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import joins, metrics as M, quantiles as X
+from ..sources.files import scratch
 from . import base as B
 from .base import query
 
@@ -327,7 +328,9 @@ def category_age_quantiles(spark, d):
 
 @query("select count(*) filter (o_custkey < b) as violations from (select o_custkey, lag(o_custkey) over (order by o_orderkey) as b from orders)")
 def check_sorted(spark, d):
-    return X.check_sorted(B.table(spark, d, "orders").orderBy("o_orderkey"), ["o_custkey"])
+    path = scratch(spark)
+    B.table(spark, d, "orders").orderBy("o_orderkey").write.parquet(path)
+    return X.check_sorted(spark, path, ["o_custkey"])
 
 
 @query("select unit_id, row_number() over (order by price, unit_id) as record_number from units")

@@ -115,13 +115,13 @@ units as (select o_orderkey as unit_id, case o_orderstatus when 'F' then 0 when
 persons as (select unit_id, l_linenumber, l_quantity::int as age, case when l_returnflag = 'A' then 0 else 1 end as sex, geocode, status, priority from lineitem join units on l_orderkey = unit_id),
 moved as (select * replace (case when unit_id % 97 = 0 then (priority + 1) % 5 else priority end as priority) from units),
 hist as (select geocode, status, priority, count(*) as cnt from units group by all),
-analysis as (select geocode, 'run_' || run as run_id, '1.0' as plb, 'td1' as budget_group, status, priority, cnt as orig,
+analysis as materialized (select geocode, 'run_' || run as run_id, '1.0' as plb, 'td1' as budget_group, status, priority, cnt as orig,
     greatest(0, cnt + ((geocode::bigint * 15 + status * 5 + priority + 7919 * run) * 1103515245 + 12345) % 2147483648 % 5 - 2)::bigint as priv
   from hist, (select unnest([0, 1, 2]) as run)),
-rolled as (select 'Region' as geolevel, substr(geocode, 1, 1) as geocode, run_id, plb, status, priority, {SUM} from analysis group by all
+rolled as materialized (select 'Region' as geolevel, substr(geocode, 1, 1) as geocode, run_id, plb, status, priority, {SUM} from analysis group by all
   union all select 'Nation', substr(geocode, 1, 3), run_id, plb, status, priority, {SUM} from analysis group by all
   union all select 'Block', geocode, run_id, plb, status, priority, {SUM} from analysis group by all),
-answers as (select geolevel, geocode, run_id, plb, 'total' as query, 'total' as level, {SUM} from rolled group by all
+answers as materialized (select geolevel, geocode, run_id, plb, 'total' as query, 'total' as level, {SUM} from rolled group by all
   union all select geolevel, geocode, run_id, plb, 'status', {ST}, {SUM} from rolled group by all
   union all select geolevel, geocode, run_id, plb, 'pressing', {PS}, {SUM} from rolled group by all
   union all select geolevel, geocode, run_id, plb, 'status * priority', {ST} || ' BY ' || {PR}, {SUM} from rolled group by all),

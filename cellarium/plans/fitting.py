@@ -287,10 +287,15 @@ def topdown_round(spark, d):
     return T.fit_level(parent, child, _CELL).select("geocode", "parent_geocode", "priority", "x")
 
 
-@query(_W("select geocode, parent_geocode, priority, case when settled then total::double else x end as x, settled from (select *, count(*) over (partition by parent_geocode, priority) = 1 or total = 0 as settled from fam where geocode::bigint % 7 = 0)"), "x")
+@query("""select geocode, parent_geocode, status, priority, case when settled then total::double else x end as x, settled from (select c.*, p.total, count(*) over (partition by c.parent_geocode, c.status, c.priority) = 1 or p.total = 0 as settled
+  from (select geocode, substr(geocode, 1, 3) as parent_geocode, status, priority, priv::double as x from analysis where run_id = 'run_2') c join (select substr(geocode, 1, 3) as g, status, priority, sum(case when cnt > 1 then cnt else 0 end)::bigint as total from hist group by all) p
+  on p.g = c.parent_geocode and p.status = c.status and p.priority = c.priority)""", "x")
 def topdown_shortcuts(spark, d):
-    parent, child = _family(spark, d)
-    return T.topdown_shortcuts(parent, child.filter("bigint(geocode) % 7 = 0"), _CELL).select("geocode", "parent_geocode", "priority", "x", "settled")
+    """Families of (status, priority) in a nation: rare ones have a single child or, counting blocks of two and more, an empty parent."""
+    cell = ["status", "priority"]
+    parent = B.hist(spark, d).groupBy(F.substring("geocode", 1, 3).alias("geocode"), *cell).agg(F.sum(F.when(F.col("cnt") > 1, F.col("cnt")).otherwise(0)).alias("total"))
+    child = B.analysis(spark, d).filter("run_id = 'run_2'").select("geocode", F.substring("geocode", 1, 3).alias("parent_geocode"), *cell, F.col("priv").cast("double").alias("x"))
+    return T.topdown_shortcuts(parent, child, cell).select("geocode", "parent_geocode", *cell, "x", "settled")
 
 
 @query("""select geolevel, geocode, priority, x from (with root as (select substr(geocode, 1, 1) as geocode, priority, greatest(0, sum(priv))::bigint as x from analysis where run_id = 'run_2' group by 1, 2),

@@ -6,8 +6,6 @@ local mode) and give back what a reader finds there.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 
 from pyspark.sql import functions as F
 
@@ -18,9 +16,7 @@ from . import base as B
 from .base import query
 
 
-def folder(spark) -> str:
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-")
-    return f"{root.rstrip('/')}/tables-{uuid.uuid4().hex}"
+folder = files.scratch
 
 
 @query("select geocode, status::varchar as status, unit_id::varchar as unit_id from units")

@@ -13,44 +13,60 @@ from .base import HIER, KEYS, NAMES, PR, PS, SCHEMA, ST, query
 
 SUM = B.SUM
 
-# scans: text lines made of the tables' own rows, read back by the scans' own column rules
+# scans: the tables' own rows, written as files and read back by the scans
+
+
+def _written(df, form, **options):
+    path = files.scratch(df.sparkSession)
+    df.write.options(**options).format(form).save(path)
+    return path
+
+
+def _places(spark, d):
+    """Customers as a reference file: the geocode in its five parts."""
+    c = B.customers(spark, d)
+    parts = {"TABBLKST": F.col("region"), "TABBLKCOU": F.col("nation"), "TABTRACTCE": F.substring("bucket", 1, 1), "TABBLKGRPCE": F.substring("bucket", 2, 1), "TABBLK": F.lit("9"), "OIDTABBLK": F.col("c_custkey").cast("string")}
+    area = F.abs("c_acctbal").cast("long").cast("string")
+    return c.select(*[v.alias(k) for k, v in parts.items()], area.alias("AREALAND"), area.alias("AREAWATER"))
 
 
 @query("select geocode, count(*) as n, sum(price)::double as price from units group by all", "price")
 def scan_delimited(spark, d):
-    text = B.units(spark, d).select(F.concat_ws("|", "geocode", "unit_id", "price").alias("value"))
-    got = text.select(F.from_csv("value", "geocode string, unit_id long, price double", {"sep": "|"}).alias("x")).select("x.*")
+    path = _written(B.units(spark, d).select("geocode", "unit_id", "price"), "csv", sep="|", header=True)
+    got = files.scan_delimited(spark, path, "geocode string, unit_id long, price double", "|", True)
     return got.groupBy("geocode").agg(F.count(F.lit(1)).alias("n"), F.sum("price").alias("price"))
 
 
 @query("select unit_id, geocode, status from units where status <> 2")
 def scan_fixed_width(spark, d):
     lines = B.units(spark, d).select(F.concat(F.lit("U"), F.lpad(F.col("unit_id").cast("string"), 12, " "), "geocode", F.col("status").cast("string")).alias("value"))
-    return files.slice_columns(lines.filter(~F.col("value").endswith("2")), [("unit_id", 1, 12, "bigint"), ("geocode", 13, 5, "string"), ("status", 18, 1, "int")])
+    return files.scan_fixed_width(spark, _written(lines, "text"), [("unit_id", 1, 12, "bigint"), ("geocode", 13, 5, "string"), ("status", 18, 1, "int")], ~F.col("value").endswith("2"))
 
 
 @query("select geocode, status::varchar as status, count(*) as n from units group by all")
 def scan_piped_protected(spark, d):
-    lines = B.units(spark, d).select(F.concat_ws("|", "geocode", "status").alias("value")).unionByName(spark.createDataFrame([("# a comment",)], "value string"))
-    kept = lines.filter(~F.col("value").startswith("#")).select(F.from_csv("value", "geocode string, status string", {"sep": "|", "comment": "#"}).alias("x")).select("x.*")
-    return kept.groupBy("geocode", "status").agg(F.count(F.lit(1)).alias("n"))
+    """Every file has its header and comment lines among the rows."""
+    u = B.units(spark, d).select(F.when(F.col("unit_id") % 5 == 0, F.concat(F.lit("#"), "geocode")).otherwise(F.col("geocode")).alias("geocode"), "status")
+    u = u.unionByName(B.units(spark, d).filter("unit_id % 5 = 0").select("geocode", "status"))
+    return files.scan_piped_protected(spark, _written(u, "csv", sep="|", header=True, comment="~")).groupBy("geocode", "status").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("select distinct c_custkey as block, geocode from customers")
+@query("select distinct c_custkey::varchar as \"OIDTABBLK\", geocode || '9' as geocode from customers")
 def scan_geo_reference(spark, d):
-    return files.geo_reference(B.customers(spark, d).withColumnRenamed("c_custkey", "block"), ["region", "nation", "bucket"], "block")
+    places = _places(spark, d).drop("AREALAND", "AREAWATER")
+    return files.scan_geo_reference(spark, _written(places.unionByName(places), "csv", sep="|", header=True))
 
 
-@query("select geocode, sum(trunc(abs(c_acctbal))::bigint / 2589988.0) as land, sum(2 * trunc(abs(c_acctbal))::bigint / 2589988.0) as area from customers group by all", "land area")
+@query("select geocode || '9' as geocode, sum(trunc(abs(c_acctbal))::bigint / 2589988.0) as land, sum(2 * trunc(abs(c_acctbal))::bigint / 2589988.0) as area from customers group by all", "land area")
 def scan_area_reference(spark, d):
-    ref = B.customers(spark, d).withColumns({"l": F.abs("c_acctbal").cast("long").cast("string"), "w": F.abs("c_acctbal").cast("long").cast("string")})
-    return files.area_reference(ref, ["region", "nation", "bucket"], "l", "w").groupBy("geocode").agg(F.sum("land").alias("land"), F.sum("area").alias("area"))
+    got = files.scan_area_reference(spark, _written(_places(spark, d).drop("OIDTABBLK"), "csv", sep="|", header=True))
+    return got.groupBy("geocode").agg(F.sum("land").alias("land"), F.sum("area").alias("area"))
 
 
 @query("select geocode, status, run_id, plb, count(*) as n from (select geocode, status, 'run_0' as run_id, 1.0::double as plb from units union all select geocode, status, 'run_1', 2.0::double from moved) group by all", "plb")
 def scan_runs(spark, d):
-    runs = [files.add_run_metadata(df.select("geocode", "status"), {"run_id": r, "plb": p, "budget_group": None}) for df, r, p in ((B.units(spark, d), "run_0", 1.0), (B.moved(spark, d), "run_1", 2.0))]
-    return runs[0].unionByName(runs[1]).groupBy("geocode", "status", "run_id", "plb").agg(F.count(F.lit(1)).alias("n"))
+    runs = {_written(df.select("geocode", "status"), "parquet"): {"run_id": r, "plb": p, "budget_group": None} for df, r, p in ((B.units(spark, d), "run_0", 1.0), (B.moved(spark, d), "run_1", 2.0))}
+    return files.scan_runs(spark, runs).groupBy("geocode", "status", "run_id", "plb").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("select unit_id, (unit_id % 50)::double / 1000 as plb, 'run_' || (unit_id % 25) as run_id, 'td00' || (unit_id % 3) as budget_group from units", "plb")
@@ -137,21 +153,31 @@ def recode_levels_labels(spark, d):
     return back.select("unit_id", "priority")
 
 
+#: Legal facility codes with their levels, as the SQL has them.
+_FACILITIES = "101 18, 102 19, 103 20, 104 21, 105 22, 106 23, 201 24, 202 25, 203 26, 301 27, 401 28, 402 29, 403 30, 404 31, 405 32, 501 33, 601 34, 602 35, 701 36, 801 37, 802 38, 900 39, 901 40, 702 41, 704 41, 706 41, 903 41, 904 41"
+_FACILITY_CODES = [x.split(" ")[0] for x in _FACILITIES.split(", ")]
+
+
 def _person_codes(spark, d):
     p = B.persons(spark, d)
     return p.select("unit_id", "l_linenumber", "geocode", (F.col("sex") + 1).cast("string").alias("QSEX"), F.lpad((F.col("age") * 3).cast("string"), 3, "0").alias("QAGE"), (F.col("status") % 2 + 1).cast("string").alias("CENHISP"),
-                    F.lpad((F.col("unit_id") % 65).cast("string"), 2, "0").alias("CENRACE"), F.when(F.col("priority") == 0, "   ").otherwise((F.col("priority") * 200 + 1).cast("string")).alias("QGQTYP"), (F.col("l_linenumber") + 19).cast("string").alias("RELSHIP"))
+                    F.lpad((F.col("unit_id") % 65).cast("string"), 2, "0").alias("CENRACE"), F.when(F.col("priority") == 0, "   ").otherwise(F.get(F.lit(_FACILITY_CODES), (F.col("unit_id") % 28).cast("int"))).alias("QGQTYP"),
+                    F.when(F.col("priority") == 0, F.col("l_linenumber") + 19 + F.col("unit_id") % 2 * 10).otherwise(37 + F.col("status") % 2).cast("string").alias("RELSHIP"))
 
 
-_CODES = "select unit_id, l_linenumber, sex, case when age * 3 between 0 and 115 then age * 3 end as age, case when age * 3 between 0 and 115 then (age * 3 >= 18)::int end as votingage, status % 2 as hispanic, case when priority = 0 then 0 else least(priority * 2, 7) end as hhgq, case when unit_id % 65 between 1 and 63 then (unit_id % 65 - 1)::int end as cenrace, l_linenumber from persons"
+_FAC = "(values " + ", ".join("({}, '{}', {})".format(k, *x.split(" ")) for k, x in enumerate(_FACILITIES.split(", "))) + ") f(k, code, level)"
+_CODES = f"select unit_id, l_linenumber, sex, case when age * 3 between 0 and 115 then age * 3 end as age, case when age * 3 between 0 and 115 then (age * 3 >= 18)::int end as votingage, status % 2 as hispanic, case when priority = 0 then 0 else least(code::int // 100, 7) end as hhgq, case when unit_id % 65 between 1 and 63 then (unit_id % 65 - 1)::int end as cenrace, (case when priority = 0 then l_linenumber + 19 + unit_id % 2 * 10 end)::int as rel, case when priority > 0 then level end as fac, count(*) over (partition by unit_id) as pop from persons join {_FAC} on k = unit_id % 28"
 
 
-@query(f"select unit_id, l_linenumber, sex, age, votingage, hispanic, hhgq, cenrace, case when hhgq = 0 then l_linenumber - 1 else 17 + hhgq end as relgq, nullif(concat_ws(',', case when age is null then 'age' end, case when votingage is null then 'votingage' end, case when cenrace is null then 'cenrace' end), '') as error from ({_CODES.replace(', l_linenumber from', ' from')})")
+@query(f"""select unit_id, l_linenumber, sex, age, votingage, hispanic, hhgq, cenrace, case when rel = 20 and pop = 1 then 0 when rel = 20 and pop > 1 then 1
+   when rel = 21 then 2 when rel = 22 then 3 when rel = 23 then 4 when rel = 24 then 5 when rel = 25 then 6 when rel = 26 then 7 when rel = 30 then 11 when rel = 31 then 12 when rel = 32 then 13 when rel = 33 then 14 when rel = 34 then 15 when rel = 35 then 16 when rel = 36 then 17 else fac end as relgq,
+   nullif(concat_ws(',', case when age is null then 'age' end, case when votingage is null then 'votingage' end, case when cenrace is null then 'cenrace' end), '') as error from ({_CODES})""")
 def recode_input_person(spark, d):
-    return recode.recode_input_person(_person_codes(spark, d)).select("unit_id", "l_linenumber", "sex", "age", "votingage", "hispanic", "hhgq", "cenrace", "relgq", "error")
+    units = B.persons(spark, d).groupBy("unit_id").agg(F.count(F.lit(1)).alias("FINAL_POP"))
+    return recode.recode_input_person(_person_codes(spark, d), units, "unit_id").select("unit_id", "l_linenumber", "sex", "age", "votingage", "hispanic", "hhgq", "cenrace", "relgq", "error")
 
 
-@query(f"select hhgq, votingage, hispanic, cenrace, count(*) as n from ({_CODES.replace(', l_linenumber from', ' from')}) group by all")
+@query(f"select hhgq, votingage, hispanic, cenrace, count(*) as n from ({_CODES}) group by all")
 def recode_input_pl94(spark, d):
     return recode.recode_input_pl94(_person_codes(spark, d)).groupBy("hhgq", "votingage", "hispanic", "cenrace").agg(F.count(F.lit(1)).alias("n"))
 
@@ -161,10 +187,12 @@ def recode_input_unit(spark, d):
     return recode.recode_input_unit(B.units(spark, d).withColumn("QGQTYP", F.when(F.col("priority") == 0, None).otherwise((F.col("priority") * 200 + 5).cast("string")))).select("unit_id", "hhgq")
 
 
-@query("select unit_id, l_linenumber, sex, age, (age >= 18)::int as votingage, status % 2 as hispanic from persons")
+@query(f"select unit_id, l_linenumber, sex, age, (age >= 18)::int as votingage, status % 2 as hispanic, case when priority > 0 then level when l_linenumber = 1 then unit_id % 2 else l_linenumber end as relgq from persons join {_FAC} on k = unit_id % 23")
 def recode_from_output(spark, d):
-    out = B.persons(spark, d).withColumns({"QSEX": (F.col("sex") + 1).cast("string"), "QAGE": F.col("age").cast("string"), "CENHISP": (F.col("status") % 2 + 1).cast("string")}).drop("sex", "age")
-    return recode.recode_from_output(out, ["sex", "age", "votingage", "hispanic"]).select("unit_id", "l_linenumber", "sex", "age", "votingage", "hispanic")
+    facility = F.get(F.lit(_FACILITY_CODES), (F.col("unit_id") % 23).cast("int"))
+    out = B.persons(spark, d).withColumns({"QSEX": (F.col("sex") + 1).cast("string"), "QAGE": F.col("age").cast("string"), "CENHISP": (F.col("status") % 2 + 1).cast("string"), "GQTYPE": F.when(F.col("priority") > 0, facility).otherwise("000"),
+        "RELSHIP": (F.col("l_linenumber") + 19).cast("string"), "LIVE_ALONE": F.when(F.col("unit_id") % 2 == 0, "1").otherwise("9")}).drop("sex", "age")
+    return recode.recode_from_output(out, ["sex", "age", "votingage", "hispanic", "relgq"]).select("unit_id", "l_linenumber", "sex", "age", "votingage", "hispanic", "relgq")
 
 
 @query("""select unit_id, bit_count(m)::int as numraces, case m when 0 then null when 1 then 0 when 2 then 1 when 4 then 2 when 3 then 3 when 5 then 4 when 6 then 5 else 6 end as cenrace from (select unit_id, (unit_id % 8)::int as m from units)""")
@@ -194,15 +222,41 @@ def recode_output_person(spark, d):
     return recode.recode_output_person(p).groupBy("geocode", "RTYPE", "GQTYPE", "QSEX", "QAGE", "CENRACE").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("""select geocode, case when r < 18 then '3' else '5' end as "RTYPE", case when r < 18 then '000' else ['101', '102', '103', '104', '105', '106', '201', '202', '203', '301', '401', '402', '403', '404', '405', '501', '601', '602', '701', '801', '802', '900', '901', '997'][r - 17] end as "GQTYPE",
+   case when r in (0, 1) then '20' when r between 2 and 17 then (r + 19)::varchar when r between 18 and 32 then '37' else '38' end as "RELSHIP", count(*) as n from (select geocode, ((unit_id + l_linenumber) % 42)::int as r from persons) group by all""")
+def recode_output_person_relationship(spark, d):
+    p = B.persons(spark, d).withColumns({"relgq": ((F.col("unit_id") + F.col("l_linenumber")) % 42).cast("int"), "hispanic": F.lit(0), "cenrace": F.lit(0)})
+    return recode.recode_output_person(p, recode.RELATIONSHIP_LAYOUT).groupBy("geocode", "RTYPE", "GQTYPE", "RELSHIP").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("""select geocode, case when status = 2 then '0' else (priority % 4 + 1)::varchar end as "TEN", case when status = 2 then '1' else '0' end as "VACS", case when status = 2 then 0 else priority + 1 end as "HHSIZE", case when priority > 1 then 1 else 0 end as "P65", count(*) as n from units group by all""")
 def recode_output_unit(spark, d):
     u = B.units(spark, d).withColumns({"hhgq": F.lit(0), "vacs": (F.col("status") == 2).cast("int"), "ten": F.col("priority") % 4, "hhsize": F.col("priority") + 1, "sex": F.lit(0), "elderly": F.col("priority"), "multi": F.lit(0)})
     return recode.recode_output_unit(u).groupBy("geocode", "TEN", "VACS", "HHSIZE", "P65").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("""select "CVAPRACE", count(*) as n from (select case when status = 1 and age >= 18 then case when sex = 1 then 0 when priority * 2 < 6 then priority * 2 + 1 else 7 end end as "CVAPRACE" from persons) group by all""")
+_HOUSEHOLDS = "(select geocode, (unit_id % 24)::int as t, (unit_id // 24 % 2)::int as s, (unit_id // 7 % 7 + 1)::int as z, status, priority from units)"
+
+
+@query(f"""select geocode, case when t in (0, 1, 2, 3, 4, 5, 6, 7) then '1' when t in (8, 9, 10, 11, 13, 14, 15, 16, 19, 20, 21, 22) then case s when 0 then '2' else '3' end
+    else case when s = 0 and z = 1 then '4' when s = 0 then '5' when z = 1 then '6' else '7' end end as "HHT",
+  case when t in (0, 1, 2, 4, 5, 6) then '01' when t in (3, 7) then '02' when t in (8, 9, 10, 13, 14, 15) then '03' when t in (11, 12, 16, 17) then '04' when t = 18 then case s when 1 then '05' else '09' end
+    when t in (19, 20, 21) then case s when 1 then '06' else '10' end when t = 22 then case s when 1 then '07' else '11' end else case s when 1 then '08' else '12' end end as "HHT2",
+  case when t in (0, 1, 2, 3) then '1' when t in (4, 5, 6, 7) then '2' when t in (8, 9, 10, 11, 12) then '3' when t in (13, 14, 15, 16, 17) then '4' else '0' end as "CPLT",
+  case when t in (13, 14, 15, 16, 17) then case s when 0 then '1' else '3' end when t in (8, 9, 10, 11, 12) then case s when 0 then '2' else '4' end else '5' end as "UPART",
+  case when z < 3 then '0' else (status % 2 + 1)::varchar end as "MULTG", priority + 3 as "HHLDRAGE", (status % 2 + 1)::varchar as "HHSPAN", '0' || (priority + 1) as "HHRACE",
+  case when t in (0, 4, 8, 13, 19) then '1' when t in (1, 5, 9, 14, 20) then '2' when t in (2, 6, 10, 15, 21) then '3' else '4' end as "PAOC", 9 as "P18", (priority in (1, 2, 3))::int as "P60", (priority in (2, 3))::int as "P65", (priority = 3)::int as "P75", count(*) as n from {_HOUSEHOLDS} where priority < 4 group by all""")
+def recode_output_household(spark, d):
+    u = B.units(spark, d).filter("priority < 4").withColumns({"hhtype": (F.col("unit_id") % 24).cast("int"), "sex": (F.floor(F.col("unit_id") / 24) % 2).cast("int"), "hhsize": (F.floor(F.col("unit_id") / 7) % 7 + 1).cast("int"),
+        "multi": F.col("status") % 2, "hhage": F.col("priority") + 2, "hispanic": F.col("status") % 2, "hhrace": F.col("priority"), "elderly": F.col("priority")})
+    cols = ["geocode", "HHT", "HHT2", "CPLT", "UPART", "MULTG", "HHLDRAGE", "HHSPAN", "HHRACE", "PAOC", "P18", "P60", "P65", "P75"]
+    return recode.recode_output_unit(u, recode.HOUSEHOLD_LAYOUT).groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""select "CVAPRACE", count(*) as n from (select case when status = 1 and age >= 18 then case when sex = 1 then 1 when r = 0 then 2 when r = 1 then 3 when r = 2 then 4 when r = 3 then 5 when r = 4 then 6 when r = 5 then 7
+   when r = 6 then 8 when r = 7 then 9 when r = 8 then 10 when r = 11 then 11 else 12 end end as "CVAPRACE" from (select *, unit_id % 63 as r from persons)) group by all""")
 def recode_output_citizen_race(spark, d):
-    p = B.persons(spark, d).withColumns({"citizen": (F.col("status") == 1).cast("int"), "votingage": (F.col("age") >= 18).cast("int"), "hispanic": F.col("sex"), "cenrace": F.col("priority") * 2})
+    p = B.persons(spark, d).withColumns({"citizen": (F.col("status") == 1).cast("int"), "votingage": (F.col("age") >= 18).cast("int"), "hispanic": F.col("sex"), "cenrace": (F.col("unit_id") % 63).cast("int")})
     return recode.recode_output_citizen_race(p).groupBy("CVAPRACE").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -326,27 +380,31 @@ def geo_entity_distance(spark, d):
     return geo.geo_entity_distance(B.xwalk(spark, d), HIER, "segment")
 
 
+#: A hierarchy in which some parents have one child: nations by the tens of their number.
+TENS = [("Region", 1), ("Tens", 2), ("Nation", 3)]
+
+
 def _shares(spark, d):
-    x = hist.geo_rollup(B.hist(spark, d).filter("bigint(geocode) % 3 = 0"), HIER, [])
+    x = hist.geo_rollup(B.hist(spark, d), TENS, [])
     return x.select("geolevel", "geocode", (F.when(F.col("geolevel") == "Region", 0.5).otherwise(0.25)).alias("share"))
 
 
-_SH = "(select distinct geolevel, geocode, case geolevel when 'Region' then 0.5 else 0.25 end::double as share from (select 'Region' as geolevel, substr(geocode, 1, 1) as geocode from hist where geocode::bigint % 3 = 0 union all select 'Nation', substr(geocode, 1, 3) from hist where geocode::bigint % 3 = 0 union all select 'Block', geocode from hist where geocode::bigint % 3 = 0))"
+_SH = "(select distinct geolevel, geocode, case geolevel when 'Region' then 0.5 else 0.25 end::double as share from (select 'Region' as geolevel, substr(geocode, 1, 1) as geocode from hist union all select 'Tens', substr(geocode, 1, 2) from hist union all select 'Nation', substr(geocode, 1, 3) from hist))"
 
 
-@query(f"""select geolevel, geocode, (case when geolevel = 'Block' then case when pn = 1 then 0 else share end when geolevel = 'Nation' then case when pn = 1 then 0 else share + case when kids = 1 then 0.25 else 0 end end
+@query(f"""select geolevel, geocode, (case when geolevel = 'Nation' then case when pn = 1 then 0 else share end when geolevel = 'Tens' then case when pn = 1 then 0 else share + case when kids = 1 then 0.25 else 0 end end
    else share + case when kids = 1 then 0.25 + case when gk = 1 then 0.25 else 0 end else 0 end end)::double as share from (
-  select s.*, case geolevel when 'Block' then (select count(*) from {_SH} x where x.geolevel = 'Block' and substr(x.geocode, 1, 3) = substr(s.geocode, 1, 3)) when 'Nation' then (select count(*) from {_SH} x where x.geolevel = 'Nation' and substr(x.geocode, 1, 1) = substr(s.geocode, 1, 1)) end as pn,
-   case geolevel when 'Nation' then (select count(*) from {_SH} x where x.geolevel = 'Block' and substr(x.geocode, 1, 3) = s.geocode) when 'Region' then (select count(*) from {_SH} x where x.geolevel = 'Nation' and substr(x.geocode, 1, 1) = s.geocode) end as kids,
-   case geolevel when 'Region' then (select count(*) from {_SH} x where x.geolevel = 'Block' and substr(x.geocode, 1, 1) = s.geocode) end as gk from {_SH} s)""", "share")
+  select s.*, case geolevel when 'Nation' then (select count(*) from {_SH} x where x.geolevel = 'Nation' and substr(x.geocode, 1, 2) = substr(s.geocode, 1, 2)) when 'Tens' then (select count(*) from {_SH} x where x.geolevel = 'Tens' and substr(x.geocode, 1, 1) = substr(s.geocode, 1, 1)) end as pn,
+   case geolevel when 'Tens' then (select count(*) from {_SH} x where x.geolevel = 'Nation' and substr(x.geocode, 1, 2) = s.geocode) when 'Region' then (select count(*) from {_SH} x where x.geolevel = 'Tens' and substr(x.geocode, 1, 1) = s.geocode) end as kids,
+   case geolevel when 'Region' then (select count(*) from {_SH} x where x.geolevel = 'Nation' and substr(x.geocode, 1, 1) = s.geocode) end as gk from {_SH} s)""", "share")
 def geo_bypass_single_child(spark, d):
-    return geo.geo_bypass_single_child(_shares(spark, d), HIER).select("geolevel", "geocode", "share")
+    return geo.geo_bypass_single_child(_shares(spark, d), TENS).select("geolevel", "geocode", "share")
 
 
-@query(f"select geocode as leaf, 0.75::double as spent from {_SH} where geolevel = 'Block' and geocode like '2%'", "spent")
+@query(f"select geocode as leaf, 0.75::double as spent from {_SH} where geolevel = 'Nation' and geocode like '2%'", "spent")
 def geo_check_path_budget(spark, d):
-    s = _shares(spark, d).withColumn("share", F.when((F.col("geolevel") == "Nation") & F.col("geocode").startswith("2"), 0.0).otherwise(F.col("share")))
-    return geo.geo_check_path_budget(s, HIER, 1.0)
+    s = _shares(spark, d).withColumn("share", F.when((F.col("geolevel") == "Tens") & F.col("geocode").startswith("2"), 0.0).otherwise(F.col("share")))
+    return geo.geo_check_path_budget(s, TENS, 1.0)
 
 
 # joins

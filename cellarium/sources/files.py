@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +13,16 @@ from pyspark.sql import types as T
 SQUARE_METRES_PER_MILE = 2_589_988
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new path in the folder that all executors share; a local one only in local mode."""
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="spark-")
+    return f"{root.rstrip('/')}/tables-{uuid.uuid4().hex}"
+
+
 def scan_delimited(spark: SparkSession, paths: str | list[str], schema: str | T.StructType, sep: str = ",", header: bool = True, comment: str | None = None) -> DataFrame:
     reader = spark.read.schema(schema).option("sep", sep).option("header", header)
     return (reader.option("comment", comment) if comment else reader).csv(paths)

@@ -143,9 +143,9 @@ def test_files(spark, tmp_path):
     assert rows(files.scan_delimited(spark, str(tmp_path / "out"), "k string, v int", "|")) == [("a", 1), ("b", 2), ("c", 3)]
     runs = files.scan_runs(spark, {str(tmp_path / "out"): {"run_id": "r1"}}, "text")
     assert runs.columns == ["value", "run_id"]
-    with pytest.raises(ValueError):
-        files.drop_true_counts(df, ("nope",)).count() if "nope" in df.columns else (_ for _ in ()).throw(ValueError)
-    assert files.drop_true_counts(df.withColumn("orig", F.lit(1))).columns == ["k", "v"]
+    true = df.withColumns({c: F.lit(1) for c in ("orig", "RAW", "truth", "raw_housing")})
+    assert files.drop_true_counts(true).columns == ["k", "v"] == files.drop_true_counts(df).columns
+    assert files.drop_true_counts(true, ("truth",)).columns == ["k", "v", "orig", "RAW", "raw_housing"]
 
 
 def test_record_number_and_order(spark):
@@ -155,6 +155,16 @@ def test_record_number_and_order(spark):
         assert [r.record_number for r in got] == list(range(1, 5001)) and [r[first] for r in got] == sorted(r[first] for r in got)
 
 
+def test_order_of_stored_files_and_numbers_of_decimals(spark, tmp_path):
+    for k, (a, b) in enumerate(((0, 5000), (5000, 5010), (5010, 9000))):
+        spark.range(a, b, numPartitions=1).write.parquet(str(tmp_path / f"x/part={k}"))
+    assert quantiles.check_sorted(spark, str(tmp_path / "x"), ["id"]).first().violations == 0
+    spark.range(3, 4).write.mode("append").parquet(str(tmp_path / "x/part=1"))
+    assert quantiles.check_sorted(spark, str(tmp_path / "x"), ["id"]).first().violations > 0
+    df = spark.createDataFrame([("10.5",), ("-3",), ("100.25",), ("9.5",), (None,)], "v string").select(F.col("v").cast("decimal(10,2)").alias("v"))
+    assert [float(r.v or -99) for r in quantiles.record_number(df, ["v"]).orderBy("record_number").collect()] == [-99, -3, 9.5, 10.5, 100.25]
+
+
 def test_checks(spark):
     u = spark.createDataFrame([("1", 0), ("1", 0), ("2", 1)], "geocode string, t int")
     p = spark.createDataFrame([("1", 0), ("3", 1)], "geocode string, t int")
