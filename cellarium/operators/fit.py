@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..sources.files import scratch
 from .geo import Hier
 
 
@@ -154,11 +155,41 @@ def fit_level(parent: DataFrame, child: DataFrame, cell: list[str], var: str | N
     return topdown_round(parent, topdown_nonnegative(parent, even, cell), cell)
 
 
-def topdown_levels(meas: DataFrame, hier: Hier, cell: list[str], checkpoint=None) -> DataFrame:
+def topdown_queries(parent: DataFrame, child: DataFrame, cell: list[str], answers: DataFrame, level_of: dict[str, str], rounds: int = 8) -> DataFrame:
+    """Children fitted to the noisy answers of further queries too, and to the parent's cells.
+
+    answers: (geocode, query, level, noisy, variance); level_of: query -> expression over cell columns that gives a cell's
+    level. The least-squares fit, weighted by 1 / variance, is the projection of cells and answers onto the planes "a level's
+    cells add up to its answer" and "children add up to the parent"; projecting on one after the other converges to
+    it, and the last one leaves sums exact. Every step is a window inside a parent's family, so after one shuffle nothing
+    moves. Levels without an answer bind nothing.
+    """
+    f = _family(parent, child, cell)
+    for i, (query, level) in enumerate(level_of.items()):
+        a = answers.filter(F.col("query") == query).select("geocode", F.col("level").alias(f"_l{i}"), F.col("noisy").cast("double").alias(f"_y{i}"), F.col("variance").cast("double").alias(f"_v{i}"))
+        f = f.withColumn(f"_l{i}", F.expr(level)).join(a, ["geocode", f"_l{i}"], "left")
+    f = f.repartition("parent_geocode")
+    for _ in range(rounds):
+        for i in range(len(level_of)):
+            w = Window.partitionBy("parent_geocode", "geocode", f"_l{i}")
+            share = (F.sum("x").over(w) - F.col(f"_y{i}")) / (F.sum("variance").over(w) + F.col(f"_v{i}"))
+            f = f.withColumn("_share", F.coalesce(share, F.lit(0.0))).withColumns({"x": F.col("x") - F.col("variance") * F.col("_share"), f"_y{i}": F.col(f"_y{i}") + F.col(f"_v{i}") * F.col("_share")})
+        w = Window.partitionBy("parent_geocode", *cell)
+        f = f.withColumn("x", F.col("x") + (F.col("_total") - F.sum("x").over(w)) * F.col("variance") / F.sum("variance").over(w))
+    return f.select(*child.columns)
+
+
+def _written(df: DataFrame) -> DataFrame:
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def topdown_levels(meas: DataFrame, hier: Hier, cell: list[str], checkpoint=_written) -> DataFrame:
     """(geolevel, geocode, cell, x): from the root down, one plan a level. meas: (geolevel, geocode, cell, noisy, variance).
 
     The root is its own measurement, rounded and not negative. ``checkpoint`` (a function of a DataFrame) cuts
-    lineage between levels on deep hierarchies.
+    lineage between levels: each is written and read by the next, so no plan holds those above it.
     """
     level, n = hier[0]
     now = meas.filter(F.col("geolevel") == level).select("geocode", *cell, F.greatest(F.round("noisy").cast("long"), F.lit(0)).cast("long").alias("x"))
@@ -166,7 +197,7 @@ def topdown_levels(meas: DataFrame, hier: Hier, cell: list[str], checkpoint=None
     for level, _ in hier[1:]:
         child = meas.filter(F.col("geolevel") == level).select("geocode", F.substring("geocode", 1, n).alias("parent_geocode"), *cell, F.col("noisy").cast("double").alias("x"), "variance")
         now = fit_level(now.withColumnRenamed("x", "total"), child, cell).select("geocode", *cell, "x")
-        now = checkpoint(now) if checkpoint else now
+        now = checkpoint(now)
         out.append(now.withColumn("geolevel", F.lit(level)))
         n = dict(hier)[level]
     return reduce(DataFrame.unionByName, out).select("geolevel", "geocode", *cell, "x")

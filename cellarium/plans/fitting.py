@@ -298,6 +298,23 @@ def topdown_shortcuts(spark, d):
     return T.topdown_shortcuts(parent, child, cell).select("geocode", "parent_geocode", *cell, "x", "settled")
 
 
+_ROUND = """a{k} as (select * replace (x - variance * share as x, y + 2.0 * share as y) from (select *, (sum(x) over w - y) / (sum(variance) over w + 2.0) as share from b{j} window w as (partition by geocode, status))),
+b{k} as (select geocode, parent_geocode, status, priority, x + (total - sum(x) over w) * variance / sum(variance) over w as x, y, variance, total from a{k} window w as (partition by parent_geocode, status, priority)),
+"""
+
+
+@query("""select geocode, parent_geocode, status, priority, x from (with b0 as (select c.geocode, substr(c.geocode, 1, 3) as parent_geocode, c.status, c.priority, c.priv::double as x, m.y, (1 + c.geocode::bigint % 4)::double as variance, p.total from analysis c
+ join (select geocode, status, sum(priv)::double as y from analysis where run_id = 'run_1' group by all) m on m.geocode = c.geocode and m.status = c.status
+ join (select substr(geocode, 1, 3) as g, status, priority, sum(cnt)::bigint as total from hist group by all) p on p.g = substr(c.geocode, 1, 3) and p.status = c.status and p.priority = c.priority where c.run_id = 'run_2'),
+""" + "".join(_ROUND.format(k=k, j=k - 1) for k in (1, 2)).rstrip(",\n") + " select * from b2)", "x")
+def topdown_queries(spark, d):
+    cell, a = ["status", "priority"], B.analysis(spark, d)
+    parent = B.hist(spark, d).groupBy(F.substring("geocode", 1, 3).alias("geocode"), *cell).agg(F.sum("cnt").alias("total"))
+    child = a.filter("run_id = 'run_2'").select("geocode", F.substring("geocode", 1, 3).alias("parent_geocode"), *cell, F.col("priv").cast("double").alias("x"), (1 + F.col("geocode").cast("long") % 4).cast("double").alias("variance"))
+    answers = a.filter("run_id = 'run_1'").groupBy("geocode", F.col("status").cast("string").alias("level")).agg(F.sum("priv").alias("noisy")).withColumns({"query": F.lit("status"), "variance": F.lit(2.0)})
+    return T.topdown_queries(parent, child, cell, answers, {"status": "cast(status as string)"}, 2).select("geocode", "parent_geocode", *cell, "x")
+
+
 @query("""select geolevel, geocode, priority, x from (with root as (select substr(geocode, 1, 1) as geocode, priority, greatest(0, sum(priv))::bigint as x from analysis where run_id = 'run_2' group by 1, 2),
 """ + "".join(f"""f{n} as (select c.geocode, p.geocode as parent, c.priority, c.x, 1.0::double as variance, coalesce(p.x, 0) as total from (select substr(geocode, 1, {n}) as geocode, priority, sum(priv)::double as x from analysis where run_id = 'run_2' group by 1, 2) c left join {up} p on p.geocode = substr(c.geocode, 1, {m}) and p.priority = c.priority),
 c{n} as (select geocode, parent, priority, x + (total - sum(x) over w) * variance / sum(variance) over w as x, total from f{n} window w as (partition by parent, priority)),
@@ -317,15 +334,22 @@ def topdown_state_groups(spark, d):
     return T.topdown_state_groups(parent, child, _CELL, "substr(geocode, 2, 2)").select("geocode", "parent_geocode", "priority", "x")
 
 
-@query("select parent_geocode, priority, sum(x)::bigint as total, bool_and(x between lo and hi) as inside from (select substr(geocode, 1, 3) as parent_geocode, priority, x, 0 as lo, 10000 as hi from (select geocode, priority, sum(priv) as x from analysis where run_id = 'run_2' group by all)) group by all")
+_CLIP = """r{k} as (select * exclude (miss, room, upto) replace (x + sign(miss)::bigint * greatest(0, least(room, abs(miss) - (upto - room))) as x) from (select *, sum(room) over (partition by parent_geocode, priority order by geocode rows unbounded preceding) as upto
+  from (select *, case when miss > 0 then hi - x when miss < 0 then x - lo else 0 end as room from (select *, goal - sum(x) over (partition by parent_geocode, priority) as miss from r{j})))),
+"""
+
+
+@query("""select geocode, parent_geocode, priority, x::bigint as x from (with c as (select geocode, substr(geocode, 1, 3) as parent_geocode, geocode::bigint as k, priority, sum(priv)::bigint as x from analysis where run_id = 'run_2' group by all),
+b as (select *, case when k % 5 = 0 then 0 else greatest(x - 2, 0) end as l, case when k % 3 = 0 then greatest(x - 1, 0) else x + 2 end as h from c),
+r0 as (select geocode, parent_geocode, priority, least(greatest(x, lo), hi) as x, lo, hi, goal from (select *, least(l, h) as lo, case when row_number() over (partition by parent_geocode, priority order by geocode desc) = 1 then 10000 else h end as hi, sum(x) over (partition by parent_geocode, priority) as goal from b)),
+""" + "".join(_CLIP.format(k=k, j=k - 1) for k in (1, 2, 3, 4)).rstrip(",\n") + " select * from r4)")
 def topdown_bounds_clip(spark, d):
-    """Bounds tighter than the counts at both ends, wide enough for every family: sums stay and bounds hold."""
+    """Bounds tighter than the counts at both ends, wide enough for every family."""
     _, child = _family(spark, d)
     k = F.col("geocode").cast("long")
     child = child.withColumns({"x": F.col("x").cast("long"), "lo": F.when(k % 5 == 0, 0).otherwise(F.greatest(F.col("x").cast("long") - 2, F.lit(0))), "hi": F.when(k % 3 == 0, F.greatest(F.col("x").cast("long") - 1, F.lit(0))).otherwise(F.col("x").cast("long") + 2)})
     child = child.withColumns({"lo": F.least("lo", "hi"), "hi": F.when(F.row_number().over(Window.partitionBy("parent_geocode", "priority").orderBy(F.col("geocode").desc())) == 1, F.lit(10000)).otherwise(F.col("hi"))})
-    got = T.topdown_bounds_clip(child, _CELL)
-    return got.groupBy("parent_geocode", "priority").agg(F.sum("x").alias("total"), F.bool_and(F.col("x").between(F.col("lo"), F.col("hi"))).alias("inside"))
+    return T.topdown_bounds_clip(child, _CELL).select("geocode", "parent_geocode", "priority", F.col("x").cast("long").alias("x"))
 
 
 @query(_W("select 'Block' as geolevel, count(*) filter (bad) as infeasible from (select parent_geocode, bool_or(total <> x) as bad from (select parent_geocode, priority, max(total) as total, sum(floor(x))::bigint as x from non group by all) group by all)"))

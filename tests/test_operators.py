@@ -1,5 +1,6 @@
 """Golden examples and properties of the operators."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -165,6 +166,29 @@ def test_order_of_stored_files_and_numbers_of_decimals(spark, tmp_path):
     assert [float(r.v or -99) for r in quantiles.record_number(df, ["v"]).orderBy("record_number").collect()] == [-99, -3, 9.5, 10.5, 100.25]
 
 
+def test_fit_to_further_queries_is_least_squares(spark):
+    """Against the normal equations: two children of one parent, three cells, the answers of one query in two levels."""
+    rng = np.random.default_rng(2)
+    kids, cells, level = ["a1", "a2"], [0, 1, 2], [0, 0, 1]
+    x0, v, y, vy, total = rng.uniform(0, 9, (2, 3)), rng.uniform(1, 3, (2, 3)), rng.uniform(0, 15, (2, 2)), rng.uniform(1, 3, (2, 2)), np.array([9.0, 7.0, 5.0])
+    child = spark.createDataFrame([(g, "a", c, float(x0[i, c]), float(v[i, c])) for i, g in enumerate(kids) for c in cells], "geocode string, parent_geocode string, c int, x double, variance double")
+    parent = spark.createDataFrame([("a", c, float(total[c])) for c in cells], "geocode string, c int, total double")
+    answers = spark.createDataFrame([(g, "q", str(k), float(y[i, k]), float(vy[i, k])) for i, g in enumerate(kids) for k in (0, 1)], "geocode string, query string, level string, noisy double, variance double")
+    got = {(r.geocode, r.c): r.x for r in fit.topdown_queries(parent, child, ["c"], answers, {"q": "case when c < 2 then '0' else '1' end"}, 40).collect()}
+    start, weight = np.concatenate([x0.ravel(), y.ravel()]), np.concatenate([v.ravel(), vy.ravel()])
+    planes, goal = [], []
+    for i in range(2):
+        for k in (0, 1):
+            planes.append([float(j == i and level[c] == k) for j in range(2) for c in cells] + [-float(j == i and m == k) for j in range(2) for m in (0, 1)])
+            goal.append(0.0)
+    for c in cells:
+        planes.append([float(e == c) for _ in range(2) for e in cells] + [0.0] * 4)
+        goal.append(total[c])
+    a = np.array(planes)
+    want = start - weight * (a.T @ np.linalg.lstsq(a @ (weight[:, None] * a.T), a @ start - np.array(goal), rcond=None)[0])
+    assert all(abs(got[g, c] - want[3 * i + c]) < 1e-6 for i, g in enumerate(kids) for c in cells)
+
+
 def test_checks(spark):
     u = spark.createDataFrame([("1", 0), ("1", 0), ("2", 1)], "geocode string, t int")
     p = spark.createDataFrame([("1", 0), ("3", 1)], "geocode string, t int")
