@@ -284,9 +284,24 @@ def pl94_citizens() -> Schema:
 
 #: Published tables: name -> queries.
 TABLES = {
-    "P1": ["total", "majorRaces", "numraces", "cenrace"],
-    "P2": ["hispanic", "hispanic * majorRaces", "hispanic * numraces", "hispanic * cenrace"],
-    "P3": ["voting", "voting * majorRaces", "voting * numraces", "voting * cenrace"],
-    "P4": ["voting * hispanic", "voting * hispanic * majorRaces", "voting * hispanic * cenrace"],
+    "P1": ["total", "numraces", "cenrace"],
+    "P2": ["total", "hispanic", "numraces", "cenrace", "hispanic * numraces", "hispanic * cenrace"],
+    "P3": ["votingage", "votingage * numraces", "votingage * cenrace"],
+    "P4": ["votingage", "votingage * hispanic", "votingage * numraces", "votingage * cenrace", "votingage * hispanic * numraces", "votingage * hispanic * cenrace"],
+    "P42": ["household", "institutionalized", "gqlevels"],
     "P5": ["household", "gqTotal", "institutionalized", "gqlevels"],
 }
+#: The first four by citizenship too: every query also with citizens and others apart.
+TABLES |= {f"{t}_CVAP": [*TABLES[t], *["citizen" if q == "total" else f"{q} * citizen" for q in TABLES[t]]] for t in ("P1", "P2", "P3", "P4")}
+
+#: Least and greatest legal age by level of the relationship dimension; other levels have none.
+LEGAL_AGES = {
+    0: (15, 115), 1: (15, 115), 2: (15, 115), 3: (15, 115), 4: (15, 115), 5: (15, 115), 6: (0, 89), 7: (0, 89), 8: (0, 89), 10: (30, 115), 11: (0, 74), 12: (30, 115), 13: (15, 89), 16: (0, 20),
+    18: (15, 115), 19: (15, 115), 20: (15, 115), 21: (15, 115), 22: (15, 115), 23: (17, 65), 24: (0, 25), 25: (0, 25), 26: (0, 25), 27: (20, 115), 31: (17, 65), 32: (3, 30), 33: (16, 65), 34: (17, 65), 35: (17, 65),
+    37: (16, 115), 38: (16, 115), 39: (16, 75), 40: (16, 75),
+}
+
+
+def age_rules() -> list[str]:
+    """Predicates that no cell of relationship and age may meet, for constraint_structural_zeros."""
+    return [f"relgq = {k} and not age between {lo} and {hi}" for k, (lo, hi) in LEGAL_AGES.items()]

@@ -7,6 +7,7 @@ import math
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions import attributes as A
 from ..operators import fit as T
 from ..operators import hist, noise as N
 from . import base as B
@@ -223,6 +224,14 @@ def constraint_structural_zeros(spark, d):
     return T.constraint_structural_zeros(B.hist(spark, d), ["status = 0 and priority = 3", "priority = 4"])
 
 
+@query("""select geocode, r as relgq, age, count(*) as cnt from (select geocode, ((unit_id * 5 + l_linenumber) % 42)::int as r, (unit_id % 100)::int as age from persons) where (r between 0 and 5 or r between 18 and 22) and age < 15 or r in (6, 7, 8) and age > 89 or r in (10, 12) and age < 30
+  or r = 11 and age > 74 or r = 13 and (age < 15 or age > 89) or r = 16 and age > 20 or r in (23, 31, 34, 35) and (age < 17 or age > 65) or r in (24, 25, 26) and age > 25 or r = 27 and age < 20 or r = 32 and (age < 3 or age > 30) or r = 33 and (age < 16 or age > 65)
+  or r in (37, 38) and age < 16 or r in (39, 40) and (age < 16 or age > 75) group by all""")
+def constraint_legal_ages(spark, d):
+    p = B.persons(spark, d).select("geocode", ((F.col("unit_id") * 5 + F.col("l_linenumber")) % 42).cast("int").alias("relgq"), (F.col("unit_id") % 100).cast("int").alias("age"))
+    return T.constraint_structural_zeros(hist.hist_sparse(p, "geocode", ["relgq", "age"]), A.age_rules()).select("geocode", "relgq", "age", "cnt")
+
+
 @query("select geocode, 'status = 0' as rule, a as lhs, 1.5 * b::double as bound from (select geocode, sum(case when status = 0 then cnt else 0 end)::bigint as a, sum(case when status = 1 then cnt else 0 end)::bigint as b from hist group by all) where a > 1.5 * b", "bound")
 def constraint_household_bounds(spark, d):
     return T.constraint_household_bounds(B.hist(spark, d), [("status = 0", "status = 1", 1.5)])

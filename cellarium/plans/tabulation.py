@@ -627,6 +627,22 @@ def table_product(spark, d):
     return Q.table_product(B.rolled(spark, d), {"T1": ["total", "status"], "T2": ["status", "status * priority"]}, ["T1", "T2"], SCHEMA, KEYS)
 
 
+_AGES = "case when age >= 18 then '18 years and over' else '17 years and under' end"
+_CITIZENS = "case when status = 1 then 'Citizen' else 'Non-citizen' end"
+_RACES = "case when r < 6 then '1 race' when r < 21 then '2 races' when r < 41 then '3 races' when r < 56 then '4 races' when r < 62 then '5 races' else '6 races' end"
+_P3 = {"votingage": _AGES, "votingage * numraces": f"{_AGES} || ' BY ' || {_RACES}", "votingage * citizen": f"{_AGES} || ' BY ' || {_CITIZENS}", "votingage * numraces * citizen": f"{_AGES} || ' BY ' || {_RACES} || ' BY ' || {_CITIZENS}"}
+
+
+@query("select * from (" + " union all ".join(f"select t as table_name, g as geocode, '{q}' as query, {level} as level, count(*) as cnt from p join (values ('P3_CVAP')" + ("" if "citizen" in q else ", ('P3')") + ") v(t) on true group by all" for q, level in _P3.items()).replace("from p ", "from (select *, substr(geocode, 1, 3) as g, (unit_id % 63)::int as r from persons) p ") + ")")
+def table_product_citizens(spark, d):
+    """The published tables of the voting age with and without citizenship; races by their number only, to keep the SQL readable."""
+    p = B.persons(spark, d).select(F.substring("geocode", 1, 3).alias("geocode"), F.lit(0).alias("hhgq"), (F.col("age") >= 18).cast("int").alias("votingage"), F.lit(0).alias("hispanic"), (F.col("unit_id") % 63).cast("int").alias("cenrace"), (F.col("status") == 1).cast("int").alias("citizen"))
+    schema = A.pl94_citizens()
+    cells = p.groupBy("geocode", *schema.names).agg(F.count(F.lit(1)).alias("cnt"))
+    tables = {t: [q for q in A.TABLES[t] if "cenrace" not in q] for t in ("P3", "P3_CVAP")}
+    return Q.table_product(cells, tables, list(tables), schema, ["geocode"], ("cnt",)).select("table_name", "geocode", "query", "level", "cnt")
+
+
 _FULL = f"(select k.*, w.level, coalesce(a.orig, 0)::bigint as orig, coalesce(a.priv, 0)::bigint as priv, a.orig is null as was_missing from (select distinct geolevel, geocode, run_id, plb from rolled) k cross join (select s || ' BY ' || p as level from (select unnest(['Filled', 'Open', 'Pending']) as s) cross join (select unnest(['Urgent', 'High', 'Medium', 'None', 'Low']) as p)) w left join (select * from answers where query = 'status * priority') a using (geolevel, geocode, run_id, plb, level))"
 
 

@@ -56,13 +56,14 @@ def test_flat_index_round_trip(spark):
 
 def test_attributes():
     assert len(A.race_combinations()) == 63 and A.pl94().size == 2016
-    for d in (A.sex(), A.age(), A.cenrace(), A.facility(), A.tenure(), A.vacancy(), A.tenure_vacancy_gq(), A.household_size(), A.household_age(), A.household_elderly(), A.householder_race(), A.h1(), A.citizen(), A.multigenerational(), A.hispanic(), A.voting_age(), A.relationship_gq(), A.household_type(), A.citizen_race(), A.facility_1940(), A.age_category()):
+    for d in (A.sex(), A.age(), A.cenrace(), A.facility(), A.tenure(), A.vacancy(), A.tenure_vacancy_gq(), A.household_size(), A.household_age(), A.household_elderly(), A.householder_race(), A.h1(), A.citizen(), A.multigenerational(), A.hispanic(), A.voting_age(), A.relationship_gq(), A.household_type(), A.citizen_race(), A.facility_1940(), A.age_category(), A.age_1940(), A.sex_1940(), A.hispanic_1940(), A.citizen_1940(), A.race_1940(), A.unit_facility_demo(), A.relationship()):
         for name, groups in d.recodes.items():
             used = [i for ix in groups.values() for i in ix]
             assert len(used) == len(set(used)) and set(used) <= set(range(d.size)), (d.name, name)
-    for queries in A.TABLES.values():
+    for name, queries in A.TABLES.items():
         for q in queries:
-            A.pl94().parse(q)
+            (A.pl94_citizens() if name.endswith("CVAP") else A.pl94()).parse(q)
+    assert set(recode.facility_codes().values()) == set(range(18, 42)) and len(A.age_rules()) == len(A.LEGAL_AGES)
 
 
 def test_dim_tables(spark):
