@@ -134,14 +134,19 @@ def sql_table_pipeline(spark: SparkSession, inputs: dict[str, DataFrame], pre: d
 
     ``<table>_noisy``; every post statement (with {t} for the table's suffix) runs on the true and the noisy tables.
     """
-    for name, df in inputs.items():
-        df.createOrReplaceTempView(name)
-    for name, statement in pre.items():
-        spark.sql(statement).createOrReplaceTempView(name)
-    for name, (measure, extra) in noise.items():
-        t = spark.table(name)
-        t.withColumn(measure, F.expr(f"{measure} + ({extra})")).createOrReplaceTempView(f"{name}_noisy")
-    return {f"{name}{kind}": spark.sql(statement.replace("{t}", kind)) for name, statement in post.items() for kind in ("", "_noisy")}
+    made = [*inputs, *pre, *[f"{name}_noisy" for name in noise]]
+    try:
+        for name, df in inputs.items():
+            df.createOrReplaceTempView(name)
+        for name, statement in pre.items():
+            spark.sql(statement).createOrReplaceTempView(name)
+        for name, (measure, extra) in noise.items():
+            t = spark.table(name)
+            t.withColumn(measure, F.expr(f"{measure} + ({extra})")).createOrReplaceTempView(f"{name}_noisy")
+        return {f"{name}{kind}": spark.sql(statement.replace("{t}", kind)) for name, statement in post.items() for kind in ("", "_noisy")}
+    finally:  # the results are resolved; the session keeps no names
+        for name in made:
+            spark.catalog.dropTempView(name)
 
 
 def sql_add_drop_measures(df: DataFrame, add: dict[str, str], drop: list[str]) -> DataFrame:

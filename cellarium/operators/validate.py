@@ -94,11 +94,15 @@ def val_state_totals(a: DataFrame, b: DataFrame, length: int) -> DataFrame:
     return n(a, "n_a").join(n(b, "n_b"), "state", "full_outer").withColumns({c: F.coalesce(c, F.lit(0)) for c in ("n_a", "n_b")}).withColumn("equal", F.col("n_a") == F.col("n_b"))
 
 
-def val_sql_pairs(spark: SparkSession, pairs: dict[str, tuple[str, str]]) -> DataFrame:
-    """(check, violations): rows that the two statements of a pair do not share."""
+def val_sql_pairs(spark: SparkSession, pairs: dict[str, tuple[str, str]], inputs: dict[str, DataFrame]) -> DataFrame:
+    """(check, violations): rows that the two statements of a pair do not share. inputs: the tables' names in them."""
+    for name, df in inputs.items():
+        df.createOrReplaceTempView(name)
+    resolved = {name: (spark.sql(x), spark.sql(y)) for name, (x, y) in pairs.items()}
+    for name in inputs:
+        spark.catalog.dropTempView(name)
     out = []
-    for name, (x, y) in pairs.items():
-        a, b = spark.sql(x), spark.sql(y)
+    for name, (a, b) in resolved.items():
         out.append(a.exceptAll(b).unionByName(b.exceptAll(a)).agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check"), "violations"))
     return reduce(DataFrame.unionByName, out)
 

@@ -119,9 +119,11 @@ def val_unit_total(spark, d):
     return V.val_unit_total(B.units(spark, d), B.moved(spark, d).filter("unit_id % 50 <> 1"))
 
 
-@query("select count(*) as n_a, count(*) as n_b, true as equal from persons")
+@query("select n_a, n_b, n_a = n_b as equal from (select count(*) as n_a, count(*) filter (not (unit_id % 97 = 0 and sex = 0)) as n_b from persons)")
 def val_person_total(spark, d):
-    return V.val_person_total(B.persons(spark, d), B.persons(spark, d))
+    """The output has lost some persons."""
+    p = B.persons(spark, d)
+    return V.val_person_total(p, p.filter("not (unit_id % 97 = 0 and sex = 0)"))
 
 
 _TC = "select coalesce(a.geocode, b.geocode) as geocode, coalesce(a.priority, b.priority) as priority, coalesce(n_a, 0) as n_a, coalesce(n_b, 0) as n_b from (select geocode, priority, count(*) as n_a from units group by all) a full join (select geocode, priority, count(*) as n_b from moved group by all) b using (geocode, priority)"
@@ -186,10 +188,8 @@ def val_state_totals(spark, d):
 
 @query(f"select 'totals' as \"check\", 0::bigint as violations union all select 'types', (select sum((n_a <> n_b)::int * 2 - (n_a <> n_b and (n_a = 0 or n_b = 0))::int)::bigint from ({_TC}))")
 def val_sql_pairs(spark, d):
-    B.units(spark, d).createOrReplaceTempView("val_in")
-    B.moved(spark, d).createOrReplaceTempView("val_out")
     g = "select geocode, priority, count(*) as n from {} group by geocode, priority"
-    return V.val_sql_pairs(spark, {"totals": ("select count(*) from val_in", "select count(*) from val_out"), "types": (g.format("val_in"), g.format("val_out"))})
+    return V.val_sql_pairs(spark, {"totals": ("select count(*) from val_in", "select count(*) from val_out"), "types": (g.format("val_in"), g.format("val_out"))}, {"val_in": B.units(spark, d), "val_out": B.moved(spark, d)})
 
 
 @query(f"select 'types' as \"check\", count(*) as violations, count(*) = 0 as passed from ({_TC}) where n_a <> n_b union all select 'reference', count(*), count(*) = 0 from units where geocode not in (select geocode from xwalk)")
