@@ -584,8 +584,8 @@ def test_pipeline_of_odd_and_empty_tables(spark, tmp_path):
     """Repeated rows, null ids and texts, one id with several texts; then nothing at all."""
     import corpus_pipeline
 
-    prose = [" ".join(f"{w}{k}" for w in "the house on a hill was old and stood near to some town of ours".split() for _ in (0,)) for k in range(6)]
-    prose = [" ".join(f"{p} {p[::-1]} no{n}" for n in range(5)) for p in prose]
+    plain = "the house on a hill was old and stood near to some town of ours".split()
+    prose = [" ".join(f"{w}{'abcdef'[k]}{'vwxyz'[n]}" for n in range(5) for w in plain) for k in range(6)]
     rows = [(1, prose[0]), (1, prose[0]), (None, prose[0]), (2, prose[1]), (2, prose[2]), (None, prose[3]), (None, prose[3]), (7, None), (8, ""), (9, prose[4] + " end"), (10, prose[4]), (11, prose[5])]
     docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars int")
     bench = spark.createDataFrame([(1, " ".join(prose[5].split()[:30])), (2, None)], "item_id bigint, text string")
