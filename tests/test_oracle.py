@@ -17,7 +17,8 @@ geo_entity_distance geo_bypass_single_child geo_check_path_budget join_orig_priv
 query_all_marginals query_combo query_sparse_matrix table_product table_full_workload sql_table_pipeline err_l1_relative metric_panel metric_panel_by metric_share_bins tvd_geounit geolevel_sparsity error_histogram
 error_cdf total_pop_bins blau_quintile_errors table_cv variation_vs_average metric_groups quantile_group quantile_weighted_age category_age_quantiles check_sorted record_number set_subtract set_dedup budget_rollup
 noise_geometric noise_discrete_gaussian noise_interval measure_pool constraint_rollup constraint_check topdown_consistent topdown_nonnegative topdown_round topdown_levels topdown_bounds_clip sink_measurements
-expand_vacant_and_gq assign_detail_in_order val_type_counts val_vacancy_moves val_sql_pairs val_report""".split()
+expand_vacant_and_gq assign_detail_in_order val_type_counts val_vacancy_moves val_sql_pairs val_report scan_delimited scan_piped_protected scan_geo_reference scan_area_reference scan_runs recode_from_output
+recode_output_person_relationship recode_output_household recode_output_citizen_race topdown_shortcuts topdown_queries constraint_legal_ages table_product_citizens relative_query_error relative_total_error val_person_total""".split()
 
 
 @pytest.fixture(scope="module")
