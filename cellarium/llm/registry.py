@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audit, chat, decontam, dedup, html, license, lm, packing, quality, shards, tokens
+from . import audit, chat, decontam, dedup, html, license, lm, packing, phrases, quality, shards, tokens
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -28,10 +28,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_license_scan": license.query,
         "op9_minimax_shards": shards.query,
         "op10_token_counts": tokens.query,
+        "op11_substring_dedup": phrases.query,
         "op13_filter_audit": audit.query,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": quality.SQL, "op4_chat_perspectives": chat.SQL, "op8_license_scan": license.SQL, "op13_filter_audit": audit.SQL}
+    return {"op1_quality_rules": quality.SQL, "op4_chat_perspectives": chat.SQL, "op8_license_scan": license.SQL, "op11_substring_dedup": phrases.SQL, "op13_filter_audit": audit.SQL}
