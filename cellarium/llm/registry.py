@@ -1,6 +1,6 @@
 """The corpus operators' queries and, where SQL can express them, their SQL.
 
-op2, op3, op5, op6, op7, op9 and op10 have none: DuckDB has neither the tokenizers nor crc32, and iterated
+op2, op3, op5, op6, op7, op9, op10 and op12 have none: DuckDB has neither the tokenizers nor crc32, and iterated
 components, HTML parsing and the lattice are beyond it or too slow on whole tables. tests/llm holds them
 against brute force instead.
 """
@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audit, chat, decontam, dedup, html, license, lm, packing, phrases, quality, shards, tokens
+from . import audit, chat, decontam, dedup, html, license, lm, packing, phrases, quality, repair, shards, tokens
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -29,6 +29,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_minimax_shards": shards.query,
         "op10_token_counts": tokens.query,
         "op11_substring_dedup": phrases.query,
+        "op12_structure_repair": repair.query,
         "op13_filter_audit": audit.query,
         "pipeline": corpus_pipeline.run,
     }
