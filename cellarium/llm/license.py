@@ -3,15 +3,21 @@
 A template is a notice's set of words T; a block is any run of ``span`` words of a text, over line breaks, where span is the
 notice's own length and a tenth more. So words scattered over a long line make no notice, and a notice wrapped
 at any column makes one. The join finds every (block, template) with |T & B| >= THRESHOLD * |T|. The templates'
-words are ordered by the number of documents that have them, rarest first. With alpha = ceil(THRESHOLD * |T|):
-a block can only qualify if it holds one of the first |T| - alpha + 1 words of the template (prefix filter), so
-only blocks around these are looked at, and only if alpha of the template's words stand near (length filter).
-A block belongs to the first of its prefix words; with pos template words before that one in the order, no more than
-|T| - pos can match (positional filter). What remains is counted exactly, block by block.
+words are ordered by the number of documents that have them, rarest first; alpha = ceil(THRESHOLD * |T|).
+
+* A text meets a template only if it has one of the first |T| - alpha + 1 words (prefix filter) and alpha of its words
+  (length filter).
+* The places of the template's words in such a text fall into stretches, where no two neighbours are a block apart. A
+  stretch goes on if it has alpha words and if its first word in the order leaves alpha to match: with pos words of T
+  before that one, no more than |T| - pos can (prefix, length and positional filter again, closer by).
+* What remains is counted exactly for all blocks at once. A place i whose word comes next at n counts once in the blocks
+  that begin from i - span + 1 to min(i, n - span); a running sum over these ends gives the distinct words of every block.
+
+Work and memory are linear in the text: each place of a template's word is one row and nothing of its neighbourhood is copied.
 
 Edge cases: a null text is empty; repeated rows are scanned each on their own; null ids stay; other columns are ignored,
-whatever their names; texts of any length are scanned whole; texts without words give zero counts; an empty
-table gives an empty result.
+whatever their names; texts of any length are scanned whole, its words being one array of a row; texts without words give zero counts; an empty
+table gives an empty result; words that stand in equally many documents are ordered by spelling.
 """
 
 from __future__ import annotations
@@ -21,8 +27,9 @@ from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import stored, table, text_of
+from .common import bind, stored, table, text_of
 
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Base phrases and their labels.
@@ -66,36 +73,35 @@ def span(text: str) -> int:
     return ceil(len(text.split()) / THRESHOLD)
 
 
-def prefixes(counts: dict[str, int]) -> list[tuple[str, str, list[str], int, int, list[str]]]:
-    """(word, label, words, words needed, words of a block, rarer prefix words) of every template's prefix, given in how many documents words stand."""
-    out = []
-    for i, label, words, alpha in templates():
-        first = sorted(words, key=lambda w: (counts.get(w, 0), w))[: len(words) - alpha + 1]
-        out += [(w, label, words, alpha, span(TEMPLATES[i][1]), first[:pos]) for pos, w in enumerate(first)]
-    return out
-
-
-def _near(w: Column, words: list[str], reach: int) -> Column:
-    """(word, left, right) around every place of the words: up to reach words before it, and it with as many after it."""
-    at = F.filter(F.transform(w, lambda x, i: F.when(x.isin(words), i)), lambda i: i.isNotNull())
-    return F.transform(at, lambda i: F.struct(F.get(w, i).alias("word"), F.slice(w, F.greatest(i - reach, F.lit(0)) + 1, F.least(i, F.lit(reach))).alias("left"), F.slice(w, i + 1, reach + 1).alias("right")))
+def ordered(counts: dict[str, int]) -> list[tuple[int, str, list[str], int, int]]:
+    """(id, label, words in global order, words needed, words of a block), given in how many documents words stand."""
+    return [(i, label, sorted(words, key=lambda w: (counts.get(w, 0), w)), alpha, span(TEMPLATES[i][1])) for i, label, words, alpha in templates()]
 
 
-def _blocks(rows: DataFrame, sought: list) -> DataFrame:
-    """(rid, label, containment): the best block of every place of a prefix word and template that meets the threshold."""
-    kind = "word string, label string, words array<string>, alpha int, span int, rarer array<string>"
-    small = F.broadcast(rows.sparkSession.createDataFrame(sought, kind))  # a fixed table
-    places = rows.select("rid", F.explode("near").alias("x")).select("rid", "x.*").join(small, "word")
-    before = F.least(F.size("left"), F.col("span") - 1)
-    part = F.concat(F.slice("left", F.size("left") - before + 1, before), F.slice("right", 1, F.col("span")))
-    places = places.select("rid", "label", "words", "alpha", "span", "rarer", before.alias("before"), part.alias("part")).filter(F.size(F.array_intersect("part", "words")) >= F.col("alpha"))
+def _met(own: Column, sought: list) -> Column:
+    """Ids of the templates whose prefix and length filter the text's distinct words pass."""
+    pass_ = lambda words, alpha: F.arrays_overlap(own, F.lit(words[: len(words) - alpha + 1])) & (F.size(F.array_intersect(own, F.lit(words))) >= alpha)
+    return F.array_compact(F.array(*[F.when(pass_(words, alpha), F.lit(i)) for i, _, words, alpha, _ in sought]))
 
-    def matched(k: Column) -> Column:
-        block = F.slice("part", k + 1, F.col("span"))
-        return F.when(~F.arrays_overlap(block, F.col("rarer")), F.size(F.array_intersect(block, F.col("words")))).otherwise(0)  # else it is the rarer word's
 
-    best = F.array_max(F.transform(F.sequence(F.lit(0), "before"), matched))
-    return places.withColumn("best", best).filter("best >= alpha").select("rid", "label", (F.col("best") / F.size("words")).alias("containment"))
+def _blocks(places: DataFrame, sought: list) -> DataFrame:
+    """(rid, label, containment): the best block of every text and template that meets the threshold. places: (rid, met, i, word)."""
+    words = [(w, i, label, rank, len(ws), alpha, size) for i, label, ws, alpha, size in sought for rank, w in enumerate(ws)]
+    if max(w[4] for w in words) > 63:
+        raise ValueError("a template has more than 63 distinct words")
+    small = F.broadcast(places.sparkSession.createDataFrame(words, "word string, tpl int, label string, rank int, size int, alpha int, span int"))  # a fixed table
+    at = places.join(small, "word").filter(F.array_contains("met", F.col("tpl")))
+    run = Window.partitionBy("rid", "tpl").orderBy("i")
+    at = at.withColumn("far", F.coalesce(F.col("i") - F.lag("i").over(run) >= F.col("span"), F.lit(True)).cast("int")).withColumn("stretch", F.sum("far").over(run))
+    near = Window.partitionBy("rid", "tpl", "stretch")
+    most = F.least(F.bit_count(F.bit_or(F.expr("shiftleft(1L, rank)")).over(near)), F.col("size") - F.min("rank").over(near))
+    at = at.withColumn("most", most).filter("most >= alpha")
+    at = at.withColumn("next", F.lead("i").over(Window.partitionBy("rid", "tpl", "rank").orderBy("i")))
+    last = F.coalesce(F.least(F.col("i"), F.col("next") - F.col("span")), F.col("i"))
+    ends = at.select("rid", "tpl", "label", "size", "alpha", F.inline(F.array(F.struct((F.col("i") - F.col("span") + 1).alias("s"), F.lit(1).alias("d")), F.struct((last + 1).alias("s"), F.lit(-1).alias("d")))))
+    ends = ends.withColumn("now", F.sum("d").over(Window.partitionBy("rid", "tpl").orderBy("s")))  # peers count together
+    best = ends.groupBy("rid", "tpl", "label", "size", "alpha").agg(F.max("now").alias("best")).filter("best >= alpha")
+    return best.select("rid", "label", (F.col("best") / F.col("size")).alias("containment"))
 
 
 def _starts(w: Column) -> Column:
@@ -122,16 +128,17 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     w = F.filter(F.split("t", GAP, -1), lambda x: x != "")
     texts = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(doc_id).alias("doc_id"), low.alias("t")).withColumn("w", w)
     counted = texts.select(F.explode(F.array_distinct(F.filter("w", lambda x: x.isin(vocabulary)))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    sought = prefixes({r["word"]: r["n"] for r in counted.collect()})  # at most the templates' words
-    probes, reach = sorted({x[0] for x in sought}), max(x[4] for x in sought) - 1
+    sought = ordered({r["word"]: r["n"] for r in counted.collect()})  # at most the templates' words
     phrase = "(?:" + "|".join(GAP.join(p.split()) for p in PHRASES) + ")"
-    rows = stored(texts.select(
-        "rid", "doc_id", F.size("w").cast("long").alias("n_words"),
+    own = F.array_distinct(F.filter("w", lambda x: x.isin(vocabulary)))
+    place = F.transform("w", lambda x, i: F.when(x.isin(vocabulary), F.struct(i.alias("i"), x.alias("word"))))
+    rows = stored(texts.withColumn("met", bind(own, lambda o: _met(o, sought))).select(
+        "rid", "doc_id", F.size("w").cast("long").alias("n_words"), "met",
         F.when(F.col("t").rlike(phrase), _starts(F.col("w"))).otherwise(F.array().cast("array<struct<i:bigint,label:string>>")).alias("hits"),
-        F.when(F.arrays_overlap("w", F.lit(probes)), _near(F.col("w"), probes, reach)).alias("near"),
+        F.when(F.size("met") > 0, F.array_compact(place)).alias("places"),
     ))
-    labels = _blocks(rows.filter("size(near) > 0"), sought).groupBy("rid").agg(F.collect_set("label").alias("found"), F.max("containment").alias("score"))
-    found = rows.drop("near").join(labels, "rid", "left")
+    labels = _blocks(rows.filter("size(met) > 0").select("rid", "met", F.inline("places")), sought).groupBy("rid").agg(F.collect_set("label").alias("found"), F.max("containment").alias("score"))
+    found = rows.drop("places", "met").join(labels, "rid", "left")
     base = F.array_sort(F.array_distinct("hits.label"))
     return found.select(
         "doc_id", "n_words", F.size("hits").cast("long").alias("n_base"), F.array_min("hits.i").alias("first_word"), F.array_max("hits.i").alias("last_word"),
