@@ -11,8 +11,9 @@ same signals and the same passes decide; the container is a prior only: its edge
 tie goes to good, and what would be bad for few stop words is near-good, for a link in a short block short.
 
 Names in class, id and role are judged token by token; one that only tells of a state or a layout (``has-sidebar``,
-``nav-open``) names nothing. A form or another weakly marked part that holds most of the page's running text, with
-no <article> or <main> outside it, wraps the page and is no boilerplate. Scripts without spaces are judged by function characters
+``nav-open``) names nothing. A marked part around the articles (most running text of <article> and <main> lies in it), or on a
+page without them around most of the page's running text, wraps the page and is no boilerplate, whatever it is
+called; comments and what is hidden always are, and so are <nav>, <footer>, <aside> and <head> on a page without articles. Scripts without spaces are judged by function characters
 instead of words, each character counting for more length; on a page that shows hardly any known stop word the language
 is unknown, and length and links decide alone. Time is linear in the page, whatever its markup.
 
@@ -72,9 +73,9 @@ _BAD_NAME = re.compile(
 _UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
 #: Parts of a name that make it tell of a state or a layout instead of naming the element.
 _MODIFIERS = frozenset("has with without no not is are show hide open opened closed active enabled disabled visible collapsed expanded layout fixed sticky".split())
-#: What stays boilerplate however much text it holds.
-_FIRM_TAG = frozenset("nav footer aside head button menu dialog search label input".split())
-_FIRM_NAME = re.compile(r"(?:^|[\s_-])(?:comments?|replies|reply|respond|disqus|discussion|nav\w*|menu\w*|footer|side-?bar\w*|cookies?|consent|gdpr|hidden)(?:$|[\s_-])", re.I)
+#: Tags and names that stay boilerplate however much text they hold; the tags unless that is the page's articles.
+_FIRM_TAG = frozenset("nav footer aside head".split())
+_NEVER_NAME = re.compile(r"(?:^|[\s_-])(?:comments?|replies|reply|respond|disqus|discussion|hidden)(?:$|[\s_-])", re.I)
 _WIDE = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff]")
 
 
@@ -86,7 +87,7 @@ class _Block:
 
 
 def _named_bad(attributes: str) -> str:
-    """Does a name in class, id or role mean boilerplate ("firm" or "weak"), or is the element hidden? Other values are free text."""
+    """Does a name in class, id or role mean boilerplate ("part"), or comments or a hidden element ("never")? Other values are free text."""
     out = ""
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
@@ -94,12 +95,12 @@ def _named_bad(attributes: str) -> str:
             for t in value.split():
                 parts = set(re.split("[-_]+", t.lower()))
                 if _BAD_NAME.search(t) and "overflow" not in parts and ("hidden" in parts or not parts & _MODIFIERS):
-                    out = "firm" if out == "firm" or _FIRM_NAME.search(t) else "weak"
+                    out = "never" if out == "never" or _NEVER_NAME.search(t) else "part"
         elif name == "style":
             if _UNSEEN.search(entities.unescape(value)):
-                return "firm"
+                return "never"
         elif name == "hidden" and value.lower() != "false" or name == "aria-hidden" and value.lower() == "true":
-            return "firm"
+            return "never"
     return out
 
 
@@ -108,7 +109,7 @@ def blocks(page: str) -> list[tuple[str, str, float, bool, int]]:
     out: list[_Block] = []
     stack: list[tuple[str, int, int]] = []  # tag, innermost boilerplate part (a number, 0 for none), article
     opened: collections.Counter[str] = collections.Counter()  # how often each tag is on the stack
-    parts: list[tuple[int, bool]] = [(0, False)]  # of every boilerplate part: the one around it, and is it firm?
+    parts: list[tuple[int, str]] = [(0, "")]  # of every boilerplate part: the one around it, and "part", "tag" or "never"
     homes: list[int] = []  # the boilerplate parts that articles begin in
     now = _Block("", 0, 0)
     links = articles = at = 0
@@ -172,7 +173,7 @@ def blocks(page: str) -> list[tuple[str, str, float, bool, int]]:
             continue
         own = _named_bad(attributes)
         if tag in _BAD_TAG:
-            own = "firm" if tag in _FIRM_TAG else own or "weak"
+            own = own if own == "never" else "tag" if tag in _FIRM_TAG else "part"
         if tag not in _BLOCK and not own:
             continue
         if tag in _BLOCK:
@@ -183,7 +184,7 @@ def blocks(page: str) -> list[tuple[str, str, float, bool, int]]:
             links = 0
         _, root, inside = stack[-1] if stack else ("", 0, 0)
         if tag == "header" and not inside:
-            own = own or "weak"
+            own = own or "part"
         if tag in ("article", "main") or 'role="main"' in attributes:
             own = "" if tag in ("article", "main") else own
             if not inside:
@@ -193,28 +194,32 @@ def blocks(page: str) -> list[tuple[str, str, float, bool, int]]:
         elif tag in ("html", "body"):
             own = ""
         if own:
-            parts.append((root, own == "firm"))
+            parts.append((root, own))
             root = len(parts) - 1
         stack.append((tag, root, inside))
         opened[tag] += 1
         cut()
     cut()
-    found, running = [], [0] * len(parts)
+    found, running, told = [], [0] * len(parts), [0] * (articles + 1)
     for b in out:
         text = " ".join(entities.unescape("".join(b.parts)).split())
         if text:
             found.append((b.tag, text, min(1.0, b.linked / len(text)), b.root, b.inside))
             running[b.root] += max(0, len(text) - b.linked)
-    total, within = sum(running), [0] * len(parts)  # within: articles that begin in the part
-    for root in homes:
-        within[root] += 1
+            told[b.inside] += max(0, len(text) - b.linked)
+    never, held = [False], [0] * len(parts)  # held: running text of articles that begin in the part
+    for around, own in parts[1:]:
+        never.append(own == "never" or never[around])
+    for home, size in zip(homes, told[1:], strict=True):
+        held[home] += 0 if never[home] else size
     for k in range(len(parts) - 1, 0, -1):
         running[parts[k][0]] += running[k]
-        within[parts[k][0]] += within[k]
+        held[parts[k][0]] += held[k]
     bad = [False]
     for k in range(1, len(parts)):
-        around, firm = parts[k]
-        bad.append(bad[around] or firm or 2 * running[k] <= total or within[k] < len(homes))
+        around, own = parts[k]
+        wraps = 2 * held[k] > held[0] if held[0] else own == "part" and 2 * running[k] > running[0]
+        bad.append(bad[around] or never[k] or not wraps)
     return [(tag, text, links, bad[root], inside) for tag, text, links, root, inside in found]
 
 
