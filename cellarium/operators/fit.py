@@ -3,18 +3,21 @@
 The fit makes children agree with their parent cell by cell: a variance-weighted adjustment, the nearest
 non-negative point with the same sum, and largest-remainder rounding. Each is a window over one family's
 cell. With the parent's sums as the only constraint this is the optimum of the weighted least squares with
-equal weights; side constraints are met by repair and reported by constraint_check.
+equal weights. With further queries and side constraints `topdown_fit` solves a family as a whole.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..sources.files import scratch
+from . import family
 from .geo import Hier
 
 
@@ -185,19 +188,111 @@ def _written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def topdown_levels(meas: DataFrame, hier: Hier, cell: list[str], checkpoint=_written) -> DataFrame:
+def _beside(child: DataFrame, level_of: dict[str, str], answers: DataFrame | None, bounds: DataFrame | None) -> DataFrame:
+    """child with, for every query i, its cell's level _l{i}, the noisy answer _y{i} with variance _v{i}, and bounds _lo{i} and _hi{i}."""
+    f = child
+    for i, (query, level) in enumerate(level_of.items()):
+        f = f.withColumn(f"_l{i}", F.expr(level).cast("string"))
+        none = F.lit(None).cast("double")
+        if answers is None:
+            f = f.withColumns({f"_y{i}": none, f"_v{i}": none})
+        else:
+            a = answers.filter(F.col("query") == query).select("geocode", F.col("level").alias(f"_l{i}"), F.col("noisy").cast("double").alias(f"_y{i}"), F.col("variance").cast("double").alias(f"_v{i}"))
+            f = f.join(a, ["geocode", f"_l{i}"], "left")
+        if bounds is None:
+            f = f.withColumns({f"_lo{i}": none, f"_hi{i}": none})
+        else:
+            side = lambda agg, sign: agg(F.when(F.col("sign").isin("=", sign), F.col("rhs").cast("double")))
+            b = bounds.filter(F.col("query") == query).groupBy("geocode", F.col("level").alias(f"_l{i}")).agg(side(F.max, "ge").alias(f"_lo{i}"), side(F.min, "le").alias(f"_hi{i}"))
+            f = f.join(b, ["geocode", f"_l{i}"], "left")
+    return f
+
+
+def _family_fit(cell: list[str], n: int, nested: list[int], real: bool):
+    """A task's helper: fits and rounds the rows of one family (see `family`)."""
+
+    def run(f: pd.DataFrame) -> pd.DataFrame:
+        column, first = family.numbered(*[f[c] for c in cell])
+        total = f["_total"].to_numpy(float)[first]
+        column[np.isnan(total)[column]] = -1
+        sums, groups, soft, hard = family.Hard(column, total, total), [], [], []
+        for i in range(n):
+            group, heads = family.numbered(f["geocode"], f[f"_l{i}"])
+            groups.append(group)
+            y, v, low, high = (f[f"{c}{i}"].to_numpy(float)[heads] for c in ("_y", "_v", "_lo", "_hi"))
+            of = lambda has, group=group: np.where((group >= 0) & has[np.maximum(group, 0)], group, -1) if len(has) else group
+            if (has := ~np.isnan(y)).any():
+                soft.append(family.Soft(of(has), np.where(has, y, 0), np.where(has, v, 1)))
+            if (has := ~np.isnan(low) | ~np.isnan(high)).any():
+                hard.append(family.Hard(of(has), np.where(np.isnan(low), -np.inf, low), np.where(np.isnan(high), np.inf, high)))
+        x, residual = f["x"].to_numpy(float), 0.0
+        if real:
+            x, residual = family.fit(x, f["variance"].to_numpy(float), sums, soft, hard)
+        whole = family.controlled_round(x, column, np.nan_to_num(total), [groups[i] for i in sorted(nested, key=lambda i: groups[i].max(initial=0))])
+        return f[["geocode", "parent_geocode", *cell]].assign(x=whole, fitted=x, residual=residual)
+
+    return run
+
+
+def _by_family(f: DataFrame, cell: list[str], level_of: dict[str, str], nested: list[str] | None, real: bool) -> DataFrame:
+    kinds = dict(f.dtypes)
+    names = list(level_of)
+    keep = [names.index(q) for q in (names if nested is None else nested)]
+    shape = ", ".join(f"`{c}` {kinds[c]}" for c in ("geocode", "parent_geocode", *cell)) + ", x long, fitted double, residual double"
+    return f.groupBy("parent_geocode").applyInPandas(_family_fit(cell, len(names), keep, real), shape)
+
+
+def topdown_round_queries(parent: DataFrame, child: DataFrame, cell: list[str], level_of: dict[str, str]) -> DataFrame:
+    """Controlled rounding: integers next to x whose sums are the parent's cells and stay within one of the real sum of every
+    query level of every child. The queries' levels must be nested (each level of one lies in one level of the coarser).
+
+    Of all such roundings it is one with the least sum of |x - integer|. x must add up to the parent. A family is one task's
+    work: it is bounded by the hierarchy's children and the schema's cells.
+    """
+    f = _beside(_family(parent, child, cell), level_of, None, None)
+    return _by_family(f.withColumn("variance", F.lit(1.0)), cell, level_of, None, False).select("geocode", "parent_geocode", *cell, "x", "fitted")
+
+
+def topdown_fit(parent: DataFrame | None, child: DataFrame, cell: list[str], level_of: dict[str, str], answers: DataFrame | None = None, bounds: DataFrame | None = None, nested: list[str] | None = None) -> DataFrame:
+    """(geocode, parent_geocode, cell, x, fitted, residual): the whole fit of every family in one pass.
+
+    fitted: the least-squares fit of cells (variance) and answers (geocode, query, level, noisy, variance) at once, under the parent's
+    cells, bounds (geocode, query, level, sign, rhs) and x >= 0. x: its controlled rounding, which keeps whole bounds,
+    for the queries in nested (all by default). Without a parent (the root) cells have no sums to keep. ``residual`` is over 1e-8
+    where the bounds of a family contradict each other; its sums hold all the same.
+    """
+    f = child.withColumn("_total", F.lit(None).cast("double")) if parent is None else _family(parent, child, cell)
+    return _by_family(_beside(f, level_of, answers, bounds), cell, level_of, nested, True)
+
+
+def _written(df: DataFrame) -> DataFrame:
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def topdown_levels(
+    meas: DataFrame, hier: Hier, cell: list[str], checkpoint=_written, level_of: dict[str, str] | None = None, answers: DataFrame | None = None, bounds: DataFrame | None = None, nested: list[str] | None = None
+) -> DataFrame:
     """(geolevel, geocode, cell, x): from the root down, one plan a level. meas: (geolevel, geocode, cell, noisy, variance).
 
-    The root is its own measurement, rounded and not negative. ``checkpoint`` (a function of a DataFrame) cuts
-    lineage between levels: each is written and read by the next, so no plan holds those above it.
+    Without queries the root is its own measurement, rounded and not negative, and the levels below are windows. With level_of
+    (query -> expression that gives a cell's level), answers (geolevel, geocode, query, level, noisy, variance) and bounds (geolevel, geocode,
+    query, level, sign, rhs) enter every level's fit, the root's too, as in `topdown_fit`. ``checkpoint`` (a function of a DataFrame)
+    cuts lineage between levels: each is written and read by the next, so no plan holds those above it.
     """
     level, n = hier[0]
-    now = meas.filter(F.col("geolevel") == level).select("geocode", *cell, F.greatest(F.round("noisy").cast("long"), F.lit(0)).cast("long").alias("x"))
+    at = lambda df, level: None if df is None else df.filter(F.col("geolevel") == level)
+    rows = lambda level, up: at(meas, level).select("geocode", up.alias("parent_geocode"), *cell, F.col("noisy").cast("double").alias("x"), F.col("variance").cast("double").alias("variance"))
+    if level_of is None:
+        now = at(meas, level).select("geocode", *cell, F.greatest(F.round("noisy").cast("long"), F.lit(0)).cast("long").alias("x"))
+    else:
+        now = checkpoint(topdown_fit(None, rows(level, F.lit("")), cell, level_of, at(answers, level), at(bounds, level), nested).select("geocode", *cell, "x"))
     out = [now.withColumn("geolevel", F.lit(level))]
     for level, _ in hier[1:]:
-        child = meas.filter(F.col("geolevel") == level).select("geocode", F.substring("geocode", 1, n).alias("parent_geocode"), *cell, F.col("noisy").cast("double").alias("x"), "variance")
-        now = fit_level(now.withColumnRenamed("x", "total"), child, cell).select("geocode", *cell, "x")
-        now = checkpoint(now)
+        child, parent = rows(level, F.substring("geocode", 1, n)), now.withColumnRenamed("x", "total")
+        fitted = fit_level(parent, child, cell) if level_of is None else topdown_fit(parent, child, cell, level_of, at(answers, level), at(bounds, level), nested)
+        now = checkpoint(fitted.select("geocode", *cell, "x"))
         out.append(now.withColumn("geolevel", F.lit(level)))
         n = dict(hier)[level]
     return reduce(DataFrame.unionByName, out).select("geolevel", "geocode", *cell, "x")
