@@ -127,7 +127,8 @@ class Part:
         target, good = np.zeros((n, 4, 4), np.int64), np.zeros((n, 4, 4), bool)  # by node, state and letter
         node = np.arange(n)[:, None]
         if len(self.kind):
-            after = left[np.minimum(node[:, 0] + 1, n - 1)]
+            below = np.minimum(node + 1, n - 1)
+            after = left[below[:, 0]]
             extra, stays, kept = self.extra[row][:, None], (inner & ~self.must[row])[:, None], KEEP[self.kind[row]]
             for letter, to, cost, may in (
                 ("D", np.broadcast_to(state, (n, 4)), np.int64(COSTS["D"]), inner[:, None]),
@@ -135,7 +136,7 @@ class Part:
                 ("R", np.broadcast_to(NEXT, (n, 4)), extra + COSTS["R"], stays),
             ):
                 k = LETTERS.index(letter)
-                target[:, :, k] = 4 * (node + 1) + to
+                target[:, :, k] = 4 * below + to
                 good[:, :, k] = may & (left == cost + np.take_along_axis(after, to, 1)) & (left < FAR)
         k, may = LETTERS.index("I"), inner.copy()
         may[self.tail] = last

@@ -5,6 +5,7 @@ import functools
 import hashlib
 import itertools
 import re
+import sys
 import zlib
 
 import numpy as np
@@ -36,6 +37,7 @@ def damage(rows):
 
 def cheapest(rows):
     """rows: (initial, must be deleted, extra). Least (cost, audit, roles), over all edits with up to three inserts a gap."""
+    sys.setrecursionlimit(20_000)
     step = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
 
     @functools.cache
