@@ -11,8 +11,8 @@ from dataclasses import dataclass
 
 import numpy as np
 
-#: Units that an integer is cut into while rounding, so that sums stay exact.
-UNIT = 1 << 20
+#: Units that an integer is cut into while rounding, so that sums stay exact; so many count as nothing.
+UNIT, NOTHING = 1 << 32, 1 << 12
 
 
 @dataclass
@@ -142,10 +142,12 @@ def controlled_round(x: np.ndarray, column: np.ndarray, total: np.ndarray, level
     for r in range(len(x)):
         ends.append((int(node[r]), nodes + int(column[r]) if column[r] >= 0 else 0))
         flow.append(int(units[r]))
-    part = [f % UNIT for f in flow]
+    near = NOTHING + len(x)
+    part = [0 if (p := f % UNIT) <= near else UNIT if p >= UNIT - near else p for f in flow]  # a sum that is whole stays so
     cost = [0] * first + [UNIT - 2 * p for p in part[first:]]
-    open_ = [e for e, p in enumerate(part) if p and ends[e][0] != ends[e][1]]
-    loops = [e for e, p in enumerate(part) if p and ends[e][0] == ends[e][1]]  # bound by nothing
+    broken = [e for e, p in enumerate(part) if p % UNIT]
+    open_ = [e for e in broken if ends[e][0] != ends[e][1]]
+    loops = [e for e in broken if ends[e][0] == ends[e][1]]  # bound by nothing
     for e in loops:
         part[e] = UNIT if 2 * part[e] >= UNIT else 0
     _whole(ends, part, cost, open_)
@@ -172,7 +174,14 @@ def _whole(ends: list[tuple[int, int]], part: list[int], cost: list[int], open_:
             if e is None:
                 if not path:
                     break
-                raise ArithmeticError("a sum is not whole")
+                if abs(2 * part[last] - UNIT) < UNIT // 2:
+                    raise ArithmeticError("a sum is not whole")
+                part[last] = UNIT if 2 * part[last] > UNIT else 0  # what is left of values that count as nothing
+                shut(last)
+                del where[here]
+                path.pop()
+                here = next(n for n in ends[last] if n != here)
+                continue
             there = ends[e][0] if ends[e][1] == here else ends[e][1]
             path.append(e)
             if there not in where:
@@ -188,7 +197,8 @@ def _whole(ends: list[tuple[int, int]], part: list[int], cost: list[int], open_:
             step = min(UNIT - part[c] if s == 1 else part[c] for s, c in zip(signs, cycle, strict=True))
             for s, c in zip(signs, cycle, strict=True):
                 part[c] += s * step
-                if part[c] in (0, UNIT):
+                if part[c] <= NOTHING or part[c] >= UNIT - NOTHING:
+                    part[c] = UNIT if part[c] > NOTHING else 0
                     shut(c)
             keep = next(k for k, c in enumerate(path) if k >= where[there] and part[c] in (0, UNIT))
             path = path[:keep]

@@ -182,7 +182,7 @@ def topdown_queries(parent: DataFrame, child: DataFrame, cell: list[str], answer
     return f.select(*child.columns)
 
 
-def _written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame) -> DataFrame:
     path = scratch(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -265,14 +265,14 @@ def topdown_fit(parent: DataFrame | None, child: DataFrame, cell: list[str], lev
     return _by_family(_beside(f, level_of, answers, bounds), cell, level_of, nested, True)
 
 
-def _written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame) -> DataFrame:
     path = scratch(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def topdown_levels(
-    meas: DataFrame, hier: Hier, cell: list[str], checkpoint=_written, level_of: dict[str, str] | None = None, answers: DataFrame | None = None, bounds: DataFrame | None = None, nested: list[str] | None = None
+    meas: DataFrame, hier: Hier, cell: list[str], checkpoint=None, level_of: dict[str, str] | None = None, answers: DataFrame | None = None, bounds: DataFrame | None = None, nested: list[str] | None = None
 ) -> DataFrame:
     """(geolevel, geocode, cell, x): from the root down, one plan a level. meas: (geolevel, geocode, cell, noisy, variance).
 
@@ -281,6 +281,7 @@ def topdown_levels(
     query, level, sign, rhs) enter every level's fit, the root's too, as in `topdown_fit`. ``checkpoint`` (a function of a DataFrame)
     cuts lineage between levels: each is written and read by the next, so no plan holds those above it.
     """
+    checkpoint = checkpoint or written
     level, n = hier[0]
     at = lambda df, level: None if df is None else df.filter(F.col("geolevel") == level)
     rows = lambda level, up: at(meas, level).select("geocode", up.alias("parent_geocode"), *cell, F.col("noisy").cast("double").alias("x"), F.col("variance").cast("double").alias("variance"))

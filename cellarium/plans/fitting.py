@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -133,7 +134,8 @@ def measure_sum_children(spark, d):
     return N.measure_sum_children(_blocks(spark, d))
 
 
-@query(f"select u.geocode, u.query, u.level, c.cv / (5.0 + c.cv) * u.noisy + 5.0 / (5.0 + c.cv) * c.cn as noisy, 5.0 * c.cv / (5.0 + c.cv) as variance from {_M} u join (select parent_geocode as geocode, query, level, sum(noisy) as cn, sum(variance) as cv from {_BL} group by all) c on u.geocode = c.geocode and u.query = c.query and u.level = c.level where u.geolevel = 'Nation'", "noisy variance")
+@query(f"""select geocode, query, level, cv / (5.0 + cv) * un + 5.0 / (5.0 + cv) * cn as noisy, 5.0 * cv / (5.0 + cv) as variance from (select substr(geocode, 1, 3) as geocode, query, level, max(case when geolevel = 'Nation' then noisy end) as un,
+ sum(case when geolevel = 'Block' then noisy end) as cn, sum(case when geolevel = 'Block' then 2.0 + geocode::bigint % 3 end)::double as cv from {_M} where geolevel <> 'Region' group by 1, 2, 3) where un is not null and cn is not null""", "noisy variance")
 def measure_pool(spark, d):
     up = _meas(spark, d).filter("geolevel = 'Nation'").select("geocode", "query", "level", "noisy", F.lit(5.0).alias("variance"))
     return N.measure_pool(up, N.measure_sum_children(_blocks(spark, d)))
@@ -336,6 +338,53 @@ def topdown_levels(spark, d):
     return T.topdown_levels(m, HIER, _CELL)
 
 
+_NEAR = "case when priority < 2 then 'pressing' else 'other' end"
+_RUN_CELL = ["run_id", "priority"]
+
+
+@query(f"""select geocode, run_id, kind, level, low, most, true as ok from (with
+fam as (select c.geocode, substr(c.geocode, 1, 3) as parent, c.run_id, c.priority, c.x, p.total from (select geocode, run_id, priority, sum(priv)::double as x from analysis group by all) c
+  join (select substr(geocode, 1, 3) as g, priority, sum(cnt) as total from hist group by all) p on p.g = substr(c.geocode, 1, 3) and p.priority = c.priority),
+con as (select * replace (x + (total - sum(x) over w) / count(*) over w as x) from fam window w as (partition by parent, run_id, priority)),
+th as (select *, sum(x) over (partition by parent, run_id, priority order by x desc, geocode rows unbounded preceding) as s, row_number() over (partition by parent, run_id, priority order by x desc, geocode) as k from con),
+non as (select geocode, parent, run_id, priority, total, greatest(x - max((s - total) / k) over (partition by parent, run_id, priority), 0) as x from th)
+select geocode, run_id, 'near' as kind, {_NEAR} as level, floor(round(sum(x), 6))::bigint as low, ceil(round(sum(x), 6))::bigint as most from non group by all
+union all select geocode, run_id, 'total', 'total', floor(round(sum(x), 6))::bigint, ceil(round(sum(x), 6))::bigint from non group by all
+union all select parent, run_id, 'parent', priority::varchar, max(total)::bigint, max(total)::bigint from non group by parent, run_id, priority)""")
+def topdown_round_queries(spark, d):
+    """Bounds that the real sums set to every block's sums and every nation's cells, and whether the rounded ones keep them."""
+    parent = B.hist(spark, d).groupBy(F.substring("geocode", 1, 3).alias("geocode"), "priority").agg(F.sum("cnt").alias("total")).withColumn("run_id", F.explode(F.lit(["run_0", "run_1", "run_2"])))
+    child = B.analysis(spark, d).groupBy("geocode", *_RUN_CELL).agg(F.sum("priv").cast("double").alias("x")).withColumn("parent_geocode", F.substring("geocode", 1, 3))
+    real = T.topdown_nonnegative(parent, T.topdown_consistent(parent, child, _RUN_CELL), _RUN_CELL)
+    level_of = {"total": "run_id", "near": f"concat(run_id, {_NEAR})"}
+    got = T.topdown_round_queries(parent, real, _RUN_CELL, level_of)
+    sums = [F.sum("x").alias("x"), F.round(F.sum("fitted"), 6).alias("real")]
+    kinds = [got.groupBy("geocode", "run_id", F.lit("near").alias("kind"), F.expr(_NEAR).alias("level")).agg(*sums), got.groupBy("geocode", "run_id", F.lit("total").alias("kind"), F.lit("total").alias("level")).agg(*sums)]
+    kinds.append(got.groupBy(F.col("parent_geocode").alias("geocode"), "run_id", F.lit("parent").alias("kind"), F.col("priority").cast("string").alias("level")).agg(*sums))
+    low, most = F.floor("real"), F.ceil("real")
+    return reduce(lambda a, b: a.unionByName(b), kinds).select("geocode", "run_id", "kind", "level", low.alias("low"), most.alias("most"), F.col("x").between(low, most).alias("ok"))
+
+
+@query(f"""select geolevel, geocode, run_id, sum(orig)::bigint as total, (coalesce(sum(case when priority < 2 then orig end), 0) + 1)::bigint as bound, 0::bigint as broken from rolled group by all""")
+def topdown_levels_queries(spark, d):
+    """Every level's fit of cells and of a query's answers, under true totals and an upper bound: the totals, and how many rows break the bound or x >= 0."""
+    keys = ["geolevel", "geocode", "run_id"]
+    cells = T.written(B.rolled(spark, d).groupBy(*keys, "priority").agg(F.sum("orig").alias("orig"), F.sum("priv").alias("noisy")))
+    all_ = cells.select(*keys).distinct().withColumn("priority", F.explode(F.lit(list(range(5))))).join(cells, [*keys, "priority"], "left").fillna(0, ["orig", "noisy"])
+    all_ = T.written(all_)  # every level and query reads it
+    meas = all_.withColumn("variance", F.lit(2.0))
+    near = F.concat("run_id", F.expr(_NEAR))
+    by = all_.groupBy("geolevel", "geocode", near.alias("level")).agg(F.sum("orig").alias("orig"), F.sum("noisy").alias("noisy"))
+    answers = by.select("geolevel", "geocode", F.lit("near").alias("query"), "level", "noisy", F.lit(1.0).alias("variance"))
+    upper = by.filter("level like '%pressing'").select("geolevel", "geocode", F.lit("near").alias("query"), "level", F.lit("le").alias("sign"), (F.col("orig") + 1).alias("rhs"))
+    total = all_.groupBy("geolevel", "geocode", F.col("run_id").alias("level")).agg(F.sum("orig").alias("rhs")).select("geolevel", "geocode", F.lit("total").alias("query"), "level", F.lit("=").alias("sign"), "rhs")
+    got = T.topdown_levels(meas, HIER, _RUN_CELL, level_of={"total": "run_id", "near": f"concat(run_id, {_NEAR})"}, answers=answers, bounds=total.unionByName(upper))
+    pressing = F.sum(F.when(F.col("priority") < 2, F.col("x")).otherwise(0))
+    sums = got.groupBy(*keys).agg(F.sum("x").alias("total"), pressing.alias("p"), F.sum((F.col("x") < 0).cast("long")).alias("broken"))
+    bound = upper.select("geolevel", "geocode", F.substring("level", 1, 5).alias("run_id"), F.col("rhs").alias("bound"))
+    return sums.join(bound, keys).select(*keys, "total", "bound", (F.col("broken") + (F.col("p") > F.col("bound")).cast("long")).alias("broken"))
+
+
 @query("select geocode, g as parent_geocode, priority, x + (total - sum(x) over w) / count(*) over w as x from (select c.*, p.total from (select geocode, substr(geocode, 2, 2) as g, priority, sum(priv)::double as x from analysis where run_id = 'run_2' group by all) c join (select substr(geocode, 2, 2) as g, priority, sum(cnt) as total from hist group by all) p using (g, priority)) window w as (partition by g, priority)", "x")
 def topdown_state_groups(spark, d):
     _, child = _family(spark, d)

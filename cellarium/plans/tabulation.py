@@ -455,7 +455,8 @@ def join_lower_measurements(spark, d):
     return joins.join_lower_measurements(a.filter("geolevel = 'Nation'"), low).select("geocode", "query", "level", "noisy", "child_noisy")
 
 
-@query("select q.geolevel, q.geocode, q.run_id, q.query, q.level, q.orig, t.orig as orig_sum, t.priv as priv_sum from answers q join answers t on q.geolevel = t.geolevel and q.geocode = t.geocode and q.run_id = t.run_id and t.query = 'total' where q.query <> 'total'")
+@query("""select geolevel, geocode, run_id, query, level, orig, orig_sum, priv_sum from (select *, max(case when query = 'total' then orig end) over w as orig_sum, max(case when query = 'total' then priv end) over w as priv_sum
+ from answers window w as (partition by geolevel, geocode, run_id)) where query <> 'total'""")
 def join_ratio_denominator(spark, d):
     return joins.join_ratio_denominator(B.answers(spark, d), keys=("geolevel", "geocode", "run_id")).select("geolevel", "geocode", "run_id", "query", "level", "orig", "orig_sum", "priv_sum")
 
