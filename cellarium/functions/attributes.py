@@ -8,6 +8,7 @@ from __future__ import annotations
 from itertools import combinations
 
 from .dims import Dim, Schema
+from .households import old_type_recodes
 
 # The codes' meanings.
 RACES = ("white", "black", "aian", "asian", "nhopi", "sor")
@@ -111,6 +112,7 @@ def age(top: int = 115) -> Dim:
         "votingLevels": {"Nonvoting": tuple(range(18)), "Voting": tuple(range(18, n))},
         "nonvotingTotal": {"Nonvoting": tuple(range(18))}, "votingTotal": {"Voting": tuple(range(18, n))},
         "agroup4": step(4), "agroup8": step(8), "agroup16": step(16), "agroup32": step(32), "agroup64": step(64),
+        "age_lessthan15": {"Age < 15": tuple(range(15))}, "age_lessthan30": {"Age < 30": tuple(range(30))}, "age_greaterthan89": {"Age > 89": tuple(range(90, n))},
         "under4": {"Aged 3 and under": tuple(range(4))}, "under8": {"Aged 7 and under": tuple(range(8))}, "under16": {"Aged 15 and under": tuple(range(16))},
         "agecat43": ranges([*[(a, a) for a in range(22)], (22, 24), (25, 29), (30, 34), (35, 39), (40, 44), (45, 49), (50, 54), (55, 59), (60, 61), (62, 64), (65, 66), (67, 69), (70, 74), (75, 79), (80, 84), (85, 89), (90, 94), (95, 99), (100, 104), (105, 109), (110, top)], n),
         "agePopEst18": ranges([(0, 4), *[(a, a + 4) for a in range(5, 85, 5)], (85, top)], n),
@@ -125,6 +127,15 @@ def cenrace() -> Dim:
         "numraces": {f"{k} race{'s' * (k > 1)}": by(lambda c, k=k: len(c) == k) for k in range(1, len(RACES) + 1)},
         "majorRaces": {**{f"{r} alone": by(lambda c, i=i: c == (i,)) for i, r in enumerate(RACES)}, "two or more races": by(lambda c: len(c) > 1)},
     }
+    # pairs of the priority list, by places of the races; every other combination is the remainder
+    pairs = {(0, 1): "Black or African American and White", (0, 2): "American Indian and Alaska Native and White", (0, 3): "Asian and White", (1, 2): "American Indian and Alaska Native and Black or African American"}
+    names = ("White", "Black or African American", "American Indian and Alaska Native", "Asian", "Native Hawaiian and Other Pacific Islander", "Some Other Race")
+    alone = {f"{name} alone": by(lambda c, i=i: c == (i,)) for i, name in enumerate(names)}
+    recodes["cenrace11cats"] = alone | {x: by(lambda c, p=p: c == p) for p, x in pairs.items()} | {"Balance/remainder": by(lambda c: len(c) > 1 and c not in pairs)}
+    recodes["race7lev"] = {r: by(lambda c, i=i: c == (i,)) for i, r in enumerate(RACES)} | {"Two or more races": by(lambda c: len(c) > 1)}
+    recodes["allraces"] = {r: by(lambda c, i=i: c == (i,)) for i, r in enumerate(RACES)}
+    recodes["tomr"] = {"Two or more races": by(lambda c: len(c) > 1)}
+    recodes["cenrace_7lev_two_comb"] = {r: by(lambda c, i=i: c in ((i,), (0, i))) for i, r in enumerate(RACES)} | {"Two or more races": by(lambda c: len(c) > 2 or len(c) == 2 and c[0])}
     for i, r in enumerate(RACES):
         recodes[f"{r}Alone"] = {f"{r} alone": by(lambda c, i=i: c == (i,))}
         recodes[f"{r}Combo"] = {f"{r} alone or in combination": by(lambda c, i=i: i in c)}
@@ -157,24 +168,43 @@ def tenure_vacancy_gq() -> Dim:
     })
 
 
+def unit_kinds() -> Dim:
+    """One unit variable of the largest household schema: tenure, vacancy, then every kind of group quarters."""
+    labels = (*TENURE, *VACANCY, *GROUP_QUARTERS)
+    kinds = {x: (11 + i,) for i, x in enumerate(GROUP_QUARTERS)}
+    return Dim("tenvacgq", labels, {"householdTotal": {"Household": (0, 1, 2, 3)}, "hhgq_vector": {"Housing Units": tuple(range(11)), **kinds}, "tenure_2lev": {"Owned": (0, 1), "Not owned": (2, 3)}, "vacant": {"Vacant": tuple(range(4, 11))}, "gqlevels": kinds})
+
+
 def household_size() -> Dim:
     return Dim("hhsize", HOUSEHOLD_SIZE, {
         "onePerson": {"1 person": (1,)}, "sizeVacant": {"Vacant": (0,)}, "twoPersonsPlus": {"2 or more persons": tuple(range(2, 8))}, "notVacant": {"Occupied": tuple(range(1, 8))}, "sizeVector": {s: (i,) for i, s in enumerate(HOUSEHOLD_SIZE)},
+        **{f"size{k}": {f"{k}-person household": (k,)} for k in (1, 2, 3, 4)}, "size2plus": {"2-or-more-person household": tuple(range(2, 8))}, "vacant": {"vacant household": (0,)},
+        "sizex0": {HOUSEHOLD_SIZE[k]: (k,) for k in range(1, 8)}, "sizex01": {HOUSEHOLD_SIZE[k]: (k,) for k in range(2, 8)}, "solo": {"Alone": (1,), "Not alone": tuple(range(2, 8))},
     })
 
 
 def household_age() -> Dim:
     labels = ("15 to 24", "25 to 34", "35 to 44", "45 to 54", "55 to 59", "60 to 64", "65 to 74", "75 to 84", "85 and over")
-    return Dim("hhage", labels, {"under60": {"Under 60": (0, 1, 2, 3, 4)}, "60plus": {"60 and over": (5, 6, 7, 8)}, "60to64": {"60 to 64": (5,)}, "65to74": {"65 to 74": (6,)}, "75plus": {"75 and over": (7, 8)}, "over24": {"25 and over": tuple(range(1, 9))}})
+    return Dim("hhage", labels, {
+        "under60": {"Under 60": (0, 1, 2, 3, 4)}, "60plus": {"60 and over": (5, 6, 7, 8)}, "60to64": {"60 to 64": (5,)}, "65to74": {"65 to 74": (6,)}, "75plus": {"75 and over": (7, 8)}, "over24": {"25 and over": tuple(range(1, 9))},
+        "age_15to24": {"Householder age is 15 to 24": (0,)}, "hhover24": {"Householder age is over 24": tuple(range(1, 9))}, "age_60plus": {"Householder age is 60 or more": (5, 6, 7, 8)}, "age_under60": {"Householder age is under 60": (0, 1, 2, 3, 4)},
+        "age_60to64": {"Householder age is 60 to 64": (5,)}, "age_65to74": {"Householder age is 65 to 74": (6,)}, "age_75plus": {"Householder age is 75 or older": (7, 8)}, "hhover65": {"15 to 64 years": tuple(range(6)), "65 years and over": (6, 7, 8)},
+        "hhageH18": {"Householder 15 to 34 years": (0, 1), "Householder 35 to 64 years": (2, 3, 4, 5), "Householder 65 years and over": (6, 7, 8)},
+    })
 
 
 def household_elderly() -> Dim:
     labels = ("None 60 or over", "60 to 64 only", "65 to 74 at most", "75 or over")
-    return Dim("elderly", labels, {"presence60Plus": {"60 or over": (1, 2, 3)}, "presence65Plus": {"65 or over": (2, 3)}, "presence75Plus": {"75 or over": (3,)}})
+    return Dim("elderly", labels, {
+        "presence60Plus": {"60 or over": (1, 2, 3)}, "presence65Plus": {"65 or over": (2, 3)}, "presence75Plus": {"75 or over": (3,)},
+        "pres_under60": {"No one 60 or older": (0,)}, "pres_under65": {"No one 65+ present": (0, 1)}, "elderly3": {"Someone 75+ present": (3,)}, "invert_elderly0": {"At least one person over 60 present": (1, 2, 3)},
+        "invert_elderly1": {"No one below 60 present or someone over 64 present": (0, 2, 3)}, "invert_elderly2": {"No one below 65 present or someone over 74 present": (0, 1, 3)}, "invert_elderly3": {"No one 75+ present": (0, 1, 2)},
+        "presence60": {"No one over 60": (0,), "At least one over 60": (1, 2, 3)}, "presence65": {"No one over 65 years": (0, 1), "At least one person over 65 years": (2, 3)}, "presence75": {"No one over 75 years": (0, 1, 2), "At least one person over 75 years": (3,)},
+    })
 
 
 def multigenerational() -> Dim:
-    return Dim("multi", ("Not multigenerational", "Multigenerational"), {"multiTrue": {"Multigenerational": (1,)}, "multiFalse": {"Not multigenerational": (0,)}})
+    return Dim("multi", ("Not multigenerational", "Multigenerational"), {"multiTrue": {"Multigenerational": (1,)}, "multiFalse": {"Not multigenerational": (0,)}, "yes_multi": {"Multigenerational": (1,)}, "no_multi": {"Not multigenerational": (0,)}})
 
 
 def householder_race() -> Dim:
@@ -197,19 +227,8 @@ def relationship_gq() -> Dim:
 
 
 def household_type() -> Dim:
-    """24 types by couple, relatives and own children; recodes follow from the labels' own words."""
-    where = lambda test: tuple(i for i, x in enumerate(HOUSEHOLD_TYPES) if test(x))
-    own = lambda x: "with own children" in x
-    married, cohabiting, single = where(lambda x: x.startswith("Married")), where(lambda x: x.startswith("Cohabiting")), where(lambda x: x.startswith("No spouse"))
-    family = where(lambda x: x.startswith("Married") or own(x) or "with relatives" in x)
-    kids = where(own)
-    return Dim("hhtype", HOUSEHOLD_TYPES, {
-        "family": {"Family": family}, "nonfamily": {"Nonfamily": tuple(i for i in range(len(HOUSEHOLD_TYPES)) if i not in family)}, "marriedFamily": {"Married": married}, "otherFamily": {"Other family": tuple(i for i in family if i not in married)},
-        "ownChildren": {"With own children under 18": kids}, "ownChildrenUnderSix": {"Own children under 6 only": where(lambda x: own(x) and "under 6" in x and "both" not in x)}, "alone": {"Alone": where(lambda x: x.endswith("partner, alone"))},
-        "notAlone": {"Not alone": where(lambda x: not x.endswith("partner, alone"))}, "cohabiting": {"Cohabiting": cohabiting}, "noSpouseOrPartner": {"No spouse or partner": single}, "coupleLevels": {"Married": married, "Cohabiting": cohabiting, "No spouse or partner": single},
-        "oppositeSexLevels": {"Married": where(lambda x: x.startswith("Married opposite")), "Cohabiting": where(lambda x: x.startswith("Cohabiting opposite"))}, "sameSexLevels": {"Married": where(lambda x: x.startswith("Married same")), "Cohabiting": where(lambda x: x.startswith("Cohabiting same"))},
-        "marriedWithChildren": {"With own children": tuple(i for i in married if i in kids), "Without own children": tuple(i for i in married if i not in kids)}, "cohabitingWithChildren": {"With own children": tuple(i for i in cohabiting if i in kids), "Without own children": tuple(i for i in cohabiting if i not in kids)},
-    })
+    """24 types by couple, relatives and own children; recodes are predicates over what a type says (see `households`)."""
+    return Dim("hhtype", HOUSEHOLD_TYPES, old_type_recodes())
 
 
 def citizen_race() -> Dim:
@@ -282,7 +301,7 @@ def pl94_citizens() -> Schema:
     return Schema((facility(), voting_age(), hispanic(), cenrace(), citizen()))
 
 
-#: Published tables: name -> queries.
+#: Published tables, name -> queries.
 TABLES = {
     "P1": ["total", "numraces", "cenrace"],
     "P2": ["total", "hispanic", "numraces", "cenrace", "hispanic * numraces", "hispanic * cenrace"],

@@ -8,6 +8,7 @@ or column expressions, so that any attribute is data and the operators stay the
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from itertools import product
 from math import prod
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -67,6 +68,10 @@ class Schema:
             out.append((d, groups or {label: (i,) for i, label in enumerate(d.labels)}))
         return sorted(out, key=lambda x: self.names.index(x[0].name))
 
+    def levels(self, name: str) -> list[str]:
+        """All level labels of a query, in order."""
+        return [" BY ".join(parts) or "total" for parts in product(*[groups for _, groups in self.parse(name)])]
+
     def level(self, name: str) -> Column | None:
         """Label of the row's level in the query's answer, null where a dimension is not mapped."""
         parts = [recode_column(F.col(d.name), {i: g for g, ix in groups.items() for i in ix}) for d, groups in self.parse(name)]

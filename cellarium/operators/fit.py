@@ -12,10 +12,12 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.dims import Schema, recode_column
+from ..functions.rules import Rule
 from ..sources.files import scratch
 from . import family
 from .geo import Hier
@@ -112,6 +114,48 @@ def constraint_check(answers: DataFrame, cons: DataFrame, tol: float = 0.001) ->
     return j.withColumn("ok", F.when(F.col("sign") == "=", F.abs(d) <= tol).when(F.col("sign") == "le", d <= tol).otherwise(d >= -tol))
 
 
+def constraint_rules(hists: dict[str, DataFrame], schemas: dict[str, Schema], rules: list[Rule], invariants: DataFrame | None = None, count: str = "cnt") -> DataFrame:
+    """(rule, geocode, level, sign, lhs, rhs, ok) of a schema's whole rule set, in one spread and one sum.
+
+    hists: universe -> (geocode, dims, count); schemas: their dimensions; invariants: (geocode, invariant, level, value). Every cell
+    goes to the (rule, level) pairs whose query holds it, with the factor of its universe; all left-hand sides are then one
+    aggregation, whatever the number of rules. A geounit without such cells has 0 on the left where an invariant asks
+    for something; structural zeros without cells hold and give no row.
+    """
+
+    def level(rule: Rule, universe: str) -> Column:
+        """The level's name in the rule's first universe: the universes' levels belong together in order."""
+        first = next(iter(rule.terms))
+        names, own = schemas[first].levels(rule.terms[first][0]), schemas[universe].levels(rule.terms[universe][0])
+        if len(names) != len(own):
+            raise ValueError(f"{rule.name}: queries of different numbers of levels")
+        at = schemas[universe].level(rule.terms[universe][0])
+        return at if names == own else F.when(at.isNotNull(), recode_column(at, dict(zip(own, names, strict=True))))
+
+    parts = []
+    for universe in schemas:
+        held = [(r, level(r, universe), r.terms[universe][1]) for r in rules if universe in r.terms]
+        if not held:
+            continue
+        each = [F.when(at.isNotNull(), F.struct(F.lit(r.name).alias("rule"), at.alias("level"), F.lit(factor).cast("long").alias("factor"))) for r, at, factor in held]
+        spread = hists[universe].select("geocode", F.col(count).alias("_n"), F.explode(F.array_compact(F.array(*each))).alias("_x"))
+        parts.append(spread.select("geocode", "_x.rule", "_x.level", (F.col("_x.factor") * F.col("_n")).alias("lhs"), F.lit(None).cast("long").alias("rhs")))
+    named = {}
+    for r in rules:
+        if isinstance(r.rhs, str):
+            named.setdefault(r.rhs, []).append(r.name)
+    if named and invariants is not None:
+        of = F.create_map(*[x for k, v in named.items() for x in (F.lit(k), F.lit(v))])
+        known = invariants.withColumn("rule", F.explode(F.try_element_at(of, F.col("invariant"))))
+        parts.append(known.select("geocode", "rule", "level", F.lit(None).cast("long").alias("lhs"), F.col("value").cast("long").alias("rhs")))
+    sums = reduce(DataFrame.unionByName, parts).groupBy("rule", "geocode", "level").agg(F.coalesce(F.sum("lhs"), F.lit(0)).alias("lhs"), F.sum("rhs").alias("rhs"))
+    sign = F.create_map(*[x for r in rules for x in (F.lit(r.name), F.lit(r.sign))])[F.col("rule")]
+    fixed = F.create_map(*[x for r in rules for x in (F.lit(r.name), F.lit(r.rhs if isinstance(r.rhs, int) else 0))])[F.col("rule")]
+    out = sums.withColumns({"sign": sign, "rhs": F.coalesce("rhs", fixed.cast("long"))})
+    d = F.col("lhs") - F.col("rhs")
+    return out.select("rule", "geocode", "level", "sign", "lhs", "rhs", F.when(F.col("sign") == "=", d == 0).when(F.col("sign") == "le", d <= 0).otherwise(d >= 0).alias("ok"))
+
+
 # the fit: child (geocode, parent_geocode, cell..., x[, variance]); parent (geocode, cell..., total)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import attributes as A
 from ..functions.dims import UNMAPPED, recode_column
+from ..functions.households import type_table
 
 
 def recode_case(df: DataFrame, col: str, mapping: dict, default: str | None = UNMAPPED, out: str | None = None) -> DataFrame:
@@ -103,9 +104,13 @@ def recode_age_groups(df: DataFrame, col: str, groups: list[tuple[int, int, str]
     return df.withColumn(out, c.otherwise(F.lit(UNMAPPED)))
 
 
-def recode_household_type(df: DataFrame, col: str, predicates: dict[str, list[int]], default: str = UNMAPPED) -> DataFrame:
-    """A flag column per predicate: is the type among those that satisfy it?"""
-    return df.withColumns({name: F.col(col).isin(ix).cast("int") for name, ix in predicates.items()})
+def recode_household_type(df: DataFrame, col: str, predicates: dict[str, list[int] | dict[str, tuple[int, ...]]], default: str = UNMAPPED) -> DataFrame:
+    """A column per recode: for a list of types a flag, for groups (label -> types, as a dimension's recodes) the label, or default outside them."""
+
+    def one(of) -> Column:
+        return recode_column(F.col(col), {i: g for g, ix in of.items() for i in ix}, default) if isinstance(of, dict) else F.col(col).isin(of).cast("int")
+
+    return df.withColumns({name: one(of) for name, of in predicates.items()})
 
 
 def recode_tenure_vacancy_gq(df: DataFrame, col: str, grouping: str, out: str = "group") -> DataFrame:
@@ -151,6 +156,33 @@ HOUSEHOLD_LAYOUT = [
 ]
 
 
+#: Occupied units of the largest household schema, as expressions over its indices and what the type says (see `type_table`).
+LARGEST_LAYOUT = [
+    ("SCHEMA_TYPE_CODE", "'MUD'"), ("SCHEMA_BUILD_ID", "'1.1.0'"), ("geocode", "geocode"), ("RTYPE", "'2'"), ("GQTYPE", "'000'"), ("TEN", "if(hhtenshort = 0, '1', '3')"), ("VACS", "'0'"), ("HHSIZE", "cast(size as string)"),
+    ("HHT", "case when couple = 'married' then '1' when relatives then cast(2 + sex as string) else cast(4 + 2 * sex + if(alone, 0, 1) as string) end"),
+    ("HHT2", "lpad(cast(case couple when 'married' then if(own <> '', 1, 2) when 'cohabiting' then if(own <> '', 3, 4) else case when alone then 5 when own <> '' then 6 when relatives then 7 else 8 end + if(sex = 0, 4, 0) end as string), 2, '0')"),
+    ("CPLT", "case when alone then '0' when couple = '' then '5' else cast(if(couple = 'married', 1, 3) + if(sexes = 'same-sex', 1, 0) as string) end"),
+    ("UPART", "case when alone then '0' when couple <> 'cohabiting' then '5' else cast(1 + 2 * sex + if(sexes = 'same-sex', 0, 1) as string) end"),
+    ("MULTG", "case when size <= 2 then '0' when multi then '2' else '1' end"), ("HHLDRAGE", "cast(hhage + 1 as string)"), ("HHSPAN", "cast(hispanic + 1 as string)"), ("HHRACE", "concat('0', cast(hhrace + 1 as string))"),
+    ("PAOC", "case own when 'under6' then '1' when '6to17' then '2' when 'both' then '3' else '4' end"), ("P18", "if(minor, '1', '0')"), ("P60", "if(elderly >= 1, '1', '0')"), ("P65", "if(elderly >= 2, '1', '0')"), ("P75", "if(elderly >= 3, '1', '0')"),
+    ("PAC", "case child when 'under6' then '1' when '6to17' then '2' when 'both' then '3' else '4' end"), ("HHSEX", "cast(sex + 1 as string)"),
+]
+#: Vacant units and group quarters of that schema: what only households have is 0.
+LARGEST_UNIT_LAYOUT = [
+    ("SCHEMA_TYPE_CODE", "'MUD'"), ("SCHEMA_BUILD_ID", "'1.1.0'"), ("geocode", "geocode"), ("RTYPE", "if(tenvacgq <= 10, '2', '4')"),
+    ("GQTYPE", "case when tenvacgq <= 10 then '000' else element_at(array(" + ", ".join(f"'{g.split(' ')[1]}'" for g in A.GROUP_QUARTERS) + "), tenvacgq - 10) end"),
+    ("TEN", "'0'"), ("VACS", "if(tenvacgq between 4 and 10, cast(tenvacgq - 3 as string), '0')"), *[(c, "'00'" if c in ("HHT2", "HHRACE") else "'0'") for c in ("HHSIZE", "HHT", "HHT2", "CPLT", "UPART", "MULTG", "HHLDRAGE", "HHSPAN", "HHRACE", "PAOC", "P18", "P60", "P65", "P75", "PAC", "HHSEX")],
+]
+
+
+def recode_output_largest(df: DataFrame, col: str = "hhtype_dhch") -> DataFrame:
+    """Households of the largest schema in output form; an index without a type stops the job."""
+    types = type_table(df.sparkSession).withColumnRenamed("hhtype", "_type")
+    known = df.join(F.broadcast(types), F.col(col) == F.col("_type"), "left")  # a fixed table of 522 rows
+    checked = known.withColumn("size", F.when(F.col("_type").isNotNull(), F.col("size")).otherwise(F.raise_error(F.lit("no such household type")).cast("int")))
+    return _select(checked, LARGEST_LAYOUT)
+
+
 def recode_output_person(df: DataFrame, layout: list[tuple[str, str]] = PERSON_LAYOUT) -> DataFrame:
     return _select(df, layout)
 
