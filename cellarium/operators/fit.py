@@ -18,7 +18,7 @@ from pyspark.sql.window import Window
 
 from ..functions.dims import Schema, recode_column
 from ..functions.rules import Rule
-from ..sources.files import scratch
+from ..sources.files import written
 from . import family
 from .geo import Hier
 
@@ -226,12 +226,6 @@ def topdown_queries(parent: DataFrame, child: DataFrame, cell: list[str], answer
     return f.select(*child.columns)
 
 
-def written(df: DataFrame) -> DataFrame:
-    path = scratch(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _beside(child: DataFrame, level_of: dict[str, str], answers: DataFrame | None, bounds: DataFrame | None) -> DataFrame:
     """child with, for every query i, its cell's level _l{i}, the noisy answer _y{i} with variance _v{i}, and bounds _lo{i} and _hi{i}."""
     f = child
@@ -309,12 +303,6 @@ def topdown_fit(parent: DataFrame | None, child: DataFrame, cell: list[str], lev
     return _by_family(_beside(f, level_of, answers, bounds), cell, level_of, nested, True)
 
 
-def written(df: DataFrame) -> DataFrame:
-    path = scratch(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def topdown_levels(
     meas: DataFrame, hier: Hier, cell: list[str], checkpoint=None, level_of: dict[str, str] | None = None, answers: DataFrame | None = None, bounds: DataFrame | None = None, nested: list[str] | None = None
 ) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dims import Schema
-from .fit import written
+from ..sources.files import written
 
 #: A further step must save this share of all rows that are spread; marginals of so many rows are as good as smaller ones.
 WORTH, SMALL = 0.005, 512

@@ -8,23 +8,32 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..sources.files import scratch
+from ..sources.files import scratch, written
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: Column, probs: list[float], name: str = "q") -> DataFrame:
     """(keys, name): array of linear-interpolated quantiles of the values that are not null.
 
-    Equal values are counted first, and ranks are running sums of counts over sorted rows, which spill: no group's values are
-    held in one aggregation state.
+    Equal values are counted first. The counts are cut into ranges over (keys, value) and written, so one group may span any
+    number of ranges. Sums by range and group, a few rows, tell in which range each wanted rank lies; only
+    in those are running sums taken, inside the range, and only the rows that the ranks hit are kept.
     """
-    n = df.select(*keys, value.cast("double").alias("_v")).filter("_v is not null").groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    ranked = n.withColumns({"_to": F.sum("_c").over(group.orderBy("_v")), "_n": F.sum("_c").over(group)})
-    places = [(F.col("_n") - 1) * F.lit(float(p)) for p in probs]
-    first = lambda rank: F.min(F.when(F.col("_to") > rank, F.col("_v")))
-    ends = ranked.groupBy(*keys, "_n").agg(*[f for i, at in enumerate(places) for f in (first(F.floor(at)).alias(f"_l{i}"), first(F.ceil(at)).alias(f"_h{i}"))])
-    between = [F.col(f"_l{i}") + (F.col(f"_h{i}") - F.col(f"_l{i}")) * (at - F.floor(at)) for i, at in enumerate(places)]
-    return ends.select(*keys, F.array(*between).alias(name))
+    n = df.select(F.struct(*keys, F.lit(0)).alias("_k"), value.cast("double").alias("_v")).filter("_v is not null").groupBy("_k", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    rows = written(written(n).repartitionByRange("_k", "_v").withColumn("_part", F.spark_partition_id()))  # bounds come from a sample of what is written
+    group = Window.partitionBy("_k")  # a row per range
+    sums = rows.groupBy("_k", "_part").agg(F.sum("_c").alias("_m"))
+    sums = sums.withColumns({"_n": F.sum("_m").over(group), "_before": F.sum("_m").over(group.orderBy("_part")) - F.col("_m")})
+    at = [(F.col("_n") - 1) * F.lit(float(p)) for p in probs]
+    ranks = [F.struct(F.lit(2 * i + side).alias("place"), end(x).cast("long").alias("rank")) for i, x in enumerate(at) for side, end in enumerate((F.floor, F.ceil))]
+    wanted = F.filter(F.array(*ranks), lambda r: (r["rank"] >= F.col("_before")) & (r["rank"] < F.col("_before") + F.col("_m")))
+    hit = sums.withColumn("_want", wanted).filter(F.size("_want") > 0).select("_k", "_part", "_n", "_before", "_want")
+    near = rows.join(hit, ["_k", "_part"])  # structs with nulls in them compare as equal
+    near = near.withColumn("_to", F.col("_before") + F.sum("_c").over(Window.partitionBy("_k", "_part").orderBy("_v")))
+    here = F.filter("_want", lambda r: (r["rank"] >= F.col("_to") - F.col("_c")) & (r["rank"] < F.col("_to")))
+    picked = near.withColumn("_here", here).filter(F.size("_here") > 0).select("_k", "_n", "_v", F.inline("_here"))
+    ends = picked.groupBy("_k", "_n").agg(F.map_from_entries(F.collect_list(F.struct("place", "_v"))).alias("_e"))  # two rows a quantile
+    low, high = (lambda i: F.col("_e")[2 * i]), (lambda i: F.col("_e")[2 * i + 1])
+    return ends.select(*[F.col("_k")[k].alias(k) for k in keys], F.array(*[low(i) + (high(i) - low(i)) * (x - F.floor(x)) for i, x in enumerate(at)]).alias(name))
 
 
 def beside_quantiles(stats: DataFrame, quantiles: DataFrame, keys: list[str]) -> DataFrame:

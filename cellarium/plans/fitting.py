@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from ..functions import attributes as A
 from ..operators import fit as T
 from ..operators import hist, noise as N
+from ..sources.files import written
 from . import base as B
 from .base import HIER, SCHEMA, query
 
@@ -369,9 +370,9 @@ def topdown_round_queries(spark, d):
 def topdown_levels_queries(spark, d):
     """Every level's fit of cells and of a query's answers, under true totals and an upper bound: the totals, and how many rows break the bound or x >= 0."""
     keys = ["geolevel", "geocode", "run_id"]
-    cells = T.written(B.rolled(spark, d).groupBy(*keys, "priority").agg(F.sum("orig").alias("orig"), F.sum("priv").alias("noisy")))
+    cells = written(B.rolled(spark, d).groupBy(*keys, "priority").agg(F.sum("orig").alias("orig"), F.sum("priv").alias("noisy")))
     all_ = cells.select(*keys).distinct().withColumn("priority", F.explode(F.lit(list(range(5))))).join(cells, [*keys, "priority"], "left").fillna(0, ["orig", "noisy"])
-    all_ = T.written(all_)  # every level and query reads it
+    all_ = written(all_)  # every level and query reads it
     meas = all_.withColumn("variance", F.lit(2.0))
     near = F.concat("run_id", F.expr(_NEAR))
     by = all_.groupBy("geolevel", "geocode", near.alias("level")).agg(F.sum("orig").alias("orig"), F.sum("noisy").alias("noisy"))

@@ -23,6 +23,13 @@ def scratch(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/tables-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame) -> DataFrame:
+    """df written to a scratch path and read again: cuts lineage, and what is read twice is computed once."""
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scan_delimited(spark: SparkSession, paths: str | list[str], schema: str | T.StructType, sep: str = ",", header: bool = True, comment: str | None = None) -> DataFrame:
     reader = spark.read.schema(schema).option("sep", sep).option("header", header)
     return (reader.option("comment", comment) if comment else reader).csv(paths)

@@ -205,3 +205,24 @@ def test_entity_distance_counts_additions(spark):
     b = spark.createDataFrame([("111", "x"), ("112", "x"), ("113", "y"), ("121", "y")], "geocode string, e string")
     got = {(r.geocode, r.entity): r.distance for r in geo.geo_entity_distance(b, HIER, "e").collect()}
     assert got[("11", "x")] == 2 and got[("11", "y")] == 1 and got[("12", "x")] == 0 and got[("1", "y")] == 2
+
+
+def test_quantiles_of_one_group_of_many_values(spark):
+    """A million distinct values in one group, beside small groups and a null key; no window takes a whole group's values."""
+    import numpy as np
+
+    from cellarium.operators import quantiles as Z
+
+    big = spark.range(1_000_000).select(F.lit("big").alias("g"), F.pmod(F.col("id") * 7919, F.lit(1_000_003)).cast("double").alias("x"))
+    small = spark.createDataFrame([("a", 1.0), ("a", 4.0), ("a", 4.0), ("b", 2.0), (None, 5.0), (None, 7.0), ("b", None), ("none", None)], "g string, x double")
+    probs = [0.0, 0.1, 0.5, 0.999, 1.0]
+    got = {r.g: r.q for r in Z.exact_quantiles(big.unionByName(small), ["g"], F.col("x"), probs).collect()}
+    values = (np.arange(1_000_000, dtype=np.int64) * 7919) % 1_000_003
+    want = {"big": np.quantile(values, probs), "a": np.quantile([1, 4, 4], probs), "b": [2.0] * 5, None: np.quantile([5, 7], probs)}
+    assert set(got) == set(want)
+    for k, v in want.items():
+        np.testing.assert_allclose(got[k], v, rtol=1e-12)
+    assert Z.exact_quantiles(small, [], F.col("x"), [0.5]).first()["q"] == [4.0]
+    assert Z.exact_quantiles(small.filter("false"), ["g"], F.col("x"), [0.5]).count() == 0
+    plan = Z.exact_quantiles(small, ["g"], F.col("x"), [0.5])._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_k" in plan and "SinglePartition" not in plan
