@@ -146,7 +146,7 @@ def facility(name: str = "hhgq") -> Dim:
     return Dim(name, FACILITIES, {
         "household": {"Household": (0,)}, "gqTotal": {"Group Quarters": tuple(range(1, 8))}, "hhgqVector": {f: (i,) for i, f in enumerate(FACILITIES)},
         "hhgq2level": {"Household": (0,), "Group Quarters": tuple(range(1, 8))}, "institutionalized": {"Institutional": (1, 2, 3, 4), "Noninstitutional": (5, 6, 7)},
-        "gqlevels": {f: (i,) for i, f in enumerate(FACILITIES) if i},
+        "gqlevels": {f: (i,) for i, f in enumerate(FACILITIES) if i}, "hhinstlevels": {"Household": (0,), "Institutional Facility": (1, 2, 3, 4), "Non-Institutional Facility": (5, 6, 7)},
     })
 
 

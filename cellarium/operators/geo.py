@@ -86,22 +86,24 @@ def geo_group_same_entities(blocks: DataFrame, parent: str, unit: str, entity: s
 
 
 def geo_entity_distance(blocks: DataFrame, hier: Hier, entity: str, geocode: str = "geocode") -> DataFrame:
-    """(geolevel, geocode, entity, distance): fewest units to add and take away, from the blocks up.
+    """(geolevel, geocode, entity, distance): fewest units to add and take away, from the blocks up; entities with no block in a unit are at 0 there and have no row.
 
-    A block is at distance 0 from its own entity and 1 from any other of its parent; above, an entity is reached
-    by taking in the children's distances or by taking away those outside: min(sum inside, sum outside + 1).
+    A block is at distance 1 from nothing and 0 from its own entity; above, a part is reached by taking in the children's parts or by
+    taking all and giving back what is outside: min(sum inside, sum outside + 1). An entity without blocks in a unit costs 0
+    from nothing and 1 (take the unit away) from the whole, whatever the unit, so only pairs that occur are kept
+    and a unit's children without the entity enter as their number.
     """
-    top = hier[0]
-    whole = blocks.select(geocode, entity).distinct()
-    named = whole.select(F.substring(geocode, 1, top[1]).alias("root"), F.col(entity).alias("e")).distinct()
-    now = whole.select(geocode).distinct().withColumn("root", F.substring(geocode, 1, top[1])).join(named, "root")
-    inside = whole.select(geocode, F.col(entity).alias("e"), F.lit(1).alias("hit"))
-    now = now.join(inside, [geocode, "e"], "left").select(F.col(geocode).alias("g"), "e", F.coalesce(F.col("hit"), F.lit(0)).cast("long").alias("a"), (1 - F.coalesce(F.col("hit"), F.lit(0))).cast("long").alias("b"))
+    own = blocks.select(F.col(geocode).alias("g"), F.col(entity).alias("e")).distinct()
+    now = own.select("g", "e", F.lit(1).cast("long").alias("a"), F.lit(0).cast("long").alias("b"))
+    units = own.select("g").distinct()
     out = []
     for level, n in reversed(hier[:-1]):
-        # a: cost of giving exactly the part inside the entity from nothing; b: from the whole
-        sums = now.groupBy(F.substring("g", 1, n).alias("g"), "e").agg(F.sum("a").alias("sa"), F.sum("b").alias("sb"))
-        now = sums.select("g", "e", F.least("sa", F.col("sb") + 1).alias("a"), F.least("sb", F.col("sa") + 1).alias("b"))
+        up = F.substring("g", 1, n)
+        kids = units.groupBy(up.alias("g")).agg(F.count(F.lit(1)).alias("kids"))
+        sums = now.groupBy(up.alias("g"), "e").agg(F.sum("a").alias("sa"), F.sum("b").alias("sb"), F.count(F.lit(1)).alias("with")).join(kids, "g")
+        outside = F.col("sb") + F.col("kids") - F.col("with")
+        now = sums.select("g", "e", F.least("sa", outside + 1).alias("a"), F.least(outside, F.col("sa") + 1).alias("b"))
+        units = kids.select("g")
         out.append(now.select(F.lit(level).alias("geolevel"), F.col("g").alias("geocode"), F.col("e").alias("entity"), F.col("a").alias("distance")))
     return reduce(DataFrame.unionByName, out)
 

@@ -7,12 +7,15 @@ that a run replays; it is not meant for the publication of confidential data.
 from __future__ import annotations
 
 import math
+from decimal import Decimal, localcontext
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.dims import Schema
+from ..functions.strategies import Strategy
 from .geo import Hier
 from .hist import geo_rollup
 from .query import query_answer_many, table_full_workload
@@ -26,17 +29,29 @@ def uniform(key: Column) -> Column:
 def budget_attach(meas: DataFrame, alloc: DataFrame, scale: tuple[int, int], framework: str = "zcdp") -> DataFrame:
     """Measurements with their inverse scale: q g / s^2 for zCDP, q g / s for pure privacy; s = scale.
 
-    alloc: (geolevel, query, geo_num, geo_den, q_num, q_den). ``budget_error`` where a level's query
-    proportions do not sum to 1 or one is not positive; the sum is taken over a common denominator.
+    alloc: (geolevel, query, geo_num, geo_den, q_num, q_den), a fixed table of levels times queries that passes the driver, so that all
+    sums are exact fractions whatever the denominators. ``budget_error`` where a level's query proportions do not sum to 1 or one is not positive.
+    A scale whose terms exceed 64 bits is reduced, and one that still does stops the job.
     """
-    w = Window.partitionBy("geolevel")
-    whole = F.aggregate(F.collect_set("q_den").over(w), F.lit(1).cast("decimal(38,0)"), lambda a, x: (a * x).cast("decimal(38,0)"))  # product of a level's distinct denominators
-    parts = F.sum((F.col("q_num") * (whole / F.col("q_den"))).cast("decimal(38,0)")).over(w)
-    bad = F.coalesce(parts != whole, F.lit(True)) | (F.min(F.col("q_num")).over(w) <= 0)
     num, den = scale
     power = 2 if framework == "zcdp" else 1
-    a = alloc.withColumn("budget_error", bad).withColumns({"inv_scale_num": F.col("q_num") * F.col("geo_num") * den**power, "inv_scale_den": F.col("q_den") * F.col("geo_den") * num**power})
-    return meas.join(F.broadcast(a.select("geolevel", "query", "inv_scale_num", "inv_scale_den", "budget_error")), ["geolevel", "query"], "left")  # levels x queries
+    rows, by_level = alloc.collect(), {}
+    for r in rows:
+        by_level.setdefault(r["geolevel"], []).append(Fraction(r["q_num"], r["q_den"]))
+    bad = {level: sum(shares) != 1 or min(shares) <= 0 for level, shares in by_level.items()}
+    scaled = [(r["geolevel"], r["query"], *_terms(r["q_num"] * r["geo_num"] * den**power, r["q_den"] * r["geo_den"] * num**power), bad[r["geolevel"]]) for r in rows]
+    a = meas.sparkSession.createDataFrame(scaled, "geolevel string, query string, inv_scale_num long, inv_scale_den long, budget_error boolean")
+    return meas.join(F.broadcast(a), ["geolevel", "query"], "left")  # levels x queries
+
+
+def _terms(num: int, den: int) -> tuple[int, int]:
+    """A fraction's terms as they are, or reduced where they are too long for 64 bits."""
+    if max(abs(num), den) < 1 << 63:
+        return num, den
+    f = Fraction(num, den)
+    if max(abs(f.numerator), f.denominator) >= 1 << 63:
+        raise OverflowError(f"inverse scale {f} exceeds 64 bits")
+    return f.numerator, f.denominator
 
 
 def budget_rollup(meas: DataFrame, order: list[str]) -> DataFrame:
@@ -80,6 +95,23 @@ def measure_query_answers(hist: DataFrame, hier: Hier, names: list[str], schema:
     return table_full_workload(answers, names, schema, ["geolevel", "geocode"], (count,)).select("geolevel", "geocode", "query", "level", F.col(count).alias("truth"))
 
 
+def measure_strategy(hist: DataFrame, hier: Hier, schema: Schema, strategy: Strategy, scale: tuple[int, int], count: str = "cnt") -> DataFrame:
+    """(geolevel, geocode, query, level, truth, inv_scale_num, inv_scale_den) of a whole strategy: every level's own queries, in one rollup and one spread.
+
+    The strategy is checked first (see `Strategy.check`). Answers that are 0 have no row; `table_full_workload` adds them where noise is drawn for them too.
+    """
+    strategy.check(schema, [level for level, _ in hier])
+    rolled = geo_rollup(hist, hier, schema.names, (count,))
+    at = {level: F.array(*[F.struct(F.lit(q).alias("query"), schema.level(q).alias("level")) for q in strategy.queries[level]]) for level, _ in hier}
+    asked = F
+    for level, pairs in at.items():
+        asked = asked.when(F.col("geolevel") == level, pairs)
+    spread = rolled.withColumn("_q", F.explode(F.filter(asked, lambda x: x["level"].isNotNull())))
+    answers = spread.groupBy("geolevel", "geocode", "_q.query", "_q.level").agg(F.sum(count).alias("truth"))
+    alloc = hist.sparkSession.createDataFrame(strategy.rows(), "geolevel string, query string, geo_num long, geo_den long, q_num long, q_den long")
+    return budget_attach(answers, alloc, scale).drop("budget_error")
+
+
 def noise_geometric(df: DataFrame, col: str, eps: Column, sens: int = 1, bounded: bool = True, u: tuple[Column, Column] | None = None, seed: int = 0) -> DataFrame:
     """Two-sided geometric noise: p = 1 - exp(-eps / sensitivity), variance 2 (1 - p) / p^2."""
     s = sens * (2 if bounded else 1)
@@ -111,6 +143,50 @@ def noise_discrete_gaussian(df: DataFrame, col: str, sigma_sq: float, u: Column
     return df.withColumns({"noisy": (F.col(col) + table[0][0] + F.least(at, F.lit(len(table) - 1))).cast("long"), "variance": F.lit(float(var))}).drop("_u")
 
 
+#: Bits of the integers that exact draws compare.
+BITS = 62
+
+
+def gaussian_integers(sigma_sq: Fraction, bits: int = BITS) -> list[tuple[int, int]]:
+    """(value, cumulative probability times 2^bits, rounded down) of the integer Gaussian; the last is 2^bits.
+
+    Values go out to where what is beyond weighs less than 2^-bits. The weights are summed as decimals of 80 digits, so each integer
+    is the exact one but where the true number lies within 10^-60 of the next.
+    """
+    with localcontext() as c:
+        c.prec = 80
+        s2 = Decimal(sigma_sq.numerator) / Decimal(sigma_sq.denominator)
+        reach = int((2 * s2 * Decimal(bits + 8) * Decimal(2).ln()).sqrt()) + 2
+        weight = [(-Decimal(x * x) / (2 * s2)).exp() for x in range(-reach, reach + 1)]
+        total, run, out = sum(weight), Decimal(0), []
+        for x, w in zip(range(-reach, reach + 1), weight, strict=True):
+            run += w
+            out.append((x, int(run / total * (1 << bits))))
+        out[-1] = (reach, 1 << bits)
+    return [(x, c) for (x, c), (_, before) in zip(out, [(0, 0), *out], strict=False) if c > before]
+
+
+def random_bits(seed: int) -> Column:
+    """A random integer of BITS bits a row, from two seeded generators of 31 bits each."""
+    half = lambda k: F.floor(F.rand(seed + k) * (1 << 31)).cast("long")
+    return half(0) * (1 << 31) + half(1)
+
+
+def noise_discrete_gaussian_exact(df: DataFrame, col: str, sigma_sq: Fraction, r: Column | None = None, seed: int = 0) -> DataFrame:
+    """Integer Gaussian noise by comparing a random integer of 62 bits with an integer cumulative table: no double takes part.
+
+    The noise is the first value whose cumulative integer exceeds r (0 to 2^62 - 1), found by halving.
+    """
+    table = gaussian_integers(sigma_sq)
+    cum, values = F.lit([c for _, c in table]), F.lit([x for x, _ in table])
+    df = df.withColumn("_r", random_bits(seed) if r is None else r)  # one draw a row, however often it is compared
+    steps = F.lit([1 << k for k in reversed(range(len(table).bit_length()))])
+    at = F.aggregate(steps, F.lit(0), lambda lo, step: F.when(F.coalesce(F.get(cum, lo + step - 1) <= F.col("_r"), F.lit(False)), lo + step).otherwise(lo))
+    p = [Fraction(c - b, 1 << BITS) for (_, c), (_, b) in zip(table, [(0, 0), *table], strict=False)]
+    var = float(sum(x * x * q for (x, _), q in zip(table, p, strict=True)))
+    return df.withColumns({"noisy": (F.col(col) + F.get(values, at)).cast("long"), "variance": F.lit(var)}).drop("_r")
+
+
 def noise_rounded_gaussian(df: DataFrame, col: str, sigma_sq: float, z: Column | None = None, seed: int = 0) -> DataFrame:
     z = F.randn(seed) if z is None else z
     return df.withColumns({"noisy": F.round(F.col(col) + math.sqrt(sigma_sq) * z).cast("long"), "variance": F.lit(float(sigma_sq))})

@@ -102,6 +102,17 @@ def xwalk(spark: SparkSession, d: str) -> DataFrame:
     return best.withColumn("segment", F.when(F.col("geocode").cast("long") % 7 == 0, "99999").otherwise(F.col("segment")))
 
 
+def case_sql(col: str, groups: dict[str, tuple[int, ...]]) -> str:
+    """A dimension's groups as SQL; null outside them."""
+    of = lambda label: label.replace("'", "''")
+    return f"case {' '.join(f"when {col} in ({', '.join(map(str, ix))}) then '{of(label)}'" for label, ix in groups.items())} end"
+
+
+def label_sql(schema: Schema, name: str) -> str:
+    """A query's level as SQL, for groups that do not overlap."""
+    return " || ' BY ' || ".join(case_sql(d.name, groups) for d, groups in schema.parse(name)) or "'total'"
+
+
 ST = "case status when 0 then 'Filled' when 1 then 'Open' else 'Pending' end"
 PR = "case priority when 0 then 'Urgent' when 1 then 'High' when 2 then 'Medium' when 3 then 'None' else 'Low' end"
 PS = "case when priority < 2 then 'Pressing' else 'Other' end"

@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import math
+from fractions import Fraction
 from functools import reduce
 
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import attributes as A
+from ..functions import strategies as S
 from ..operators import fit as T
 from ..operators import hist, noise as N
 from ..sources.files import written
 from . import base as B
-from .base import HIER, SCHEMA, query
+from .base import HIER, SCHEMA, label_sql, query
 
 _INV = "(q_num * geo_num * 4)::bigint as inv_scale_num, (q_den * geo_den * 9)::bigint as inv_scale_den"
 
@@ -117,6 +119,39 @@ _IA = f"exp(-{0.8} / 2)"
 _IK = f"greatest(0, ceil(ln(0.1::double * (1 + {_IA}) / 2) / ln({_IA})) - 1)"
 
 
+_BITS = lambda k: f"((({k}) * 1103515245 + 12345) % 2147483648)"
+_GI = N.gaussian_integers(Fraction(9, 4))
+_GIV = sum(x * x * (c - b) for (x, c), (_, b) in zip(_GI, [(0, 0), *_GI], strict=False)) / 2**N.BITS
+
+
+@query(f"select geocode, status, priority, (cnt + ([{', '.join(str(x) for x, _ in _GI)}])[1 + len(list_filter([{', '.join(str(c) for _, c in _GI)}]::bigint[], lambda c: c <= {_BITS(_KEY)} * 2147483648 + {_BITS(_KEY + ' * 7 + 3')}))])::bigint as noisy, {_GIV!r}::double as variance from hist", "variance")
+def noise_discrete_gaussian_exact(spark, d):
+    h = _keyed(spark, d)
+    bits = lambda k: F.pmod(k * F.lit(1103515245) + 12345, F.lit(2147483648))
+    r = bits(F.col("k")) * F.lit(2147483648) + bits(F.col("k") * 7 + 3)
+    return N.noise_discrete_gaussian_exact(h, "cnt", Fraction(9, 4), r).select("geocode", "status", "priority", "noisy", "variance")
+
+
+_SIX = [(level, n) for n, level in enumerate(S.LEVELS)]
+_PL = {"hhgq": "unit_id % 8", "votingage": "(unit_id div 8) % 2", "hispanic": "(unit_id div 2) % 2", "cenrace": "(unit_id div 3) % 63"}
+_STRATEGY = S.production()
+
+
+def _asked(level: str, n: int) -> str:
+    """A level's queries one by one, from the records."""
+    code = f"substr(geocode, 1, {n})" if n else "'0'"
+    part = lambda q: f"select '{level}' as geolevel, {code} as geocode, '{q}' as query, {label_sql(A.pl94(), q)} as level from r"
+    return " union all ".join(map(part, _STRATEGY.queries[level]))
+
+
+@query(f"""select geolevel, geocode, query, level, count(*) as truth, (q_num * geo_num * 4)::bigint as inv_scale_num, (q_den * geo_den * 9)::bigint as inv_scale_den
+ from (with r as materialized (select geocode, {', '.join(f"({e.replace(' div ', ' // ')})::int as {c}" for c, e in _PL.items())} from units) {' union all '.join(_asked(*x) for x in _SIX)})
+ join (values {', '.join(map(str, _STRATEGY.rows()))}) a(geolevel, query, geo_num, geo_den, q_num, q_den) using (geolevel, query) where level is not null group by all""")
+def measure_strategy(spark, d):
+    cells = hist.hist_sparse(B.units(spark, d).select("geocode", *[F.expr(e).cast("int").alias(c) for c, e in _PL.items()]), "geocode", list(_PL))
+    return N.measure_strategy(cells, _SIX, A.pl94(), _STRATEGY, (3, 2))
+
+
 @query(f"select geocode, status, priority, (priv - {_IK})::bigint as lower, (priv + {_IK})::bigint as upper from analysis where run_id = 'run_0'")
 def noise_interval(spark, d):
     a = B.analysis(spark, d).filter("run_id = 'run_0'").withColumnRenamed("priv", "noisy")

@@ -10,7 +10,7 @@ from ..functions import tables as TB
 from ..functions.dims import Schema
 from ..operators import lattice
 from . import base as B
-from .base import query
+from .base import case_sql, query
 
 _UNIT = {
     "hhsex": "unit_id % 2", "hhage": "unit_id % 9", "hisp": "(unit_id div 2) % 2", "hhrace": "unit_id % 7", "hhsize": "unit_id % 8", "hhtype": "(unit_id div 8 + priority) % 24", "elderly": "(unit_id div 3 + priority) % 4", "multi": "(unit_id div 5) % 2", "rent": "status % 2",
@@ -18,11 +18,6 @@ _UNIT = {
 _PERSON = {"hhgq": "(unit_id div 3 + l_linenumber) % 8", "sex": "sex", "age": "(unit_id * 7 + age) % 116", "hispanic": "(unit_id div 2) % 2", "cenrace": "(unit_id + l_linenumber * 11) % 63"}
 
 
-def _case(col: str, groups: dict[str, tuple[int, ...]]) -> str:
-    of = lambda label: label.replace("'", "''")
-    return f"case {' '.join(f"when {col} in ({', '.join(map(str, ix))}) then '{of(label)}'" for label, ix in groups.items())} end"
-
-
 def _sql(tables: dict[str, list[str]], schema: Schema, dims: dict[str, str], source: str) -> str:
     """Every query on its own, from the records."""
     parts = []
@@ -30,7 +25,7 @@ def _sql(tables: dict[str, list[str]], schema: Schema, dims: dict[str, str], sou
         sides = []
         for d, groups in schema.parse(name):
             held = [i for ix in groups.values() for i in ix]
-            sides.append([_case(d.name, groups)] if len(held) == len(set(held)) else [_case(d.name, {k: v}) for k, v in groups.items()])  # groups that overlap, one by one
+            sides.append([case_sql(d.name, groups)] if len(held) == len(set(held)) else [case_sql(d.name, {k: v}) for k, v in groups.items()])  # groups that overlap, one by one
         parts += [f"select geocode, '{name}' as query, {' || chr(32) || '.join(' || '.join([x]) for x in _between(pick)) or "'total'"} as level from r" for pick in product(*sides)]
     names = ", ".join(f"('{t}', '{q}')" for t, qs in tables.items() for q in dict.fromkeys(qs))
     cols = ", ".join(f"({e.replace(' div ', ' // ')})::int as {c}" for c, e in dims.items())

@@ -377,7 +377,13 @@ def geo_group_same_entities(spark, d):
   union all select 'Region', substr(geocode, 1, 1), entity, sum(least(a, b + 1)), sum(least(b, a + 1)) from (select substr(geocode, 1, 3) as geocode, entity, sum(hit) as a, sum(1 - hit) as b from bl group by all) group by all)
 """.replace("from bl", "from (select w.geocode, e.segment as entity, (w.segment = e.segment)::int as hit from xwalk w join (select distinct substr(geocode, 1, 1) as r, segment from xwalk) e on substr(w.geocode, 1, 1) = e.r)"))
 def geo_entity_distance(spark, d):
-    return geo.geo_entity_distance(B.xwalk(spark, d), HIER, "segment")
+    """With a row of 0 for every entity of a unit's region that the unit lacks."""
+    blocks = B.xwalk(spark, d)
+    near = geo.geo_entity_distance(blocks, HIER, "segment")
+    units = blocks.select(F.explode(geo.prefixes(F.col("geocode"), HIER[:-1])).alias("x")).select("x.*").distinct()
+    named = blocks.select(F.substring("geocode", 1, 1).alias("root"), F.col("segment").alias("entity")).distinct()
+    every = units.join(named, F.substring("geocode", 1, 1) == F.col("root")).drop("root")
+    return every.join(near, ["geolevel", "geocode", "entity"], "left").withColumn("distance", F.coalesce("distance", F.lit(0)))
 
 
 #: A hierarchy in which some parents have one child: nations by the tens of their number.
