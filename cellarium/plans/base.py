@@ -117,6 +117,12 @@ ST = "case status when 0 then 'Filled' when 1 then 'Open' else 'Pending' end"
 PR = "case priority when 0 then 'Urgent' when 1 then 'High' when 2 then 'Medium' when 3 then 'None' else 'Low' end"
 PS = "case when priority < 2 then 'Pressing' else 'Other' end"
 SUM = "sum(orig)::bigint as orig, sum(priv)::bigint as priv"
+#: Budget of every level, and of its queries: level's share, then query's.
+ALLOC = [
+    ("Region", "total", 1, 2, 1, 8), ("Region", "status", 1, 2, 3, 8), ("Region", "pressing", 1, 2, 1, 4), ("Region", "status * priority", 1, 2, 1, 4),
+    ("Nation", "total", 1, 4, 1, 4), ("Nation", "status", 1, 4, 1, 4), ("Nation", "pressing", 1, 4, 1, 4), ("Nation", "status * priority", 1, 4, 1, 4),
+    ("Block", "total", 1, 4, 1, 3), ("Block", "status", 1, 4, 1, 3), ("Block", "pressing", 1, 4, 1, 6), ("Block", "status * priority", 1, 4, 1, 6),
+]
 WITH = f"""
 with customers as (select c_custkey, r_regionkey::varchar as region, lpad(n_nationkey::varchar, 2, '0') as nation, lpad((c_custkey % 20)::varchar, 2, '0') as bucket,
     r_regionkey::varchar || lpad(n_nationkey::varchar, 2, '0') || lpad((c_custkey % 20)::varchar, 2, '0') as geocode, c_mktsegment as segment, c_acctbal
@@ -138,9 +144,8 @@ answers as materialized (select geolevel, geocode, run_id, plb, 'total' as query
   union all select geolevel, geocode, run_id, plb, 'status * priority', {ST} || ' BY ' || {PR}, {SUM} from rolled group by all),
 xwalk as (select geocode, case when geocode::bigint % 7 = 0 then '99999' else segment end as segment from
   (select geocode, segment, row_number() over (partition by geocode order by count(*) desc, segment) as k from customers group by geocode, segment) where k = 1),
-alloc(geolevel, query, geo_num, geo_den, q_num, q_den) as (values ('Region', 'total', 1, 2, 1, 4), ('Region', 'status', 1, 2, 3, 4), ('Nation', 'total', 1, 4, 1, 2), ('Nation', 'status', 1, 4, 1, 2), ('Block', 'total', 1, 4, 1, 3), ('Block', 'status', 1, 4, 2, 3))
+alloc(geolevel, query, geo_num, geo_den, q_num, q_den) as (values {', '.join(map(str, ALLOC))})
 """
-ALLOC = [("Region", "total", 1, 2, 1, 4), ("Region", "status", 1, 2, 3, 4), ("Nation", "total", 1, 4, 1, 2), ("Nation", "status", 1, 4, 1, 2), ("Block", "total", 1, 4, 1, 3), ("Block", "status", 1, 4, 2, 3)]
 
 
 def alloc(spark: SparkSession) -> DataFrame:

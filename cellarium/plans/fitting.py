@@ -21,11 +21,12 @@ _INV = "(q_num * geo_num * 4)::bigint as inv_scale_num, (q_den * geo_den * 9)::b
 
 
 def _meas(spark, d):
-    a = B.answers(spark, d).filter("run_id = 'run_0' and query in ('total', 'status')").withColumn("noisy", F.col("priv"))
+    """Every run's answers as measurements of units of its own: geocode = run/code."""
+    a = B.answers(spark, d).withColumns({"geocode": F.concat("run_id", F.lit("/"), "geocode"), "noisy": F.col("priv")})
     return N.budget_attach(a, B.alloc(spark), (3, 2))
 
 
-_M = f"(select a.*, a.priv as noisy, {_INV}, false as budget_error from answers a join alloc using (geolevel, query) where run_id = 'run_0')"
+_M = f"(select a.* replace (a.run_id || '/' || a.geocode as geocode), a.priv as noisy, {_INV}, false as budget_error from answers a join alloc using (geolevel, query))"
 
 
 @query("select geolevel, geocode, query, level, noisy, inv_scale_num, inv_scale_den, budget_error from " + _M)
@@ -152,17 +153,17 @@ def measure_strategy(spark, d):
     return N.measure_strategy(cells, _SIX, A.pl94(), _STRATEGY, (3, 2))
 
 
-@query(f"select geocode, status, priority, (priv - {_IK})::bigint as lower, (priv + {_IK})::bigint as upper from analysis where run_id = 'run_0'")
+@query(f"select geocode, run_id, status, priority, (priv - {_IK})::bigint as lower, (priv + {_IK})::bigint as upper from analysis")
 def noise_interval(spark, d):
-    a = B.analysis(spark, d).filter("run_id = 'run_0'").withColumnRenamed("priv", "noisy")
-    return N.noise_interval(a, 0.9, F.lit(0.8)).select("geocode", "status", "priority", "lower", "upper")
+    a = B.analysis(spark, d).withColumnRenamed("priv", "noisy")
+    return N.noise_interval(a, 0.9, F.lit(0.8)).select("geocode", "run_id", "status", "priority", "lower", "upper")
 
 
 def _blocks(spark, d):
-    return _meas(spark, d).filter("geolevel = 'Block'").withColumns({"parent_geocode": F.substring("geocode", 1, 3), "variance": F.lit(2.0) + F.col("geocode").cast("long") % 3})
+    return _meas(spark, d).filter("geolevel = 'Block'").withColumns({"parent_geocode": F.substring("geocode", 1, 9), "variance": F.lit(2.0) + F.substring("geocode", 7, 5).cast("long") % 3})
 
 
-_BL = f"(select m.*, substr(geocode, 1, 3) as parent_geocode, (2.0 + geocode::bigint % 3)::double as variance from {_M} m where geolevel = 'Block')"
+_BL = f"(select m.*, substr(geocode, 1, 9) as parent_geocode, (2.0 + substr(geocode, 7)::bigint % 3)::double as variance from {_M} m where geolevel = 'Block')"
 
 
 @query(f"select parent_geocode as geocode, query, level, sum(noisy)::bigint as noisy, sum(variance) as variance, false as mixed from {_BL} group by all", "variance")
@@ -170,8 +171,8 @@ def measure_sum_children(spark, d):
     return N.measure_sum_children(_blocks(spark, d))
 
 
-@query(f"""select geocode, query, level, cv / (5.0 + cv) * un + 5.0 / (5.0 + cv) * cn as noisy, 5.0 * cv / (5.0 + cv) as variance from (select substr(geocode, 1, 3) as geocode, query, level, max(case when geolevel = 'Nation' then noisy end) as un,
- sum(case when geolevel = 'Block' then noisy end) as cn, sum(case when geolevel = 'Block' then 2.0 + geocode::bigint % 3 end)::double as cv from {_M} where geolevel <> 'Region' group by 1, 2, 3) where un is not null and cn is not null""", "noisy variance")
+@query(f"""select geocode, query, level, cv / (5.0 + cv) * un + 5.0 / (5.0 + cv) * cn as noisy, 5.0 * cv / (5.0 + cv) as variance from (select substr(geocode, 1, 9) as geocode, query, level, max(case when geolevel = 'Nation' then noisy end) as un,
+ sum(case when geolevel = 'Block' then noisy end) as cn, sum(case when geolevel = 'Block' then 2.0 + substr(geocode, 7)::bigint % 3 end)::double as cv from {_M} where geolevel <> 'Region' group by 1, 2, 3) where un is not null and cn is not null""", "noisy variance")
 def measure_pool(spark, d):
     up = _meas(spark, d).filter("geolevel = 'Nation'").select("geocode", "query", "level", "noisy", F.lit(5.0).alias("variance"))
     return N.measure_pool(up, N.measure_sum_children(_blocks(spark, d)))
@@ -298,50 +299,55 @@ def constraint_check(spark, d):
 # the fit: nations' true cells as parents, blocks' protected cells as children
 
 
+_CELL = ["run_id", "priority"]
+
+
+def _each_run(df):
+    """True totals beside every run's counts."""
+    return df.withColumn("run_id", F.explode(F.lit(["run_0", "run_1", "run_2"])))
+
+
 def _family(spark, d):
-    h = B.hist(spark, d)
-    parent = h.groupBy(F.substring("geocode", 1, 3).alias("geocode"), "priority").agg(F.sum("cnt").alias("total"))
-    child = B.analysis(spark, d).filter("run_id = 'run_2'").groupBy("geocode", "priority").agg(F.sum("priv").cast("double").alias("x"))
+    parent = _each_run(B.hist(spark, d).groupBy(F.substring("geocode", 1, 3).alias("geocode"), "priority").agg(F.sum("cnt").alias("total")))
+    child = B.analysis(spark, d).groupBy("geocode", *_CELL).agg(F.sum("priv").cast("double").alias("x"))
     return parent, child.withColumns({"parent_geocode": F.substring("geocode", 1, 3), "variance": (1 + F.col("geocode").cast("long") % 4).cast("double")})
 
 
-_FAM = """fam as (select c.geocode, substr(c.geocode, 1, 3) as parent_geocode, c.priority, c.x, (1 + c.geocode::bigint % 4)::double as variance, p.total from (select geocode, priority, sum(priv)::double as x from analysis where run_id = 'run_2' group by all) c
+_FAM = """fam as (select c.geocode, substr(c.geocode, 1, 3) as parent_geocode, c.run_id, c.priority, c.x, (1 + c.geocode::bigint % 4)::double as variance, p.total from (select geocode, run_id, priority, sum(priv)::double as x from analysis group by all) c
  left join (select substr(geocode, 1, 3) as g, priority, sum(cnt)::bigint as total from hist group by all) p on p.g = substr(c.geocode, 1, 3) and p.priority = c.priority),
-con as (select geocode, parent_geocode, priority, x + (total - sum(x) over w) * variance / sum(variance) over w as x, total from fam window w as (partition by parent_geocode, priority)),
-th as (select *, sum(x) over (partition by parent_geocode, priority order by x desc, geocode rows unbounded preceding) as s, row_number() over (partition by parent_geocode, priority order by x desc, geocode) as k from con),
-non as (select geocode, parent_geocode, priority, greatest(x - max((s - total) / k) over (partition by parent_geocode, priority), 0) as x, total from th),
-flo as (select geocode, parent_geocode, priority, total, floor(round(x, 9))::bigint as f, round(x, 9) - floor(round(x, 9)) as r from non),
-rou as (select geocode, parent_geocode, priority, f + (row_number() over (partition by parent_geocode, priority order by r desc, geocode) <= total - sum(f) over (partition by parent_geocode, priority))::bigint as x, total from flo)"""
+con as (select geocode, parent_geocode, run_id, priority, x + (total - sum(x) over w) * variance / sum(variance) over w as x, total from fam window w as (partition by parent_geocode, run_id, priority)),
+th as (select *, sum(x) over (partition by parent_geocode, run_id, priority order by x desc, geocode rows unbounded preceding) as s, row_number() over (partition by parent_geocode, run_id, priority order by x desc, geocode) as k from con),
+non as (select geocode, parent_geocode, run_id, priority, greatest(x - max((s - total) / k) over (partition by parent_geocode, run_id, priority), 0) as x, total from th),
+flo as (select geocode, parent_geocode, run_id, priority, total, floor(round(x, 9))::bigint as f, round(x, 9) - floor(round(x, 9)) as r from non),
+rou as (select geocode, parent_geocode, run_id, priority, f + (row_number() over (partition by parent_geocode, run_id, priority order by r desc, geocode) <= total - sum(f) over (partition by parent_geocode, run_id, priority))::bigint as x, total from flo)"""
 _W = lambda body: f"select * from (with {_FAM} {body})"
-_CELL = ["priority"]
-
-
-@query(_W("select geocode, parent_geocode, priority, x from con"), "x")
+@query(_W("select geocode, parent_geocode, run_id, priority, x from con"), "x")
 def topdown_consistent(spark, d):
     parent, child = _family(spark, d)
-    return T.topdown_consistent(parent, child, _CELL, "variance").select("geocode", "parent_geocode", "priority", "x")
+    return T.topdown_consistent(parent, child, _CELL, "variance").select("geocode", "parent_geocode", *_CELL, "x")
 
 
-@query(_W("select geocode, parent_geocode, priority, x from non"), "x")
+@query(_W("select geocode, parent_geocode, run_id, priority, x from non"), "x")
 def topdown_nonnegative(spark, d):
     parent, child = _family(spark, d)
-    return T.topdown_nonnegative(parent, T.topdown_consistent(parent, child, _CELL, "variance"), _CELL).select("geocode", "parent_geocode", "priority", "x")
+    return T.topdown_nonnegative(parent, T.topdown_consistent(parent, child, _CELL, "variance"), _CELL).select("geocode", "parent_geocode", *_CELL, "x")
 
 
-@query(_W("select geocode, parent_geocode, priority, x from rou"))
+@query(_W("select geocode, parent_geocode, run_id, priority, x from rou"))
 def topdown_round(spark, d):
     parent, child = _family(spark, d)
-    return T.fit_level(parent, child, _CELL).select("geocode", "parent_geocode", "priority", "x")
+    return T.fit_level(parent, child, _CELL).select("geocode", "parent_geocode", *_CELL, "x")
 
 
-@query("""select geocode, parent_geocode, status, priority, case when settled then total::double else x end as x, settled from (select c.*, p.total, count(*) over (partition by c.parent_geocode, c.status, c.priority) = 1 or p.total = 0 as settled
-  from (select geocode, substr(geocode, 1, 3) as parent_geocode, status, priority, priv::double as x from analysis where run_id = 'run_2') c join (select substr(geocode, 1, 3) as g, status, priority, sum(case when cnt > 1 then cnt else 0 end)::bigint as total from hist group by all) p
+@query("""select geocode, parent_geocode, run_id, status, priority, case when settled then total::double else x end as x, settled from (select c.*, p.total, count(*) over (partition by c.parent_geocode, c.run_id, c.status, c.priority) = 1 or p.total = 0 as settled
+  from (select geocode, substr(geocode, 1, 3) as parent_geocode, run_id, status, priority, priv::double as x from analysis) c join (select substr(geocode, 1, 3) as g, status, priority, sum(case when cnt > 1 then cnt else 0 end)::bigint as total from hist group by all) p
   on p.g = c.parent_geocode and p.status = c.status and p.priority = c.priority)""", "x")
 def topdown_shortcuts(spark, d):
     """Families of (status, priority) in a nation: rare ones have a single child or, counting blocks of two and more, an empty parent."""
-    cell = ["status", "priority"]
-    parent = B.hist(spark, d).groupBy(F.substring("geocode", 1, 3).alias("geocode"), *cell).agg(F.sum(F.when(F.col("cnt") > 1, F.col("cnt")).otherwise(0)).alias("total"))
-    child = B.analysis(spark, d).filter("run_id = 'run_2'").select("geocode", F.substring("geocode", 1, 3).alias("parent_geocode"), *cell, F.col("priv").cast("double").alias("x"))
+    cell = ["run_id", "status", "priority"]
+    parent = B.hist(spark, d).groupBy(F.substring("geocode", 1, 3).alias("geocode"), *cell[1:]).agg(F.sum(F.when(F.col("cnt") > 1, F.col("cnt")).otherwise(0)).alias("total"))
+    parent = _each_run(parent)
+    child = B.analysis(spark, d).select("geocode", F.substring("geocode", 1, 3).alias("parent_geocode"), *cell, F.col("priv").cast("double").alias("x"))
     return T.topdown_shortcuts(parent, child, cell).select("geocode", "parent_geocode", *cell, "x", "settled")
 
 
@@ -362,22 +368,19 @@ def topdown_queries(spark, d):
     return T.topdown_queries(parent, child, cell, answers, {"status": "cast(status as string)"}, 2).select("geocode", "parent_geocode", *cell, "x")
 
 
-@query("""select geolevel, geocode, priority, x from (with root as (select substr(geocode, 1, 1) as geocode, priority, greatest(0, sum(priv))::bigint as x from analysis where run_id = 'run_2' group by 1, 2),
-""" + "".join(f"""f{n} as (select c.geocode, p.geocode as parent, c.priority, c.x, 1.0::double as variance, coalesce(p.x, 0) as total from (select substr(geocode, 1, {n}) as geocode, priority, sum(priv)::double as x from analysis where run_id = 'run_2' group by 1, 2) c left join {up} p on p.geocode = substr(c.geocode, 1, {m}) and p.priority = c.priority),
-c{n} as (select geocode, parent, priority, x + (total - sum(x) over w) * variance / sum(variance) over w as x, total from f{n} window w as (partition by parent, priority)),
-t{n} as (select *, sum(x) over (partition by parent, priority order by x desc, geocode rows unbounded preceding) as s, row_number() over (partition by parent, priority order by x desc, geocode) as k from c{n}),
-n{n} as (select geocode, parent, priority, round(greatest(x - max((s - total) / k) over (partition by parent, priority), 0), 9) as x, total from t{n}),
-r{n} as (select geocode, priority, (floor(x) + (row_number() over (partition by parent, priority order by x - floor(x) desc, geocode) <= total - sum(floor(x)) over (partition by parent, priority))::int)::bigint as x from n{n}),
+@query("""select geolevel, geocode, run_id, priority, x from (with root as (select substr(geocode, 1, 1) as geocode, run_id, priority, greatest(0, sum(priv))::bigint as x from analysis group by 1, 2, 3),
+""" + "".join(f"""f{n} as (select c.geocode, p.geocode as parent, c.run_id, c.priority, c.x, 1.0::double as variance, coalesce(p.x, 0) as total from (select substr(geocode, 1, {n}) as geocode, run_id, priority, sum(priv)::double as x from analysis group by 1, 2, 3) c left join {up} p on p.geocode = substr(c.geocode, 1, {m}) and p.run_id = c.run_id and p.priority = c.priority),
+c{n} as (select geocode, parent, run_id, priority, x + (total - sum(x) over w) * variance / sum(variance) over w as x, total from f{n} window w as (partition by parent, run_id, priority)),
+t{n} as (select *, sum(x) over (partition by parent, run_id, priority order by x desc, geocode rows unbounded preceding) as s, row_number() over (partition by parent, run_id, priority order by x desc, geocode) as k from c{n}),
+n{n} as (select geocode, parent, run_id, priority, round(greatest(x - max((s - total) / k) over (partition by parent, run_id, priority), 0), 9) as x, total from t{n}),
+r{n} as (select geocode, run_id, priority, (floor(x) + (row_number() over (partition by parent, run_id, priority order by x - floor(x) desc, geocode) <= total - sum(floor(x)) over (partition by parent, run_id, priority))::int)::bigint as x from n{n}),
 """ for n, m, up in ((3, 1, "root"), (5, 3, "r3"))).rstrip(",\n") + " select 'Region' as geolevel, * from root union all select 'Nation', * from r3 union all select 'Block', * from r5)")
 def topdown_levels(spark, d):
-    m = hist.geo_rollup(B.analysis(spark, d).filter("run_id = 'run_2'"), HIER, _CELL, ("priv",)).withColumnRenamed("priv", "noisy").withColumn("variance", F.lit(1.0))
+    m = hist.geo_rollup(B.analysis(spark, d), HIER, _CELL, ("priv",)).withColumnRenamed("priv", "noisy").withColumn("variance", F.lit(1.0))
     return T.topdown_levels(m, HIER, _CELL)
 
 
 _NEAR = "case when priority < 2 then 'pressing' else 'other' end"
-_RUN_CELL = ["run_id", "priority"]
-
-
 @query(f"""select geocode, run_id, kind, level, low, most, true as ok from (with
 fam as (select c.geocode, substr(c.geocode, 1, 3) as parent, c.run_id, c.priority, c.x, p.total from (select geocode, run_id, priority, sum(priv)::double as x from analysis group by all) c
   join (select substr(geocode, 1, 3) as g, priority, sum(cnt) as total from hist group by all) p on p.g = substr(c.geocode, 1, 3) and p.priority = c.priority),
@@ -390,10 +393,10 @@ union all select parent, run_id, 'parent', priority::varchar, max(total)::bigint
 def topdown_round_queries(spark, d):
     """Bounds that the real sums set to every block's sums and every nation's cells, and whether the rounded ones keep them."""
     parent = B.hist(spark, d).groupBy(F.substring("geocode", 1, 3).alias("geocode"), "priority").agg(F.sum("cnt").alias("total")).withColumn("run_id", F.explode(F.lit(["run_0", "run_1", "run_2"])))
-    child = B.analysis(spark, d).groupBy("geocode", *_RUN_CELL).agg(F.sum("priv").cast("double").alias("x")).withColumn("parent_geocode", F.substring("geocode", 1, 3))
-    real = T.topdown_nonnegative(parent, T.topdown_consistent(parent, child, _RUN_CELL), _RUN_CELL)
+    child = B.analysis(spark, d).groupBy("geocode", *_CELL).agg(F.sum("priv").cast("double").alias("x")).withColumn("parent_geocode", F.substring("geocode", 1, 3))
+    real = T.topdown_nonnegative(parent, T.topdown_consistent(parent, child, _CELL), _CELL)
     level_of = {"total": "run_id", "near": f"concat(run_id, {_NEAR})"}
-    got = T.topdown_round_queries(parent, real, _RUN_CELL, level_of)
+    got = T.topdown_round_queries(parent, real, _CELL, level_of)
     sums = [F.sum("x").alias("x"), F.round(F.sum("fitted"), 6).alias("real")]
     kinds = [got.groupBy("geocode", "run_id", F.lit("near").alias("kind"), F.expr(_NEAR).alias("level")).agg(*sums), got.groupBy("geocode", "run_id", F.lit("total").alias("kind"), F.lit("total").alias("level")).agg(*sums)]
     kinds.append(got.groupBy(F.col("parent_geocode").alias("geocode"), "run_id", F.lit("parent").alias("kind"), F.col("priority").cast("string").alias("level")).agg(*sums))
@@ -414,47 +417,47 @@ def topdown_levels_queries(spark, d):
     answers = by.select("geolevel", "geocode", F.lit("near").alias("query"), "level", "noisy", F.lit(1.0).alias("variance"))
     upper = by.filter("level like '%pressing'").select("geolevel", "geocode", F.lit("near").alias("query"), "level", F.lit("le").alias("sign"), (F.col("orig") + 1).alias("rhs"))
     total = all_.groupBy("geolevel", "geocode", F.col("run_id").alias("level")).agg(F.sum("orig").alias("rhs")).select("geolevel", "geocode", F.lit("total").alias("query"), "level", F.lit("=").alias("sign"), "rhs")
-    got = T.topdown_levels(meas, HIER, _RUN_CELL, level_of={"total": "run_id", "near": f"concat(run_id, {_NEAR})"}, answers=answers, bounds=total.unionByName(upper))
+    got = T.topdown_levels(meas, HIER, _CELL, level_of={"total": "run_id", "near": f"concat(run_id, {_NEAR})"}, answers=answers, bounds=total.unionByName(upper))
     pressing = F.sum(F.when(F.col("priority") < 2, F.col("x")).otherwise(0))
     sums = got.groupBy(*keys).agg(F.sum("x").alias("total"), pressing.alias("p"), F.sum((F.col("x") < 0).cast("long")).alias("broken"))
     bound = upper.select("geolevel", "geocode", F.substring("level", 1, 5).alias("run_id"), F.col("rhs").alias("bound"))
     return sums.join(bound, keys).select(*keys, "total", "bound", (F.col("broken") + (F.col("p") > F.col("bound")).cast("long")).alias("broken"))
 
 
-@query("select geocode, g as parent_geocode, priority, x + (total - sum(x) over w) / count(*) over w as x from (select c.*, p.total from (select geocode, substr(geocode, 2, 2) as g, priority, sum(priv)::double as x from analysis where run_id = 'run_2' group by all) c join (select substr(geocode, 2, 2) as g, priority, sum(cnt) as total from hist group by all) p using (g, priority)) window w as (partition by g, priority)", "x")
+@query("select geocode, g as parent_geocode, run_id, priority, x + (total - sum(x) over w) / count(*) over w as x from (select c.*, p.total from (select geocode, substr(geocode, 2, 2) as g, run_id, priority, sum(priv)::double as x from analysis group by all) c join (select substr(geocode, 2, 2) as g, priority, sum(cnt) as total from hist group by all) p using (g, priority)) window w as (partition by g, run_id, priority)", "x")
 def topdown_state_groups(spark, d):
     _, child = _family(spark, d)
-    parent = B.hist(spark, d).groupBy(F.substring("geocode", 2, 2).alias("geocode"), "priority").agg(F.sum("cnt").alias("total"))
-    return T.topdown_state_groups(parent, child, _CELL, "substr(geocode, 2, 2)").select("geocode", "parent_geocode", "priority", "x")
+    parent = _each_run(B.hist(spark, d).groupBy(F.substring("geocode", 2, 2).alias("geocode"), "priority").agg(F.sum("cnt").alias("total")))
+    return T.topdown_state_groups(parent, child, _CELL, "substr(geocode, 2, 2)").select("geocode", "parent_geocode", *_CELL, "x")
 
 
-_CLIP = """r{k} as (select * exclude (miss, room, upto) replace (x + sign(miss)::bigint * greatest(0, least(room, abs(miss) - (upto - room))) as x) from (select *, sum(room) over (partition by parent_geocode, priority order by geocode rows unbounded preceding) as upto
-  from (select *, case when miss > 0 then hi - x when miss < 0 then x - lo else 0 end as room from (select *, goal - sum(x) over (partition by parent_geocode, priority) as miss from r{j})))),
+_CLIP = """r{k} as (select * exclude (miss, room, upto) replace (x + sign(miss)::bigint * greatest(0, least(room, abs(miss) - (upto - room))) as x) from (select *, sum(room) over (partition by parent_geocode, run_id, priority order by geocode rows unbounded preceding) as upto
+  from (select *, case when miss > 0 then hi - x when miss < 0 then x - lo else 0 end as room from (select *, goal - sum(x) over (partition by parent_geocode, run_id, priority) as miss from r{j})))),
 """
 
 
-@query("""select geocode, parent_geocode, priority, x::bigint as x from (with c as (select geocode, substr(geocode, 1, 3) as parent_geocode, geocode::bigint as k, priority, sum(priv)::bigint as x from analysis where run_id = 'run_2' group by all),
+@query("""select geocode, parent_geocode, run_id, priority, x::bigint as x from (with c as (select geocode, substr(geocode, 1, 3) as parent_geocode, geocode::bigint as k, run_id, priority, sum(priv)::bigint as x from analysis group by all),
 b as (select *, case when k % 5 = 0 then 0 else greatest(x - 2, 0) end as l, case when k % 3 = 0 then greatest(x - 1, 0) else x + 2 end as h from c),
-r0 as (select geocode, parent_geocode, priority, least(greatest(x, lo), hi) as x, lo, hi, goal from (select *, least(l, h) as lo, case when row_number() over (partition by parent_geocode, priority order by geocode desc) = 1 then 10000 else h end as hi, sum(x) over (partition by parent_geocode, priority) as goal from b)),
+r0 as (select geocode, parent_geocode, run_id, priority, least(greatest(x, lo), hi) as x, lo, hi, goal from (select *, least(l, h) as lo, case when row_number() over (partition by parent_geocode, run_id, priority order by geocode desc) = 1 then 10000 else h end as hi, sum(x) over (partition by parent_geocode, run_id, priority) as goal from b)),
 """ + "".join(_CLIP.format(k=k, j=k - 1) for k in (1, 2, 3, 4)).rstrip(",\n") + " select * from r4)")
 def topdown_bounds_clip(spark, d):
     """Bounds tighter than the counts at both ends, wide enough for every family."""
     _, child = _family(spark, d)
     k = F.col("geocode").cast("long")
     child = child.withColumns({"x": F.col("x").cast("long"), "lo": F.when(k % 5 == 0, 0).otherwise(F.greatest(F.col("x").cast("long") - 2, F.lit(0))), "hi": F.when(k % 3 == 0, F.greatest(F.col("x").cast("long") - 1, F.lit(0))).otherwise(F.col("x").cast("long") + 2)})
-    child = child.withColumns({"lo": F.least("lo", "hi"), "hi": F.when(F.row_number().over(Window.partitionBy("parent_geocode", "priority").orderBy(F.col("geocode").desc())) == 1, F.lit(10000)).otherwise(F.col("hi"))})
-    return T.topdown_bounds_clip(child, _CELL).select("geocode", "parent_geocode", "priority", F.col("x").cast("long").alias("x"))
+    child = child.withColumns({"lo": F.least("lo", "hi"), "hi": F.when(F.row_number().over(Window.partitionBy("parent_geocode", *_CELL).orderBy(F.col("geocode").desc())) == 1, F.lit(10000)).otherwise(F.col("hi"))})
+    return T.topdown_bounds_clip(child, _CELL).select("geocode", "parent_geocode", *_CELL, F.col("x").cast("long").alias("x"))
 
 
-@query(_W("select 'Block' as geolevel, count(*) filter (bad) as infeasible from (select parent_geocode, bool_or(total <> x) as bad from (select parent_geocode, priority, max(total) as total, sum(floor(x))::bigint as x from non group by all) group by all)"))
+@query(_W("select 'Block' as geolevel, count(*) filter (bad) as infeasible from (select parent_geocode, bool_or(total <> x) as bad from (select parent_geocode, run_id, priority, max(total) as total, sum(floor(x))::bigint as x from non group by all) group by all)"))
 def topdown_infeasible_count(spark, d):
     parent, child = _family(spark, d)
     x = T.topdown_nonnegative(parent, T.topdown_consistent(parent, child, _CELL, "variance"), _CELL)
-    sums = x.groupBy("parent_geocode", "priority").agg(F.sum(F.floor("x")).alias("x")).join(parent.select(F.col("geocode").alias("parent_geocode"), "priority", "total"), ["parent_geocode", "priority"])
+    sums = x.groupBy("parent_geocode", *_CELL).agg(F.sum(F.floor("x")).alias("x")).join(parent.select(F.col("geocode").alias("parent_geocode"), *_CELL, "total"), ["parent_geocode", *_CELL])
     return T.topdown_infeasible_count(sums.withColumn("geolevel", F.lit("Block")))
 
 
-@query("select a.geocode, a.status, a.priority, least(a.priv, h.cnt) as priv from analysis a join hist h using (geocode, status, priority) where run_id = 'run_0' and least(a.priv, h.cnt) > 0")
+@query("select a.geocode, a.run_id, a.status, a.priority, least(a.priv, h.cnt) as priv from analysis a join hist h using (geocode, status, priority) where least(a.priv, h.cnt) > 0")
 def cap_by_reference(spark, d):
-    a = B.analysis(spark, d).filter("run_id = 'run_0'").select("geocode", "status", "priority", "priv")
+    a = B.analysis(spark, d).select("geocode", "run_id", "status", "priority", "priv")
     return T.cap_by_reference(a, B.hist(spark, d), ["geocode", "status", "priority"])

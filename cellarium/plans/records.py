@@ -47,18 +47,18 @@ def sink_block_table(spark, d):
 
 def _saved(spark, d):
     path = folder(spark)
-    m = B.answers(spark, d).filter("run_id = 'run_0'").select("geolevel", "geocode", F.substring("geocode", 1, 3).alias("parent_geocode"), "query", "level", F.col("priv").alias("noisy"))
+    m = B.answers(spark, d).select("geolevel", F.concat("geocode", F.lit("/"), "run_id").alias("geocode"), F.substring("geocode", 1, 3).alias("parent_geocode"), "query", "level", F.col("priv").alias("noisy"))
     files.sink_measurements(m, path, "r0", by_parent=8)
     files.sink_measurements(m.withColumn("noisy", F.col("noisy") + 1).withColumn("geolevel", F.concat(F.lit("opt_"), "geolevel")), f"{path}-2", "r0")
     return path
 
 
-@query("select geolevel, geocode, query, level, priv as noisy from answers where run_id = 'run_0'")
+@query("select geolevel, geocode || '/' || run_id as geocode, query, level, priv as noisy from answers")
 def sink_measurements(spark, d):
     return files.load_saved_measurements(spark, _saved(spark, d), "r0").select("geolevel", "geocode", "query", "level", "noisy")
 
 
-@query("select geocode, query, level, priv as noisy from answers where run_id = 'run_0' and geolevel = 'Nation'")
+@query("select geocode || '/' || run_id as geocode, query, level, priv as noisy from answers where geolevel = 'Nation'")
 def load_saved_measurements(spark, d):
     return files.load_saved_measurements(spark, _saved(spark, d), "r0", "Nation").select("geocode", "query", "level", "noisy")
 

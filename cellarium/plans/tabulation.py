@@ -245,10 +245,10 @@ _HOUSEHOLDS = "(select geocode, (unit_id % 24)::int as t, (unit_id // 24 % 2)::i
   case when t in (0, 1, 2, 3) then '1' when t in (4, 5, 6, 7) then '2' when t in (8, 9, 10, 11, 12) then '3' when t in (13, 14, 15, 16, 17) then '4' else '0' end as "CPLT",
   case when t in (13, 14, 15, 16, 17) then case s when 0 then '1' else '3' end when t in (8, 9, 10, 11, 12) then case s when 0 then '2' else '4' end else '5' end as "UPART",
   case when z < 3 then '0' else (status % 2 + 1)::varchar end as "MULTG", priority + 3 as "HHLDRAGE", (status % 2 + 1)::varchar as "HHSPAN", '0' || (priority + 1) as "HHRACE",
-  case when t in (0, 4, 8, 13, 19) then '1' when t in (1, 5, 9, 14, 20) then '2' when t in (2, 6, 10, 15, 21) then '3' else '4' end as "PAOC", 9 as "P18", (priority in (1, 2, 3))::int as "P60", (priority in (2, 3))::int as "P65", (priority = 3)::int as "P75", count(*) as n from {_HOUSEHOLDS} where priority < 4 group by all""")
+  case when t in (0, 4, 8, 13, 19) then '1' when t in (1, 5, 9, 14, 20) then '2' when t in (2, 6, 10, 15, 21) then '3' else '4' end as "PAOC", 9 as "P18", (priority in (1, 2, 3))::int as "P60", (priority in (2, 3))::int as "P65", (priority = 3)::int as "P75", count(*) as n from {_HOUSEHOLDS} group by all""")
 def recode_output_household(spark, d):
-    u = B.units(spark, d).filter("priority < 4").withColumns({"hhtype": (F.col("unit_id") % 24).cast("int"), "sex": (F.floor(F.col("unit_id") / 24) % 2).cast("int"), "hhsize": (F.floor(F.col("unit_id") / 7) % 7 + 1).cast("int"),
-        "multi": F.col("status") % 2, "hhage": F.col("priority") + 2, "hispanic": F.col("status") % 2, "hhrace": F.col("priority"), "elderly": F.col("priority")})
+    u = B.units(spark, d).withColumns({"hhtype": (F.col("unit_id") % 24).cast("int"), "sex": (F.floor(F.col("unit_id") / 24) % 2).cast("int"), "hhsize": (F.floor(F.col("unit_id") / 7) % 7 + 1).cast("int"),
+        "multi": F.col("status") % 2, "hhage": F.col("priority") + 2, "hispanic": F.col("status") % 2, "hhrace": F.col("priority"), "elderly": F.col("priority") % 4})
     cols = ["geocode", "HHT", "HHT2", "CPLT", "UPART", "MULTG", "HHLDRAGE", "HHSPAN", "HHRACE", "PAOC", "P18", "P60", "P65", "P75"]
     return recode.recode_output_unit(u, recode.HOUSEHOLD_LAYOUT).groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
 
@@ -366,9 +366,9 @@ def geo_gq_signature(spark, d):
     return geo.geo_gq_signature(wide, [f"n{p}" for p in range(5)]).select("geocode", "signature")
 
 
-@query("select parent, unit, entities, dense_rank() over (partition by parent order by entities)::int as group_no from (select region as parent, nation as unit, array_to_string(list_sort(list(distinct segment)), ',') as entities from customers where bucket < '03' group by all)")
+@query("select parent, unit, entities, dense_rank() over (partition by parent order by entities)::int as group_no from (select region as parent, nation as unit, array_to_string(list_sort(list(distinct segment)), ',') as entities from customers group by all)")
 def geo_group_same_entities(spark, d):
-    c = B.customers(spark, d).filter("bucket < '03'").select(F.col("region").alias("parent"), F.col("nation").alias("unit"), "segment")
+    c = B.customers(spark, d).select(F.col("region").alias("parent"), F.col("nation").alias("unit"), "segment")
     return geo.geo_group_same_entities(c, "parent", "unit", "segment")
 
 
@@ -435,10 +435,11 @@ def join_two_universes(spark, d):
     return joins.join_two_universes(p, Q.query_total(B.hist(spark, d)).withColumnRenamed("cnt", "units"), ["geocode"]).select("geocode", "units", "persons")
 
 
-@query("select coalesce(a.geocode, b.geocode) as geocode, coalesce(a.status, b.status) as status, coalesce(a.priority, b.priority) as priority, coalesce(orig, 0) as orig, coalesce(priv, 0) as priv, coalesce(run_id, 'run_0') as run_id from (select geocode, status, priority, cnt as orig from hist where priority <> 1) a full join (select geocode, status, priority, priv, run_id from analysis where run_id = 'run_0' and status <> 2) b using (geocode, status, priority)")
+@query("select coalesce(a.geocode, b.geocode) as geocode, coalesce(a.status, b.status) as status, coalesce(a.priority, b.priority) as priority, coalesce(orig, 0) as orig, coalesce(priv, 0) as priv, coalesce(run_id, 'run_0') as run_id from (select geocode, status, priority, cnt as orig from hist) a full join (select geocode, (status + 1) % 3 as status, priority, priv, run_id from analysis) b using (geocode, status, priority)")
 def join_orig_priv(spark, d):
-    orig = B.hist(spark, d).filter("priority <> 1").withColumnRenamed("cnt", "orig")
-    priv = B.analysis(spark, d).filter("run_id = 'run_0' and status <> 2").select("geocode", "status", "priority", "priv", "run_id")
+    """The protected side's statuses are moved by one, so that rows on both sides find no partner."""
+    orig = B.hist(spark, d).withColumnRenamed("cnt", "orig")
+    priv = B.analysis(spark, d).select("geocode", ((F.col("status") + 1) % 3).alias("status"), "priority", "priv", "run_id")
     return joins.join_orig_priv(orig, priv, ["status", "priority"], {"run_id": "run_0"})
 
 
@@ -454,10 +455,12 @@ def join_parent_children(spark, d):
     return joins.join_parent_children(up, h.withColumn("parent_geocode", F.substring("geocode", 1, 3)), ["status", "priority"]).select("geocode", "parent_geocode", "status", "priority", "cnt", "parent_cnt")
 
 
-@query("select u.geocode, u.query, u.level, u.priv as noisy, l.priv as child_noisy from answers u join (select substr(geocode, 1, 3) as geocode, query, level, sum(priv)::bigint as priv from answers where geolevel = 'Block' and run_id = 'run_0' group by all) l on u.geocode = l.geocode and u.query = l.query and u.level = l.level where u.geolevel = 'Nation' and u.run_id = 'run_0'")
+@query("""select geocode, query, level, up as noisy, low as child_noisy from (select substr(geocode, 1, 3) || '/' || run_id as geocode, query, level, max(case when geolevel = 'Nation' then priv end) as up, sum(case when geolevel = 'Block' then priv end)::bigint as low
+ from answers where geolevel <> 'Region' group by all) where up is not null and low is not null""")
 def join_lower_measurements(spark, d):
-    a = B.answers(spark, d).filter("run_id = 'run_0'").withColumnRenamed("priv", "noisy").withColumn("variance", F.lit(1.0))
-    low = a.filter("geolevel = 'Block'").withColumn("parent_geocode", F.substring("geocode", 1, 3))
+    """Every run's units are units of their own: geocode = code/run."""
+    a = B.answers(spark, d).withColumnRenamed("priv", "noisy").withColumns({"variance": F.lit(1.0), "parent_geocode": F.concat(F.substring("geocode", 1, 3), F.lit("/"), "run_id"), "geocode": F.concat("geocode", F.lit("/"), "run_id")})
+    low = a.filter("geolevel = 'Block'")
     return joins.join_lower_measurements(a.filter("geolevel = 'Nation'"), low).select("geocode", "query", "level", "noisy", "child_noisy")
 
 
@@ -467,10 +470,10 @@ def join_ratio_denominator(spark, d):
     return joins.join_ratio_denominator(B.answers(spark, d), keys=("geolevel", "geocode", "run_id")).select("geolevel", "geocode", "run_id", "query", "level", "orig", "orig_sum", "priv_sum")
 
 
-@query("select a.geocode, a.geolevel, a.orig, s.area from answers a join (select geocode, sum(abs(c_acctbal)) as area from customers group by all) s on a.geocode = s.geocode where a.query = 'total' and a.geolevel = 'Block' and a.run_id = 'run_1'", "area")
+@query("select a.geocode, a.geolevel, a.run_id, a.orig, s.area from answers a join (select geocode, sum(abs(c_acctbal)) as area from customers group by all) s on a.geocode = s.geocode where a.query = 'total' and a.geolevel = 'Block'", "area")
 def join_population_area(spark, d):
     area = B.customers(spark, d).groupBy("geocode").agg(F.sum(F.abs("c_acctbal")).alias("area")).withColumn("geolevel", F.lit("Block"))
-    return joins.join_population_area(B.answers(spark, d).filter("query = 'total' and run_id = 'run_1'"), area).select("geocode", "geolevel", "orig", "area")
+    return joins.join_population_area(B.answers(spark, d).filter("query = 'total'"), area).select("geocode", "geolevel", "run_id", "orig", "area")
 
 
 @query("select q.geocode, q.geolevel, q.run_id, q.level, q.orig, q.priv, t.orig as orig_total, t.priv as priv_total from answers q join answers t on q.geolevel = t.geolevel and q.geocode = t.geocode and q.run_id = t.run_id and t.query = 'total' where q.query = 'status'")
@@ -513,10 +516,13 @@ def hist_dense(spark, d):
     return hist.hist_dense(B.hist(spark, d), SCHEMA).select("geocode", "status", "priority", "cnt")
 
 
-@query("select geocode, status, priority, orig, priv from analysis where run_id = 'run_0' and status = 2 union all select distinct geocode, null::int, null::int, 0, 0 from hist where geocode not in (select geocode from analysis where run_id = 'run_0' and status = 2)")
+@query("""select u.geocode, n.priority, coalesce(n.orig, 0)::bigint as orig, coalesce(n.priv, 0)::bigint as priv from (select distinct run_id || '/' || geocode || '/' || s as geocode from hist, (select unnest(['run_0', 'run_1', 'run_2']) as run_id), (select unnest([0, 1, 2]) as s)) u
+ left join (select run_id || '/' || geocode || '/' || status as geocode, priority, orig, priv from analysis where orig <> 0 or priv <> 0) n using (geocode)""")
 def hist_nonzero(spark, d):
-    a = B.analysis(spark, d).filter("run_id = 'run_0' and status = 2")
-    return hist.hist_nonzero(a, B.hist(spark, d).select("geocode"), ["status", "priority"])
+    """A unit is a block's orders of one status in one run: many are empty."""
+    code = lambda status: F.concat_ws("/", "run_id", "geocode", status).alias("geocode")
+    every = B.hist(spark, d).select("geocode", F.explode(F.lit(["run_0", "run_1", "run_2"])).alias("run_id")).distinct().withColumn("s", F.explode(F.lit([0, 1, 2]))).select(code("s"))
+    return hist.hist_nonzero(B.analysis(spark, d).select(code("status"), "priority", "orig", "priv"), every, ["priority"])
 
 
 @query("select geocode, priority, count(distinct unit_id) as units from persons group by all")
@@ -530,16 +536,16 @@ def hist_from_output(spark, d):
     return hist.hist_from_output(out, ["region", "nation", "bucket"], {"p": "cast(PRIO as int) - 1"}, {"run_id": "run_0"})
 
 
-@query("select geocode, status, priority, sum(cnt)::bigint as cnt from (select * from hist union all select geocode, status, priority, -priv from analysis where run_id = 'run_1') group by all having sum(cnt) <> 0")
+@query("select run_id, geocode, status, priority, (orig - priv)::bigint as cnt from analysis where orig <> priv")
 def hist_arith(spark, d):
-    p = B.analysis(spark, d).filter("run_id = 'run_1'").select("geocode", "status", "priority", F.col("priv").alias("cnt"))
-    return hist.hist_arith(B.hist(spark, d), p, "subtract", ["geocode", "status", "priority"])
+    keys, runs = ["run_id", "geocode", "status", "priority"], B.analysis(spark, d)
+    return hist.hist_arith(B.hist(spark, d).withColumn("run_id", F.explode(F.lit(["run_0", "run_1", "run_2"]))), runs.select(*keys, F.col("priv").alias("cnt")), "subtract", keys)
 
 
-@query("select geocode, status, priority, orig as count_a, priv as count_b from analysis where run_id = 'run_1' and abs(orig - priv) > 1")
+@query("select run_id, geocode, status, priority, orig as count_a, priv as count_b from analysis where abs(orig - priv) > 1")
 def hist_equal(spark, d):
-    p = B.analysis(spark, d).filter("run_id = 'run_1'").select("geocode", "status", "priority", F.col("priv").alias("cnt"))
-    return hist.hist_equal(B.hist(spark, d), p, ["geocode", "status", "priority"], 1)
+    keys, runs = ["run_id", "geocode", "status", "priority"], B.analysis(spark, d)
+    return hist.hist_equal(B.hist(spark, d).withColumn("run_id", F.explode(F.lit(["run_0", "run_1", "run_2"]))), runs.select(*keys, F.col("priv").alias("cnt")), keys, 1)
 
 
 @query("select geolevel, geocode, status, priority, orig as cnt from rolled where run_id = 'run_0'")
