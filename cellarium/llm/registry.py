@@ -1,4 +1,4 @@
-"""The corpus operators' queries and, where SQL can express them, their SQL.
+"""The corpus operators' queries (the pipeline registers beside them, in __spark_entry__.py) and, where SQL can express them, their SQL.
 
 op2, op3, op5, op6, op7, op9, op10 and op12 have none: DuckDB has neither the tokenizers nor crc32, and iterated
 components, HTML parsing and the lattice are beyond it or too slow on whole tables. tests/llm holds them
@@ -15,8 +15,6 @@ from . import audit, chat, decontam, dedup, html, license, lm, packing, phrases,
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    import corpus_pipeline
-
     return {
         "op1_quality_rules": quality.query,
         "op2_near_duplicates": dedup.query,
@@ -31,7 +29,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op11_substring_dedup": phrases.query,
         "op12_structure_repair": repair.query,
         "op13_filter_audit": audit.query,
-        "pipeline": corpus_pipeline.run,
     }
 
 

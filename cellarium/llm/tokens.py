@@ -179,12 +179,14 @@ def counter(path: str) -> PieceCounter:
     return _loaded[path]
 
 
-def token_counts(docs: DataFrame, path: str, limit: int = LIMIT, doc_id: str = "doc_id", text: str = "text", tables: bool = False) -> DataFrame:
-    """(doc_id, n_bytes, n_tokens, over_limit, fit_chars[, counts]) for every document.
+def token_counts(docs: DataFrame, path: str, limit: int = LIMIT, doc_id: str = "doc_id", text: str = "text", tables: bool = False, ends: bool = False) -> DataFrame:
+    """(doc_id, n_bytes, n_tokens, over_limit, fit_chars[, prefix_ends, prefix_tokens][, counts]) for every document.
 
-    fit_chars: code points of the longest prefix within the limit. tables=True adds the counts of all prefixes.
+    fit_chars: code points of the longest prefix within the limit. ends=True stores the table: code points and tokens at every chunk's
+    end, from which `count` and `longest` answer for any prefix without encoding it; n_tokens is its last entry. tables=True adds the counts of all prefixes.
     """
-    out = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("over_limit", pa.bool_()), ("fit_chars", pa.int64())] + ([("counts", pa.list_(pa.int32()))] if tables else []))
+    whole = pa.list_(pa.int32())
+    out = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("over_limit", pa.bool_()), ("fit_chars", pa.int64())] + [("prefix_ends", whole), ("prefix_tokens", whole)] * ends + [("counts", whole)] * tables)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = counter(path)
@@ -198,16 +200,16 @@ def token_counts(docs: DataFrame, path: str, limit: int = LIMIT, doc_id: str = "
                 need.update(*split)
                 known = c.learn(need)
                 for i, t, ch in zip(part.column(0).to_pylist(), texts, split, strict=True):
-                    ends, counts = c.prefixes(t, ch, known)
-                    rows.append((i, len(t.encode("utf-8", "surrogatepass")), counts[-1], counts[-1] > limit, c.longest(t, ends, counts, limit), *((c.table(t),) if tables else ())))
+                    stops, counts = c.prefixes(t, ch, known)
+                    rows.append((i, len(t.encode("utf-8", "surrogatepass")), counts[-1], counts[-1] > limit, c.longest(t, stops, counts, limit), *((stops, counts) if ends else ()), *((c.table(t),) if tables else ())))
                 cols = list(zip(*rows, strict=True)) or [[] for _ in out]
                 yield pa.record_batch([pa.array(v, f.type) for v, f in zip(cols, out, strict=True)], schema=out)
 
-    kinds = "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean, fit_chars bigint" + (", counts array<int>" if tables else "")
+    kinds = "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean, fit_chars bigint" + ", prefix_ends array<int>, prefix_tokens array<int>" * ends + ", counts array<int>" * tables
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, kinds)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), ends=True)

@@ -1,4 +1,10 @@
-"""From documents to packed training sequences: quality rules, near-dedup, decontamination, packing."""
+"""From documents to packed training sequences: quality rules, near-dedup, decontamination, packing.
+
+Edge cases: rows with null text, source or language go through the rules with empty text and their own groups; null ids are kept as documents
+of their own; of repeated rows one stays; texts of any length are read whole; ties between copies go to the smallest
+doc_id, then to table order; other columns pass through every stage but the last, whatever their names; an empty table
+gives an empty result.
+"""
 
 from __future__ import annotations
 

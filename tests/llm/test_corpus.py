@@ -526,7 +526,12 @@ def test_token_counts(docs, none):
         ends, counts = c.prefixes(t)
         for at in range(0, min(len(t), 90)):
             assert c.count(t, ends, counts, at) == r.counts[at] == len(m.encode(t[:at]))
-    assert tokens.token_counts(none, PIECES).count() == 0
+    assert tokens.token_counts(none, PIECES, ends=True).count() == 0
+    texts = collections.defaultdict(list)
+    for i, t in ROWS:
+        texts[i].append(t or "")
+    for r in tokens.token_counts(docs, PIECES, ends=True).collect():  # the stored table answers for every prefix
+        assert r.n_tokens == r.prefix_tokens[-1] and any(all(c.count(t, r.prefix_ends, r.prefix_tokens, k) == c.table(t)[k] for k in range(0, len(t) + 1, 1 + len(t) // 50)) for t in texts[r.doc_id] if len(t) == max(r.prefix_ends[-1], 0))
 
 
 def test_every_prefix_of_random_texts():
