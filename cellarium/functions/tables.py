@@ -43,8 +43,14 @@ HOUSEHOLDS |= {f"{t}A-I": [*BY_RACE.values(), *[f"{who} * {q}" for q in queries
 PERSONS = {
     "P1": ["total"], "P3": ["total", "majorRaces"], "P4": ["total", "hispanic"], "P5": ["total", "hispanic", "hispanic * majorRaces"], "P6": ["racecomb"], "P7": ["racecomb", "hispanic * racecomb"], "P12": ["total", "sex", "sex * agecat"],
     "P16": ["hhTotal", "hhTotal * votingLevels"], "P43": ["gqTotal", "gqTotal * sex", "gqTotal * sex * agecat43", "sex * agecat43 * institutionalized"], "PCT13": ["hhTotal", "hhTotal * sex", "hhTotal * sex * agecat"],
+    "binarysplitquery": ["binarysplit_agecats", "age"], "PCO3": ["gqCorrectionalTotal", "gqCorrectionalTotal * sex", "gqCorrectionalTotal * sex * agecatPCO3"], "PCO4": ["gqJuvenileTotal", "gqJuvenileTotal * sex", "gqJuvenileTotal * sex * agecatPCO4"],
     "PCT22": ["votingTotal * gqTotal", "votingTotal * gqTotal * sex", "votingTotal * sex * institutionalized"],
 }
+#: Tables of one kind of facility by sex; their ages are grouped in the two above only.
+PERSONS |= {
+    f"PCO{k}": [q, f"{q} * sex"]
+    for k, q in {1: "gqTotal", 2: "instTotal", 5: "gqNursingTotal", 6: "gqOtherInstTotal", 7: "noninstTotal", 8: "gqCollegeTotal", 9: "gqMilitaryTotal", 10: "gqOtherNoninstTotal"}.items()
+}
 _WHO = {**{s: f"{r}Alone" for s, r in zip("ABCDEF", A.RACES, strict=True)}, "G": "tomr", "H": "hispTotal", "I": "whiteAlone * notHispTotal"}
 for _s, _w in _WHO.items():
     PERSONS[f"P12{_s}"] = [_w, f"{_w} * sex", f"{_w} * sex * agecat"]
@@ -67,11 +73,27 @@ def households() -> Schema:
 _FIRST = (0, 5, 10, 15, 18, 20, 22, 25, 30, 35, 40, 45, 50, 55, 60, 62, 65, 66, 67, 70, 75, 80, 85)
 
 
+#: Kinds of facilities in the order of their levels.
+_KINDS = {
+    "Correctional": "Correctional Facilities for Adults", "Juvenile": "Juvenile Facilities", "Nursing": "Nursing Facilities", "OtherInst": "Other Institutional Facilities",
+    "College": "College/University Student Housing", "Military": "Military Quarters Housing", "OtherNoninst": "Other Noninstitutional Facilities",
+}
+
+
 def persons() -> Schema:
     age = A.age()
     cats = {label: tuple(range(a, b)) for label, a, b in zip(A.AGE_CATEGORIES, _FIRST, (*_FIRST[1:], age.size), strict=True)}
+    fives = lambda a, b: {f"{k} to {k + 4} years": tuple(range(k, k + 5)) for k in range(a, b, 5)}
+    from20 = {"Under 20 years": tuple(range(20)), **fives(20, 85), "85 years and over": tuple(range(85, age.size))}
+    to25 = {"Under 5 years": tuple(range(5)), **fives(5, 25), "25 years and over": tuple(range(25, age.size))}
+    split = {}
+    for width in (116, 58, 29, 15, 7, 4, 2, 1):  # groups of a width side by side, the last cut off
+        for a in range(0, age.size - 1, width):
+            b = min(a + width, age.size) - 1
+            split[f"split{width}: age {a}" if a == b else f"split{width}: age {a}-{b}"] = tuple(range(a, b + 1))
+    kinds = {f"gq{name}Total": {f"{label} Population Total": (k,)} for k, (name, label) in enumerate(_KINDS.items(), 1)} | {"instTotal": {"Institutional Population Total": (1, 2, 3, 4)}, "noninstTotal": {"Noninstitutionalized Population Total": (5, 6, 7)}}
     race = A.cenrace()
     combos = A.race_combinations()
     names = ("White", "Black or African American", "American Indian and Alaska Native", "Asian", "Native Hawaiian and Other Pacific Islander", "Some Other Race")
     comb = {f"{n} alone or in combination with one or more other races": tuple(k for k, c in enumerate(combos) if i in c) for i, n in enumerate(names)}
-    return Schema((_named(A.facility(), "hhgq", hhTotal={"Household": (0,)}), A.sex(), _named(age, "age", agecat=cats), A.hispanic(), _named(race, "cenrace", racecomb=comb)))
+    return Schema((_named(A.facility(), "hhgq", hhTotal={"Household": (0,)}, **kinds), A.sex(), _named(age, "age", agecat=cats, agecatPCO3=from20, agecatPCO4=to25, binarysplit_agecats=split), A.hispanic(), _named(race, "cenrace", racecomb=comb)))

@@ -45,7 +45,7 @@ class Plan:
 
 
 def _queries(schema: Schema, names: list[str]) -> list[tuple[tuple[Groups, ...], str, list[list[str] | None]]]:
-    """Groups and labels of every query; groups that overlap become a query each under the same name."""
+    """Groups and labels of every query; groups that overlap become several queries under the same name."""
     out = []
     for name in names:
         terms = {d.name: g for d, g in schema.parse(name)}
@@ -55,8 +55,13 @@ def _queries(schema: Schema, names: list[str]) -> list[tuple[tuple[Groups, ...],
             if d.name not in terms:
                 options.append([((0,) * d.size, None)])
                 continue
-            held = [i for _, ix in groups for i in ix]
-            parts = [groups] if len(held) == len(set(held)) else [[g] for g in groups]
+            parts: list[list[tuple[str, tuple[int, ...]]]] = []  # groups that overlap go to the first part where they do not
+            for g in groups:
+                free = next((p for p in parts if not any(set(ix) & set(g[1]) for _, ix in p)), None)
+                if free is None:
+                    parts.append([g])
+                else:
+                    free.append(g)
             options.append([(tuple(next((k for k, (_, ix) in enumerate(p) if i in ix), -1) for i in range(d.size)), [label for label, _ in p]) for p in parts])
         for pick in product(*options):
             out.append((tuple(g for g, _ in pick), name, [labels for _, labels in pick]))

@@ -24,8 +24,11 @@ def _sql(tables: dict[str, list[str]], schema: Schema, dims: dict[str, str], sou
     for name in dict.fromkeys(q for qs in tables.values() for q in qs):
         sides = []
         for d, groups in schema.parse(name):
-            held = [i for ix in groups.values() for i in ix]
-            sides.append([case_sql(d.name, groups)] if len(held) == len(set(held)) else [case_sql(d.name, {k: v}) for k, v in groups.items()])  # groups that overlap, one by one
+            layers: list[dict] = []  # of groups that do not overlap
+            for k, v in groups.items():
+                at = next((x for x in layers if not any(set(v) & set(w) for w in x.values())), None)
+                layers.append({k: v}) if at is None else at.update({k: v})
+            sides.append([case_sql(d.name, x) for x in layers])
         parts += [f"select geocode, '{name}' as query, {' || chr(32) || '.join(' || '.join([x]) for x in _between(pick)) or "'total'"} as level from r" for pick in product(*sides)]
     names = ", ".join(f"('{t}', '{q}')" for t, qs in tables.items() for q in dict.fromkeys(qs))
     cols = ", ".join(f"({e.replace(' div ', ' // ')})::int as {c}" for c, e in dims.items())
