@@ -17,7 +17,8 @@ called; comments and what is hidden always are, and so are <nav>, <footer>, <asi
 instead of words, each character counting for more length; on a page that shows hardly any known stop word the language
 is unknown, and length and links decide alone. Time is linear in the page, whatever its markup.
 
-Edge cases: a null or empty page has no text; unclosed and stray tags are tolerated (a block-level tag ends
+Edge cases: a short block as near to a good neighbour as to a bad one follows the one before it (inside an article it is good);
+a null or empty page has no text; unclosed and stray tags are tolerated (a block-level tag ends
 what was open inside it); repeated rows are extracted each on their own; null ids and urls stay; other columns
 are ignored, whatever their names; pages of any length are read whole; an empty table gives an empty result.
 """

@@ -8,7 +8,8 @@ replace fixed cutoffs; groups of fewer than ``min_group`` documents use their la
 small languages the corpus's.
 
 Edge cases: a null text is an empty text; null language or source is a group of its own; repeated rows
-count and are judged each on their own; an empty table gives an empty result; other columns are carried
+count and are judged each on their own; a value at a fence is within it, and of equal quartile ranks the smaller bucket
+counts; texts of any length are measured whole, their words being arrays of one row; an empty table gives an empty result; other columns are carried
 untouched whatever their names.
 """
 

@@ -98,7 +98,7 @@ def boundaries(groups: DataFrame, shards: int = SHARDS) -> list[str]:
         finer: dict[str, int] = {}
         for k, keys in by_length.items():
             part = groups.join(F.broadcast(groups.sparkSession.createDataFrame([(x,) for x in keys], "k string")), at(k) == F.col("k"), "left_semi")
-            for r in part.groupBy(at(64 if whole else k + 1).alias("k")).agg(F.sum("bytes").alias("b"), F.count(F.lit(1)).alias("n")).collect():  # DRIVER_ROWS at most
+            for r in part.groupBy(at(64 if whole else k + 1).alias("k")).agg(F.sum("bytes").alias("b"), F.count(F.lit(1)).alias("n")).collect():  # DRIVER_ROWS groups at most, else 16 parts of each of the few ranges in which a cut can fall
                 finer[r["k"]], count[r["k"]] = r["b"], r["n"]
         ranges = sorted([(k, b) for k, b in ranges if k not in need] + list(finer.items()))
     sizes = np.array([b for _, b in ranges], dtype=np.int64)

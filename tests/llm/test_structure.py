@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cellarium.llm import audit, phrases, repair
+from cellarium.llm import audit, chat, phrases, quality, repair
 
 SF = "/root/testdata/sf0.001"
 TURNS = "conv_id bigint, turn bigint, role string, text string, part string, uid int"
@@ -230,3 +230,23 @@ def test_recurring_passages(spark, block):
 def test_automaton_finds_overlapping_occurrences():
     a = phrases.automaton({(1, 2, 3), (3, 1), (2,)})
     assert phrases.covered(a, (1, 2, 3, 1, 5, 2, 3)).tolist() == [True, True, True, True, False, True, False]
+
+
+# --- edge cases of earlier operators ---
+
+
+def test_quality_of_a_very_long_text_and_ties_at_a_fence(spark):
+    """Equal documents lie on both quartiles, so the fences follow from the least spread; a value at a fence stays, one beyond goes."""
+    assert quality.SIGNALS["symbol_rate"][2:] == (1000, 25) and quality.FENCE == 3
+    words = [f"w{k:03d}" for k in range(199)]
+    text = lambda symbols: " ".join(["#" * symbols, *words])
+    rows = [(k, " ".join(["w", *words]), "en", "s") for k in range(60)] + [(100, text(15), "en", "s"), (101, text(16), "en", "s"), (102, " ".join(f"x{k}" for k in range(300_000)), "en", "s")]
+    got = {r.doc_id: r for r in quality.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert got[102].n_words == 300_000 and got[102].n_repeat_words == 0 and got[0].kept
+    assert (got[100].n_symbols, got[100].n_words, got[100].kept) == (15, 200, True) and not got[101].kept
+
+
+def test_dialogue_of_many_participants(spark):
+    rows = [(1, k, f"speaker{k % 60}", f"t{k}") for k in range(120)]
+    got = chat.rotate(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert len(got) == 60 and all(r.n_turns == 120 and r.n_own == 2 and r.text.count("<|im_start|>assistant") == 2 for r in got)
