@@ -13,6 +13,12 @@ from .households import old_type_recodes
 # The codes' meanings.
 RACES = ("white", "black", "aian", "asian", "nhopi", "sor")
 FACILITIES = ("Housing Unit", "Correctional", "Juvenile", "Nursing", "Other Institutional", "College", "Military", "Other Noninstitutional")
+SPINE_TYPES = (
+    "GQ 101-106 Correctional facilities for adults", "GQ 201-203 Juvenile facilities", "GQ 301 Nursing facilities/Skilled-nursing facilities", "GQ 401-405 Other institutional facilities", "GQ 501 College/University student housing",
+    "GQ 601-602 Military quarters", "GQ 701-702, 704, 706, 801-802, 900-901, 903-904 Other noninstitutional facilities",
+)
+#: Facility classes of the relationship dimension, by how many kinds of group quarters each has (ships count with the others).
+CLASSES_OF_QUARTERS = {"Correctional facilities for adults": 6, "Juvenile facilities": 3, "Nursing facilities/Skilled-nursing facilities": 1, "Other institutional facilities": 5, "College/University student housing": 1, "Military quarters": 1, "Other noninstitutional facilities": 7}
 VACANCY = ("For rent", "Rented, not occupied", "For sale only", "Sold, not occupied", "For seasonal use", "For migrant workers", "Other vacant")
 TENURE = ("Owned with a mortgage", "Owned free and clear", "Rented", "Occupied without payment of rent")
 HOUSEHOLD_SIZE = ("Vacant", "1 person", "2 persons", "3 persons", "4 persons", "5 persons", "6 persons", "7 or more persons")
@@ -146,7 +152,8 @@ def facility(name: str = "hhgq") -> Dim:
     return Dim(name, FACILITIES, {
         "household": {"Household": (0,)}, "gqTotal": {"Group Quarters": tuple(range(1, 8))}, "hhgqVector": {f: (i,) for i, f in enumerate(FACILITIES)},
         "hhgq2level": {"Household": (0,), "Group Quarters": tuple(range(1, 8))}, "institutionalized": {"Institutional": (1, 2, 3, 4), "Noninstitutional": (5, 6, 7)},
-        "gqlevels": {f: (i,) for i, f in enumerate(FACILITIES) if i}, "hhinstlevels": {"Household": (0,), "Institutional Facility": (1, 2, 3, 4), "Non-Institutional Facility": (5, 6, 7)},
+        "gqlevels": {f: (i,) for i, f in enumerate(FACILITIES) if i}, "housing_units": {"Housing Units": (0,)}, "total_gq": {"GQ": tuple(range(1, 8))}, "hhgqSpineTypes": {x: (i,) for i, x in enumerate(SPINE_TYPES, 1)},
+        "instlevels": {"Institutional Facility": (1, 2, 3, 4), "Non-Institutional Facility": (5, 6, 7)}, "hhinstlevels": {"Household": (0,), "Institutional Facility": (1, 2, 3, 4), "Non-Institutional Facility": (5, 6, 7)},
     })
 
 
@@ -220,7 +227,12 @@ def relationship_gq() -> Dim:
     labels = (*RELATIONSHIPS, *GROUP_QUARTERS)
     n = len(RELATIONSHIPS)
     classes = {c: tuple(n + i for i, g in enumerate(GROUP_QUARTERS) if g[3] == c) for c in sorted({g[3] for g in GROUP_QUARTERS})}
+    eight, at = {"HOUSEHOLD": tuple(range(n))}, n
+    for label, kinds in CLASSES_OF_QUARTERS.items():
+        eight[label] = tuple(range(at, at + kinds))
+        at += kinds
     return Dim("relgq", labels, {
+        "hhgq8lev": eight, "spouses_unmarried_partners": {"Spouses & Unmarried Partners": (2, 3, 4, 5)}, "people_in_households": {"People in Households": tuple(range(n))}, "gqlevels": {"Household": tuple(range(n)), **{x: (n + i,) for i, x in enumerate(GROUP_QUARTERS)}},
         "gqhh": {"Household": tuple(range(n)), "Group Quarters": tuple(range(n, len(labels)))}, "householders": {"Householder": (0, 1)}, "spousesUnmarriedPartners": {"Spouse or unmarried partner": (2, 3, 4, 5)},
         "children": {"Child of householder": (6, 7, 8)}, "peopleInHouseholds": {"In households": tuple(range(n))}, "gqClasses": {f"GQ {c}00s": ix for c, ix in classes.items()}, **{f"relgq{i}": {x: (i,)} for i, x in enumerate(labels)},
     })

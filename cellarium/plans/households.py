@@ -164,3 +164,19 @@ def constraint_rules_persons(spark, d):
     kinds = cells.select("geocode", _REL.level("gqlevels").alias("level")).distinct()
     bounds = kinds.select("geocode", F.explode(F.array(*[F.struct(F.lit(k).alias("invariant"), F.lit(v).cast("long").alias("value")) for k, v in (("gq_lower", 2), ("gq_upper", 4))])).alias("x"), "level").select("geocode", "x.invariant", "level", "x.value")
     return T.constraint_rules({"main": cells}, {"main": _REL}, R.PERSONS, total.unionByName(bounds))
+
+
+_KIN = Schema((A.relationship_gq(), A.sex(), A.cenrace()))
+_PEOPLE = {"relgq": "(unit_id * 5 + l_linenumber) % 42", "sex": "sex", "cenrace": "(unit_id + l_linenumber * 11) % 63"}
+_CLASS = "case when relgq < 18 then 'HOUSEHOLD' when relgq < 24 then 'Correctional facilities for adults' when relgq < 27 then 'Juvenile facilities' when relgq = 27 then 'Nursing facilities/Skilled-nursing facilities' when relgq < 33 then 'Other institutional facilities' when relgq = 33 then 'College/University student housing' when relgq = 34 then 'Military quarters' else 'Other noninstitutional facilities' end"
+_RACE = "case when cenrace < 6 then (['White', 'Black or African American', 'American Indian and Alaska Native', 'Asian', 'Native Hawaiian and Other Pacific Islander', 'Some Other Race'])[cenrace + 1] || ' alone' when cenrace = 6 then 'Black or African American and White' when cenrace = 7 then 'American Indian and Alaska Native and White' when cenrace = 8 then 'Asian and White' when cenrace = 11 then 'American Indian and Alaska Native and Black or African American' else 'Balance/remainder' end"
+
+
+@query(f"""select geocode, query, level, count(*) as cnt from (with p as (select geocode, {', '.join(f"({e.replace(' div ', ' // ')})::int as {c}" for c, e in _PEOPLE.items())} from persons)
+ select geocode, 'hhgq8lev' as query, {_CLASS} as level from p union all select geocode, 'spouses_unmarried_partners * sex', 'Spouses & Unmarried Partners BY ' || if(sex = 0, 'Male', 'Female') from p where relgq between 2 and 5
+ union all select geocode, 'people_in_households', 'People in Households' from p where relgq < 18 union all select geocode, 'hhgq8lev * cenrace11cats', {_CLASS} || ' BY ' || {_RACE} from p
+ union all select geocode, 'tomr', 'Two or more races' from p where cenrace > 5 union all select geocode, 'cenrace_7lev_two_comb', case when cenrace > 10 then 'Two or more races' when cenrace < 6 then (['white', 'black', 'aian', 'asian', 'nhopi', 'sor'])[cenrace + 1] else (['black', 'aian', 'asian', 'nhopi', 'sor'])[cenrace - 5] end from p) group by all""")
+def query_by_name_facilities(spark, d):
+    names = ["hhgq8lev", "spouses_unmarried_partners * sex", "people_in_households", "hhgq8lev * cenrace11cats", "tomr", "cenrace_7lev_two_comb"]
+    cells = hist.hist_sparse(B.persons(spark, d).select("geocode", *[F.expr(e).cast("int").alias(c) for c, e in _PEOPLE.items()]), "geocode", _KIN.names)
+    return Q.query_answer_many(cells, names, _KIN, ["geocode"], ("cnt",)).select("geocode", "query", "level", "cnt")

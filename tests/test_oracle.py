@@ -19,7 +19,7 @@ error_cdf total_pop_bins blau_quintile_errors table_cv variation_vs_average metr
 noise_geometric noise_discrete_gaussian noise_interval measure_pool constraint_rollup constraint_check topdown_consistent topdown_nonnegative topdown_round topdown_levels topdown_bounds_clip sink_measurements
 expand_vacant_and_gq assign_detail_in_order val_type_counts val_vacancy_moves val_sql_pairs val_report scan_delimited scan_piped_protected scan_geo_reference scan_area_reference scan_runs recode_from_output
 recode_output_person_relationship recode_output_household recode_output_citizen_race topdown_shortcuts topdown_queries constraint_legal_ages table_product_citizens relative_query_error relative_total_error val_person_total topdown_round_queries topdown_levels_queries recode_household_type_largest recode_output_largest recode_output_largest_units
-query_by_name_largest constraint_rules_largest constraint_rules_2010 constraint_rules_persons table_set_households table_set_persons noise_discrete_gaussian_exact measure_strategy""".split()
+query_by_name_largest constraint_rules_largest constraint_rules_2010 constraint_rules_persons table_set_households table_set_persons noise_discrete_gaussian_exact measure_strategy query_by_name_facilities""".split()
 
 
 @pytest.fixture(scope="module")
