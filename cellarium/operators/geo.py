@@ -85,13 +85,13 @@ def geo_group_same_entities(blocks: DataFrame, parent: str, unit: str, entity: s
     return sets.withColumn("group_no", F.dense_rank().over(Window.partitionBy(parent).orderBy("entities")))
 
 
-def geo_entity_distance(blocks: DataFrame, hier: Hier, entity: str, geocode: str = "geocode") -> DataFrame:
-    """(geolevel, geocode, entity, distance): fewest units to add and take away, from the blocks up; entities with no block in a unit are at 0 there and have no row.
+def geo_entity_distance(blocks: DataFrame, hier: Hier, entity: str, geocode: str = "geocode", absent: bool = True) -> DataFrame:
+    """(geolevel, geocode, entity, distance): fewest units to add and take away, from the blocks up; entities of the same root with no block in a unit are at 0 there.
 
     A block is at distance 1 from nothing and 0 from its own entity; above, a part is reached by taking in the children's parts or by
     taking all and giving back what is outside: min(sum inside, sum outside + 1). An entity without blocks in a unit costs 0
-    from nothing and 1 (take the unit away) from the whole, whatever the unit, so only pairs that occur are kept
-    and a unit's children without the entity enter as their number.
+    from nothing and 1 (take the unit away) from the whole, whatever the unit, so only pairs that occur are worked on
+    and a unit's children without the entity enter as their number. absent=False leaves the rows of 0 out; else they are added at the end.
     """
     own = blocks.select(F.col(geocode).alias("g"), F.col(entity).alias("e")).distinct()
     now = own.select("g", "e", F.lit(1).cast("long").alias("a"), F.lit(0).cast("long").alias("b"))
@@ -105,7 +105,13 @@ def geo_entity_distance(blocks: DataFrame, hier: Hier, entity: str, geocode: str
         now = sums.select("g", "e", F.least("sa", outside + 1).alias("a"), F.least(outside, F.col("sa") + 1).alias("b"))
         units = kids.select("g")
         out.append(now.select(F.lit(level).alias("geolevel"), F.col("g").alias("geocode"), F.col("e").alias("entity"), F.col("a").alias("distance")))
-    return reduce(DataFrame.unionByName, out)
+    near = reduce(DataFrame.unionByName, out)
+    if not absent:
+        return near
+    root = F.substring("geocode", 1, hier[0][1]).alias("root")
+    named = near.select(root, "entity").distinct()
+    every = near.select("geolevel", "geocode", root).distinct().join(named, "root").drop("root")
+    return every.join(near, ["geolevel", "geocode", "entity"], "left").withColumn("distance", F.coalesce("distance", F.lit(0)))
 
 
 def geo_bypass_single_child(alloc: DataFrame, hier: Hier) -> DataFrame:

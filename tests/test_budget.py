@@ -85,6 +85,6 @@ def test_exact_noise_draws(spark):
 
 def test_entity_distance_by_hand(spark):
     rows = [("11", "a"), ("12", "a"), ("13", "b"), ("21", "b"), ("22", "b"), ("31", "a")]
-    got = {(r.geolevel, r.geocode, r.entity): r.distance for r in geo.geo_entity_distance(spark.createDataFrame([("0" + g, e) for g, e in rows], "geocode string, e string"), [("top", 1), ("mid", 2), ("block", 3)], "e").collect()}
+    got = {(r.geolevel, r.geocode, r.entity): r.distance for r in geo.geo_entity_distance(spark.createDataFrame([("0" + g, e) for g, e in rows], "geocode string, e string"), [("top", 1), ("mid", 2), ("block", 3)], "e", absent=False).collect()}
     # mid 01: a is all but one of three (take all, give one back), b one; 02: b whole; 03: a whole
     assert got == {("mid", "01", "a"): 2, ("mid", "01", "b"): 1, ("mid", "02", "b"): 1, ("mid", "03", "a"): 1, ("top", "0", "a"): 3, ("top", "0", "b"): 2}
