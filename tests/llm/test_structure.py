@@ -250,3 +250,14 @@ def test_dialogue_of_many_participants(spark):
     rows = [(1, k, f"speaker{k % 60}", f"t{k}") for k in range(120)]
     got = chat.rotate(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
     assert len(got) == 60 and all(r.n_turns == 120 and r.n_own == 2 and r.text.count("<|im_start|>assistant") == 2 for r in got)
+
+
+def test_repair_of_a_long_dialogue_without_id_and_of_named_ones(spark):
+    """A null conv_id over many parts; ids that are texts, or too large for a double."""
+    rows = [(None, k, ("user", "assistant")[k % 2], f"t{k}.") for k in range(40)] + [(2**60 + 1, k, "user", f"t{k}.") for k in range(20)] + [(2**60 + 2, 1, "user", "t.")]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    got = {r.conv_id: (r.cost, r.audit, r.repaired_sha256) for r in repair.repair(df, rows=4).collect()}
+    assert got == {k: v[5:] for k, v in expected(rows).items()}
+    named = [(None if c is None else f"c{c}", *r) for c, *r in rows]
+    got = {r.conv_id: (r.cost, r.audit, r.repaired_sha256) for r in repair.repair(spark.createDataFrame(named, "conv_id string, turn bigint, role string, text string"), rows=4).collect()}
+    assert got == {k: v[5:] for k, v in expected(named).items()}
