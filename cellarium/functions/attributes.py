@@ -133,7 +133,7 @@ def cenrace() -> Dim:
         "numraces": {f"{k} race{'s' * (k > 1)}": by(lambda c, k=k: len(c) == k) for k in range(1, len(RACES) + 1)},
         "majorRaces": {**{f"{r} alone": by(lambda c, i=i: c == (i,)) for i, r in enumerate(RACES)}, "two or more races": by(lambda c: len(c) > 1)},
     }
-    # pairs of the priority list, by places of the races; every other combination is the remainder
+    # Names and labels of race groups; pairs of the priority list, by places of the races; every other combination is the remainder
     pairs = {(0, 1): "Black or African American and White", (0, 2): "American Indian and Alaska Native and White", (0, 3): "Asian and White", (1, 2): "American Indian and Alaska Native and Black or African American"}
     names = ("White", "Black or African American", "American Indian and Alaska Native", "Asian", "Native Hawaiian and Other Pacific Islander", "Some Other Race")
     alone = {f"{name} alone": by(lambda c, i=i: c == (i,)) for i, name in enumerate(names)}
@@ -182,6 +182,9 @@ def unit_kinds() -> Dim:
     return Dim("tenvacgq", labels, {"householdTotal": {"Household": (0, 1, 2, 3)}, "hhgq_vector": {"Housing Units": tuple(range(11)), **kinds}, "tenure_2lev": {"Owned": (0, 1), "Not owned": (2, 3)}, "vacant": {"Vacant": tuple(range(4, 11))}, "gqlevels": kinds})
 
 
+# Names and labels of the recodes of households that follow.
+
+
 def household_size() -> Dim:
     return Dim("hhsize", HOUSEHOLD_SIZE, {
         "onePerson": {"1 person": (1,)}, "sizeVacant": {"Vacant": (0,)}, "twoPersonsPlus": {"2 or more persons": tuple(range(2, 8))}, "notVacant": {"Occupied": tuple(range(1, 8))}, "sizeVector": {s: (i,) for i, s in enumerate(HOUSEHOLD_SIZE)},

@@ -112,7 +112,7 @@ def _both(h: Household) -> bool:
 
 
 def _shared(other: str, both: str) -> dict[str, dict[str, Callable[[Household], bool]]]:
-    """Recodes that old and new types have in common."""
+    """Recodes that old and new types have in common. Names and labels of recodes, here and below."""
     married, single = (lambda h: h.couple == "married"), (lambda h: h.couple != "married")
     return {
         "family": {"Family": lambda h: h.family}, "nonfamily": {"Non-Family": lambda h: not h.family}, "marriedfamily": {"Married Family": married},

@@ -102,11 +102,10 @@ def measure_strategy(hist: DataFrame, hier: Hier, schema: Schema, strategy: Stra
     """
     strategy.check(schema, [level for level, _ in hier])
     rolled = geo_rollup(hist, hier, schema.names, (count,))
-    at = {level: F.array(*[F.struct(F.lit(q).alias("query"), schema.level(q).alias("level")) for q in strategy.queries[level]]) for level, _ in hier}
-    asked = F
-    for level, pairs in at.items():
-        asked = asked.when(F.col("geolevel") == level, pairs)
-    spread = rolled.withColumn("_q", F.explode(F.filter(asked, lambda x: x["level"].isNotNull())))
+    names = list(dict.fromkeys(q for queries in strategy.queries.values() for q in queries))
+    pairs = F.array(*[F.struct(F.lit(q).alias("query"), schema.level(q).alias("level")) for q in names])
+    asked = F.create_map(*[x for level, queries in strategy.queries.items() for x in (F.lit(level), F.lit(list(queries)))])[F.col("geolevel")]
+    spread = rolled.withColumn("_q", F.explode(F.filter(pairs, lambda x: x["level"].isNotNull() & F.array_contains(asked, x["query"]))))
     answers = spread.groupBy("geolevel", "geocode", "_q.query", "_q.level").agg(F.sum(count).alias("truth"))
     alloc = hist.sparkSession.createDataFrame(strategy.rows(), "geolevel string, query string, geo_num long, geo_den long, q_num long, q_den long")
     return budget_attach(answers, alloc, scale).drop("budget_error")

@@ -156,7 +156,7 @@ HOUSEHOLD_LAYOUT = [
 ]
 
 
-#: Occupied units of the largest household schema, as expressions over its indices and what the type says (see `type_table`).
+#: The output's codes. Occupied units of the largest household schema, as expressions over its indices and what the type says (see `type_table`).
 LARGEST_LAYOUT = [
     ("SCHEMA_TYPE_CODE", "'MUD'"), ("SCHEMA_BUILD_ID", "'1.1.0'"), ("geocode", "geocode"), ("RTYPE", "'2'"), ("GQTYPE", "'000'"), ("TEN", "if(hhtenshort = 0, '1', '3')"), ("VACS", "'0'"), ("HHSIZE", "cast(size as string)"),
     ("HHT", "case when couple = 'married' then '1' when relatives then cast(2 + sex as string) else cast(4 + 2 * sex + if(alone, 0, 1) as string) end"),

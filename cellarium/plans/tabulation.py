@@ -235,6 +235,7 @@ def recode_output_unit(spark, d):
     return recode.recode_output_unit(u).groupBy("geocode", "TEN", "VACS", "HHSIZE", "P65").agg(F.count(F.lit(1)).alias("n"))
 
 
+# The output's codes by type, once more as SQL lists.
 _HOUSEHOLDS = "(select geocode, (unit_id % 24)::int as t, (unit_id // 24 % 2)::int as s, (unit_id // 7 % 7 + 1)::int as z, status, priority from units)"
 
 
